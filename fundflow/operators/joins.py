@@ -20,6 +20,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
+def maybe_broadcast(df: DataFrame, small: bool | None = None,
+                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast when ``small`` says so; when unknown, check ``df`` itself.
+
+    Callers that know a proven bound (e.g. "one row per committee row", with
+    the committee table counted once) pass ``small`` and skip the check job.
+    """
+    if small is None:
+        return broadcast_if_small(df, max_rows)
+    return F.broadcast(df) if small else df
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     cond = None
     for lcol, rcol in pairs:

@@ -7,7 +7,7 @@ matches the smallest ``(priority, keyword)`` wins.
 Two plans give the same answer:
 
 * **inline** (taxonomy of at most ``MAX_INLINE_KEYWORDS`` rows): the keywords
-  become one literal array; the first one a text contains is found in the
+  become one look-ahead regular expression scanned over each text in the
   row's own task.  No shuffle, no join, and a hot employer costs nothing extra.
 * **n-gram join** (larger taxonomies): every distinct text is cut into its
   substrings of the lengths that keywords have, and those are equi-joined to
@@ -36,8 +36,23 @@ def collect_taxonomy(taxonomy: DataFrame, max_rows: int = MAX_INLINE_KEYWORDS):
             .limit(max_rows + 1).collect())
     if len(rows) > max_rows:
         return None
-    return sorted((tuple(r) for r in rows),
-                  key=lambda r: (r[3] is None, r[3] if r[3] is not None else 0, r[0]))
+    return sort_keywords(rows)
+
+
+def sort_keywords(rows) -> list[tuple]:
+    """Keyword rows in match order: priority (NULL last), then keyword."""
+    rows = [tuple(r) for r in rows if r[0] is not None]
+    return sorted(rows, key=lambda r: (r[3] is None, r[3] if r[3] is not None else 0, r[0]))
+
+
+def _sql_str(v: str | None) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_int(v) -> str:
+    return "NULL" if v is None else str(int(v))
 
 
 def _match_struct_type() -> str:
@@ -47,30 +62,40 @@ def _match_struct_type() -> str:
 def first_match_index(texts: list[Column], keywords: list[tuple]) -> Column:
     """Position (in ``keywords`` order) of the first keyword any text contains, or NULL.
 
-    Smaller is better, so ``min`` of this index over rows picks the best match.
+    One regular expression ``(?=(k1|k2|...))`` with the alternatives in
+    (priority, keyword) order is scanned over the lower-cased text.  The
+    zero-width look-ahead reports, at every start position, the first
+    alternative that matches there, so overlapping hits are all seen; a
+    keyword hidden at some position is always preceded in the order by the
+    one reported there.  The smallest rank among the reported keywords is
+    therefore the best keyword the text contains.  Smaller is better, so
+    ``min`` of this index over rows picks the best match.
     """
     if not keywords:
         return F.lit(None).cast("int")
+    rank: dict[str, int] = {}
+    for i, (kw, _, _, _) in enumerate(keywords):
+        rank.setdefault(kw.lower(), i)
+    pattern = "(?=(" + "|".join("\\Q" + k + "\\E" for k in rank) + "))"
+    ranks = F.expr("map(" + ", ".join(f"{_sql_str(k)}, {i}" for k, i in rank.items()) + ")")
+
+    def best(text: Column) -> Column:
+        found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
+        return F.array_min(F.transform(found, lambda k: ranks[k]))
 
-    # One higher-order expression over the literal keyword array: it stays a
-    # single node, so the stage around it keeps its compiled code however long
-    # the taxonomy is (a CASE chain of ~100 branches is too big to compile).
-    needles = F.array(*[F.lit(kw.lower()) for kw, _, _, _ in keywords])
-    lowered = [F.lower(t) for t in texts]
-    hits = F.transform(needles, lambda k: reduce(lambda a, b: a | b,
-                                                 [F.contains(t, k) for t in lowered]))
-    pos = F.array_position(hits, True)          # 1-based, 0 when nothing matches
-    return F.when(pos > 0, (pos - 1).cast("int"))
+    indexes = [best(t) for t in texts]
+    # least() skips NULLs: the best over all texts
+    return indexes[0] if len(indexes) == 1 else F.least(*indexes)
 
 
 def match_at(index: Column, keywords: list[tuple]) -> Column:
     """The (keyword, industry, industry_group, priority) struct at ``index``."""
     if not keywords:
         return F.lit(None).cast(_match_struct_type())
-    table = F.array(*[
-        F.struct(F.lit(kw).alias("keyword"), F.lit(ind).alias("industry"),
-                 F.lit(grp).alias("industry_group"), F.lit(pri).cast("int").alias("priority"))
-        for kw, ind, grp, pri in keywords])
+    table = F.expr("array(" + ", ".join(
+        f"named_struct('keyword', {_sql_str(kw)}, 'industry', {_sql_str(ind)}, "
+        f"'industry_group', {_sql_str(grp)}, 'priority', CAST({_sql_int(pri)} AS INT))"
+        for kw, ind, grp, pri in keywords) + ")")
     return F.when(index.isNotNull(), F.get(table, index))
 
 
@@ -113,9 +138,14 @@ def first_match_join(df: DataFrame, text_cols: list[str], taxonomy: DataFrame,
 
 
 def add_first_match(df: DataFrame, text_cols: list, taxonomy: DataFrame,
-                    out_col: str = "match", max_inline: int = MAX_INLINE_KEYWORDS) -> DataFrame:
-    """Choose the plan by the taxonomy's size and add the match struct."""
-    keywords = collect_taxonomy(taxonomy, max_inline)
+                    out_col: str = "match", max_inline: int = MAX_INLINE_KEYWORDS,
+                    keywords: list[tuple] | None = None) -> DataFrame:
+    """Choose the plan by the taxonomy's size and add the match struct.
+
+    ``keywords`` may carry an already collected (sorted) taxonomy.
+    """
+    if keywords is None:
+        keywords = collect_taxonomy(taxonomy, max_inline)
     if keywords is not None:
         cols = [F.col(c) if isinstance(c, str) else c for c in text_cols]
         return df.withColumn(out_col, first_match_inline(cols, keywords))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .joins import broadcast_if_small, null_safe_on
+from .joins import null_safe_on
 
 
 def percent_rank_by_histogram(df: DataFrame, partition_cols: list[str], value_col: str,
@@ -35,7 +35,8 @@ def percent_rank_by_histogram(df: DataFrame, partition_cols: list[str], value_co
     pr = F.when(n > 1, below.cast("double") / (n - 1).cast("double")).otherwise(F.lit(0.0))
     hist = hist.select(*[F.col(c).alias(f"_h_{c}") for c in partition_cols + [value_col]],
                        pr.alias(out_col))
-    hist = broadcast_if_small(hist)
+    # The histogram is tiny (<= distinct values per partition) and, built from a
+    # checkpointed table, cheap: AQE sees its real size and broadcasts it.
     keys = [(c, f"_h_{c}") for c in partition_cols + [value_col]]
     joined = df.join(hist, null_safe_on(df, hist, keys), "inner")
     return joined.drop(*[f"_h_{c}" for c in partition_cols + [value_col]])
@@ -74,7 +75,7 @@ def ntile_distributed(df: DataFrame, partition_cols: list[str], sort_exprs: list
         F.col("_pid").alias("_s_pid"), *[F.col(c).alias(f"_s_{c}") for c in partition_cols],
         "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
         F.sum("_cnt").over(part).alias("_n"))
-    stats = broadcast_if_small(stats)
+    # at most (#tasks + #partitions) rows; AQE broadcasts it on its real size
     keys = [("_pid", "_s_pid")] + [(c, f"_s_{c}") for c in partition_cols]
     joined = indexed.join(stats, null_safe_on(indexed, stats, keys), "inner")
     pos = F.col("_before") + F.col("_idx") - F.col("_first")          # 0-based

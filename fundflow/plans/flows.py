@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import maybe_broadcast
 from ..operators.keyword_match import add_first_match
 from .tagging import (UNCLASSIFIED_GROUP, UNCLASSIFIED_INDUSTRY, UNCLASSIFIED_SOURCE,
                       employer_eligible)
@@ -18,12 +18,13 @@ FLOW_COLUMNS = [
 _TEXT = "string"
 
 
-def pac_direct(pac: DataFrame, tags: DataFrame) -> DataFrame:
+def pac_direct(pac: DataFrame, tags: DataFrame, small_tags: bool | None = None) -> DataFrame:
     """Committee -> candidate path; tags are not defaulted (missing stays NULL)."""
     t = tags.select(F.col("committee_id").alias("_tag_id"), "industry", "industry_group",
                     "match_source", "is_dark_money_suspect", "is_super_pac")
     p = pac.filter(~F.col("is_refund"))
-    joined = p.join(broadcast_if_small(t), p["contributor_committee_id"] == t["_tag_id"], "left")
+    joined = p.join(maybe_broadcast(t, small_tags), p["contributor_committee_id"] == t["_tag_id"],
+                    "left")
     return joined.select(
         "transaction_id", "candidate_id",
         F.col("contributor_committee_id").alias("source_committee_id"),
@@ -38,7 +39,8 @@ def pac_direct(pac: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def individual_via_committee(individual: DataFrame, linkage: DataFrame,
-                             taxonomy: DataFrame) -> DataFrame:
+                             taxonomy: DataFrame, small_linkage: bool | None = None,
+                             keywords: list[tuple] | None = None) -> DataFrame:
     """Donor -> committee -> candidate path, employer-tagged in place.
 
     Each linked candidate of the receiving committee is credited (links are
@@ -49,9 +51,10 @@ def individual_via_committee(individual: DataFrame, linkage: DataFrame,
     links = linkage.select(F.col("committee_id").alias("_link_cmte"), "candidate_id")
     donations = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund"))
     # tag each donation once, before the fan-out to its linked candidates
-    tagged = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m")
+    tagged = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m",
+                             keywords=keywords)
     tagged = tagged.withColumn("m", F.when(employer_eligible(), F.col("m")))
-    joined = tagged.join(broadcast_if_small(links),
+    joined = tagged.join(maybe_broadcast(links, small_linkage),
                          tagged["committee_id"] == links["_link_cmte"], "inner")
     hit = F.col("m").isNotNull()
     return joined.select(
@@ -71,8 +74,11 @@ def individual_via_committee(individual: DataFrame, linkage: DataFrame,
 
 
 def contributions_to_candidates(pac: DataFrame, individual: DataFrame, linkage: DataFrame,
-                                tags: DataFrame, taxonomy: DataFrame) -> DataFrame:
+                                tags: DataFrame, taxonomy: DataFrame,
+                                small_tags: bool | None = None,
+                                small_linkage: bool | None = None,
+                                keywords: list[tuple] | None = None) -> DataFrame:
     """UNION ALL of both paths, 15 columns."""
-    return (pac_direct(pac, tags).select(*FLOW_COLUMNS)
-            .unionByName(individual_via_committee(individual, linkage, taxonomy)
-                         .select(*FLOW_COLUMNS)))
+    return (pac_direct(pac, tags, small_tags).select(*FLOW_COLUMNS)
+            .unionByName(individual_via_committee(individual, linkage, taxonomy, small_linkage,
+                                                  keywords).select(*FLOW_COLUMNS)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY, MONEY_SUM, pct, ratio, round_to
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import broadcast_if_small, maybe_broadcast
 from ..operators.ranking import ntile_distributed, percent_rank_by_histogram
 
 # ---------------------------------------------------------------------------
@@ -99,8 +99,9 @@ def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
     )
 
 
-def funding_with_extras(flow: DataFrame, candidates: DataFrame,
-                        financials: DataFrame) -> DataFrame:
+def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: DataFrame,
+                        small_candidates: bool | None = None,
+                        small_financials: bool | None = None) -> DataFrame:
     """Funding summary plus ``large_donor_total`` used by the score.
 
     Money is aggregated per candidate id first and the profile is joined
@@ -113,7 +114,8 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame,
         F.col("party_name").alias("_party"), F.col("office").alias("_office"),
         F.col("office_state").alias("_state"), F.col("election_year"),
         F.col("incumbent_challenger_status").alias("_ici"))
-    a = agg.join(broadcast_if_small(prof), agg["candidate_id"] == prof["_cand_id"], "left")
+    a = agg.join(maybe_broadcast(prof, small_candidates), agg["candidate_id"] == prof["_cand_id"],
+                 "left")
     a = a.select(
         "candidate_id",
         F.coalesce("_name", "candidate_id").alias("candidate_name"),
@@ -128,7 +130,7 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame,
                            F.col("tot_rec").alias("total_receipts_reported"),
                            F.col("ind_con").alias("ind_total_reported"),
                            F.col("coverage_end_date").alias("financial_report_thru"))
-    w = a.join(broadcast_if_small(fs), (a["candidate_id"] == fs["_fs_id"])
+    w = a.join(maybe_broadcast(fs, small_financials), (a["candidate_id"] == fs["_fs_id"])
                & (a["election_year"] == fs["_fs_yr"]), "left")
     effective = F.coalesce(F.col("total_receipts_reported").cast(MONEY_SUM), F.col("total_raised"))
     w = w.withColumn("_effective_total", effective)
@@ -230,7 +232,8 @@ def candidate_capture_score(funding_extras: DataFrame) -> DataFrame:
     )
 
 
-def large_donor_totals(individual: DataFrame, linkage: DataFrame) -> DataFrame:
+def large_donor_totals(individual: DataFrame, linkage: DataFrame,
+                       small_linkage: bool | None = None) -> DataFrame:
     """Per linked candidate: money from donations of $1,000+ and all individual money.
 
     The score folds the same sum into the funding pass; this standalone form
@@ -238,7 +241,7 @@ def large_donor_totals(individual: DataFrame, linkage: DataFrame) -> DataFrame:
     """
     links = linkage.select(F.col("committee_id").alias("_link_cmte"), "candidate_id")
     d = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund"))
-    j = d.join(broadcast_if_small(links), d["committee_id"] == links["_link_cmte"])
+    j = d.join(maybe_broadcast(links, small_linkage), d["committee_id"] == links["_link_cmte"])
     return j.groupBy("candidate_id").agg(
         _sum_when(F.col("amount") >= LARGE_DONATION).alias("large_donor_total"),
         F.sum("amount").cast(MONEY_SUM).alias("individual_total"))

@@ -8,26 +8,78 @@ Parquet so later reports read them instead of recomputing the lineage.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.joins import BROADCAST_MAX_ROWS, row_count_at_most
+from ..operators.keyword_match import collect_taxonomy, sort_keywords
 from ..sources import lens, seeds
 from . import flows, marts, staging, tagging
 
 
+# Raw tables that are dimensions: bounded by the number of committees,
+# candidates and links registered, not by the number of transactions.
+DIMENSIONS = ["committees", "candidates", "candidate_committee_linkage",
+              "candidate_financial_summary", "opensecrets_committees"]
+
+
 class Models:
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
-                 taxonomy: DataFrame | None = None, categories: DataFrame | None = None):
+                 taxonomy: DataFrame | None = None, categories: DataFrame | None = None,
+                 keyword_rows: list[tuple] | None = None):
+        """``keyword_rows``: the taxonomy's rows when the caller already holds
+        them (seeds are constants), which saves collecting the table."""
         self.spark = spark
         self.raw = raw
-        self.taxonomy = taxonomy if taxonomy is not None else seeds.industry_taxonomy(spark)
-        self.categories = categories if categories is not None else seeds.empty_categories(spark)
+        if taxonomy is None:
+            keyword_rows = keyword_rows or seeds.taxonomy_rows()
+            taxonomy = seeds.industry_taxonomy(spark)
+        self.taxonomy = taxonomy
+        self._small: dict[str, bool] = {}
+        if categories is None:
+            categories = seeds.empty_categories(spark)
+            self._small["categories"] = True
+        self.categories = categories
+        self._keyword_rows = keyword_rows
+
+    # size bounds ------------------------------------------------------------
+    def small(self, raw_table: str) -> bool:
+        """Is this raw dimension table within the broadcast bound?  Counted once.
+
+        Derived tables inherit the bound of the raw table they have at most
+        one row per row of (tags: committees, profiles: candidates, ...).
+        """
+        if raw_table not in self._small:
+            if raw_table in DIMENSIONS:
+                self._check_dimensions()
+            else:
+                table = self.categories if raw_table == "categories" else self.raw[raw_table]
+                self._small[raw_table] = row_count_at_most(table, BROADCAST_MAX_ROWS)
+        return self._small[raw_table]
+
+    def _check_dimensions(self) -> None:
+        """Bound all raw dimension tables in one job (each reads at most N+1 rows)."""
+        n = BROADCAST_MAX_ROWS
+        parts = [self.raw[t].limit(n + 1).agg(F.count(F.lit(1)).alias("rows"))
+                 .select(F.lit(t).alias("table_name"), "rows") for t in DIMENSIONS]
+        for row in reduce(DataFrame.unionByName, parts).collect():
+            self._small[row["table_name"]] = row["rows"] <= n
+
+    @cached_property
+    def keywords(self):
+        if self._keyword_rows is not None:
+            return sort_keywords(self._keyword_rows)
+        return collect_taxonomy(self.taxonomy)
 
     @classmethod
     def from_lens(cls, spark: SparkSession, sf_dir: str) -> "Models":
-        return cls(spark, lens.lens_tables(spark, sf_dir), seeds.lens_taxonomy(spark),
-                   seeds.lens_categories(spark))
+        models = cls(spark, lens.lens_tables(spark, sf_dir), seeds.lens_taxonomy(spark),
+                     seeds.lens_categories(spark),
+                     keyword_rows=seeds.taxonomy_rows() + seeds.LENS_KEYWORDS)
+        models._small["categories"] = len(seeds.LENS_CATEGORIES) <= BROADCAST_MAX_ROWS
+        return models
 
     # staging (views) -------------------------------------------------------
     @cached_property
@@ -57,22 +109,30 @@ class Models:
     # intermediate (tables) -------------------------------------------------
     @cached_property
     def committee_tags(self) -> DataFrame:
-        return tagging.committee_industry_tags(self.committees, self.taxonomy,
-                                               self.raw["opensecrets_committees"], self.categories)
+        return tagging.committee_industry_tags(
+            self.committees, self.taxonomy, self.raw["opensecrets_committees"], self.categories,
+            small_committees=self.small("committees"),
+            small_crosswalk=self.small("opensecrets_committees"), keywords=self.keywords,
+            small_categories=self.small("categories"))
 
     @cached_property
     def donor_industry(self) -> DataFrame:
-        return tagging.individual_donor_industry(self.individual, self.taxonomy)
+        return tagging.individual_donor_industry(self.individual, self.taxonomy, self.keywords)
 
     @cached_property
     def flow(self) -> DataFrame:
-        return flows.contributions_to_candidates(self.pac, self.individual, self.linkage,
-                                                 self.committee_tags, self.taxonomy)
+        return flows.contributions_to_candidates(
+            self.pac, self.individual, self.linkage, self.committee_tags, self.taxonomy,
+            small_tags=self.small("committees"),
+            small_linkage=self.small("candidate_committee_linkage"), keywords=self.keywords)
 
     # marts (tables) --------------------------------------------------------
     @cached_property
     def funding_extras(self) -> DataFrame:
-        return marts.funding_with_extras(self.flow, self.candidates, self.financials)
+        return marts.funding_with_extras(
+            self.flow, self.candidates, self.financials,
+            small_candidates=self.small("candidates"),
+            small_financials=self.small("candidate_financial_summary"))
 
     @cached_property
     def funding(self) -> DataFrame:

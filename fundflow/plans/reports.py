@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY_SUM, exact_avg
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import broadcast_if_small, maybe_broadcast
 from .tagging import UNCLASSIFIED_INDUSTRY
 
 MAJOR_PARTIES = ["Democrat", "Republican"]
@@ -88,14 +88,14 @@ def score_histogram(score: DataFrame, office: str = "%", party: str = "%",
             .withColumn("bin_start", F.col("bin") * width))
 
 
-def _flow_tags(flow: DataFrame, tags: DataFrame) -> DataFrame:
+def _flow_tags(flow: DataFrame, tags: DataFrame, small_tags: bool | None = None) -> DataFrame:
     t = tags.select(F.col("committee_id").alias("_t_id"), "industry_group",
                     F.col("committee_name").alias("_t_name"),
                     F.col("connected_organization_name").alias("_t_org"),
                     F.col("organization_type").alias("_t_orgtype"),
                     F.col("is_dark_money_suspect").alias("_t_dark"))
     f = flow.select("candidate_id", "source_committee_id", "amount")
-    return f.join(broadcast_if_small(t), f["source_committee_id"] == t["_t_id"])
+    return f.join(maybe_broadcast(t, small_tags), f["source_committee_id"] == t["_t_id"])
 
 
 def _score_slim(score: DataFrame) -> DataFrame:
@@ -103,14 +103,15 @@ def _score_slim(score: DataFrame) -> DataFrame:
 
 
 def industry_totals(flow: DataFrame, tags: DataFrame, score: DataFrame,
-                    exclude_group: str = UNCLASSIFIED_INDUSTRY) -> DataFrame:
+                    exclude_group: str = UNCLASSIFIED_INDUSTRY,
+                    small_tags: bool | None = None) -> DataFrame:
     """R-07: money per industry group over flow x committee tags x score.
 
     The exclusion compares the *group* with the unclassified *industry* label,
     so (as in the source report) it removes nothing; pass "Unknown" to drop
     unclassified money.
     """
-    ft = _flow_tags(flow, tags).filter(F.col("industry_group") != exclude_group)
+    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") != exclude_group)
     s = _score_slim(score)
     j = ft.join(broadcast_if_small(s), ft["candidate_id"] == s["_s_id"])
     return j.groupBy("industry_group").agg(
@@ -130,22 +131,25 @@ def _cand_slim(candidates: DataFrame) -> DataFrame:
 
 def industry_by_party(flow: DataFrame, tags: DataFrame, candidates: DataFrame,
                       exclude_group: str = UNCLASSIFIED_INDUSTRY,
-                      parties: list[str] = MAJOR_PARTIES) -> DataFrame:
+                      parties: list[str] = MAJOR_PARTIES, small_tags: bool | None = None,
+                      small_candidates: bool | None = None) -> DataFrame:
     """R-08."""
-    ft = _flow_tags(flow, tags).filter(F.col("industry_group") != exclude_group)
+    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") != exclude_group)
     c = _cand_slim(candidates).filter(F.col("_c_party").isin(parties))
-    j = ft.join(broadcast_if_small(c), ft["candidate_id"] == c["_c_id"])
+    j = ft.join(maybe_broadcast(c, small_candidates), ft["candidate_id"] == c["_c_id"])
     return j.groupBy("industry_group", F.col("_c_party").alias("party_name")).agg(
         F.sum("amount").cast(MONEY_SUM).alias("total"))
 
 
 def top_recipients(flow: DataFrame, tags: DataFrame, candidates: DataFrame, score: DataFrame,
-                   industry_group: str = "Pharma & Healthcare", n: int = 25) -> DataFrame:
+                   industry_group: str = "Pharma & Healthcare", n: int = 25,
+                   small_tags: bool | None = None,
+                   small_candidates: bool | None = None) -> DataFrame:
     """R-09: biggest recipients of one industry group's money."""
-    ft = _flow_tags(flow, tags).filter(F.col("industry_group") == industry_group)
+    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") == industry_group)
     c = _cand_slim(candidates)
     s = _score_slim(score)
-    j = (ft.join(broadcast_if_small(c), ft["candidate_id"] == c["_c_id"])
+    j = (ft.join(maybe_broadcast(c, small_candidates), ft["candidate_id"] == c["_c_id"])
          .join(broadcast_if_small(s), F.col("candidate_id") == s["_s_id"]))
     keys = [F.col("_c_name").alias("candidate_name"), F.col("_c_party").alias("party_name"),
             F.col("_c_office").alias("office"), F.col("_c_state").alias("office_state"),
@@ -197,9 +201,10 @@ def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame)
         .alias("avg_pct_dark_money"))
 
 
-def dark_committees(tags: DataFrame, flow: DataFrame, n: int = 50) -> DataFrame:
+def dark_committees(tags: DataFrame, flow: DataFrame, n: int = 50,
+                    small_tags: bool | None = None) -> DataFrame:
     """R-11: suspect committees by money sent."""
-    ft = _flow_tags(flow, tags).filter(F.col("_t_dark"))
+    ft = _flow_tags(flow, tags, small_tags).filter(F.col("_t_dark"))
     g = ft.groupBy(F.col("_t_name").alias("committee_name"),
                    F.col("_t_org").alias("connected_organization_name"),
                    F.col("_t_orgtype").alias("organization_type")).agg(
@@ -280,11 +285,13 @@ def component_breakdown(score: DataFrame, name: str) -> DataFrame:
 
 
 def industry_breakdown(flow: DataFrame, tags: DataFrame, candidates: DataFrame, name: str,
-                       exclude_group: str = UNCLASSIFIED_INDUSTRY) -> DataFrame:
+                       exclude_group: str = UNCLASSIFIED_INDUSTRY,
+                       small_tags: bool | None = None,
+                       small_candidates: bool | None = None) -> DataFrame:
     """R-15: one name search's money by industry group."""
-    ft = _flow_tags(flow, tags).filter(F.col("industry_group") != exclude_group)
+    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") != exclude_group)
     c = _cand_slim(candidates).filter(F.col("_c_name").ilike(f"%{name}%"))
-    j = ft.join(broadcast_if_small(c), ft["candidate_id"] == c["_c_id"])
+    j = ft.join(maybe_broadcast(c, small_candidates), ft["candidate_id"] == c["_c_id"])
     return j.groupBy("industry_group").agg(F.sum("amount").cast(MONEY_SUM).alias("total"))
 
 

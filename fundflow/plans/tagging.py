@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import best_per_key
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import maybe_broadcast
 from ..operators.keyword_match import (add_first_match, collect_taxonomy, first_match_index,
                                          match_at)
 
@@ -23,15 +23,17 @@ EMPLOYER_STOP_LIST = ["", "N/A", "NA", "NONE", "NOT EMPLOYED", "RETIRED", "SELF"
 
 
 def crosswalk_matches(committees: DataFrame, crosswalk_raw: DataFrame,
-                      categories: DataFrame) -> DataFrame:
+                      categories: DataFrame, small_crosswalk: bool | None = None,
+                      small_categories: bool | None = None) -> DataFrame:
     """Layer 1: committee -> crosswalk -> category; best category per committee."""
     ids = committees.select("committee_id")
     xw = crosswalk_raw.select(F.upper(F.trim("fec_id")).alias("_fec"),
                               F.upper(F.trim("prim_code")).alias("_code"))
     cats = categories.select(F.upper(F.trim("opensecrets_catcode")).alias("_cat"),
                              "opensecrets_catcode", "industry", "industry_group", "priority")
-    joined = (ids.join(broadcast_if_small(xw), F.upper(F.trim(ids["committee_id"])) == xw["_fec"])
-              .join(broadcast_if_small(cats), F.col("_code") == F.col("_cat")))
+    joined = (ids.join(maybe_broadcast(xw, small_crosswalk),
+                       F.upper(F.trim(ids["committee_id"])) == xw["_fec"])
+              .join(maybe_broadcast(cats, small_categories), F.col("_code") == F.col("_cat")))
     best = best_per_key(
         joined.select("committee_id", "industry", "industry_group", "priority",
                       "opensecrets_catcode"),
@@ -41,10 +43,12 @@ def crosswalk_matches(committees: DataFrame, crosswalk_raw: DataFrame,
                        F.lit("opensecrets").alias("match_source"))
 
 
-def keyword_matches(committees: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def keyword_matches(committees: DataFrame, taxonomy: DataFrame,
+                    keywords: list[tuple] | None = None) -> DataFrame:
     """Layer 2: best keyword over committee name or connected organisation."""
     texts = [F.col("committee_name"), F.coalesce(F.col("connected_organization_name"), F.lit(""))]
-    keywords = collect_taxonomy(taxonomy)
+    if keywords is None:
+        keywords = collect_taxonomy(taxonomy)
     if keywords is not None:
         # best keyword = smallest match index: an int hash aggregate per committee
         idx = (committees.select("committee_id", first_match_index(texts, keywords).alias("_i"))
@@ -65,16 +69,27 @@ def keyword_matches(committees: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 
 def committee_industry_tags(committees: DataFrame, taxonomy: DataFrame,
-                            crosswalk_raw: DataFrame, categories: DataFrame) -> DataFrame:
-    """One row per committee row with its industry tag and dark-money flag, 11 columns."""
-    xw = crosswalk_matches(committees, crosswalk_raw, categories)
-    kw = keyword_matches(committees, taxonomy)
+                            crosswalk_raw: DataFrame, categories: DataFrame,
+                            small_committees: bool | None = None,
+                            small_crosswalk: bool | None = None,
+                            keywords: list[tuple] | None = None,
+                            small_categories: bool | None = None) -> DataFrame:
+    """One row per committee row with its industry tag and dark-money flag, 11 columns.
+
+    ``small_committees``: the committee table is within the broadcast bound,
+    so the per-committee best-match table (at most one row per committee
+    row) is too.
+    """
+    xw = crosswalk_matches(committees, crosswalk_raw, categories, small_crosswalk,
+                           small_categories)
+    kw = keyword_matches(committees, taxonomy, keywords)
     # crosswalk wins: keyword rows only for committees the crosswalk missed
     best = xw.unionByName(kw.join(xw.select("committee_id"), "committee_id", "left_anti"))
     best = best.select(F.col("committee_id").alias("_bm_id"), F.col("industry").alias("_ind"),
                        F.col("industry_group").alias("_grp"), F.col("match_source").alias("_src"))
     c = committees
-    tagged = c.join(broadcast_if_small(best), c["committee_id"] == best["_bm_id"], "left")
+    tagged = c.join(maybe_broadcast(best, small_committees), c["committee_id"] == best["_bm_id"],
+                    "left")
     return tagged.select(
         "committee_id", "committee_name", "connected_organization_name", "organization_type",
         "committee_type", "committee_designation", "is_super_pac",
@@ -90,11 +105,12 @@ def employer_eligible(stop_list: list[str] = EMPLOYER_STOP_LIST):
     return emp.isNotNull() & ~F.trim(emp).isin(stop_list)
 
 
-def individual_donor_industry(individual: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def individual_donor_industry(individual: DataFrame, taxonomy: DataFrame,
+                              keywords: list[tuple] | None = None) -> DataFrame:
     """Employer-based industry per individual, non-refund donation, 9 columns."""
     donations = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund")
                                   & employer_eligible())
-    m = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m")
+    m = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m", keywords=keywords)
     return m.select(
         "transaction_id", "committee_id", "amount", "transaction_date", "donor_employer",
         F.coalesce(F.col("m.industry"), F.lit(UNCLASSIFIED_INDUSTRY)).alias("industry"),

@@ -28,8 +28,25 @@ HIST_WIDTH = 5.0
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+_CURRENT: dict[tuple, Models] = {}
+
+
 def _m(spark: SparkSession, sf_dir: str) -> Models:
-    return Models.from_lens(spark, sf_dir)
+    """The Models of the running builder call (one per call, see ``queries``)."""
+    key = (id(spark), sf_dir)
+    if key not in _CURRENT:
+        _CURRENT[key] = Models.from_lens(spark, sf_dir)
+    return _CURRENT[key]
+
+
+def _fresh(builder: Builder) -> Builder:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _CURRENT.clear()
+        try:
+            return builder(spark, sf_dir)
+        finally:
+            _CURRENT.clear()
+    return run
 
 
 # --- Spark builders ---------------------------------------------------------
@@ -69,12 +86,13 @@ def _refund_flags(spark, sf):
 def _crosswalk_layer(spark, sf):
     m = _m(spark, sf)
     return tagging.crosswalk_matches(m.committees, m.raw["opensecrets_committees"],
-                                     m.categories).drop("match_source")
+                                     m.categories, m.small("opensecrets_committees"),
+                                     m.small("categories")).drop("match_source")
 
 
 def _keyword_layer(spark, sf):
     m = _m(spark, sf)
-    return tagging.keyword_matches(m.committees, m.taxonomy).drop("match_source")
+    return tagging.keyword_matches(m.committees, m.taxonomy, m.keywords).drop("match_source")
 
 
 def _by_path(spark, sf):
@@ -99,7 +117,8 @@ def _funding_by_industry(spark, sf):
 
 def _large_donor_totals(spark, sf):
     m = _m(spark, sf)
-    return marts.large_donor_totals(m.individual, m.linkage)
+    return marts.large_donor_totals(m.individual, m.linkage,
+                                    m.small("candidate_committee_linkage"))
 
 
 def _score_components(spark, sf):
@@ -258,14 +277,16 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                      AS bin_start
             FROM score WHERE office LIKE '%' AND party_name LIKE '%' GROUP BY ALL""")
     reg("industry_totals", lambda s, d: reports.industry_totals(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).score), f"""
+            m(s, d).flow, m(s, d).committee_tags, m(s, d).score,
+            small_tags=m(s, d).small("committees")), f"""
         SELECT t.industry_group, count(DISTINCT f.candidate_id) AS candidates_funded,
                sum(f.amount) AS total_contributed, {avg1('s.corruption_score')} AS avg_candidate_score
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
         JOIN score s ON f.candidate_id = s.candidate_id
         WHERE t.industry_group <> 'Unknown / Unclassified' GROUP BY t.industry_group""")
     reg("industry_by_party", lambda s, d: reports.industry_by_party(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates), """
+            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates,
+            small_tags=m(s, d).small("committees"), small_candidates=m(s, d).small("candidates")), """
         SELECT t.industry_group, c.party_name, sum(f.amount) AS total
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
         JOIN s_cand c ON f.candidate_id = c.cand_id
@@ -274,7 +295,8 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         GROUP BY t.industry_group, c.party_name""")
     reg("top_recipients", lambda s, d: reports.top_recipients(
             m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, m(s, d).score,
-            TOP_INDUSTRY), f"""
+            TOP_INDUSTRY, small_tags=m(s, d).small("committees"),
+            small_candidates=m(s, d).small("candidates")), f"""
         SELECT c.candidate_name, c.party_name, c.office, c.office_state, c.election_year,
                sum(f.amount) AS received, s.corruption_score, s.risk_tier
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
@@ -301,7 +323,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         FROM tags ct JOIN funding f ON 1 = 1 JOIN score s USING (candidate_id)
         WHERE ct.is_dark_money_suspect""")
     reg("dark_committees", lambda s, d: reports.dark_committees(
-            m(s, d).committee_tags, m(s, d).flow), """
+            m(s, d).committee_tags, m(s, d).flow, small_tags=m(s, d).small("committees")), """
         SELECT ct.committee_name, ct.connected_organization_name, ct.organization_type,
                count(DISTINCT c.candidate_id) AS candidates_funded, sum(c.amount) AS total_spent
         FROM tags ct JOIN flow c ON ct.committee_id = c.source_committee_id
@@ -325,7 +347,8 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         UNION ALL SELECT 'Individuals', pct_from_individuals FROM {one_candidate()} o2
         UNION ALL SELECT 'Dark Money', pct_dark_money FROM {one_candidate()} o3""")
     reg("industry_breakdown", lambda s, d: reports.industry_breakdown(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, PROFILE_NAME), f"""
+            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, PROFILE_NAME,
+            small_tags=m(s, d).small("committees"), small_candidates=m(s, d).small("candidates")), f"""
         SELECT ct.industry_group, sum(c.amount) AS total
         FROM flow c JOIN tags ct ON c.source_committee_id = ct.committee_id
         JOIN s_cand cand ON c.candidate_id = cand.cand_id
@@ -370,7 +393,7 @@ REGISTRY = _queries()
 
 
 def queries() -> dict[str, Builder]:
-    return {k: v[0] for k, v in REGISTRY.items()}
+    return {k: _fresh(v[0]) for k, v in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
