@@ -107,8 +107,24 @@ class Models:
         return staging.stg_candidate_financial_summary(self.raw["candidate_financial_summary"])
 
     # intermediate (tables) -------------------------------------------------
+    # When ``warehouse`` is set, the first access to any table-layer model
+    # writes all of them there once (see ``materialize``) and every later
+    # access reads the written Parquet.
+    warehouse: str | None = None
+
+    def _table(self, name: str) -> DataFrame | None:
+        if self.warehouse is None:
+            return None
+        if not getattr(self, "_materialized", False):
+            self._materialized = True
+            materialize(self, self.warehouse)
+        return self.spark.read.parquet(f"{self.warehouse}/{name}")
+
     @cached_property
     def committee_tags(self) -> DataFrame:
+        t = self._table("committee_tags")
+        if t is not None:
+            return t
         return tagging.committee_industry_tags(
             self.committees, self.taxonomy, self.raw["opensecrets_committees"], self.categories,
             small_committees=self.small("committees"),
@@ -117,10 +133,16 @@ class Models:
 
     @cached_property
     def donor_industry(self) -> DataFrame:
+        t = self._table("donor_industry")
+        if t is not None:
+            return t
         return tagging.individual_donor_industry(self.individual, self.taxonomy, self.keywords)
 
     @cached_property
     def flow(self) -> DataFrame:
+        t = self._table("flow")
+        if t is not None:
+            return t
         return flows.contributions_to_candidates(
             self.pac, self.individual, self.linkage, self.committee_tags, self.taxonomy,
             small_tags=self.small("committees"),
@@ -129,6 +151,9 @@ class Models:
     # marts (tables) --------------------------------------------------------
     @cached_property
     def funding_extras(self) -> DataFrame:
+        t = self._table("funding_extras")
+        if t is not None:
+            return t
         return marts.funding_with_extras(
             self.flow, self.candidates, self.financials,
             small_candidates=self.small("candidates"),
@@ -140,26 +165,41 @@ class Models:
 
     @cached_property
     def score(self) -> DataFrame:
+        t = self._table("score")
+        if t is not None:
+            return t
         return marts.candidate_capture_score(self.funding_extras)
 
 
-def materialize(models: Models, warehouse: str) -> dict[str, DataFrame]:
-    """Write the table models under ``warehouse`` and return them re-read.
+def materialize(models: Models, warehouse: str) -> None:
+    """Write the table-layer models under ``warehouse`` (Parquet, overwrite).
 
-    Writing cuts the lineage: reports over the returned frames scan Parquet
-    rather than re-running staging, tagging and the flow.
+    Each table is computed from the lazy graph once and written; the next
+    table reads its inputs back from the written ones, so no lineage is
+    recomputed and an executor lost later cannot force a recompute.
     """
     spark = models.spark
-    out = {}
-    for name, df in [("committee_tags", models.committee_tags),
-                     ("donor_industry", models.donor_industry),
-                     ("flow", models.flow),
-                     ("funding_extras", models.funding_extras)]:
-        path = f"{warehouse}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    score = marts.candidate_capture_score(out["funding_extras"])
-    score.write.mode("overwrite").parquet(f"{warehouse}/score")
-    out["score"] = spark.read.parquet(f"{warehouse}/score")
-    out["funding"] = out["funding_extras"].select(*marts.FUNDING_COLUMNS)
-    return out
+    lazy = Models(spark, models.raw, models.taxonomy, models.categories, models._keyword_rows)
+    lazy._small = models._small
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{warehouse}/{name}")
+        return spark.read.parquet(f"{warehouse}/{name}")
+
+    tags = write("committee_tags", lazy.committee_tags)
+    write("donor_industry", lazy.donor_industry)
+    lazy.__dict__["committee_tags"] = tags
+    flow = write("flow", lazy.flow)
+    lazy.__dict__["flow"] = flow
+    funding = write("funding_extras", lazy.funding_extras)
+    write("score", marts.candidate_capture_score(funding))
+
+
+def warehouse_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Shared folder for one application's tables over one input directory."""
+    import hashlib
+
+    from ..session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    return f"{root}/fundflow-warehouse/{spark.sparkContext.applicationId}/{tag}"

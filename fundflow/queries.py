@@ -18,7 +18,7 @@ from .functions.text import (candidate_display_name, candidate_first_name,
                              candidate_last_name, normalize_employer, normalize_name)
 from .oracle import sql as O
 from .plans import marts, quality, reports, tagging
-from .plans.pipeline import Models
+from .plans.pipeline import Models, warehouse_folder
 from .plans.quality import NOT_NULL_CHECKS, UNIQUE_CHECKS
 
 PROFILE_NAME = "household"          # name search used by the candidate pages
@@ -28,25 +28,26 @@ HIST_WIDTH = 5.0
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
-_CURRENT: dict[tuple, Models] = {}
+_MODELS: dict[tuple, Models] = {}
 
 
 def _m(spark: SparkSession, sf_dir: str) -> Models:
-    """The Models of the running builder call (one per call, see ``queries``)."""
-    key = (id(spark), sf_dir)
-    if key not in _CURRENT:
-        _CURRENT[key] = Models.from_lens(spark, sf_dir)
-    return _CURRENT[key]
+    """Models over ``sf_dir`` with its table layer materialised once per application.
+
+    Like the model build of the source pipeline, tags, flow and marts are
+    written once (under ``spark.checkpoint.dir``) and every report reads them;
+    staging models stay lazy views over the raw tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        models = Models.from_lens(spark, sf_dir)
+        models.warehouse = warehouse_folder(spark, sf_dir)
+        _MODELS[key] = models
+    return _MODELS[key]
 
 
 def _fresh(builder: Builder) -> Builder:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _CURRENT.clear()
-        try:
-            return builder(spark, sf_dir)
-        finally:
-            _CURRENT.clear()
-    return run
+    return builder
 
 
 # --- Spark builders ---------------------------------------------------------
