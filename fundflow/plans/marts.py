@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY, MONEY_SUM, pct, ratio, round_to
 from ..operators.joins import broadcast_if_small, maybe_broadcast
+from ..operators.median import median_of_integers
 from ..operators.ranking import ntile_distributed, percent_rank_by_histogram
 
 # ---------------------------------------------------------------------------
@@ -80,10 +81,20 @@ def exact_median_money(c: Column) -> Column:
 
 
 def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
-    """Single pass over the flow grouped by candidate (map-side partial aggregation)."""
+    """Per candidate: counts, the 14 conditional sums, distinct donors, median.
+
+    Three aggregates, each a plain hash aggregate with a map-side partial
+    step, joined on the candidate id (NULL ids kept, null-safe):
+
+    * the sums over all flow rows grouped by candidate;
+    * distinct donor names: (candidate, donor) groups first, then a count per
+      candidate, so a candidate with a third of the rows is spread by donor;
+    * the exact median of individual amounts from a (candidate, cents)
+      histogram (see ``median_of_integers``).
+    """
     path = F.col("contribution_path")
     indiv = path == "individual"
-    return flow.groupBy("candidate_id").agg(
+    sums = flow.groupBy("candidate_id").agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum("amount").cast(MONEY_SUM).alias("total_raised"),
         _sum_when(path == "pac_direct").alias("raised_from_pacs"),
@@ -92,11 +103,25 @@ def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
         _sum_when(F.col("is_dark_money_suspect")).alias("raised_from_dark_money"),
         _sum_when(F.col("is_super_pac")).alias("raised_from_super_pacs"),
         *[_sum_when(F.col("match_source") == s).alias(c) for c, s in MATCH_SOURCE_COLUMNS],
-        F.count_distinct(F.when(indiv, F.col("donor_name"))).alias("unique_donor_count"),
-        exact_median_money(F.when(indiv, F.col("amount"))).alias("median_individual_donation"),
         _sum_when(indiv & (F.col("amount") >= LARGE_DONATION)).alias("_large_individual"),
         F.sum(F.when(indiv, F.col("amount"))).cast(MONEY_SUM).alias("_individual_total"),
     )
+    individual = flow.filter(indiv)
+    donors = (individual.filter(F.col("donor_name").isNotNull())
+              .groupBy("candidate_id", "donor_name").agg(F.count(F.lit(1)).alias("_d"))
+              .groupBy("candidate_id").agg(F.count(F.lit(1)).alias("unique_donor_count")))
+    cents = individual.select("candidate_id", (F.col("amount") * 100).cast("long").alias("_cents"))
+    median = median_of_integers(cents, "candidate_id", "_cents", "_median_cents")
+    d = donors.select(F.col("candidate_id").alias("_d_id"), "unique_donor_count")
+    m = median.select(F.col("candidate_id").alias("_m_id"), "_median_cents")
+    out = (sums.join(d, sums["candidate_id"].eqNullSafe(d["_d_id"]), "left")
+           .join(m, sums["candidate_id"].eqNullSafe(m["_m_id"]), "left"))
+    return out.select(
+        *[c for c in sums.columns if not c.startswith("_")],
+        F.coalesce(F.col("unique_donor_count"), F.lit(0)).cast("long").alias("unique_donor_count"),
+        (F.col("_median_cents").cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
+        .alias("median_individual_donation"),
+        "_large_individual", "_individual_total")
 
 
 def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: DataFrame,

@@ -77,3 +77,16 @@ def test_exact_median_truncates_cents(spark):
     got = dict(df.groupBy("g").agg(exact_median_money(F.col("a").cast("decimal(12,2)"))
                                    .alias("m")).collect())
     assert got == {"a": Decimal("1.00"), "b": Decimal("0.29"), "c": Decimal("5.00")}
+
+
+def test_median_of_integers_matches_percentile(spark):
+    import random
+    from fundflow.operators.median import median_of_integers
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 == 0 else f"k{rnd.randint(0, 20)}", rnd.choice([None, rnd.randint(0, 500)]))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    got = {r.k: r.m for r in median_of_integers(df, "k", "v", "m").collect()}
+    exp = {r.k: int(r.p // 1) for r in df.groupBy("k").agg(F.percentile("v", 0.5).alias("p"))
+           .collect() if r.p is not None}
+    assert got == exp
