@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import maybe_broadcast
-from ..operators.keyword_match import add_first_match
 from .tagging import (UNCLASSIFIED_GROUP, UNCLASSIFIED_INDUSTRY, UNCLASSIFIED_SOURCE,
-                      employer_eligible)
+                      tag_donations)
 
 FLOW_COLUMNS = [
     "transaction_id", "candidate_id", "source_committee_id", "donor_name", "donor_employer",
@@ -40,7 +39,8 @@ def pac_direct(pac: DataFrame, tags: DataFrame, small_tags: bool | None = None)
 
 def individual_via_committee(individual: DataFrame, linkage: DataFrame,
                              taxonomy: DataFrame, small_linkage: bool | None = None,
-                             keywords: list[tuple] | None = None) -> DataFrame:
+                             keywords: list[tuple] | None = None,
+                             tagged: DataFrame | None = None) -> DataFrame:
     """Donor -> committee -> candidate path, employer-tagged in place.
 
     Each linked candidate of the receiving committee is credited (links are
@@ -49,11 +49,9 @@ def individual_via_committee(individual: DataFrame, linkage: DataFrame,
     transaction id whenever transaction ids are unique (checked by dq).
     """
     links = linkage.select(F.col("committee_id").alias("_link_cmte"), "candidate_id")
-    donations = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund"))
     # tag each donation once, before the fan-out to its linked candidates
-    tagged = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m",
-                             keywords=keywords)
-    tagged = tagged.withColumn("m", F.when(employer_eligible(), F.col("m")))
+    if tagged is None:
+        tagged = tag_donations(individual, taxonomy, keywords)
     joined = tagged.join(maybe_broadcast(links, small_linkage),
                          tagged["committee_id"] == links["_link_cmte"], "inner")
     hit = F.col("m").isNotNull()
@@ -77,8 +75,9 @@ def contributions_to_candidates(pac: DataFrame, individual: DataFrame, linkage:
                                 tags: DataFrame, taxonomy: DataFrame,
                                 small_tags: bool | None = None,
                                 small_linkage: bool | None = None,
-                                keywords: list[tuple] | None = None) -> DataFrame:
+                                keywords: list[tuple] | None = None,
+                                tagged: DataFrame | None = None) -> DataFrame:
     """UNION ALL of both paths, 15 columns."""
     return (pac_direct(pac, tags, small_tags).select(*FLOW_COLUMNS)
             .unionByName(individual_via_committee(individual, linkage, taxonomy, small_linkage,
-                                                  keywords).select(*FLOW_COLUMNS)))
+                                                  keywords, tagged).select(*FLOW_COLUMNS)))

@@ -131,12 +131,20 @@ class Models:
             small_crosswalk=self.small("opensecrets_committees"), keywords=self.keywords,
             small_categories=self.small("categories"))
 
+    @cached_property
+    def tagged_donations(self) -> DataFrame:
+        t = self._table("tagged_donations")
+        if t is not None:
+            return t
+        return tagging.tag_donations(self.individual, self.taxonomy, self.keywords)
+
     @cached_property
     def donor_industry(self) -> DataFrame:
         t = self._table("donor_industry")
         if t is not None:
             return t
-        return tagging.individual_donor_industry(self.individual, self.taxonomy, self.keywords)
+        return tagging.individual_donor_industry(self.individual, self.taxonomy, self.keywords,
+                                                 self.tagged_donations)
 
     @cached_property
     def flow(self) -> DataFrame:
@@ -146,7 +154,8 @@ class Models:
         return flows.contributions_to_candidates(
             self.pac, self.individual, self.linkage, self.committee_tags, self.taxonomy,
             small_tags=self.small("committees"),
-            small_linkage=self.small("candidate_committee_linkage"), keywords=self.keywords)
+            small_linkage=self.small("candidate_committee_linkage"), keywords=self.keywords,
+            tagged=self.tagged_donations)
 
     # marts (tables) --------------------------------------------------------
     @cached_property
@@ -187,8 +196,9 @@ def materialize(models: Models, warehouse: str) -> None:
         return spark.read.parquet(f"{warehouse}/{name}")
 
     tags = write("committee_tags", lazy.committee_tags)
-    write("donor_industry", lazy.donor_industry)
     lazy.__dict__["committee_tags"] = tags
+    lazy.__dict__["tagged_donations"] = write("tagged_donations", lazy.tagged_donations)
+    write("donor_industry", lazy.donor_industry)
     flow = write("flow", lazy.flow)
     lazy.__dict__["flow"] = flow
     funding = write("funding_extras", lazy.funding_extras)

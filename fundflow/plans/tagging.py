@@ -83,10 +83,19 @@ def committee_industry_tags(committees: DataFrame, taxonomy: DataFrame,
     xw = crosswalk_matches(committees, crosswalk_raw, categories, small_crosswalk,
                            small_categories)
     kw = keyword_matches(committees, taxonomy, keywords)
-    # crosswalk wins: keyword rows only for committees the crosswalk missed
-    best = xw.unionByName(kw.join(xw.select("committee_id"), "committee_id", "left_anti"))
-    best = best.select(F.col("committee_id").alias("_bm_id"), F.col("industry").alias("_ind"),
-                       F.col("industry_group").alias("_grp"), F.col("match_source").alias("_src"))
+    # crosswalk wins: one full outer join of the two per-committee tables
+    # (each at most one row per committee) keeps the crosswalk row when there
+    # is one and the keyword row otherwise
+    x = xw.select(F.col("committee_id").alias("_x_id"), F.col("industry").alias("_x_ind"),
+                  F.col("industry_group").alias("_x_grp"), F.col("match_source").alias("_x_src"))
+    k = kw.select(F.col("committee_id").alias("_k_id"), F.col("industry").alias("_k_ind"),
+                  F.col("industry_group").alias("_k_grp"), F.col("match_source").alias("_k_src"))
+    has_x = F.col("_x_id").isNotNull()
+    best = x.join(k, x["_x_id"] == k["_k_id"], "full").select(
+        F.coalesce("_x_id", "_k_id").alias("_bm_id"),
+        F.when(has_x, F.col("_x_ind")).otherwise(F.col("_k_ind")).alias("_ind"),
+        F.when(has_x, F.col("_x_grp")).otherwise(F.col("_k_grp")).alias("_grp"),
+        F.when(has_x, F.col("_x_src")).otherwise(F.col("_k_src")).alias("_src"))
     c = committees
     tagged = c.join(maybe_broadcast(best, small_committees), c["committee_id"] == best["_bm_id"],
                     "left")
@@ -105,12 +114,30 @@ def employer_eligible(stop_list: list[str] = EMPLOYER_STOP_LIST):
     return emp.isNotNull() & ~F.trim(emp).isin(stop_list)
 
 
+def tag_donations(individual: DataFrame, taxonomy: DataFrame,
+                  keywords: list[tuple] | None = None) -> DataFrame:
+    """Individual, non-refund donations with their employer match ``m``.
+
+    ``m`` is NULL when the employer is missing, on the stop list or matches
+    no keyword.  Both the donor-industry table and the money flow read this,
+    so the keyword scan runs once per donation.
+    """
+    donations = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund"))
+    tagged = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m",
+                             keywords=keywords)
+    return tagged.withColumn("m", F.when(employer_eligible(), F.col("m")))
+
+
 def individual_donor_industry(individual: DataFrame, taxonomy: DataFrame,
-                              keywords: list[tuple] | None = None) -> DataFrame:
-    """Employer-based industry per individual, non-refund donation, 9 columns."""
-    donations = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund")
-                                  & employer_eligible())
-    m = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m", keywords=keywords)
+                              keywords: list[tuple] | None = None,
+                              tagged: DataFrame | None = None) -> DataFrame:
+    """Employer-based industry per individual, non-refund donation, 9 columns.
+
+    ``tagged``: the output of ``tag_donations`` when already computed.
+    """
+    if tagged is None:
+        tagged = tag_donations(individual, taxonomy, keywords)
+    m = tagged.filter(employer_eligible())
     return m.select(
         "transaction_id", "committee_id", "amount", "transaction_date", "donor_employer",
         F.coalesce(F.col("m.industry"), F.lit(UNCLASSIFIED_INDUSTRY)).alias("industry"),

@@ -293,12 +293,14 @@ def read_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     partitioning.  Tables of cluster size have far more files than cores and
     are read as they are.
     """
-    cores = spark.sparkContext.defaultParallelism
+    sc = spark.sparkContext
+    cores = sc.defaultParallelism
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    local = sc.master.startswith("local")      # never list a cluster table's files
     out = {}
     for name in SOURCE_TABLES:
         df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if name in _SPREAD and len(df.inputFiles()) < cores:
+        if local and name in _SPREAD and len(df.inputFiles()) < cores:
             df = df.repartition(parts, _SPREAD[name])
         out[name] = df
     return out
