@@ -85,10 +85,15 @@ def size_bucket(refund, amount) -> Column:
             .when(a >= MAJOR_FROM, F.lit("major")))
 
 
-def filing_date(c) -> Column:
-    """MMDDYYYY text -> date when the text has 8 characters, else NULL."""
+def filing_date(c, lenient: bool = False) -> Column:
+    """MMDDYYYY text -> date when the text has 8 characters, else NULL.
+
+    An impossible date (month 13) fails the query, as in the source;
+    ``lenient=True`` turns it into NULL instead.
+    """
     c = _col(c)
-    return F.when(F.length(c) == 8, F.to_date(c, "MMddyyyy"))
+    parse = F.try_to_date(c, "MMddyyyy") if lenient else F.to_date(c, "MMddyyyy")
+    return F.when(F.length(c) == 8, parse)
 
 
 def report_end_timestamp(c) -> Column:

@@ -59,7 +59,8 @@ def _match_struct_type() -> str:
     return "struct<keyword:string,industry:string,industry_group:string,priority:int>"
 
 
-def first_match_index(texts: list[Column], keywords: list[tuple]) -> Column:
+def first_match_index(texts: list[Column], keywords: list[tuple],
+                      whole_words: bool = False) -> Column:
     """Position (in ``keywords`` order) of the first keyword any text contains, or NULL.
 
     One regular expression ``(?=(k1|k2|...))`` with the alternatives in
@@ -70,13 +71,20 @@ def first_match_index(texts: list[Column], keywords: list[tuple]) -> Column:
     one reported there.  The smallest rank among the reported keywords is
     therefore the best keyword the text contains.  Smaller is better, so
     ``min`` of this index over rows picks the best match.
+
+    ``whole_words``: a keyword only counts where it is not glued to a letter
+    or digit on either side ("gas" then misses "Vegas").
     """
     if not keywords:
         return F.lit(None).cast("int")
     rank: dict[str, int] = {}
     for i, (kw, _, _, _) in enumerate(keywords):
         rank.setdefault(kw.lower(), i)
-    pattern = "(?=(" + "|".join("\\Q" + k + "\\E" for k in rank) + "))"
+    alternatives = "|".join("\\Q" + k + "\\E" for k in rank)
+    if whole_words:
+        pattern = "(?=(?<![\\p{L}\\p{N}])(" + alternatives + ")(?![\\p{L}\\p{N}]))"
+    else:
+        pattern = "(?=(" + alternatives + "))"
     ranks = F.expr("map(" + ", ".join(f"{_sql_str(k)}, {i}" for k, i in rank.items()) + ")")
 
     def best(text: Column) -> Column:
@@ -99,9 +107,10 @@ def match_at(index: Column, keywords: list[tuple]) -> Column:
     return F.when(index.isNotNull(), F.get(table, index))
 
 
-def first_match_inline(texts: list[Column], keywords: list[tuple]) -> Column:
+def first_match_inline(texts: list[Column], keywords: list[tuple],
+                       whole_words: bool = False) -> Column:
     """Struct (keyword, industry, industry_group, priority) of the first hit, or NULL."""
-    return match_at(first_match_index(texts, keywords), keywords)
+    return match_at(first_match_index(texts, keywords, whole_words), keywords)
 
 
 def first_match_join(df: DataFrame, text_cols: list[str], taxonomy: DataFrame,
@@ -139,16 +148,20 @@ def first_match_join(df: DataFrame, text_cols: list[str], taxonomy: DataFrame,
 
 def add_first_match(df: DataFrame, text_cols: list, taxonomy: DataFrame,
                     out_col: str = "match", max_inline: int = MAX_INLINE_KEYWORDS,
-                    keywords: list[tuple] | None = None) -> DataFrame:
+                    keywords: list[tuple] | None = None,
+                    whole_words: bool = False) -> DataFrame:
     """Choose the plan by the taxonomy's size and add the match struct.
 
     ``keywords`` may carry an already collected (sorted) taxonomy.
+    ``whole_words`` (inline plan only) ignores hits inside longer words.
     """
     if keywords is None:
         keywords = collect_taxonomy(taxonomy, max_inline)
     if keywords is not None:
         cols = [F.col(c) if isinstance(c, str) else c for c in text_cols]
-        return df.withColumn(out_col, first_match_inline(cols, keywords))
+        return df.withColumn(out_col, first_match_inline(cols, keywords, whole_words))
+    if whole_words:
+        raise ValueError("whole-word matching needs a taxonomy small enough to inline")
     names = []
     tmp = df
     for i, c in enumerate(text_cols):

@@ -40,15 +40,19 @@ def pac_direct(pac: DataFrame, tags: DataFrame, small_tags: bool | None = None)
 def individual_via_committee(individual: DataFrame, linkage: DataFrame,
                              taxonomy: DataFrame, small_linkage: bool | None = None,
                              keywords: list[tuple] | None = None,
-                             tagged: DataFrame | None = None) -> DataFrame:
+                             tagged: DataFrame | None = None,
+                             dedupe_links: bool = False) -> DataFrame:
     """Donor -> committee -> candidate path, employer-tagged in place.
 
-    Each linked candidate of the receiving committee is credited (links are
-    not de-duplicated).  The employer tag is computed on the donation row
+    Each linked candidate of the receiving committee is credited; repeated
+    links credit again unless ``dedupe_links``.  The employer tag is computed on the donation row
     itself, which equals joining the per-donation tag table back on the
     transaction id whenever transaction ids are unique (checked by dq).
     """
     links = linkage.select(F.col("committee_id").alias("_link_cmte"), "candidate_id")
+    if dedupe_links:
+        # one credit per (committee, candidate) however often the link repeats
+        links = links.distinct()
     # tag each donation once, before the fan-out to its linked candidates
     if tagged is None:
         tagged = tag_donations(individual, taxonomy, keywords)

@@ -78,3 +78,9 @@ def load_counts(raw: dict[str, DataFrame]) -> DataFrame:
              .select(F.lit(name).alias("table_name"), "cycle_year", "source_file", "rows")
              for name, df in raw.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def load_total(raw: dict[str, DataFrame]) -> DataFrame:
+    """Grand total of loaded rows, and the number of (table, file) loads."""
+    return load_counts(raw).agg(F.sum("rows").cast("long").alias("total_rows"),
+                                F.count(F.lit(1)).alias("loads"))

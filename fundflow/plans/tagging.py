@@ -109,13 +109,22 @@ def committee_industry_tags(committees: DataFrame, taxonomy: DataFrame,
     )
 
 
-def employer_eligible(stop_list: list[str] = EMPLOYER_STOP_LIST):
+def employer_eligible(stop_list: list[str] = EMPLOYER_STOP_LIST, casefold: bool = False):
+    """Employer present and not on the stop list.
+
+    The list is upper case while employers are normalised to Title Case, so
+    by default only '' is caught (as in the source); ``casefold=True``
+    compares case-insensitively and also drops "Retired", "Self Employed", ...
+    """
     emp = F.col("donor_employer")
+    if casefold:
+        return emp.isNotNull() & ~F.upper(F.trim(emp)).isin([s.upper() for s in stop_list])
     return emp.isNotNull() & ~F.trim(emp).isin(stop_list)
 
 
 def tag_donations(individual: DataFrame, taxonomy: DataFrame,
-                  keywords: list[tuple] | None = None) -> DataFrame:
+                  keywords: list[tuple] | None = None, casefold_stop_list: bool = False,
+                  whole_words: bool = False) -> DataFrame:
     """Individual, non-refund donations with their employer match ``m``.
 
     ``m`` is NULL when the employer is missing, on the stop list or matches
@@ -124,8 +133,9 @@ def tag_donations(individual: DataFrame, taxonomy: DataFrame,
     """
     donations = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund"))
     tagged = add_first_match(donations, [F.col("donor_employer")], taxonomy, "m",
-                             keywords=keywords)
-    return tagged.withColumn("m", F.when(employer_eligible(), F.col("m")))
+                             keywords=keywords, whole_words=whole_words)
+    return tagged.withColumn("m", F.when(employer_eligible(casefold=casefold_stop_list),
+                                         F.col("m")))
 
 
 def individual_donor_industry(individual: DataFrame, taxonomy: DataFrame,

@@ -90,3 +90,17 @@ def test_median_of_integers_matches_percentile(spark):
     exp = {r.k: int(r.p // 1) for r in df.groupBy("k").agg(F.percentile("v", 0.5).alias("p"))
            .collect() if r.p is not None}
     assert got == exp
+
+
+def test_lenient_dates(spark):
+    assert _one(spark, lambda c: D.filing_date(c, lenient=True), ["13312024", "01312024"]) == \
+        [None, dt.date(2024, 1, 31)]
+
+
+def test_employer_stop_list_casefold(spark):
+    from fundflow.plans.tagging import employer_eligible
+    df = spark.createDataFrame([("Retired",), ("",), ("Acme",), (None,)], "donor_employer string")
+    plain = [r[0] for r in df.select(employer_eligible()).collect()]
+    folded = [r[0] for r in df.select(employer_eligible(casefold=True)).collect()]
+    assert plain == [True, False, True, False]
+    assert folded == [False, False, True, False]

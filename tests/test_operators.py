@@ -82,3 +82,24 @@ def test_global_percent_rank(spark):
         "id", F.percent_rank().over(Window.orderBy("score")).alias("p")).collect()}
     got = {r.id: r.p for r in percent_rank_by_histogram(df, [], "score", "p").collect()}
     assert got == expected
+
+
+def test_whole_word_keywords(spark):
+    from fundflow.operators.keyword_match import first_match_inline
+    kws = sort_keywords(seeds.taxonomy_rows())
+    df = spark.createDataFrame([("Las Vegas Sands",), ("Boilermakers Union",), ("Shell Oil",),
+                                ("Metal Works",)], "t string")
+    got = [r[0] for r in df.select(first_match_inline([F.col("t")], kws, whole_words=True)
+                                   .keyword).collect()]
+    assert got == ["las vegas sands", "union", "oil", None]
+
+
+def test_dedupe_links(spark):
+    from fundflow.plans.flows import individual_via_committee
+    from fundflow.plans.pipeline import Models
+    from conftest import SF_SMALL
+    m = Models.from_lens(spark, SF_SMALL)
+    n_all = individual_via_committee(m.individual, m.linkage, m.taxonomy, keywords=m.keywords).count()
+    n_one = individual_via_committee(m.individual, m.linkage, m.taxonomy, keywords=m.keywords,
+                                     dedupe_links=True).count()
+    assert n_one < n_all
