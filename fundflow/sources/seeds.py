@@ -159,8 +159,25 @@ def taxonomy_rows() -> list[tuple]:
     return [(r["keyword"], r["industry"], r["industry_group"], int(r["priority"])) for r in reader]
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def inline_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small fixed table as an inline VALUES relation (planned on the driver,
+    no distributed job to create it)."""
+    if not rows:
+        return spark.createDataFrame([], schema)
+    names = [f.name for f in schema.fields]
+    body = ", ".join("(" + ", ".join("NULL" if v is None else _sql_text(v) if isinstance(v, str)
+                                     else str(v) for v in r) + ")" for r in rows)
+    casts = ", ".join(f"CAST({n} AS {f.dataType.simpleString()}) AS {n}"
+                      for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def industry_taxonomy(spark: SparkSession, extra: list[tuple] | None = None) -> DataFrame:
-    return spark.createDataFrame(taxonomy_rows() + list(extra or []), TAXONOMY_SCHEMA)
+    return inline_table(spark, taxonomy_rows() + list(extra or []), TAXONOMY_SCHEMA)
 
 
 def lens_taxonomy(spark: SparkSession) -> DataFrame:
@@ -168,7 +185,7 @@ def lens_taxonomy(spark: SparkSession) -> DataFrame:
 
 
 def lens_categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LENS_CATEGORIES, CATEGORY_SCHEMA)
+    return inline_table(spark, LENS_CATEGORIES, CATEGORY_SCHEMA)
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

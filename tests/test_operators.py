@@ -103,3 +103,27 @@ def test_dedupe_links(spark):
     n_one = individual_via_committee(m.individual, m.linkage, m.taxonomy, keywords=m.keywords,
                                      dedupe_links=True).count()
     assert n_one < n_all
+
+
+def test_keyword_property_random_texts(spark):
+    """Texts glued from keyword pieces (overlaps, in-word hits, case): all plans agree."""
+    from hypothesis import given, settings, strategies as st
+    kws = sort_keywords(seeds.taxonomy_rows() + seeds.LENS_KEYWORDS)
+    pieces = [k for k, _, _, _ in kws] + ["x", " ", "-", "&", "Co", "AT&T", "Vegas", "boil"]
+    tax = seeds.lens_taxonomy(spark)
+    batch = []
+
+    @settings(max_examples=150, deadline=None, derandomize=True)
+    @given(st.lists(st.sampled_from(pieces), min_size=0, max_size=6),
+           st.sampled_from([str.upper, str.lower, str.title]))
+    def collect(parts, case):
+        batch.append(case("".join(parts)))
+
+    collect()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(batch)], "id int, t string")
+    inline = {r.id: (r.m.keyword if r.m else None)
+              for r in add_first_match(df, ["t"], tax, "m").collect()}
+    joined = {r.id: (r.m.keyword if r.m else None)
+              for r in first_match_join(df, ["t"], tax, "m").collect()}
+    for i, t in enumerate(batch):
+        assert inline[i] == _brute(t, kws) == joined[i], t
