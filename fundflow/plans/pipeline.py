@@ -140,9 +140,6 @@ class Models:
 
     @cached_property
     def donor_industry(self) -> DataFrame:
-        t = self._table("donor_industry")
-        if t is not None:
-            return t
         return tagging.individual_donor_industry(self.individual, self.taxonomy, self.keywords,
                                                  self.tagged_donations)
 
@@ -198,7 +195,6 @@ def materialize(models: Models, warehouse: str) -> None:
     tags = write("committee_tags", lazy.committee_tags)
     lazy.__dict__["committee_tags"] = tags
     lazy.__dict__["tagged_donations"] = write("tagged_donations", lazy.tagged_donations)
-    write("donor_industry", lazy.donor_industry)
     flow = write("flow", lazy.flow)
     lazy.__dict__["flow"] = flow
     funding = write("funding_extras", lazy.funding_extras)
