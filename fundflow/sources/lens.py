@@ -31,13 +31,12 @@ def _mmddyyyy(expr: str, dialect: str) -> str:
 def _candidates(t) -> str:
     base = f"""
       SELECT c.c_custkey AS k, c.c_nationkey AS nk, c.c_mktsegment AS seg, n.n_name AS nation
-      FROM {t('customer')} c JOIN {t('nation')} n ON c.c_nationkey = n.n_nationkey
-      WHERE c.c_custkey % 50 <> 49"""
+      FROM {t('customer')} c JOIN {t('nation')} n ON c.c_nationkey = n.n_nationkey"""
 
     def row(year_expr: str, name_prefix: str) -> str:
         return f"""
       SELECT
-        {_id('H', 'k')} AS cand_id,
+        CASE WHEN k % 50 = 49 THEN {_id('G', 'k')} ELSE {_id('H', 'k')} END AS cand_id,
         '{name_prefix}' || seg || ', ' || nation || ' ' || cast(k as string) AS cand_name,
         CASE k % 6 WHEN 0 THEN 'DEM' WHEN 1 THEN 'REP' WHEN 2 THEN 'IND'
                    WHEN 3 THEN 'LIB' WHEN 4 THEN 'GRE' ELSE 'XXX' END AS cand_pty_affiliation,
@@ -61,7 +60,7 @@ def _candidates(t) -> str:
     return (f"WITH base AS ({base})"
             + row("1996 + 2 * (k % 3)", "")
             + " UNION ALL "
-            + row("1992 + 2 * (k % 3)", "FORMER ").replace("FROM base", "FROM base WHERE k % 10 = 0"))
+            + row("1992 + 2 * (k % 3)", "FORMER "))
 
 
 def _committees(t) -> str:
@@ -164,23 +163,26 @@ def _individual(t, dialect: str) -> str:
 
 
 def _linkage(t) -> str:
-    def link(cand_expr: str, year: str, suffix: str, where: str) -> str:
+    def link(cand_expr: str, year: str, suffix: str, linked: str) -> str:
         return f"""
       SELECT
         {_id('H', cand_expr)} AS cand_id,
         '{year}' AS cand_election_yr,
         '{year}' AS fec_election_yr,
-        {_id('S', 's_suppkey')} AS cmte_id,
+        CASE WHEN {linked} THEN {_id('S', 's_suppkey')} END AS cmte_id,
         CASE s_suppkey % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'S' ELSE 'P' END AS cmte_tp,
         CASE s_suppkey % 4 WHEN 0 THEN 'P' WHEN 1 THEN 'A' WHEN 2 THEN 'D' ELSE 'J' END AS cmte_dsgn,
         'L' || cast(s_suppkey as string) || '{suffix}' AS linkage_id,
         1996 AS cycle_year,
         'ccl.txt' AS source_file
-      FROM {t('supplier')} {where}"""
+      FROM {t('supplier')}"""
 
-    return (link("s_suppkey * 3", "1996", "", "")
-            + " UNION ALL " + link("s_suppkey * 3", "1998", "R", "WHERE s_suppkey % 10 = 0")
-            + " UNION ALL " + link("s_suppkey * 3 + 1", "1996", "B", "WHERE s_suppkey % 10 = 5"))
+    # every supplier yields three link rows: its main link, a repeat of it in
+    # 1998 and a second candidate; the last two name a committee only for
+    # some suppliers (a link row without committee never joins)
+    return (link("s_suppkey * 3", "1996", "", "true")
+            + " UNION ALL " + link("s_suppkey * 3", "1998", "R", "s_suppkey % 10 = 0")
+            + " UNION ALL " + link("s_suppkey * 3 + 1", "1996", "B", "s_suppkey % 10 = 5"))
 
 
 def _financials(t) -> str:
@@ -226,14 +228,13 @@ def _financials(t) -> str:
              ELSE '12/31/' || cast({year} as string) END AS cvg_end_dt,
         cast((c_custkey % 10) * 10 as string) AS indiv_refunds,
         '0' AS cmte_refunds,
-        cast({year} as int) AS cycle_year,
+        cast(CASE WHEN c_custkey % 4 = 3 THEN {year} + 2 ELSE {year} END as int) AS cycle_year,
         'weball.txt' AS source_file
-      FROM {t('customer')}
-      WHERE c_custkey % 4 <> 3"""
+      FROM {t('customer')}"""
 
 
 def _crosswalk(t) -> str:
-    def xw(code: str, where: str, suffix: str) -> str:
+    def xw(code: str, suffix: str) -> str:
         fec_id = (f"CASE WHEN p_partkey % 40 = 0 THEN ' ' || lower({_id('C', 'p_partkey')}) "
                   f"ELSE {_id('C', 'p_partkey')} END")
         return f"""
@@ -246,12 +247,12 @@ def _crosswalk(t) -> str:
         {code} AS prim_code,
         'lens' AS source, 'n' AS sensitive, 'n' AS "foreign", 'y' AS active,
         2000 AS cycle_year, 'cmtes.txt' AS source_file
-      FROM {t('part')} WHERE {where}"""
+      FROM {t('part')}"""
 
-    return (xw("CASE WHEN p_partkey % 80 = 0 THEN 'k' ELSE 'K' END || cast(p_size % 4 as string)",
-               "p_partkey % 20 = 0", "")
+    return (xw("CASE WHEN p_partkey % 20 <> 0 THEN NULL WHEN p_partkey % 80 = 0 THEN 'k' ELSE 'K' END"
+               " || cast(p_size % 4 as string)", "")
             + " UNION ALL "
-            + xw("'K' || cast((p_size + 1) % 4 as string)", "p_partkey % 60 = 0", "B"))
+            + xw("CASE WHEN p_partkey % 60 = 0 THEN 'K' || cast((p_size + 1) % 4 as string) END", "B"))
 
 
 LENS_TABLES = [
