@@ -67,9 +67,44 @@ def unique_checks(raw: dict[str, DataFrame], per_cycle: bool = True) -> list[Dat
     return out
 
 
+def _table_report(df: DataFrame, table: str, key: str, other_not_null: list[str],
+                  per_cycle: bool) -> list[DataFrame]:
+    """All checks of one table from a single grouped pass over it.
+
+    Grouping by the key (and cycle) gives both answers: the NULL-key group's
+    row count is the key's NULL count, and the non-NULL groups with more than
+    one row are the repeated keys.  Other not-null counts ride along as sums.
+    """
+    keys = [key, "cycle_year"] if per_cycle else [key]
+    groups = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in other_not_null])
+    totals = groups.agg(
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("_null_key"),
+        F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_dup_keys"),
+        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in other_not_null])
+    out = []
+    for check, column, value in (
+            [("not_null", key, "_null_key")]
+            + [("not_null", c, f"_null_{c}") for c in other_not_null]):
+        if (table, column) in NOT_NULL_CHECKS:
+            out.append(_result(check, table, column, totals.select(F.col(value).alias("failing_rows"))))
+    if (table, key) in UNIQUE_CHECKS:
+        out.append(_result("unique", table, key, totals.select(F.col("_dup_keys").alias("failing_rows"))))
+    return out
+
+
 def quality_report(raw: dict[str, DataFrame], per_cycle: bool = True) -> DataFrame:
-    """One row per check: name, table, column, failing rows, passed."""
-    return reduce(DataFrame.unionByName, not_null_checks(raw) + unique_checks(raw, per_cycle))
+    """One row per check: name, table, column, failing rows, passed.
+
+    One grouped pass per table (the largest table is read once, not once per
+    check).
+    """
+    parts = []
+    for table, key in UNIQUE_CHECKS:
+        others = [c for t, c in NOT_NULL_CHECKS if t == table and c != key]
+        parts += _table_report(raw[table], table, key, others, per_cycle)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def load_counts(raw: dict[str, DataFrame]) -> DataFrame:
