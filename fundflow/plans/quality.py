@@ -1,8 +1,8 @@
 """Data-quality checks on raw tables: not-null and unique keys.
 
-All not-null counts of a table come from one aggregate pass; each unique check
-is a grouped count of the key (map-side partial counts, so a hot key is
-pre-reduced before the shuffle).  A failing unique check reports how many
+Each table is read once: a grouped count by its key (map-side partial
+counts, so a hot or NULL key is pre-reduced before the shuffle) answers both
+its not-null and its unique checks.  A failing unique check reports how many
 distinct key values repeat.
 """
 
@@ -32,25 +32,6 @@ UNIQUE_CHECKS = [
 ]
 
 
-def _result(check: str, table: str, column: str, failing) -> DataFrame:
-    return failing.select(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
-                          F.lit(column).alias("column_name"),
-                          F.col("failing_rows").cast("long").alias("failing_rows"),
-                          (F.col("failing_rows") == 0).alias("passed"))
-
-
-def not_null_checks(raw: dict[str, DataFrame]) -> list[DataFrame]:
-    out = []
-    by_table: dict[str, list[str]] = {}
-    for table, column in NOT_NULL_CHECKS:
-        by_table.setdefault(table, []).append(column)
-    for table, columns in by_table.items():
-        counts = raw[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        for c in columns:
-            out.append(_result("not_null", table, c, counts.select(F.col(c).alias("failing_rows"))))
-    return out
-
-
 def duplicate_keys(df: DataFrame, column: str, per_cycle: bool = True) -> DataFrame:
     """Key values (and cycle, when scoped) that occur more than once."""
     keys = [column, "cycle_year"] if per_cycle else [column]
@@ -58,17 +39,8 @@ def duplicate_keys(df: DataFrame, column: str, per_cycle: bool = True) -> DataFr
             .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
 
 
-def unique_checks(raw: dict[str, DataFrame], per_cycle: bool = True) -> list[DataFrame]:
-    out = []
-    for table, column in UNIQUE_CHECKS:
-        dup = duplicate_keys(raw[table], column, per_cycle)
-        out.append(_result("unique", table, column,
-                           dup.agg(F.count(F.lit(1)).alias("failing_rows"))))
-    return out
-
-
 def _table_report(df: DataFrame, table: str, key: str, other_not_null: list[str],
-                  per_cycle: bool) -> list[DataFrame]:
+                  per_cycle: bool) -> DataFrame:
     """All checks of one table from a single grouped pass over it.
 
     Grouping by the key (and cycle) gives both answers: the NULL-key group's
@@ -83,15 +55,17 @@ def _table_report(df: DataFrame, table: str, key: str, other_not_null: list[str]
         F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("_null_key"),
         F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_dup_keys"),
         *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in other_not_null])
-    out = []
-    for check, column, value in (
-            [("not_null", key, "_null_key")]
-            + [("not_null", c, f"_null_{c}") for c in other_not_null]):
-        if (table, column) in NOT_NULL_CHECKS:
-            out.append(_result(check, table, column, totals.select(F.col(value).alias("failing_rows"))))
+    checks = [("not_null", key, "_null_key")] + [("not_null", c, f"_null_{c}")
+                                                  for c in other_not_null]
+    checks = [c for c in checks if (table, c[1]) in NOT_NULL_CHECKS]
     if (table, key) in UNIQUE_CHECKS:
-        out.append(_result("unique", table, key, totals.select(F.col("_dup_keys").alias("failing_rows"))))
-    return out
+        checks.append(("unique", key, "_dup_keys"))
+    # one totals row -> one output row per check, without re-reading the table
+    rows = F.array(*[F.struct(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
+                              F.lit(column).alias("column_name"),
+                              F.col(value).cast("long").alias("failing_rows"))
+                     for check, column, value in checks])
+    return totals.select(F.inline(rows)).withColumn("passed", F.col("failing_rows") == 0)
 
 
 def quality_report(raw: dict[str, DataFrame], per_cycle: bool = True) -> DataFrame:
@@ -103,7 +77,7 @@ def quality_report(raw: dict[str, DataFrame], per_cycle: bool = True) -> DataFra
     parts = []
     for table, key in UNIQUE_CHECKS:
         others = [c for t, c in NOT_NULL_CHECKS if t == table and c != key]
-        parts += _table_report(raw[table], table, key, others, per_cycle)
+        parts.append(_table_report(raw[table], table, key, others, per_cycle))
     return reduce(DataFrame.unionByName, parts)
 
 

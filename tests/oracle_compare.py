@@ -12,7 +12,6 @@ import math
 
 import duckdb
 
-from fundflow.sources.lens import SOURCE_TABLES
 
 ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
               "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -38,7 +37,7 @@ def _norm(v):
             return (3, "nan")
         return (3, repr(v))
     if isinstance(v, int):
-        return (3, repr(float(v))) if False else (4, str(v))
+        return (4, str(v))
     if isinstance(v, dt.datetime):
         return (5, v.replace(tzinfo=None).isoformat())
     if isinstance(v, dt.date):
