@@ -383,7 +383,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
     reg("load_counts", lambda s, d: quality.load_counts(m(s, d).raw), " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, cycle_year, source_file, count(*) AS rows FROM {a} "
         f"GROUP BY cycle_year, source_file" for t, a in raw_alias.items()))
-    reg("load_total", lambda s, d: quality.load_total(m(s, d).raw), "SELECT sum(rows) AS total_rows, "
+    reg("load_total", lambda s, d: quality.load_total(m(s, d).raw), "SELECT CAST(sum(rows) AS BIGINT) AS total_rows, "
         "count(*) AS loads FROM (" + " UNION ALL ".join(
             f"SELECT cycle_year, source_file, count(*) AS rows FROM {a} GROUP BY cycle_year, source_file"
             for a in raw_alias.values()) + ") t")
