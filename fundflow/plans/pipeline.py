@@ -202,10 +202,15 @@ def materialize(models: Models, warehouse: str) -> None:
 
 
 def warehouse_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Shared folder for one application's tables over one input directory."""
+    """Shared folder for one application's tables over one input directory.
+
+    Under ``fundflow.warehouse.dir`` when set, else under the reliable
+    checkpoint folder (``spark.checkpoint.dir``).
+    """
     import hashlib
 
     from ..session import ensure_checkpoint_dir
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+    root = (spark.conf.get("fundflow.warehouse.dir", None)
+            or ensure_checkpoint_dir(spark)).rstrip("/")
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
     return f"{root}/fundflow-warehouse/{spark.sparkContext.applicationId}/{tag}"

@@ -48,8 +48,17 @@ def stg_candidates(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_committees(raw: DataFrame) -> DataFrame:
-    """Decoded committees with the Super-PAC flag, 14 columns."""
+def stg_committees(raw: DataFrame, latest_per_id: bool = False) -> DataFrame:
+    """Decoded committees with the Super-PAC flag, 14 columns.
+
+    By default every loaded cycle keeps its row, so a committee present in
+    several cycles tags (and multiplies) its transactions once per cycle, as
+    in the source.  ``latest_per_id=True`` keeps only its latest cycle's row.
+    """
+    if latest_per_id:
+        raw = best_per_key(raw, [F.trim("cmte_id")],
+                           [F.col("cycle_year").desc_nulls_last(),
+                            F.col("source_file").desc_nulls_last()])
     return raw.select(
         F.trim("cmte_id").alias("committee_id"),
         F.trim("cmte_nm").alias("committee_name_raw"),

@@ -104,3 +104,18 @@ def test_employer_stop_list_casefold(spark):
     folded = [r[0] for r in df.select(employer_eligible(casefold=True)).collect()]
     assert plain == [True, False, True, False]
     assert folded == [False, False, True, False]
+
+
+def test_committees_latest_per_id(spark):
+    from fundflow.plans.staging import stg_committees
+    from fundflow.sources.layouts import CM_COLUMNS
+    rows = []
+    for year, name in [(2020, "OLD NAME PAC"), (2024, "NEW NAME PAC")]:
+        r = {c: None for c in CM_COLUMNS}
+        r.update(cmte_id="C1", cmte_nm=name, cmte_tp="O")
+        rows.append(tuple(r[c] for c in CM_COLUMNS) + (year, "cm.txt"))
+    schema = ", ".join(f"{c} string" for c in CM_COLUMNS) + ", cycle_year int, source_file string"
+    raw = spark.createDataFrame(rows, schema)
+    assert stg_committees(raw).count() == 2
+    latest = stg_committees(raw, latest_per_id=True).collect()
+    assert [r.committee_name for r in latest] == ["New Name Pac"]
