@@ -7,8 +7,8 @@ matches the smallest ``(priority, keyword)`` wins.
 Two plans give the same answer:
 
 * **inline** (taxonomy of at most ``MAX_INLINE_KEYWORDS`` rows): the keywords
-  become one look-ahead regular expression scanned over each text in the
-  row's own task.  No shuffle, no join, and a hot employer costs nothing extra.
+  become one look-ahead trie-shaped regular expression scanned over each
+  text in the row's own task.  No shuffle, no join, and a hot employer costs nothing extra.
 * **n-gram join** (larger taxonomies): every distinct text is cut into its
   substrings of the lengths that keywords have, and those are equi-joined to
   the keywords; the best match per text is an aggregate and is joined back.
@@ -17,6 +17,7 @@ Two plans give the same answer:
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,39 +60,86 @@ def _match_struct_type() -> str:
     return "struct<keyword:string,industry:string,industry_group:string,priority:int>"
 
 
+def _trie_pattern(words: list[str]) -> str:
+    """Regex matching, at one position, the longest of ``words`` that starts there.
+
+    Branches of a trie node start with different characters, so at most one
+    can continue; optional tails are greedy, so the longest keyword on the
+    path wins and backtracking falls back to shorter ones.
+    """
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = True                      # a keyword ends here
+
+    def body(node: dict) -> str:
+        alts = []
+        for ch in sorted(k for k in node if k != ""):
+            child = node[ch]
+            tail = body(child)
+            lit = re.escape(ch)
+            if child.get("") and tail:
+                alts.append(f"{lit}(?:{tail})?")
+            elif child.get(""):
+                alts.append(lit)
+            else:
+                alts.append(lit + tail)
+        if not alts:
+            return ""
+        return alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+
+    return body(trie)
+
+
 def first_match_index(texts: list[Column], keywords: list[tuple],
                       whole_words: bool = False) -> Column:
     """Position (in ``keywords`` order) of the first keyword any text contains, or NULL.
 
-    One regular expression ``(?=(k1|k2|...))`` with the alternatives in
-    (priority, keyword) order is scanned over the lower-cased text.  The
-    zero-width look-ahead reports, at every start position, the first
-    alternative that matches there, so overlapping hits are all seen; a
-    keyword hidden at some position is always preceded in the order by the
-    one reported there.  The smallest rank among the reported keywords is
-    therefore the best keyword the text contains.  Smaller is better, so
-    ``min`` of this index over rows picks the best match.
+    Every keyword that matches at one position of a text lies on one trie
+    path, so each is a prefix of the longest one there.  A look-ahead trie
+    regex ``(?=(...))`` reports that longest keyword at every position; the
+    best rank among the keywords that are prefixes of a reported one
+    (precomputed per keyword) is then the best keyword the text contains.
+    Smaller is better, so ``min`` of this index over rows picks the best match.
 
     ``whole_words``: a keyword only counts where it is not glued to a letter
-    or digit on either side ("gas" then misses "Vegas").
+    or digit on either side ("gas" then misses "Vegas").  There a shorter
+    keyword may end at a word break where the longest does not, so that mode
+    uses a flat alternation in rank order instead: at each position it
+    reports the best-ranked keyword that fits.
     """
     if not keywords:
         return F.lit(None).cast("int")
     rank: dict[str, int] = {}
     for i, (kw, _, _, _) in enumerate(keywords):
         rank.setdefault(kw.lower(), i)
-    alternatives = "|".join("\\Q" + k + "\\E" for k in rank)
-    if whole_words:
+    empty_rank = rank.pop("", None)            # '' is contained in every text
+    if not rank:
+        best = {}
+        pattern = None
+    elif whole_words:
+        alternatives = "|".join("\\Q" + k + "\\E" for k in rank)
         pattern = "(?=(?<![\\p{L}\\p{N}])(" + alternatives + ")(?![\\p{L}\\p{N}]))"
+        best = dict(rank)
     else:
-        pattern = "(?=(" + alternatives + "))"
-    ranks = F.expr("map(" + ", ".join(f"{_sql_str(k)}, {i}" for k, i in rank.items()) + ")")
-
-    def best(text: Column) -> Column:
-        found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
-        return F.array_min(F.transform(found, lambda k: ranks[k]))
+        pattern = "(?=(" + _trie_pattern(list(rank)) + "))"
+        best = {k: min(r for j, r in rank.items() if k.startswith(j)) for k in rank}
+    ranks = (F.expr("map(" + ", ".join(f"{_sql_str(k)}, {i}" for k, i in best.items()) + ")")
+             if best else None)
+
+    def best_in(text: Column) -> Column:
+        if pattern is None:
+            found_rank = F.lit(None).cast("int")
+        else:
+            found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
+            found_rank = F.array_min(F.transform(found, lambda k: ranks[k]))
+        if empty_rank is not None:
+            found_rank = F.when(text.isNotNull(), F.least(found_rank, F.lit(empty_rank)))
+        return found_rank
 
-    indexes = [best(t) for t in texts]
+    indexes = [best_in(t) for t in texts]
     # least() skips NULLs: the best over all texts
     return indexes[0] if len(indexes) == 1 else F.least(*indexes)
 
