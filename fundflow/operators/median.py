@@ -4,8 +4,13 @@
 aggregate, which falls back to sorting every input row once a task holds
 more than a few dozen groups.  Here the rows are first counted per
 (key, value) with an ordinary hash aggregate (map-side combine), so a key
-holding a third of all rows shrinks to one row per distinct value.  A
-running count over that histogram then finds the two middle values.
+holding a third of all rows shrinks to one row per distinct value.
+
+The running count that locates the two middle values never puts a whole key
+in one task either: the histogram is range-partitioned on (key, value) and
+checkpointed, each task's block of a key gets its offset from a small table
+of per-(task, key) weights (at most #tasks + #keys rows), and the rest of the
+running count stays inside the block.
 """
 
 from __future__ import annotations
@@ -13,20 +18,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from .joins import null_safe_on
+
 
-def median_of_integers(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+def median_of_integers(df: DataFrame, key: str, value: str, out: str,
+                       num_partitions: int | None = None) -> DataFrame:
     """Per ``key``: ``lo + (hi - lo) div 2`` of the two middle values (integers).
 
     That is the linear-interpolated median with the half dropped toward the
     lower value; with money in cents it is the median cut to whole cents.
     Keys whose values are all NULL are absent from the result.
     """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hist = (df.filter(F.col(value).isNotNull())
             .groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
-    upto = F.sum("_n").over(Window.partitionBy(key).orderBy(value)
-                            .rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("_n").over(Window.partitionBy(key))
-    h = hist.select(key, value, upto.alias("_upto"), total.alias("_total"))
+    order = [F.col(key).asc_nulls_last(), F.col(value).asc()]
+    blocks = (hist.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))            # stable task ids for both passes
+    # weight of every (task, key) block, and of the blocks before it in the key
+    per_block = blocks.groupBy("_pid", key).agg(F.sum("_n").alias("_w"))
+    in_key = Window.partitionBy(key)
+    before = in_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per_block = per_block.select(
+        F.col("_pid").alias("_b_pid"), F.col(key).alias("_b_key"),
+        F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_before"),
+        F.sum("_w").over(in_key).alias("_total"))
+    # at most #tasks + #keys rows; AQE broadcasts it on its real size
+    rows = blocks.join(per_block, null_safe_on(blocks, per_block,
+                                               [("_pid", "_b_pid"), (key, "_b_key")]))
+    local = (Window.partitionBy("_pid", key).orderBy(value)
+             .rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.col("_before") + F.sum("_n").over(local)
+    h = rows.select(key, value, upto.alias("_upto"), "_total")
     lo_pos = F.floor((F.col("_total") - 1) / 2)
     hi_pos = F.ceil((F.col("_total") - 1) / 2)
     picked = h.groupBy(key).agg(

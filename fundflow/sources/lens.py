@@ -283,8 +283,7 @@ def lens_sql(table: str, dialect: str, t=None) -> str:
 
 
 # Sources with per-row work downstream, and the key each one is joined on.
-_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id",
-           "part": "p_partkey"}
+_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
 def read_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
