@@ -267,6 +267,12 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         WHERE office LIKE 'House' AND party_name LIKE 'Democrat'
           AND CAST(election_year AS VARCHAR) LIKE '%'
         ORDER BY corruption_score DESC, candidate_id LIMIT 100""")
+    reg("leaderboard_1998_senate",
+        lambda s, d: reports.leaderboard(m(s, d).score, "Senate", "%", "1998"), f"""
+        SELECT {', '.join(reports.LEADERBOARD_COLUMNS)} FROM score
+        WHERE office LIKE 'Senate' AND party_name LIKE '%'
+          AND CAST(election_year AS VARCHAR) LIKE '1998'
+        ORDER BY corruption_score DESC, candidate_id LIMIT 100""")
     reg("score_histogram", lambda s, d: reports.score_histogram(m(s, d).score, width=HIST_WIDTH),
         f"""SELECT CAST(floor(corruption_score / {HIST_WIDTH}) AS BIGINT) AS bin, party_name,
                    count(*) AS candidates,
