@@ -68,3 +68,16 @@ def test_manifest_status(spark, scratch):
     assert got == {"a.txt": "skipped", "b.txt": "changed", "c.txt": "new"}
     counts = {r.status: r.files for r in delimited.manifest_counts(status).collect()}
     assert counts == {"skipped": 1, "changed": 1, "new": 1}
+
+
+def test_missing_cycle_folder_skipped_and_cycle_domain(spark, scratch):
+    import pytest
+    from fundflow.sources.layouts import check_cycles
+    root = f"{scratch}/extracted"
+    _write_lines(f"{root}/2022/ccl/a.txt", ["H1|2022|2022|C1|H|P|L1"])
+    found = delimited.discover_inputs(spark, root, [2020, 2022], ["ccl", "cn"])
+    assert list(found) == ["ccl"] and found["ccl"][0].endswith("/2022/ccl/a.txt")
+    assert check_cycles([2024, 1980, 2024]) == [1980, 2024]
+    for bad in ([2023], [1978], [2026]):
+        with pytest.raises(ValueError):
+            check_cycles(bad)
