@@ -32,6 +32,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _driver_memory() -> str:
+    """Heap for a local session: 60% of physical memory, at most 16 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    mb = max(1024, min(16 * 1024, int(total * 0.6 / (1024 * 1024))))
+    return f"{mb}m"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "fundflow", event_log_dir: str | None = None) -> SparkSession:
     builder = (
@@ -39,7 +49,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("FUNDFLOW_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("FUNDFLOW_DRIVER_MEMORY", _driver_memory()))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.default.parallelism", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
