@@ -61,8 +61,10 @@ def _normalize_text(spark, sf):
         cn.select(F.lit("candidate_last"), "cand_name", candidate_last_name("cand_name")),
         cn.select(F.lit("candidate_first"), "cand_name", candidate_first_name("cand_name")),
     ]
-    parts = [p.toDF("kind", "raw_text", "normalized").distinct() for p in parts]
-    return reduce(DataFrame.unionByName, parts)
+    # branches differ in ``kind``: one DISTINCT over the union (one shuffle)
+    # equals the union of per-branch DISTINCTs
+    parts = [p.toDF("kind", "raw_text", "normalized") for p in parts]
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def _size_buckets(spark, sf):
@@ -72,12 +74,11 @@ def _size_buckets(spark, sf):
 
 def _refund_flags(spark, sf):
     m = _m(spark, sf)
-    def by(df, name):
-        return df.groupBy("is_refund").agg(
-            F.count(F.lit(1)).alias("transactions"),
-            F.sum("amount").cast(MONEY_SUM).alias("total_amount")
-        ).select(F.lit(name).alias("source"), "*")
-    return by(m.individual, "individual").unionByName(by(m.pac, "pac"))
+    rows = (m.individual.select(F.lit("individual").alias("source"), "is_refund", "amount")
+            .unionByName(m.pac.select(F.lit("pac").alias("source"), "is_refund", "amount")))
+    return rows.groupBy("source", "is_refund").agg(
+        F.count(F.lit(1)).alias("transactions"),
+        F.sum("amount").cast(MONEY_SUM).alias("total_amount"))
 
 
 def _crosswalk_layer(spark, sf):
