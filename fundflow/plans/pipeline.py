@@ -46,13 +46,18 @@ class Models:
 
     # size bounds ------------------------------------------------------------
     def small(self, raw_table: str) -> bool:
-        """Is this raw dimension table within the broadcast bound?  Counted once.
+        """Is this raw dimension table (or the per-candidate score) within the
+        broadcast bound?  Counted once per ``Models``.
 
         Derived tables inherit the bound of the raw table they have at most
         one row per row of (tags: committees, profiles: candidates, ...).
         """
         if raw_table not in self._small:
-            if raw_table in DIMENSIONS:
+            if raw_table == "score":
+                # one row per funded candidate (the funding mart has the same
+                # rows); read from the warehouse the count is Parquet metadata
+                self._small["score"] = row_count_at_most(self.score, BROADCAST_MAX_ROWS)
+            elif raw_table in DIMENSIONS:
                 self._check_dimensions()
             else:
                 table = self.categories if raw_table == "categories" else self.raw[raw_table]

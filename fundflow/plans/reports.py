@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY_SUM, exact_avg
-from ..operators.joins import broadcast_if_small, maybe_broadcast
+from ..operators.joins import maybe_broadcast
 from .tagging import UNCLASSIFIED_INDUSTRY
 
 MAJOR_PARTIES = ["Democrat", "Republican"]
@@ -104,7 +104,8 @@ def _score_slim(score: DataFrame) -> DataFrame:
 
 def industry_totals(flow: DataFrame, tags: DataFrame, score: DataFrame,
                     exclude_group: str = UNCLASSIFIED_INDUSTRY,
-                    small_tags: bool | None = None) -> DataFrame:
+                    small_tags: bool | None = None,
+                    small_score: bool | None = None) -> DataFrame:
     """R-07: money per industry group over flow x committee tags x score.
 
     The exclusion compares the *group* with the unclassified *industry* label,
@@ -113,7 +114,7 @@ def industry_totals(flow: DataFrame, tags: DataFrame, score: DataFrame,
     """
     ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") != exclude_group)
     s = _score_slim(score)
-    j = ft.join(broadcast_if_small(s), ft["candidate_id"] == s["_s_id"])
+    j = ft.join(maybe_broadcast(s, small_score), ft["candidate_id"] == s["_s_id"])
     return j.groupBy("industry_group").agg(
         F.count_distinct("candidate_id").alias("candidates_funded"),
         F.sum("amount").cast(MONEY_SUM).alias("total_contributed"),
@@ -144,13 +145,14 @@ def industry_by_party(flow: DataFrame, tags: DataFrame, candidates: DataFrame,
 def top_recipients(flow: DataFrame, tags: DataFrame, candidates: DataFrame, score: DataFrame,
                    industry_group: str = "Pharma & Healthcare", n: int = 25,
                    small_tags: bool | None = None,
-                   small_candidates: bool | None = None) -> DataFrame:
+                   small_candidates: bool | None = None,
+                   small_score: bool | None = None) -> DataFrame:
     """R-09: biggest recipients of one industry group's money."""
     ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") == industry_group)
     c = _cand_slim(candidates)
     s = _score_slim(score)
     j = (ft.join(maybe_broadcast(c, small_candidates), ft["candidate_id"] == c["_c_id"])
-         .join(broadcast_if_small(s), F.col("candidate_id") == s["_s_id"]))
+         .join(maybe_broadcast(s, small_score), F.col("candidate_id") == s["_s_id"]))
     keys = [F.col("_c_name").alias("candidate_name"), F.col("_c_party").alias("party_name"),
             F.col("_c_office").alias("office"), F.col("_c_state").alias("office_state"),
             F.col("_c_year").alias("election_year"), "corruption_score", "risk_tier"]
@@ -172,7 +174,8 @@ def dark_overview(tags: DataFrame, funding: DataFrame, score: DataFrame) -> Data
             .join(pct.select(key, "*"), "_k").drop("_k"))
 
 
-def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame) -> DataFrame:
+def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame,
+                          small_score: bool | None = None) -> DataFrame:
     """R-10 as written: every funding row is repeated once per suspect committee.
 
     Computed without forming the product: the sum is scaled by the number of
@@ -184,7 +187,7 @@ def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame)
     f = funding.select("candidate_id", "raised_from_dark_money")
     s = score.select(F.col("candidate_id").alias("_s_id"), "pct_dark_money")
     pct_dec = F.col("pct_dark_money").cast("decimal(20,2)")
-    fs = f.join(broadcast_if_small(s), f["candidate_id"] == s["_s_id"]).agg(
+    fs = f.join(maybe_broadcast(s, small_score), f["candidate_id"] == s["_s_id"]).agg(
         F.sum("raised_from_dark_money").cast(MONEY_SUM).alias("_sum"),
         F.sum(pct_dec).alias("_pct_sum"), F.count(pct_dec).alias("_pct_n"),
         F.count(F.lit(1)).alias("_n"))
@@ -220,11 +223,13 @@ DARK_CANDIDATE_COLUMNS = ["candidate_name", "party_name", "office", "office_stat
                           "corruption_score", "risk_tier"]
 
 
-def dark_candidates(funding: DataFrame, score: DataFrame, n: int = 50) -> DataFrame:
-    """R-12."""
+def dark_candidates(funding: DataFrame, score: DataFrame, n: int = 50,
+                    small_funding: bool | None = None) -> DataFrame:
+    """R-12.  ``small_funding``: the funding mart (one row per score row) is
+    within the broadcast bound."""
     f = funding.select(F.col("candidate_id").alias("_f_id"), "raised_from_dark_money") \
         .filter(F.col("raised_from_dark_money") > 0)
-    j = score.join(broadcast_if_small(f), score["candidate_id"] == f["_f_id"])
+    j = score.join(maybe_broadcast(f, small_funding), score["candidate_id"] == f["_f_id"])
     return (j.orderBy(F.col("raised_from_dark_money").desc(), F.col("candidate_id").asc())
             .limit(n).select(*DARK_CANDIDATE_COLUMNS))
 

@@ -282,7 +282,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
             FROM score WHERE office LIKE '%' AND party_name LIKE '%' GROUP BY ALL""")
     reg("industry_totals", lambda s, d: reports.industry_totals(
             m(s, d).flow, m(s, d).committee_tags, m(s, d).score,
-            small_tags=m(s, d).small("committees")), f"""
+            small_tags=m(s, d).small("committees"), small_score=m(s, d).small("score")), f"""
         SELECT t.industry_group, count(DISTINCT f.candidate_id) AS candidates_funded,
                sum(f.amount) AS total_contributed, {avg1('s.corruption_score')} AS avg_candidate_score
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
@@ -300,7 +300,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
     reg("top_recipients", lambda s, d: reports.top_recipients(
             m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, m(s, d).score,
             TOP_INDUSTRY, small_tags=m(s, d).small("committees"),
-            small_candidates=m(s, d).small("candidates")), f"""
+            small_candidates=m(s, d).small("candidates"), small_score=m(s, d).small("score")), f"""
         SELECT c.candidate_name, c.party_name, c.office, c.office_state, c.election_year,
                sum(f.amount) AS received, s.corruption_score, s.risk_tier
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
@@ -320,7 +320,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                (SELECT sum(raised_from_dark_money) FROM funding) AS total_dark_money,
                (SELECT {avg2('pct_dark_money')} FROM score) AS avg_pct_dark_money""")
     reg("dark_overview_literal", lambda s, d: reports.dark_overview_literal(
-            m(s, d).committee_tags, m(s, d).funding, m(s, d).score), f"""
+            m(s, d).committee_tags, m(s, d).funding, m(s, d).score, m(s, d).small("score")), f"""
         SELECT count(DISTINCT ct.committee_id) AS dark_money_pacs,
                sum(f.raised_from_dark_money) AS total_dark_money,
                {avg2('s.pct_dark_money')} AS avg_pct_dark_money
@@ -336,7 +336,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                  connected_organization_name NULLS LAST, organization_type NULLS LAST
         LIMIT 50""")
     reg("dark_candidates", lambda s, d: reports.dark_candidates(
-            m(s, d).funding, m(s, d).score), f"""
+            m(s, d).funding, m(s, d).score, small_funding=m(s, d).small("score")), f"""
         SELECT {', '.join('s.' + c if c != 'raised_from_dark_money' else 'f.' + c
                           for c in reports.DARK_CANDIDATE_COLUMNS)}
         FROM funding f JOIN score s USING (candidate_id)
