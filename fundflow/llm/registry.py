@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import simhash_dedup
+from . import bpe, fingerprints, simhash_dedup
 from .common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file on this machine; only the driver reads it."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_document_fingerprints(spark, sf_dir):
+    rows = fingerprints.compare(table(spark, sf_dir, "documents"))
+    rows = fingerprints.with_neighbours(rows, F.col("doc_id") % 100 == 0)
+    shown = fingerprints.fingerprint_hex
+    return rows.select("doc_id", "n_chars", "edited_sha256", shown(F.col("fp")).alias("fingerprint"),
+                       shown(F.col("edited_fp")).alias("edited_fingerprint"),
+                       "near_edited", "near_next", "near_docs")
+
+
+def op8_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_simhash_dedup(spark, sf_dir):
     rows = simhash_dedup.near_components(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", simhash_dedup.fingerprint_hex(F.col("fp")).alias("fingerprint"),
@@ -15,7 +34,7 @@ def op9_simhash_dedup(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op9_simhash_dedup,)}
+    return {f.__name__: f for f in (op3_document_fingerprints, op8_bpe, op9_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
