@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, simhash_dedup
+from . import bpe, fingerprints, language_id, simhash_dedup
 from .common import table
 
 
@@ -14,6 +14,14 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(docs.filter(~held_out))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_document_fingerprints(spark, sf_dir):
     rows = fingerprints.compare(table(spark, sf_dir, "documents"))
     rows = fingerprints.with_neighbours(rows, F.col("doc_id") % 100 == 0)
@@ -34,7 +42,7 @@ def op9_simhash_dedup(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_document_fingerprints, op8_bpe, op9_simhash_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op3_document_fingerprints, op8_bpe, op9_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
