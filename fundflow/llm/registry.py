@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, language_id, simhash_dedup
+from . import bpe, decontaminate, fingerprints, language_id, secret_scan, simhash_dedup
 from .common import table
 
 
@@ -31,6 +31,21 @@ def op3_document_fingerprints(spark, sf_dir):
                        "near_edited", "near_next", "near_docs")
 
 
+def op6_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = secret_scan.base_spans(F.col("spans"))
+    count = lambda kind: F.size(F.filter(
+        "spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(secret_scan.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.spans_text(F.col("spans")).alias("spans"))
+
+
+def op7_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op8_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -42,7 +57,7 @@ def op9_simhash_dedup(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language_id, op3_document_fingerprints, op8_bpe, op9_simhash_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op3_document_fingerprints, op6_secret_scan, op7_decontamination, op8_bpe, op9_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
