@@ -67,18 +67,22 @@ def _grams(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mixed >> np.uint32(16), b[1:-1] != 32
 
 
-def _prepared(text):
+def _prepared(text: Column) -> Column:
     return F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
 
 
-@F.pandas_udf("struct<bucket:array<int>,share:array<float>>")
-def _features(texts: pd.Series) -> pd.DataFrame:
-    rows = []
-    for t in texts:
-        bucket, real = _grams(t.encode())
-        at, n = np.unique(bucket[real], return_counts=True)
-        rows.append((at.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
-    return pd.DataFrame({"bucket": [r[0] for r in rows], "share": [r[1] for r in rows]})
+def _features(text: Column) -> Column:
+    """Struct of the buckets that a text's trigrams fall into and each one's share of them."""
+    @F.pandas_udf("struct<bucket:array<int>,share:array<float>>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            bucket, real = _grams(t.encode())
+            at, n = np.unique(bucket[real], return_counts=True)
+            rows.append((at.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
+        return pd.DataFrame({"bucket": [r[0] for r in rows], "share": [r[1] for r in rows]})
+
+    return run(_prepared(text))
 
 
 def _fit(rows: list, sign: np.ndarray) -> np.ndarray:
@@ -109,7 +113,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     chosen = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order)) \
                   .filter(F.col("place") <= sample).select("doc_id").distinct()
     picked = known.join(F.broadcast(chosen), "doc_id") \
-                  .withColumn("x", _features(_prepared(F.col("text")))) \
+                  .withColumn("x", _features(F.col("text"))) \
                   .withColumn("place", F.row_number().over(order)) \
                   .filter(F.col("place") <= sample).select("doc_id", "lang", "x") \
                   .orderBy("lang", "doc_id").collect()
