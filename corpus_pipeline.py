@@ -1,13 +1,32 @@
 """Corpus pipeline: language ID, near-dedup, decontamination, secret scans, token ids.
 
-Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
-written as Parquet and read again as the next stage's ``docs``.
+Each stage takes ``(spark, docs, sf_dir)``, works on all that its predecessor
+kept and returns a DataFrame that is written as Parquet and read again as the next
+stage's ``docs``.  All but the last return the columns of ``documents``.
+
+Cases: empty tables pass through every stage; rows with a null text have no language
+and go in the first stage; extra columns are kept up to the last stage, which
+returns the columns named in ``token_ids``.
 """
 
 from __future__ import annotations
 
-from fundflow.llm import simhash_dedup
+from pyspark.sql import functions as F
+
+from fundflow.llm import bpe, decontaminate, language_id, secret_scan, simhash_dedup
 from fundflow.llm.common import table, written
+from fundflow.llm.registry import tokenizer_path
+
+MIN_SCORE = 0.5
+
+
+def identify_language(spark, docs, sf_dir):
+    """Rejects documents without a language (no letters) or scored below MIN_SCORE; sets lang."""
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(docs.filter(~held_out))
+    found = language_id.predict(docs, model)
+    kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def drop_near_copies(spark, docs, sf_dir):
@@ -15,8 +34,29 @@ def drop_near_copies(spark, docs, sf_dir):
     return simhash_dedup.keep_one(docs, shingle=3, max_bits=2)
 
 
+def drop_benchmark_copies(spark, docs, sf_dir):
+    """Documents with a window of a benchmark item, re-parameterised ones too, go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark, docs, sf_dir):
+    """Secrets in the texts are replaced by their kind; every document stays."""
+    return secret_scan.redact(docs)
+
+
+def token_ids(spark, docs, sf_dir):
+    """(doc_id, lang, source, n_chars, n_tokens, token_ids): the encoded corpus."""
+    encoded = bpe.encode(docs, tokenizer_path())
+    return encoded.select("doc_id", "lang", "source", "n_chars",
+                          F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
+
+
 STAGES = [
+    ("language_id", identify_language),
     ("simhash_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark_copies),
+    ("secret_scan", redact_secrets),
+    ("bpe", token_ids),
 ]
 
 # XXH64 fingerprints, a trained classifier and BPE merges have no SQL form; tests/llm
