@@ -141,7 +141,9 @@ def near_edges(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -
 
 def near_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) per row; component_id is the least doc_id reachable.
+    """(doc_id, text_key, fp, root, component_id) per row.
+
+    component_id is the least doc_id reachable, root the component's least fingerprint.
 
     Exact copies meet in one row of (fp, least doc_id) before any join, so a
     group holding a third of all rows is pre-aggregated where it is read.
@@ -152,8 +154,8 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     labelled = fps.join(rooted, F.col("fp") == F.col("node"), "left") \
                   .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = labelled.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(member, "fp").select("doc_id", "text_key", "fp", "component_id")
+    member = labelled.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+    return prints.join(member, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def fingerprint_hex(fp: Column) -> Column:
@@ -163,14 +165,13 @@ def fingerprint_hex(fp: Column) -> Column:
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group of near-duplicates: its least (doc_id, text), all columns kept.
 
-    A component without any doc_id is kept by its fingerprint's least text key.
+    A component without any doc_id keeps the row with the least text key.
     """
     groups = near_components(docs, shingle, max_bits)
-    unnamed = F.when(F.col("component_id").isNull(), F.col("fp"))
     least = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-                  .groupBy("doc_id", unnamed.alias("unnamed"), "text_key") \
+                  .groupBy("root", "doc_id", "text_key") \
                   .agg(F.count(F.lit(1)).alias("copies")) \
-                  .groupBy("doc_id", "unnamed") \
+                  .groupBy("root", "doc_id") \
                   .agg(F.min(F.struct("text_key", "copies")).alias("row"))
     rows = written(least.select(F.col("doc_id").alias("kept_id"),
                                 F.col("row.text_key").alias("kept_key"),
