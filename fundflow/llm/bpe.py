@@ -293,9 +293,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                           for x in encoder.encode(part, decoded=False)], dtype=object)
 
     joined = ids(F.coalesce(F.col("text"), F.lit("")))
-    return docs.withColumn("token_text", joined).withColumn(
-        "token_ids", F.when(F.col("token_text") == "", F.array().cast("array<int>"))
-        .otherwise(F.split("token_text", " ").cast("array<int>"))).drop("token_text")
+    return docs.withColumn("_token_text", joined).withColumn(
+        "token_ids", F.when(F.col("_token_text") == "", F.array().cast("array<int>"))
+        .otherwise(F.split("_token_text", " ").cast("array<int>"))).drop("_token_text")
 
 
 def decode(tokens: DataFrame, path: str, column: str = "token_ids") -> DataFrame:

@@ -167,5 +167,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     """``docs`` without the contaminated documents."""
     found = contaminated(docs, benchmark, window).select(
         F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(F.col("bad_id"))
-                     & (text_key(docs.text) == F.col("bad_key")), "left_anti")
+    return docs.join(found, docs.doc_id.eqNullSafe(found.bad_id)
+                     & (text_key(docs.text) == found.bad_key), "left_anti")

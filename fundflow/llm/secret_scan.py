@@ -172,19 +172,19 @@ def _spans(text: Column, order: int, rule: Rule) -> Column:
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     """``docs`` plus spans: array of (start, order, end, kind) by start, then the rules' order."""
     index = written(postings(docs, rules), "trigram-postings")
-    found = candidates(index, rules).withColumnRenamed("doc_id", "found_id")
+    found = candidates(index, rules)
     columns = [c for c in docs.columns if c != "spans"]
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.select(*columns).join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
+    text = F.coalesce(docs.text, F.lit(""))
+    joined = docs.join(found, docs.doc_id.eqNullSafe(found.doc_id), "left")
     each = []
     for at, rule in enumerate(rules):
         spans = _spans(text, at, rule)
         if trigram_query(rule.pattern):
-            asked = F.coalesce(F.col("rules"), F.lit(0)).bitwiseAND(F.lit(1 << at)) != 0
+            asked = F.coalesce(found.rules, F.lit(0)).bitwiseAND(F.lit(1 << at)) != 0
             spans = F.when(asked, spans)
         each.append(spans)
     all_spans = F.array_sort(F.flatten(F.array_compact(F.array(*each))))
-    return joined.select(*columns, all_spans.alias("spans"))
+    return joined.select(*[docs[c] for c in columns], all_spans.alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:
@@ -219,4 +219,4 @@ def redact(docs: DataFrame, rules=RULES) -> DataFrame:
         out = out.withColumn("n_chars", F.when(
             F.size("spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
             .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*[c for c in docs.columns if c != "spans"])

@@ -67,17 +67,17 @@ def assign(docs: DataFrame, key: str = "doc_id", shards: int = SHARDS) -> DataFr
     sized = sized.withColumn("shard", shard_of(F.col(key), shards)) \
                  .withColumn("grown_shard", shard_of(F.col(key), shards + 1))
     buckets = max(16, min(MOST_BUCKETS, n // (ROWS_PER_BUCKET * shards) + 1))
-    rows = sized.withColumn("bucket", F.pmod(F.xxhash64(key, "text_crc32"), F.lit(buckets)))
-    sizes = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    rows = sized.withColumn("_bucket", F.pmod(F.xxhash64(key, "text_crc32"), F.lit(buckets)))
+    sizes = rows.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     before = sizes.select(
-        F.col("shard").alias("s"), F.col("bucket").alias("b"),
-        F.coalesce(F.sum("rows").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy(
+        F.col("shard").alias("_s"), F.col("_bucket").alias("_b"),
+        F.coalesce(F.sum("_rows").over(Window.partitionBy("shard").orderBy("_bucket").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy(
         key, "text_crc32", "size"))
-    numbered = rows.withColumn("within", within)
+    numbered = rows.withColumn("_within", within)
     # at most shards x MOST_BUCKETS rows; only a small table is sent to every executor
     offsets = F.broadcast(before) if shards * buckets <= 100_000 else before
-    return numbered.join(offsets, (F.col("shard") == F.col("s")) & (F.col("bucket") == F.col("b"))) \
+    return numbered.join(offsets, (F.col("shard") == F.col("_s")) & (F.col("_bucket") == F.col("_b"))) \
         .select(*kept, "size", "text_crc32", F.lit("key").alias("law"), "shard",
-                (F.col("before") + F.col("within") - 1).alias("slot"), "grown_shard")
+                (F.col("_before") + F.col("_within") - 1).alias("slot"), "grown_shard")

@@ -186,6 +186,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     kept = held(once, "left_semi")
     if more.isEmpty():
         return kept
-    firsts = held(more, "inner").groupBy("kept_id", "kept_key").agg(
+    firsts = held(more, "inner").groupBy(more.kept_id, more.kept_key).agg(
         F.first(F.struct(*[docs[c] for c in docs.columns])).alias("row"))
     return kept.unionByName(firsts.select("row.*"))

@@ -66,16 +66,16 @@ def test_edge_cases_and_keep_one(spark):
         [(5, None, 1), (3, "", 2), (7, " \t\n", 3), (8, "one Two", 4), (9, "ONE two", 5), (2, long, 6),
          (2, long, 6), (4, "other text of five words", 7), (None, "other text of five words", 8),
          (None, "nameless alone here", 9), (4, "two rows of one id differ", 10)],
-        DOCS + ", fp int")
-    got = S.near_components(docs.drop("fp")).collect()
+        DOCS + ", kept_id int")
+    got = S.near_components(docs.drop("kept_id")).collect()
     assert len(got) == 11
     by = {(r.doc_id, r.text_key): r.component_id for r in got}
     empty = {c for (i, _), c in by.items() if i in (3, 5, 7)}
     assert empty == {3}
     assert {c for (i, _), c in by.items() if i in (8, 9)} == {8}
     kept = S.keep_one(docs)
-    assert kept.columns == ["doc_id", "text", "fp"]
-    rows = sorted((r.doc_id if r.doc_id is not None else 99, r.fp) for r in kept.collect())
+    assert kept.columns == ["doc_id", "text", "kept_id"]
+    rows = sorted((r.doc_id if r.doc_id is not None else 99, r.kept_id) for r in kept.collect())
     assert [r for r in rows if r[0] == 2] == [(2, 6)]          # a repeated row is kept once
     assert [r for r in rows if r[0] in (3, 5, 7)] == [(3, 2)]
     assert (8, 4) in rows and (9, 5) not in rows
