@@ -109,8 +109,12 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     """Model from columns doc_id, text, lang; rows without one of them teach nothing."""
     known = labelled.filter("lang is not null and doc_id is not null and text is not null") \
                     .select("doc_id", "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order)) \
+    # a hash cut leaves about 4 x sample rows of a language, however many there are; then the least
+    hashed = F.shiftrightunsigned(F.xxhash64("doc_id"), 33)
+    cuts = known.groupBy("lang").agg((F.lit(4.0 * sample * (1 << 31)) / F.count(F.lit(1))).alias("cut"))
+    order = Window.partitionBy("lang").orderBy(hashed, "doc_id")
+    chosen = known.select("doc_id", "lang").join(F.broadcast(cuts), "lang").filter(hashed < F.col("cut")) \
+                  .withColumn("place", F.row_number().over(order)) \
                   .filter(F.col("place") <= sample).select("doc_id").distinct()
     picked = known.join(F.broadcast(chosen), "doc_id") \
                   .withColumn("x", _features(F.col("text"))) \
@@ -201,11 +205,11 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
         return pd.DataFrame({"lang_pred": lang, "score": score})
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.select(*kept, run(_prepared(F.col("text"))).alias("found"))
+    found = docs.select(*kept, run(_prepared(F.col("text"))).alias("_found"))
     real = F.coalesce(F.col("text"), F.lit("")).rlike("\\p{L}")
     return found.select(
-        *kept, F.when(real, F.col("found.lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(real, F.col("found.score")).otherwise(0.0).alias("score"))
+        *kept, F.when(real, F.col("_found.lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(real, F.col("_found.score")).otherwise(0.0).alias("score"))
 
 
 def held_out(doc_id: Column) -> Column:
