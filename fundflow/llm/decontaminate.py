@@ -10,6 +10,12 @@ alignment of a document and an item the values must map one to one (a benchmark
 value always becomes the same document value and the reverse), else the
 alignment is dropped as a chance likeness.
 
+The join runs in two steps.  Each benchmark window names its longest plain word as
+its anchor; every token of the documents is hash-joined with the anchors, and only
+where one is met the window around it is canonicalised and compared whole.
+Equal templates have equal plain words, so no window is missed, and the texts
+are neither canonicalised nor shuffled as a whole.
+
 Windows with fewer than ``LITERALS`` plain words are no evidence and are not
 joined.  An item shorter than a window is matched as a whole if it has
 ``LITERALS`` plain words; shorter items can't be told from chance.
@@ -31,7 +37,7 @@ from .common import text_key, written
 
 WINDOW = 10
 LITERALS = 5
-MOST_BROADCAST = 1_000_000                    # benchmark windows; beyond it the join is shuffled
+MOST_BROADCAST = 1_000_000                    # benchmark windows; beyond it the token join is shuffled
 
 NUMBER, UNIT, NAME = "\uE001", "\uE002", "\uE003"   # private-use characters as placeholders
 
@@ -51,93 +57,100 @@ GIVEN_NAMES = ("Adam Alice Amy Andrew Anna Anne Ben Bob Carl Carlos Carol Charli
                "Michael Mike Nancy Natalie Nick Olivia Pablo Paul Peter Rachel Robert Ryan Sam Samantha "
                "Sara Sarah Sophia Steve Susan Thomas Tim Tom Tony Victor William")
 
-TOKEN = f"[{NUMBER}-{NAME}]|[\\p{{L}}\\p{{M}}]+|\\p{{N}}+(?:[.,:/]\\p{{N}}+)*"
+# A token keeps the blank (after a comma or semicolon at most) that ties it to the token before:
+# such a token stands inside a sentence.
+TOKEN = ("(?:(?<=[\\p{L}\\p{M}\\p{N}])[,;]? )?"
+         "(?:[\\p{L}\\p{M}]+|\\p{N}+(?:[.,:/]\\p{N}+)*)")
+
 
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
-def _any(words: str) -> str:
-    """One of the words, longest first, tried by first letter."""
-    by_first: dict[str, list[str]] = {}
-    for w in sorted(words.split(), key=len, reverse=True):
-        by_first.setdefault(w[0], []).append(w[1:])
-    return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_first.items()) + ")"
 
+def _core(token: Column) -> Column:
+    return F.ltrim(token, F.lit(" ,;"))
 
-# Each replaces one whole token by one placeholder, so both token lists stay aligned.
-_STEPS = (
-    (f"(?<![\\p{{L}}\\p{{M}}])(?=\\p{{Lu}})(?:(?<=[\\p{{Ll}},;] )\\p{{Lu}}\\p{{Ll}}+|{_any(GIVEN_NAMES)})"
-     "(?![\\p{L}\\p{M}])", NAME),
-    ("\\p{N}+(?:[.,:/]\\p{N}+)*", NUMBER),
-    (f"(?<![\\p{{L}}\\p{{M}}])(?i:{_any(NUMBER_WORDS)})(?![\\p{{L}}\\p{{M}}])", NUMBER),
-    (f"(?<={NUMBER} ?)(?i:{_any(UNITS)})(?![\\p{{L}}\\p{{M}}])", UNIT),
-)
 
+def _is_number(token: Column) -> Column:
+    core = _core(token)
+    return core.rlike("^\\p{N}") | F.lower(core).isin(NUMBER_WORDS.split())
 
-def template_text(text: Column) -> Column:
-    """The text with one placeholder per number, name and unit, lower-cased."""
-    out = F.coalesce(text, F.lit(""))
-    for pattern, mark in _STEPS:
-        out = F.regexp_replace(out, F.lit(pattern), F.lit(mark))
-    return F.lower(out)
 
+def _template(tokens: Column, start: Column, length: Column) -> Column:
+    """Template of ``length`` tokens from ``start`` (counted from 0); units and names see the token before."""
+    def one(i):
+        token = F.element_at(tokens, i)
+        core = _core(token)
+        name = core.rlike("^\\p{Lu}\\p{Ll}+$") & ((core != token) | core.isin(GIVEN_NAMES.split()))
+        unit = (i > 1) & F.lower(core).isin(UNITS.split()) \
+            & _is_number(F.element_at(tokens, F.greatest(i - 1, F.lit(1))))
+        return F.when(_is_number(token), NUMBER).when(unit, UNIT).when(name, NAME) \
+                .otherwise(F.lower(core))
 
-def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return F.transform(F.sequence(start + 1, start + length), one)
 
 
-def windows(texts: DataFrame, keys: list[str], lengths: list[int], text: str = "text") -> DataFrame:
-    """(*keys, n_tokens, at, length, hash, template, words) per window with enough plain words.
+def _plain(token: Column) -> Column:
+    return ~token.between(NUMBER, NAME)
 
-    ``template`` and ``words`` are the window's tokens after and before
-    canonicalisation; ``at`` counts tokens from 0.
+
+def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(anchor, item_id, item_key, item_at, length, offset, item_template, item_words) per window.
+
+    ``anchor`` hashes the window's longest plain word, ``offset`` is its place in the window.
     """
-    most = max(lengths)
-    lists = texts.select(*keys, _tokens(template_text(F.col(text))).alias("t"),
-                         _tokens(F.coalesce(F.col(text), F.lit(""))).alias("w"))
-    kind = "array<struct<" + ",".join(f"t{i}:string" for i in range(most)) + ">>"
-    shifted = [F.slice("t", F.lit(i + 1), F.size("t")) for i in range(most)]
-    rows = lists.select(*keys, "t", "w", F.posexplode(F.arrays_zip(*shifted).cast(kind))
-                        .alias("at", "s"))
-    tokens = [F.col(f"s.t{i}") for i in range(most)]
-    marks = [F.when(x.between(NUMBER, NAME), 0).otherwise(1) for x in tokens]
-
-    def one(n: int) -> Column:
-        return F.when(tokens[n - 1].isNotNull() & (reduce(Column.__add__, marks[:n]) >= LITERALS),
-                      F.xxhash64(F.lit(n), *tokens[:n]))
-
-    if len(lengths) == 1:
-        hashed = rows.select(*keys, F.size("t").alias("n_tokens"), "at", "t", "w",
-                             F.lit(most).alias("length"), one(most).alias("hash"))
-    else:
-        hashed = rows.select(*keys, F.size("t").alias("n_tokens"), "at", "t", "w", F.inline(F.array(
-            *[F.struct(F.lit(n).alias("length"), one(n).alias("hash")) for n in lengths])))
-    return hashed.filter("hash is not null").select(
-        *keys, "n_tokens", "at", "length", "hash",
-        F.slice("t", F.col("at") + 1, F.col("length")).alias("template"),
-        F.slice("w", F.col("at") + 1, F.col("length")).alias("words"))
+    items = benchmark.select("item_id", text_key(F.col("text")).alias("item_key"),
+                             _tokens(F.col("text")).alias("w")).distinct() \
+                     .filter(F.size("w") >= LITERALS)
+    length = F.least(F.lit(window), F.size("w"))
+    spread = items.select("item_id", "item_key", "w", length.alias("length"), F.explode(
+        F.sequence(F.lit(0), F.size("w") - length)).alias("item_at"))
+    full = spread.select(
+        "item_id", "item_key", "item_at", "length",
+        _template(F.col("w"), F.col("item_at"), F.col("length")).alias("item_template"),
+        F.transform(F.slice("w", F.col("item_at") + 1, F.col("length")), _core).alias("item_words"))
+    plain = F.filter("item_template", _plain)
+    longest = F.element_at(F.array_sort(F.transform(plain, lambda t: F.struct(
+        (-F.char_length(t)).alias("n"), t.alias("t")))), 1)["t"]
+    return full.filter(F.size(plain) >= LITERALS).withColumn("word", longest).select(
+        F.xxhash64("word").alias("anchor"), "item_id", "item_key", "item_at", "length",
+        (F.array_position("item_template", F.col("word")).cast("int") - 1).alias("offset"),
+        "item_template", "item_words")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_key, item_id, item_key, at, item_at, windows of the item, slots) per matched window."""
-    sizes = benchmark.select(F.least(F.lit(window), F.size(_tokens(F.coalesce("text", F.lit("")))))
-                             .alias("n")).filter(F.col("n") >= LITERALS).distinct().collect()
-    lengths = sorted(r.n for r in sizes) or [window]      # at most ``window`` numbers
-    items = benchmark.select("item_id", "text", text_key(F.col("text")).alias("item_key")).distinct()
-    theirs = windows(items, ["item_id", "item_key"], lengths) \
-        .filter((F.col("length") == window) | (F.col("length") == F.col("n_tokens")))
-    theirs = written(theirs.select(
-        "item_id", "item_key", F.col("at").alias("item_at"), "length", "hash",
-        F.col("template").alias("item_template"), F.col("words").alias("item_words")),
-        "benchmark-windows")
-    small = theirs.count() <= MOST_BROADCAST
-    ours = windows(docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")),
-                   ["doc_id", "text_key"], lengths)
-    joined = ours.join(F.broadcast(theirs) if small else theirs, ["length", "hash"]) \
-                 .filter(F.col("template") == F.col("item_template"))
-    pairs = F.arrays_zip(F.col("template").alias("kind"), F.col("words").alias("value"),
-                         F.col("item_words").alias("item_value"))
-    slots = F.filter(pairs, lambda p: p["kind"].between(NUMBER, NAME))
-    return joined.select("doc_id", "text_key", "item_id", "item_key", "at", "item_at", "length",
-                         slots.alias("slots"))
+    """(doc_id, text_key, item_id, item_key, at, item_at, length, slots) per matched window.
+
+    ``at`` and ``item_at`` count tokens; ``slots`` pairs the values at the placeholders.
+    """
+    theirs = written(benchmark_windows(benchmark, window), "benchmark-windows")
+    texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
+                        _tokens(F.col("text")).alias("w"))
+    tokens = texts.select("doc_id", "text_key", "w", F.posexplode("w").alias("place", "token")) \
+        .withColumn("anchor", F.xxhash64(F.lower(_core(F.col("token")))))
+    if theirs.count() <= MOST_BROADCAST:
+        met = tokens.join(F.broadcast(theirs), "anchor")
+    else:                                      # narrow token rows are shuffled, then the texts met
+        met = tokens.select("doc_id", "text_key", "place", "anchor").join(theirs, "anchor") \
+            .withColumnRenamed("doc_id", "met_id").withColumnRenamed("text_key", "met_key")
+        one = texts.dropDuplicates(["doc_id", "text_key"])
+        met = met.join(one, one.doc_id.eqNullSafe(F.col("met_id")) & (one.text_key == F.col("met_key")))
+    at = F.col("place") - F.col("offset")
+    inside = met.filter((at >= 0) & (at + F.col("length") <= F.size("w")))
+    # Only the window and the token before it go on.  The id is a barrier: below it all is one
+    # generated loop over the tokens, and the comparison above sees met rows alone.
+    around = inside.select(
+        "doc_id", "text_key", "item_id", "item_key", at.alias("at"), "item_at", "length",
+        "item_template", "item_words", F.least(at, F.lit(1)).alias("lead"),
+        F.slice("w", F.greatest(at, F.lit(1)), F.col("length") + F.least(at, F.lit(1))).alias("near"),
+        F.monotonically_increasing_id().alias("barrier"))
+    same = around.filter((_template(F.col("near"), F.col("lead"), F.col("length"))
+                          == F.col("item_template")) & (F.col("barrier") >= 0))
+    pairs = F.arrays_zip(F.col("item_template").alias("kind"), F.transform(
+        F.slice("near", F.col("lead") + 1, F.col("length")), _core).alias("value"),
+        F.col("item_words").alias("item_value"))
+    return same.select("doc_id", "text_key", "item_id", "item_key", "at", "item_at", "length",
+                       F.filter(pairs, lambda p: ~_plain(p["kind"])).alias("slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
