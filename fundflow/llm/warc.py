@@ -28,14 +28,14 @@ import re
 from urllib.parse import urlsplit
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shared_path, written
 
 END = "\r\n\r\n"
 LEAST_REVISIT = 100
-ARCHIVE_BYTES = 16 << 20                       # payload of one archive, about
+LAST = (1 << 63) - 1                           # order of a missing page id
 DATE_0 = 1_600_000_000                         # capture time of page 0; a second per page id
 FIELDS = ("page_id long, url string, urlkey string, timestamp string, record_type string, "
           "payload_bytes long, payload_digest string, refers_to long, file string, offset long, "
@@ -43,25 +43,30 @@ FIELDS = ("page_id long, url string, urlkey string, timestamp string, record_typ
 
 
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """``pages`` (page_id, url, html) plus row, bytes, digest and refers_to (null for responses).
+    """page_id, url, html, bytes, digest, revisit, refers_to (null for responses) per page.
 
-    Digests meet in one pre-aggregated row each before anything is joined, and
-    only digests that occur twice are joined: a payload that a third of all pages
-    share is an ordinary skewed key.
+    Which pages repeat a payload is settled on narrow rows, pre-aggregated by
+    digest: a payload that a third of all pages share is an ordinary skewed key of
+    a narrow join.  The payloads move once, by page.
     """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    keyed = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"),
-                         F.monotonically_increasing_id().alias("row"),
+    keyed = pages.select("page_id", F.coalesce("page_id", F.lit(LAST)).alias("pid"), "url",
+                         F.coalesce("html", F.lit("")).alias("html"),
                          F.octet_length(body).cast("long").alias("bytes"),
                          F.sha2(body, 256).alias("digest"))
-    first = F.min(F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "row"))
-    groups = keyed.filter(F.col("bytes") >= least).groupBy(F.col("digest").alias("d")) \
-                  .agg(F.count(F.lit(1)).alias("n"), first.alias("first")).filter("n > 1")
-    joined = keyed.join(groups, (F.col("digest") == F.col("d")) & (F.col("bytes") >= least), "left")
-    later = F.col("first").isNotNull() & (F.col("row") != F.col("first.row"))
-    return joined.select("page_id", "url", "html", "row", "bytes", "digest",
-                         later.alias("revisit"),
-                         F.when(later, F.col("first.page_id")).alias("refers_to"))
+    narrow = keyed.filter(F.col("bytes") >= least).groupBy("pid", "digest") \
+                  .agg(F.count(F.lit(1)).alias("n"))
+    groups = narrow.groupBy(F.col("digest").alias("d")).agg(
+        F.sum("n").alias("all"), F.min("pid").alias("first")).filter(F.col("all") > 1)
+    member = narrow.join(groups, F.col("digest") == F.col("d")).select(
+        F.col("pid").alias("m_pid"), F.col("digest").alias("m_digest"), "first")
+    joined = keyed.join(member, (F.col("pid") == F.col("m_pid"))
+                        & (F.col("digest") == F.col("m_digest")), "left")
+    copy = F.row_number().over(Window.partitionBy("pid", "digest").orderBy("url"))
+    later = F.col("first").isNotNull() & ((F.col("pid") != F.col("first")) | (F.col("copy") > 1))
+    return joined.withColumn("copy", copy).select(
+        "page_id", "url", "html", "bytes", "digest", later.alias("revisit"),
+        F.when(later, F.nullif("first", F.lit(LAST))).alias("refers_to"))
 
 
 def _record_id(page_id: Column) -> Column:
@@ -73,7 +78,11 @@ def _record_id(page_id: Column) -> Column:
 
 
 def write_archives(captures: DataFrame, path: str) -> None:
-    """Gzipped WARC files of about ARCHIVE_BYTES payload below ``path``, one record a row."""
+    """A gzipped WARC file per partition of ``captures`` below ``path``, one record a row.
+
+    The partitions are those of the last shuffle, sized by
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    """
     target = F.regexp_replace(F.coalesce("url", F.lit("")), "[\\x00-\\x20\\x7f]", "%20")
     date = F.date_format(F.timestamp_seconds(
         F.coalesce("page_id", F.lit(0)) % 1_000_000_000 + DATE_0), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -248,7 +257,5 @@ def archive(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Writes the archives of ``pages`` and gives the merged index read back from them."""
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
-    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    captures = with_revisits(pages).repartition(max(1, -(-size // ARCHIVE_BYTES)))
-    write_archives(captures, path)
+    write_archives(with_revisits(pages), path)
     return capture_index(read_archives(spark, path))
