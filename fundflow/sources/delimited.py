@@ -1,33 +1,60 @@
 """Bulk filing files -> raw tables.
 
 Layout on disk: ``{root}/{cycle_year}/{file_type}/*.txt``, pipe-delimited, no
-header.  Reads use a declared all-text schema (no inference pass), no quote
-character (a stray ``"`` stays in the text) and drop rows whose field count
-is wrong.  Raw tables are Parquet partitioned by ``(cycle_year,
-source_file)``; writing with dynamic partition overwrite replaces exactly the
-partitions of the files being loaded, so a reload is idempotent.
+header.  A line is split at every pipe, with no quote character (a stray ``"``
+stays in the text); an empty field is NULL, a blank line is no row, and a line with a
+wrong field count is rejected and counted.  Raw tables are Parquet partitioned by
+``(cycle_year, source_file)``; a load first drops the partitions of the files it
+reads, so loading a changed file again equals a fresh load.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .layouts import FILE_TYPES, OPTIONAL_TABLES, check_cycles, raw_schema, text_schema
+from .layouts import (FILE_TYPES, LINEAGE_COLUMNS, OPTIONAL_TABLES, RAW_TABLES, check_cycles,
+                      columns_of, raw_schema)
 
 _CYCLE_FROM_PATH = r"/(\d{4})/[^/]+/[^/]+$"
+COUNTS = "table_name string, cycle_year int, source_file string, rows long, rejected long"
 
 
-def _reader(spark: SparkSession, columns: list[str], sep: str = "|"):
-    # Column pruning must stay off or a narrow select would keep malformed rows.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return (spark.read.schema(text_schema(columns))
-            .option("sep", sep).option("header", False)
-            .option("quote", "").option("escape", "\\")
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("mode", "DROPMALFORMED"))
+def split_lines(lines: DataFrame, columns: list[str], sep: str = "|") -> DataFrame:
+    """``lines`` (value, lineage) plus ``parts``: the fields, or NULL for a rejected line."""
+    parts = F.split(F.col("value"), re.escape(sep), -1)
+    return lines.filter(F.col("value") != "").withColumn(
+        "parts", F.when(F.size(parts) == len(columns), parts))
+
+
+def accepted(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the lines that have the right field count: text columns plus lineage."""
+    fields = [F.nullif(F.col("parts")[i], F.lit("")).alias(c) for i, c in enumerate(columns)]
+    return split_lines(lines, columns).filter(F.col("parts").isNotNull()) \
+        .select(*fields, *LINEAGE_COLUMNS)
+
+
+def line_counts(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """(cycle_year, source_file, rows, rejected) per file that has a line."""
+    good = F.col("parts").isNotNull()
+    return split_lines(lines, columns).groupBy(*LINEAGE_COLUMNS).agg(
+        F.count_if(good).alias("rows"), F.count_if(~good).alias("rejected"))
+
+
+def with_lineage(text: DataFrame, cycle_year: int | None = None) -> DataFrame:
+    """Lines of a text source with the cycle (from the path unless given) and the file name."""
+    year = (F.lit(cycle_year) if cycle_year is not None
+            else F.regexp_extract("_metadata.file_path", _CYCLE_FROM_PATH, 1))
+    return text.select("value", year.cast("int").alias("cycle_year"),
+                       F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+                       .alias("source_file"))     # the name is URL-encoded there
+
+
+def read_lines(spark: SparkSession, paths: list[str] | str, cycle_year: int | None = None) -> DataFrame:
+    return with_lineage(spark.read.text(paths), cycle_year)
 
 
 def read_filing(spark: SparkSession, paths: list[str] | str, file_type: str,
@@ -36,77 +63,78 @@ def read_filing(spark: SparkSession, paths: list[str] | str, file_type: str,
 
     ``cycle_year`` defaults to the ``{year}`` directory above the file type.
     """
-    _, columns = FILE_TYPES[file_type]
-    df = _reader(spark, columns).csv(paths)
-    path = F.col("_metadata.file_path")
-    year = (F.lit(cycle_year) if cycle_year is not None
-            else F.regexp_extract(path, _CYCLE_FROM_PATH, 1).cast("int"))
-    return df.select(*columns, year.cast("int").alias("cycle_year"),
-                     F.col("_metadata.file_name").alias("source_file"))
+    return accepted(read_lines(spark, paths, cycle_year), FILE_TYPES[file_type][1])
 
 
-def list_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """File name, path, size and directory of every file matching ``pattern``.
+def _glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, size) of the files matching ``pattern``, empty ones too, on whichever file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted((s.getPath().toString(), s.getLen()) for s in found or [] if s.isFile())
 
-    ``binaryFile`` reads no content when only metadata columns are selected.
-    """
-    return (spark.read.format("binaryFile").load(pattern)
-            .select(F.col("path"), F.col("length").alias("file_size"),
-                    F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                    F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("directory")))
+
+def list_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """Name, path, size, cycle and type of every file matching ``pattern`` (names only are read)."""
+    files = spark.createDataFrame(_glob(spark, pattern), "path string, file_size long")
+    return files.select(
+        "path", "file_size", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+        F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("file_type"),
+        F.nullif(F.regexp_extract("path", _CYCLE_FROM_PATH, 1), F.lit("")).cast("int")
+        .alias("cycle_year"))
 
 
 def discover_inputs(spark: SparkSession, root: str, cycles: list[int],
-                    file_types: list[str] | None = None) -> dict[str, list[str]]:
-    """Per file type, the file to load in each ``{root}/{year}/{type}`` folder.
+                    file_types: list[str] | None = None) -> dict[str, list[tuple[int, str, str]]]:
+    """Per file type, (cycle, name, path) of every file in the ``{root}/{year}/{type}`` folders.
 
-    A missing folder or one without ``.txt`` files is skipped.  When a
-    folder holds several files the first by name is taken (deterministic).
-    The listing is a Spark job over file metadata; only one path per folder
-    comes back to the driver.
+    A missing folder or one without ``.txt`` files is skipped; empty files count.
     """
     cycles = check_cycles(cycles)
-    out: dict[str, list[str]] = {}
-    for ftype in file_types or list(FILE_TYPES):
-        patterns = [f"{root}/{y}/{ftype}/*.txt" for y in cycles]
-        frames = []
-        for p in patterns:
-            try:
-                frames.append(list_files(spark, p))
-            except Exception as exc:  # path does not exist -> skip, like the loader
-                if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                    raise
-        if not frames:
-            continue
-        files = reduce(DataFrame.unionByName, frames)
-        firsts = files.groupBy("directory").agg(F.min("path").alias("path"))
-        paths = sorted(r["path"] for r in firsts.collect())
-        if paths:
-            out[ftype] = paths
-    return out
+    out = {ftype: [(year, path.rpartition("/")[2], path) for year in cycles
+                   for path, _ in _glob(spark, f"{root}/{year}/{ftype}/*.txt")]
+           for ftype in file_types or FILE_TYPES}
+    return {ftype: files for ftype, files in out.items() if files}
+
+
+def _partition_name(value: str) -> str:
+    """A partition value as Spark spells it in a folder name."""
+    return re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
+
+
+def drop_partitions(spark: SparkSession, table: str, files: list[tuple[int, str]]) -> None:
+    """Delete the (cycle, file) partitions of a raw table, whichever file system holds it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for year, name in files:
+        path = hadoop.Path(f"{table}/cycle_year={year}", f"source_file={_partition_name(name)}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def load_files(spark: SparkSession, files: list[tuple[int, str, str]], file_type: str,
+               warehouse: str) -> DataFrame:
+    """Load (cycle, name, path) files of one type; return rows and rejected lines per file."""
+    table, columns = FILE_TYPES[file_type]
+    target = f"{warehouse}/raw/{table}"
+    drop_partitions(spark, target, [(y, n) for y, n, _ in files])
+    lines = read_lines(spark, [p for _, _, p in files])
+    (accepted(lines, columns).write.mode("append").partitionBy(*LINEAGE_COLUMNS).parquet(target))
+    listed = spark.createDataFrame([(y, n) for y, n, _ in files], "cycle_year int, source_file string")
+    counts = listed.join(line_counts(lines, columns), LINEAGE_COLUMNS, "left")
+    return counts.select(F.lit(table).alias("table_name"), *LINEAGE_COLUMNS,
+                         F.coalesce("rows", F.lit(0)).alias("rows"),
+                         F.coalesce("rejected", F.lit(0)).alias("rejected"))
 
 
 def load_raw(spark: SparkSession, root: str, warehouse: str, cycles: list[int],
              file_types: list[str] | None = None) -> DataFrame:
-    """Load discovered files into ``{warehouse}/raw/{table}``; return rows per file.
+    """Load every discovered file into ``{warehouse}/raw/{table}``.
 
-    Dynamic partition overwrite replaces only the (cycle_year, source_file)
-    partitions being loaded: loading the same files twice equals loading once.
+    Returns (table_name, cycle_year, source_file, rows, rejected) per file read, 0 for
+    an empty one.  The files' old partitions go first, so nothing stale stays.
     """
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    counts = []
-    for ftype, paths in discover_inputs(spark, root, cycles, file_types).items():
-        table, _ = FILE_TYPES[ftype]
-        df = read_filing(spark, paths, ftype)
-        (df.write.mode("overwrite").partitionBy("cycle_year", "source_file")
-         .parquet(f"{warehouse}/raw/{table}"))
-        written = spark.read.parquet(f"{warehouse}/raw/{table}")
-        loaded = written.filter(F.col("cycle_year").isin(cycles)).groupBy(
-            "cycle_year", "source_file").agg(F.count(F.lit(1)).alias("rows"))
-        counts.append(loaded.select(F.lit(table).alias("table_name"), "*"))
-    if not counts:
-        return spark.createDataFrame([], "table_name string, cycle_year int, source_file string, rows long")
-    return reduce(DataFrame.unionByName, counts)
+    counts = [load_files(spark, files, ftype, warehouse)
+              for ftype, files in discover_inputs(spark, root, cycles, file_types).items()]
+    return (reduce(DataFrame.unionByName, counts) if counts
+            else spark.createDataFrame([], COUNTS))
 
 
 def read_raw(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
@@ -114,23 +142,15 @@ def read_raw(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     is returned empty with its schema."""
     path = f"{warehouse}/raw/{table}"
     try:
-        return spark.read.schema(raw_schema(_columns(table))).parquet(path)
+        return spark.read.schema(raw_schema(columns_of(table))).parquet(path)
     except Exception as exc:
         if table in OPTIONAL_TABLES and ("PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)):
             return spark.createDataFrame([], raw_schema(OPTIONAL_TABLES[table]))
         raise
 
 
-def _columns(table: str) -> list[str]:
-    for name, cols in FILE_TYPES.values():
-        if name == table:
-            return cols
-    return OPTIONAL_TABLES[table]
-
-
 def read_raw_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    names = [name for name, _ in FILE_TYPES.values()] + list(OPTIONAL_TABLES)
-    return {name: read_raw(spark, warehouse, name) for name in names}
+    return {name: read_raw(spark, warehouse, name) for name in RAW_TABLES}
 
 
 def write_filing(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -147,20 +167,25 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def file_manifest_status(spark: SparkSession, pattern: str, manifest: DataFrame) -> DataFrame:
-    """Status of each listed file against a manifest of (file_name, file_size).
+def manifest_status(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``files`` (cycle_year, file_type, file_name, file_size, ...) with their status in a manifest.
 
-    ``skipped``: same name and size already recorded; ``changed``: same name,
-    other size; ``new``: not recorded.
+    Names recur in every cycle, so a file is known by (cycle, type, name).
+    ``skipped``: recorded with this size; ``changed``: recorded with other sizes only;
+    ``new``: not recorded.  A size of 0 is unknown and never skipped; repeated
+    manifest rows count once.
     """
-    files = list_files(spark, pattern)
-    m = manifest.select(F.col("file_name").alias("_m_name"), F.col("file_size").alias("_m_size"))
-    # one row per recorded file: small, and AQE broadcasts it on its real size
-    j = files.join(m, files["file_name"] == m["_m_name"], "left")
-    status = (F.when(F.col("_m_name").isNull(), F.lit("new"))
-              .when(F.col("_m_size") == F.col("file_size"), F.lit("skipped"))
+    key = ["cycle_year", "file_type", "file_name"]
+    recorded = manifest.groupBy(*key).agg(F.collect_set("file_size").alias("_sizes"))
+    known = F.col("_sizes").isNotNull()
+    same = F.coalesce(F.array_contains("_sizes", F.col("file_size")), F.lit(False))
+    status = (F.when(~known, F.lit("new")).when(same & (F.col("file_size") > 0), F.lit("skipped"))
               .otherwise(F.lit("changed")))
-    return j.select("file_name", "file_size", "path", status.alias("status"))
+    return files.join(recorded, key, "left").select(*files.columns, status.alias("status"))
+
+
+def file_manifest_status(spark: SparkSession, pattern: str, manifest: DataFrame) -> DataFrame:
+    return manifest_status(list_files(spark, pattern), manifest)
 
 
 def manifest_counts(status: DataFrame) -> DataFrame:

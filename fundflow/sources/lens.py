@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import seeds
+
 SOURCE_TABLES = ["customer", "nation", "part", "lineitem", "orders", "events", "supplier"]
 
 
@@ -22,6 +24,12 @@ def _id(prefix: str, expr: str) -> str:
     return f"('{prefix}' || lpad(cast({expr} as string), 8, '0'))"
 
 
+def _seed_keyword(expr: str) -> str:
+    """A keyword of the seed taxonomy, all of them in turn as ``expr`` counts up."""
+    words = [r[0].replace("'", "''") for r in seeds.taxonomy_rows()]
+    return f"split_part('{'|'.join(words)}', '|', cast({expr} % {len(words)} + 1 as int))"
+
+
 def _mmddyyyy(expr: str, dialect: str) -> str:
     if dialect == "spark":
         return f"date_format({expr}, 'MMddyyyy')"
@@ -64,10 +72,11 @@ def _candidates(t) -> str:
 
 
 def _committees(t) -> str:
-    return f"""
+    def row(year: int, name: str, where: str) -> str:
+        return f"""
       SELECT
         {_id('C', 'p_partkey')} AS cmte_id,
-        upper(p_name) AS cmte_nm,
+        {name} AS cmte_nm,
         'TREASURER ' || cast(p_partkey % 50 as string) AS tres_nm,
         cast(p_partkey as string) || ' K ST NW' AS cmte_st1,
         CAST(NULL AS string) AS cmte_st2,
@@ -85,9 +94,16 @@ def _committees(t) -> str:
         CASE WHEN p_partkey % 7 = 0 THEN NULL
              ELSE p_type || ' & ' || p_brand || ' INC' END AS connected_org_nm,
         {_id('H', 'p_partkey')} AS cand_id,
-        2000 AS cycle_year,
+        {year} AS cycle_year,
         'cm.txt' AS source_file
-      FROM {t('part')}"""
+      FROM {t('part')}{where}"""
+
+    # every fifth committee carries a seed keyword in its name, every tenth files in a second
+    # cycle as well (its transactions then count once per cycle, as in the source)
+    keyword = f"upper({_seed_keyword('p_partkey')})"
+    name = f"CASE WHEN p_partkey % 5 = 1 THEN {keyword} || ' FUND' ELSE upper(p_name) END"
+    return (row(2000, name, "") + " UNION ALL "
+            + row(2002, "upper(p_name) || ' COMMITTEE'", " WHERE p_partkey % 10 = 3"))
 
 
 def _pac(t, dialect: str) -> str:
@@ -95,7 +111,8 @@ def _pac(t, dialect: str) -> str:
               "ELSE l.l_quantity * 20 + l.l_linenumber END as decimal(12,2))")
     return f"""
       SELECT
-        {_id('C', 'l.l_partkey')} AS cmte_id,
+        CASE WHEN l.l_linenumber = 5 AND l.l_quantity > 45 THEN {_id('U', 'l.l_partkey % 100')}
+             ELSE {_id('C', 'l.l_partkey')} END AS cmte_id,
         CASE WHEN l.l_linenumber = 3 THEN 'A' ELSE 'N' END AS amndt_ind,
         'Q' || cast(l.l_linenumber % 4 + 1 as string) AS rpt_tp,
         CASE l.l_linestatus WHEN 'O' THEN 'P2024' ELSE 'G2024' END AS transaction_pgi,
@@ -144,6 +161,7 @@ def _individual(t, dialect: str) -> str:
         lpad(cast(e.user_id % 100000 as string), 5, '0') AS zip_code,
         CASE WHEN e.event_id % 11 = 0 THEN 'RETIRED'
              WHEN e.event_id % 13 = 0 THEN NULL
+             WHEN e.event_id % 7 = 2 THEN upper({_seed_keyword('e.event_id')}) || ' INC'
              WHEN e.event_id % 17 = 0 THEN '  ' || upper(p.p_name) || ' &  SONS LLC.'
              ELSE upper(p.p_name) || ' INC' END AS employer,
         CASE e.user_id % 4 WHEN 0 THEN 'ENGINEER' WHEN 1 THEN 'TEACHER'
@@ -156,10 +174,11 @@ def _individual(t, dialect: str) -> str:
         CAST(NULL AS string) AS memo_cd,
         CASE WHEN e.event_id % 5 = 0 THEN 'EARMARKED FOR ' || upper(p.p_brand) ELSE NULL END
           AS memo_text,
-        cast(e.event_id as string) AS sub_id,
+        cast(CASE WHEN e.event_id % 100 = 3 THEN e.event_id - 3 ELSE e.event_id END as string) AS sub_id,
         cast(1996 + 2 * (e.event_id % 3) as int) AS cycle_year,
         'itcont.txt' AS source_file
-      FROM {t('events')} e JOIN {t('part')} p ON p.p_partkey = e.event_id % 200"""
+      FROM {t('events')} e JOIN {t('part')} p
+        ON p.p_partkey = e.event_id % 200 AND p.p_partkey < 200"""
 
 
 def _linkage(t) -> str:
@@ -255,6 +274,41 @@ def _crosswalk(t) -> str:
             + xw("CASE WHEN p_partkey % 60 = 0 THEN 'K' || cast((p_size + 1) % 4 as string) END", "B"))
 
 
+# Lines that delimited_lines_sql spoils: a field too few, then a field too many.
+SHORT_LINE = "image_num LIKE '%7'"
+LONG_LINE = "image_num LIKE '%31'"
+BAD_LINE = f"{SHORT_LINE} OR {LONG_LINE}"
+
+
+def delimited_lines_sql(dialect: str, columns: list[str], raw: str = "{raw}") -> str:
+    """The rows of a raw table as pipe-delimited lines (value, lineage), some spoiled."""
+    fields = [f"coalesce({c}, '')" for c in columns]
+    return f"""
+      SELECT concat_ws('|', {', '.join(fields[:-1])}) || CASE
+               WHEN {SHORT_LINE} THEN '' ELSE '|' || {fields[-1]} END
+             || CASE WHEN {LONG_LINE} THEN '|extra' ELSE '' END AS value,
+             cycle_year, source_file
+      FROM {raw}"""
+
+
+def listing_sql(part: str = "{part}") -> str:
+    """A file listing: names recur in every cycle and type, some sizes are 0 (unknown)."""
+    return f"""
+      SELECT cast(1980 + 2 * (p_partkey % 23) as int) AS cycle_year,
+             CASE p_partkey % 3 WHEN 0 THEN 'indiv' WHEN 1 THEN 'pas2' ELSE 'cn' END AS file_type,
+             'f' || cast(p_partkey % 40 as string) || '_' || cast(cast(floor(p_partkey / 2760) as bigint) as string)
+               || '.zip' AS file_name,
+             cast(CASE WHEN p_partkey % 50 = 7 THEN 0 ELSE p_size * 1000 END as bigint) AS file_size
+      FROM {part}"""
+
+
+def manifest_sql(part: str = "{part}") -> str:
+    """What was recorded: two thirds of the listing, some with another size, some twice."""
+    base = listing_sql(part).replace("AS file_size", "+ CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS file_size")
+    return (base + " WHERE p_partkey % 3 <> 2 OR p_partkey % 4 = 0 UNION ALL "
+            + base + " WHERE p_partkey % 8 = 0")
+
+
 LENS_TABLES = [
     "candidates", "committees", "pac_contributions", "individual_contributions",
     "candidate_committee_linkage", "candidate_financial_summary", "opensecrets_committees",
@@ -282,28 +336,8 @@ def lens_sql(table: str, dialect: str, t=None) -> str:
     return sql
 
 
-# Sources with per-row work downstream, and the key each one is joined on.
-_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
-
 def read_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Benchmark tables.  A table stored in fewer files than there are cores
-    is one read task per file, so it is hash-partitioned on its join key into
-    ``spark.sql.shuffle.partitions`` parts; the lens joins then reuse that
-    partitioning.  Tables of cluster size have far more files than cores and
-    are read as they are.
-    """
-    sc = spark.sparkContext
-    cores = sc.defaultParallelism
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    local = sc.master.startswith("local")      # never list a cluster table's files
-    out = {}
-    for name in SOURCE_TABLES:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        if local and name in _SPREAD and len(df.inputFiles()) < cores:
-            df = df.repartition(parts, _SPREAD[name])
-        out[name] = df
-    return out
+    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCE_TABLES}
 
 
 def lens_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -12,30 +12,20 @@ with ``trigger(availableNow=True)`` as a scheduled job, or continuously.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.layouts import FILE_TYPES, text_schema
-
-_CYCLE_FROM_PATH = r"/(\d{4})/[^/]+/[^/]+$"
+from ..sources.delimited import accepted, with_lineage
+from ..sources.layouts import FILE_TYPES, LINEAGE_COLUMNS
 
 
 def filing_stream(spark: SparkSession, root: str, file_type: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming raw table of one file type (text columns + lineage)."""
-    _, columns = FILE_TYPES[file_type]
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    reader = (spark.readStream.schema(text_schema(columns))
-              .option("sep", "|").option("header", False).option("quote", "")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .option("mode", "DROPMALFORMED"))
+    """Streaming raw table of one file type (text columns + lineage), split as in batch."""
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(f"{root}/*/{file_type}/*.txt")
-    path = F.col("_metadata.file_path")
-    return df.select(*columns,
-                     F.regexp_extract(path, _CYCLE_FROM_PATH, 1).cast("int").alias("cycle_year"),
-                     F.col("_metadata.file_name").alias("source_file"))
+    return accepted(with_lineage(reader.text(f"{root}/*/{file_type}/*.txt")),
+                    FILE_TYPES[file_type][1])
 
 
 def start_filing_load(spark: SparkSession, root: str, file_type: str, warehouse: str,
@@ -46,9 +36,8 @@ def start_filing_load(spark: SparkSession, root: str, file_type: str, warehouse:
     target = f"{warehouse}/raw/{table}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (batch.write.mode("overwrite").partitionBy("cycle_year", "source_file")
-         .parquet(target))
+        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*LINEAGE_COLUMNS).parquet(target))
 
     writer = (filing_stream(spark, root, file_type, max_files_per_trigger).writeStream
               .foreachBatch(write_batch)
