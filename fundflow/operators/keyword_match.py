@@ -2,7 +2,8 @@
 
 A row matches keyword ``k`` when any of its texts, lower-cased, contains
 ``lower(k)`` (substring semantics, so hits inside words count).  Among the
-matches the smallest ``(priority, keyword)`` wins.
+matches the smallest ``(priority, keyword)`` wins, a NULL priority after all others.
+An empty keyword is contained in every non-NULL text; a NULL keyword in none.
 
 Two plans give the same answer:
 
@@ -23,8 +24,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
-
 MAX_INLINE_KEYWORDS = 512
 
 MATCH_FIELDS = ["keyword", "industry", "industry_group", "priority"]
@@ -162,35 +161,45 @@ def first_match_inline(texts: list[Column], keywords: list[tuple],
 
 
 def first_match_join(df: DataFrame, text_cols: list[str], taxonomy: DataFrame,
-                     out_col: str = "match") -> DataFrame:
-    """Add ``out_col`` to ``df`` with the n-gram equi-join plan."""
-    tax = (taxonomy.select(F.lower("keyword").alias("_kw"), *MATCH_FIELDS)
-           .filter(F.col("_kw").isNotNull() & (F.length("_kw") > 0)))
-    lengths = [r[0] for r in tax.select(F.length("_kw")).distinct().collect()]
+                     out_col: str = "match", whole_words: bool = False) -> DataFrame:
+    """Add ``out_col`` to ``df`` with the n-gram equi-join plan (any taxonomy size)."""
+    def rank(m):                                # NULL priority last, as in the inline plan
+        return F.struct(m["priority"].isNull().alias("none"), m["priority"].alias("priority"),
+                        m["keyword"].alias("keyword"))
+
+    tax = taxonomy.filter(F.col("keyword").isNotNull()) \
+                  .select(F.lower("keyword").alias("_kw"), F.struct(*MATCH_FIELDS).alias("_k"))
+    best_kw = tax.groupBy("_kw").agg(F.min_by("_k", rank(F.col("_k"))).alias("_k"))
+    lengths = [r[0] for r in best_kw.select(F.length("_kw").alias("n")).filter("n > 0")
+               .distinct().collect()]          # at most as many as the longest keyword has letters
     texts = reduce(lambda a, b: a.unionByName(b),
-                   [df.select(F.lower(F.col(c)).alias("_text")) for c in text_cols]).distinct()
-    grams = None
-    for n in lengths:
-        g = texts.select(
-            "_text",
-            F.explode(F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(0))),
-                lambda i: F.substring(F.col("_text"), i, n))).alias("_gram"))
-        g = g.filter(F.length("_gram") == n)
-        grams = g if grams is None else grams.unionByName(g)
-    hits = grams.join(broadcast_if_small(tax), grams["_gram"] == tax["_kw"])
-    best = (hits.groupBy("_text").agg(
-        F.min_by(F.struct(*MATCH_FIELDS),
-                 F.struct(F.col("priority").isNull(), "priority", "keyword")).alias("_m")))
+                   [df.select(F.lower(F.col(c)).alias("_text")) for c in text_cols]) \
+        .filter(F.col("_text").isNotNull()).distinct()
+    sizes = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
+    cut = texts.select("_text", F.explode(sizes).alias("_n")) \
+        .filter(F.length("_text") >= F.col("_n")) \
+        .select("_text", "_n", F.explode(F.sequence(
+            F.lit(1), F.length("_text") - F.col("_n") + 1)).alias("_at"))
+    grams = cut.withColumn("_gram", F.substring("_text", F.col("_at"), F.col("_n")))
+    if whole_words:
+        before = F.when(F.col("_at") > 1, F.substring("_text", F.col("_at") - 1, F.lit(1)))
+        after = F.substring("_text", F.col("_at") + F.col("_n"), F.lit(1))
+        glued = "[\\p{L}\\p{N}]"
+        grams = grams.filter(~F.coalesce(before, F.lit("")).rlike(glued) & ~after.rlike(glued))
+    hits = grams.join(best_kw, grams["_gram"] == best_kw["_kw"]).select("_text", "_k")
+    # the empty keyword's row, if there is one, is a candidate for every text
+    empty = best_kw.filter(F.col("_kw") == "").select(F.lit(1).alias("_one"), F.col("_k"))
+    every = texts.select("_text", F.lit(1).alias("_one")).join(F.broadcast(empty), "_one")
+    best = hits.unionByName(every.select("_text", "_k")).groupBy("_text").agg(
+        F.min_by("_k", rank(F.col("_k"))).alias("_m"))
     out = df
     for i, c in enumerate(text_cols):
         b = best.select(F.col("_text").alias(f"_t{i}"), F.col("_m").alias(f"_m{i}"))
         out = out.join(b, F.lower(out[c]) == b[f"_t{i}"], "left").drop(f"_t{i}")
-    cands = [F.col(f"_m{i}") for i in range(len(text_cols))]
-    # smallest (priority, keyword) among the per-text winners; NULLs lose
+    # the best of the per-text winners; NULLs lose
     winner = reduce(lambda a, b: F.when(
-        b.isNotNull() & (a.isNull() | (F.struct(b.priority, b.keyword) < F.struct(a.priority, a.keyword))),
-        b).otherwise(a), cands)
+        b.isNotNull() & (a.isNull() | (rank(b) < rank(a))), b).otherwise(a),
+        [F.col(f"_m{i}") for i in range(len(text_cols))])
     return out.withColumn(out_col, winner).drop(*[f"_m{i}" for i in range(len(text_cols))])
 
 
@@ -201,15 +210,13 @@ def add_first_match(df: DataFrame, text_cols: list, taxonomy: DataFrame,
     """Choose the plan by the taxonomy's size and add the match struct.
 
     ``keywords`` may carry an already collected (sorted) taxonomy.
-    ``whole_words`` (inline plan only) ignores hits inside longer words.
+    ``whole_words`` ignores hits inside longer words.  Both plans give the same result.
     """
     if keywords is None:
         keywords = collect_taxonomy(taxonomy, max_inline)
     if keywords is not None:
         cols = [F.col(c) if isinstance(c, str) else c for c in text_cols]
         return df.withColumn(out_col, first_match_inline(cols, keywords, whole_words))
-    if whole_words:
-        raise ValueError("whole-word matching needs a taxonomy small enough to inline")
     names = []
     tmp = df
     for i, c in enumerate(text_cols):
@@ -218,5 +225,5 @@ def add_first_match(df: DataFrame, text_cols: list, taxonomy: DataFrame,
         else:
             tmp = tmp.withColumn(f"_text_in{i}", c)
             names.append(f"_text_in{i}")
-    out = first_match_join(tmp, names, taxonomy, out_col)
+    out = first_match_join(tmp, names, taxonomy, out_col, whole_words)
     return out.drop(*[n for n in names if n.startswith("_text_in")])

@@ -26,8 +26,8 @@ def _texts(n, seed=7):
 def _brute(text, kws):
     if text is None:
         return None
-    hits = [(p, k) for k, _, _, p in kws if k.lower() in text.lower()]
-    return min(hits)[1] if hits else None
+    hits = [(p is None, p or 0, k) for k, _, _, p in kws if k.lower() in text.lower()]
+    return min(hits)[2] if hits else None
 
 
 def test_keyword_inline_and_join_match_brute_force(spark):
@@ -70,7 +70,7 @@ def test_ntile_and_percent_rank_equal_windows(spark):
     expected = {r.id: (r.d, r.p) for r in df.select(
         "id", F.ntile(10).over(w).alias("d"),
         F.percent_rank().over(Window.partitionBy(*part).orderBy("score")).alias("p")).collect()}
-    got = ntile_distributed(df, part, [F.col("score").asc(), F.col("id").asc()], 10, "d")
+    got = ntile_distributed(df, part, ["score"], "id", 10, "d")
     got = percent_rank_by_histogram(got, part, "score", "p")
     got = {r.id: (r.d, r.p) for r in got.collect()}
     assert got == expected
@@ -127,3 +127,45 @@ def test_keyword_property_random_texts(spark):
               for r in first_match_join(df, ["t"], tax, "m").collect()}
     for i, t in enumerate(batch):
         assert inline[i] == _brute(t, kws) == joined[i], t
+
+
+TAXONOMY = "keyword string, industry string, industry_group string, priority int"
+
+
+def _both_plans(spark, rows, texts, **options):
+    tax = spark.createDataFrame(rows, TAXONOMY)
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(texts)], "id int, a string, b string")
+    found = []
+    for most in (10_000, 0):                   # 0: the join plan
+        out = add_first_match(df, ["a", "b"], tax, "m", max_inline=most, **options)
+        found.append({r.id: tuple(r.m) if r.m else None for r in out.collect()})
+    return found
+
+
+def test_both_plans_share_one_semantics(spark):
+    texts = [("Alpha Beta", None), ("beta", "alpha"), ("GAMMA", ""), (None, None), ("", ""), ("xalphax", "b"),
+             ("gamma-ray", "beta2")]
+    rows = [("alpha", "A", "ga", None), ("Beta", "B", "gb", None), ("gamma", "G", "gg", 5), (None, "N", "gn", 1),
+            ("BETA", "B2", "gb2", 7), ("beta2", None, None, 9)]
+    inline, joined = _both_plans(spark, rows, texts)
+    assert inline == joined
+    assert inline[0][0] == "BETA" and inline[2][0] == "gamma" and inline[3] is None and inline[4] is None
+    whole_inline, whole_joined = _both_plans(spark, rows, texts, whole_words=True)
+    assert whole_inline == whole_joined and whole_inline[5] is None and whole_inline[6][0] == "gamma"
+    # the empty keyword is contained in every text that there is
+    inline, joined = _both_plans(spark, rows + [("", "E", "ge", 8)], texts)
+    assert inline == joined and inline[4][0] == "" and inline[3] is None and inline[5][0] == ""
+    # only NULL priorities: by keyword
+    inline, joined = _both_plans(spark, rows[:2], texts[:2])
+    assert inline == joined and inline[0][0] == inline[1][0] == "Beta"
+
+
+def test_large_taxonomy_like_the_small_one(spark):
+    rows = [(f"k{i}", f"i{i}", "g", i % 7 if i % 5 else None) for i in range(700)]
+    texts = [(f"x k{i * 3} k{i} y", f"k{i + 100}z") for i in range(150)]
+    for whole in (False, True):
+        inline, joined = _both_plans(spark, rows, texts, whole_words=whole)
+        assert inline == joined
+        default = add_first_match(spark.createDataFrame([(1, "a k699 b")], "id int, t string"), ["t"],
+                                  spark.createDataFrame(rows, TAXONOMY), "m", whole_words=whole).first()
+        assert default.m.keyword in ("k699", "k69", "k6")
