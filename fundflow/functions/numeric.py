@@ -34,10 +34,6 @@ def pct(num, den, places: int = 2) -> Column:
     return round_to(ratio(num, den) * 100, places)
 
 
-def money_sum(c) -> Column:
-    return F.sum(_col(c)).cast(MONEY_SUM)
-
-
 def exact_avg(c, scale: int = 2) -> Column:
     """Average of a rounded double: exact decimal sum, one division.
 

@@ -1,35 +1,14 @@
-"""Join helpers: broadcast only behind a row-count check."""
+"""Join helpers.
+
+Which side of a join is broadcast is left to the planner: it knows the bytes of
+the Parquet it reads, and AQE the bytes that a stage really wrote
+(``spark.sql.autoBroadcastJoinThreshold``).  Larger sides are sort-merge joined, and
+AQE splits a hot key over many tasks.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Dimension tables (committees, candidates, links, reported totals, tags) are
-# broadcast when they hold at most this many rows.  Above it the join is left
-# to the planner: a sort-merge join that AQE can still split when skewed.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def maybe_broadcast(df: DataFrame, small: bool | None = None,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast when ``small`` says so; when unknown, check ``df`` itself.
-
-    Callers that know a proven bound (e.g. "one row per committee row", with
-    the committee table counted once) pass ``small`` and skip the check job.
-    """
-    if small is None:
-        return broadcast_if_small(df, max_rows)
-    return F.broadcast(df) if small else df
 
 
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:

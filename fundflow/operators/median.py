@@ -8,7 +8,7 @@ holding a third of all rows shrinks to one row per distinct value.
 
 The running count that locates the two middle values never puts a whole key
 in one task either: the histogram is range-partitioned on (key, value) and
-checkpointed, each task's block of a key gets its offset from a small table
+written as a table, each task's block of a key gets its offset from a small table
 of per-(task, key) weights (at most #tasks + #keys rows), and the rest of the
 running count stays inside the block.
 """
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_table
 from .joins import null_safe_on
 
 
@@ -31,15 +31,14 @@ def median_of_integers(df: DataFrame, key: str, value: str, out: str,
     Keys whose values are all NULL are absent from the result.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hist = (df.filter(F.col(value).isNotNull())
             .groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
     order = [F.col(key).asc_nulls_last(), F.col(value).asc()]
-    blocks = (hist.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))            # stable task ids for both passes
+    blocks = shared_table(             # stable task ids for both passes
+        hist.repartitionByRange(num_partitions, *order)
+        .withColumn("_pid", F.spark_partition_id()), "median-histogram")
     # weight of every (task, key) block, and of the blocks before it in the key
     per_block = blocks.groupBy("_pid", key).agg(F.sum("_n").alias("_w"))
     in_key = Window.partitionBy(key)

@@ -10,23 +10,27 @@ task.  Both rankings here are exact and stay distributed:
   is joined back.
 * ``ntile`` needs each row's position in a total order.  The rows are
   range-partitioned on (k, order, tie-breaker) so a large ``k`` spans many
-  tasks; each task numbers its rows; the table is checkpointed so the
-  numbering is stable; then per-(task, k) counts (a table of at most
+  tasks; the narrow table is written, so task numbers are stable; each block
+  (task, k) numbers its rows; then per-(task, k) counts (a table of at most
   #tasks + #k rows) give each task's offset inside ``k``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_table
 from .joins import null_safe_on
 
 
 def percent_rank_by_histogram(df: DataFrame, partition_cols: list[str], value_col: str,
                               out_col: str) -> DataFrame:
-    """Add ``out_col`` = percent_rank() OVER (PARTITION BY partition_cols ORDER BY value_col)."""
+    """Add ``out_col`` = percent_rank() OVER (PARTITION BY partition_cols ORDER BY value_col).
+
+    One task runs over a partition's distinct values, so these must be few (a rounded
+    score); many distinct values need the block form of ``ntile_distributed``.
+    """
     hist = df.groupBy(*partition_cols, value_col).agg(F.count(F.lit(1)).alias("_c"))
     part = Window.partitionBy(*partition_cols)
     before = part.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
@@ -42,51 +46,39 @@ def percent_rank_by_histogram(df: DataFrame, partition_cols: list[str], value_co
     return joined.drop(*[f"_h_{c}" for c in partition_cols + [value_col]])
 
 
-def _position_columns(df: DataFrame, partition_cols: list[str], sort_exprs: list[Column],
-                      num_partitions: int) -> DataFrame:
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    keyed = [F.col(c).asc_nulls_last() for c in partition_cols] + sort_exprs
-    ordered = df.repartitionByRange(num_partitions, *keyed).sortWithinPartitions(*keyed)
-    pid = F.spark_partition_id()
-    indexed = (ordered.withColumn("_pid", pid)
-               .withColumn("_idx", F.monotonically_increasing_id()
-                           - F.shiftleft(pid.cast("long"), 33)))
-    # Reliable checkpoint: later passes must see the very same numbering.
-    return indexed.checkpoint(eager=True)
-
-
-def ntile_distributed(df: DataFrame, partition_cols: list[str], sort_exprs: list[Column],
-                      buckets: int, out_col: str, num_partitions: int | None = None,
-                      position_col: str | None = None) -> DataFrame:
-    """Add ``out_col`` = ntile(buckets) OVER (PARTITION BY .. ORDER BY sort_exprs).
+def ntile_distributed(df: DataFrame, partition_cols: list[str], order_cols: list[str], key: str,
+                      buckets: int, out_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Add ``out_col`` = ntile(buckets) OVER (PARTITION BY .. ORDER BY order_cols, key), NULLs last.
 
-    ``sort_exprs`` must make a total order (end with a unique key).
+    ``key`` is unique.  Only the partition, order and key columns are ranged and
+    written; the buckets are joined back on the key.
     """
-    spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    indexed = _position_columns(df, partition_cols, sort_exprs, num_partitions)
-    stats = indexed.groupBy("_pid", *partition_cols).agg(
-        F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+        num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = list(dict.fromkeys([*partition_cols, *order_cols, key]))
+    in_order = [F.col(c).asc_nulls_last() for c in columns]
+    # written, so that every later pass sees the same task numbers
+    blocks = shared_table(df.select(*columns).repartitionByRange(num_partitions, *in_order)
+                          .withColumn("_pid", F.spark_partition_id()), "ntile-positions")
+    stats = blocks.groupBy("_pid", *partition_cols).agg(F.count(F.lit(1)).alias("_cnt"))
     part = Window.partitionBy(*partition_cols)
     before = part.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(
         F.col("_pid").alias("_s_pid"), *[F.col(c).alias(f"_s_{c}") for c in partition_cols],
-        "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
         F.sum("_cnt").over(part).alias("_n"))
     # at most (#tasks + #partitions) rows; AQE broadcasts it on its real size
     keys = [("_pid", "_s_pid")] + [(c, f"_s_{c}") for c in partition_cols]
-    joined = indexed.join(stats, null_safe_on(indexed, stats, keys), "inner")
-    pos = F.col("_before") + F.col("_idx") - F.col("_first")          # 0-based
+    joined = blocks.join(stats, null_safe_on(blocks, stats, keys), "inner")
+    local = Window.partitionBy("_pid", *partition_cols).orderBy(
+        *[F.col(c).asc_nulls_last() for c in dict.fromkeys([*order_cols, key])])
+    pos = F.col("_before") + F.row_number().over(local) - 1            # 0-based
     n = F.col("_n")
     q = F.floor(n / buckets).cast("long")
     r = n - q * buckets
     threshold = r * (q + 1)
-    bucket = (F.when(pos < threshold, F.floor(pos / (q + 1)) + 1)
-              .otherwise(r + F.floor((pos - threshold) / F.nullif(q, F.lit(0))) + 1))
-    out = joined.withColumn(out_col, bucket.cast("long"))
-    if position_col:
-        out = out.withColumn(position_col, pos.cast("long"))
-    return out.drop("_pid", "_idx", "_s_pid", "_first", "_before", "_n",
-                    *[f"_s_{c}" for c in partition_cols])
+    bucket = (F.when(F.col("_pos") < threshold, F.floor(F.col("_pos") / (q + 1)) + 1)
+              .otherwise(r + F.floor((F.col("_pos") - threshold) / F.nullif(q, F.lit(0))) + 1))
+    found = joined.withColumn("_pos", pos).select(F.col(key).alias("_p_key"),
+                                                  bucket.cast("long").alias(out_col))
+    return df.join(found, df[key].eqNullSafe(found["_p_key"])).drop("_p_key")

@@ -265,10 +265,12 @@ donor_pool AS (
     WHERE is_individual_donor AND NOT is_refund AND donor_employer IS NOT NULL
       AND trim(donor_employer) NOT IN ({stop})
 ),
+-- per employer, so donations that share a transaction id are tagged each on its own (Q-24)
 donor_hits AS (
-    SELECT d.transaction_id, k.industry, k.industry_group, k.keyword,
-        row_number() OVER (PARTITION BY d.transaction_id ORDER BY k.priority, k.keyword) AS rk
-    FROM donor_pool d JOIN kw k ON contains(lower(d.donor_employer), lower(k.keyword))
+    SELECT d.donor_employer, k.industry, k.industry_group, k.keyword,
+        row_number() OVER (PARTITION BY d.donor_employer ORDER BY k.priority, k.keyword) AS rk
+    FROM (SELECT DISTINCT donor_employer FROM donor_pool) d
+    JOIN kw k ON contains(lower(d.donor_employer), lower(k.keyword))
 ),
 donor_ind AS (
     SELECT d.transaction_id, d.committee_id, d.amount, d.transaction_date, d.donor_employer,
@@ -277,7 +279,7 @@ donor_ind AS (
         h.keyword AS matched_keyword,
         CASE WHEN h.industry IS NULL THEN 'unclassified' ELSE 'employer_keyword' END
             AS match_source
-    FROM donor_pool d LEFT JOIN donor_hits h ON h.transaction_id = d.transaction_id AND h.rk = 1
+    FROM donor_pool d LEFT JOIN donor_hits h ON h.donor_employer = d.donor_employer AND h.rk = 1
 ),
 flow AS (
     SELECT p.transaction_id, p.candidate_id, p.contributor_committee_id AS source_committee_id,
@@ -291,10 +293,10 @@ flow AS (
     SELECT i.transaction_id, l.candidate_id, i.committee_id, i.donor_name, i.donor_employer,
         i.donor_occupation, i.amount, i.transaction_date, i.election_type, 'individual',
         coalesce(d.industry, 'Unknown / Unclassified'), coalesce(d.industry_group, 'Unknown'),
-        coalesce(d.match_source, 'unclassified'), false, false
+        CASE WHEN d.industry IS NULL THEN 'unclassified' ELSE 'employer_keyword' END, false, false
     FROM s_indiv i
     JOIN s_link l ON l.committee_id = i.committee_id
-    LEFT JOIN donor_ind d ON d.transaction_id = i.transaction_id
+    LEFT JOIN donor_hits d ON d.donor_employer = i.donor_employer AND d.rk = 1
     WHERE i.is_individual_donor AND NOT i.is_refund
 ),
 fund_agg AS (

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import maybe_broadcast
 from .tagging import (UNCLASSIFIED_GROUP, UNCLASSIFIED_INDUSTRY, UNCLASSIFIED_SOURCE,
                       tag_donations)
 
@@ -17,12 +16,12 @@ FLOW_COLUMNS = [
 _TEXT = "string"
 
 
-def pac_direct(pac: DataFrame, tags: DataFrame, small_tags: bool | None = None) -> DataFrame:
+def pac_direct(pac: DataFrame, tags: DataFrame) -> DataFrame:
     """Committee -> candidate path; tags are not defaulted (missing stays NULL)."""
     t = tags.select(F.col("committee_id").alias("_tag_id"), "industry", "industry_group",
                     "match_source", "is_dark_money_suspect", "is_super_pac")
     p = pac.filter(~F.col("is_refund"))
-    joined = p.join(maybe_broadcast(t, small_tags), p["contributor_committee_id"] == t["_tag_id"],
+    joined = p.join(t, p["contributor_committee_id"] == t["_tag_id"],
                     "left")
     return joined.select(
         "transaction_id", "candidate_id",
@@ -38,7 +37,7 @@ def pac_direct(pac: DataFrame, tags: DataFrame, small_tags: bool | None = None)
 
 
 def individual_via_committee(individual: DataFrame, linkage: DataFrame,
-                             taxonomy: DataFrame, small_linkage: bool | None = None,
+                             taxonomy: DataFrame,
                              keywords: list[tuple] | None = None,
                              tagged: DataFrame | None = None,
                              dedupe_links: bool = False) -> DataFrame:
@@ -56,7 +55,7 @@ def individual_via_committee(individual: DataFrame, linkage: DataFrame,
     # tag each donation once, before the fan-out to its linked candidates
     if tagged is None:
         tagged = tag_donations(individual, taxonomy, keywords)
-    joined = tagged.join(maybe_broadcast(links, small_linkage),
+    joined = tagged.join(links,
                          tagged["committee_id"] == links["_link_cmte"], "inner")
     hit = F.col("m").isNotNull()
     return joined.select(
@@ -77,11 +76,11 @@ def individual_via_committee(individual: DataFrame, linkage: DataFrame,
 
 def contributions_to_candidates(pac: DataFrame, individual: DataFrame, linkage: DataFrame,
                                 tags: DataFrame, taxonomy: DataFrame,
-                                small_tags: bool | None = None,
-                                small_linkage: bool | None = None,
                                 keywords: list[tuple] | None = None,
-                                tagged: DataFrame | None = None) -> DataFrame:
+                                tagged: DataFrame | None = None,
+                                dedupe_links: bool = False) -> DataFrame:
     """UNION ALL of both paths, 15 columns."""
-    return (pac_direct(pac, tags, small_tags).select(*FLOW_COLUMNS)
-            .unionByName(individual_via_committee(individual, linkage, taxonomy, small_linkage,
-                                                  keywords, tagged).select(*FLOW_COLUMNS)))
+    individuals = individual_via_committee(individual, linkage, taxonomy, keywords, tagged,
+                                           dedupe_links)
+    return (pac_direct(pac, tags).select(*FLOW_COLUMNS)
+            .unionByName(individuals.select(*FLOW_COLUMNS)))

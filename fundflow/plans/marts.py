@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY, MONEY_SUM, pct, ratio, round_to
-from ..operators.joins import maybe_broadcast
 from ..operators.median import median_of_integers
 from ..operators.ranking import ntile_distributed, percent_rank_by_histogram
 
@@ -69,17 +68,6 @@ def _sum_when(cond: Column) -> Column:
     return F.sum(F.when(cond, F.col("amount")).otherwise(F.lit(0))).cast(MONEY_SUM)
 
 
-def exact_median_money(c: Column) -> Column:
-    """Median of a DECIMAL(12,2), interpolated and cut to whole cents.
-
-    The percentile runs over integer cents, where the midpoint of two values
-    is exact (x or x.5); flooring it gives the truncated-cent median.
-    """
-    cents = (c * 100).cast("long")
-    mid = F.percentile(cents, F.lit(0.5))
-    return (F.floor(mid).cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
-
-
 def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
     """Per candidate: counts, the 14 conditional sums, distinct donors, median.
 
@@ -124,9 +112,7 @@ def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
         "_large_individual", "_individual_total")
 
 
-def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: DataFrame,
-                        small_candidates: bool | None = None,
-                        small_financials: bool | None = None) -> DataFrame:
+def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: DataFrame) -> DataFrame:
     """Funding summary plus ``large_donor_total`` used by the score.
 
     Money is aggregated per candidate id first and the profile is joined
@@ -139,7 +125,7 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: Data
         F.col("party_name").alias("_party"), F.col("office").alias("_office"),
         F.col("office_state").alias("_state"), F.col("election_year"),
         F.col("incumbent_challenger_status").alias("_ici"))
-    a = agg.join(maybe_broadcast(prof, small_candidates), agg["candidate_id"] == prof["_cand_id"],
+    a = agg.join(prof, agg["candidate_id"] == prof["_cand_id"],
                  "left")
     a = a.select(
         "candidate_id",
@@ -155,7 +141,7 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: Data
                            F.col("tot_rec").alias("total_receipts_reported"),
                            F.col("ind_con").alias("ind_total_reported"),
                            F.col("coverage_end_date").alias("financial_report_thru"))
-    w = a.join(maybe_broadcast(fs, small_financials), (a["candidate_id"] == fs["_fs_id"])
+    w = a.join(fs, (a["candidate_id"] == fs["_fs_id"])
                & (a["election_year"] == fs["_fs_yr"]), "left")
     effective = F.coalesce(F.col("total_receipts_reported").cast(MONEY_SUM), F.col("total_raised"))
     w = w.withColumn("_effective_total", effective)
@@ -179,12 +165,6 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: Data
     )
 
 
-def candidate_funding_summary(flow: DataFrame, candidates: DataFrame,
-                              financials: DataFrame) -> DataFrame:
-    """36 columns, one row per candidate receiving money."""
-    return funding_with_extras(flow, candidates, financials).select(*FUNDING_COLUMNS)
-
-
 def score_components(funding: DataFrame) -> DataFrame:
     """Penalties, bonuses and the clamped 0-100 score (no rankings yet)."""
     f = funding
@@ -241,9 +221,8 @@ def candidate_capture_score(funding_extras: DataFrame) -> DataFrame:
     comp = score_components(funding_extras)
     part = ["election_year", "office"]
     ranked = ntile_distributed(
-        comp, part, [F.col("corruption_score").asc_nulls_last(),
-                     F.col("candidate_id").asc_nulls_last()],
-        SCORE_DECILES, "score_decile_within_office")
+        comp, part, ["corruption_score"], "candidate_id", SCORE_DECILES,
+        "score_decile_within_office")
     ranked = percent_rank_by_histogram(ranked, part, "corruption_score", "_pr_office")
     ranked = percent_rank_by_histogram(ranked, [], "corruption_score", "_pr_all")
     return ranked.select(
@@ -257,8 +236,7 @@ def candidate_capture_score(funding_extras: DataFrame) -> DataFrame:
     )
 
 
-def large_donor_totals(individual: DataFrame, linkage: DataFrame,
-                       small_linkage: bool | None = None) -> DataFrame:
+def large_donor_totals(individual: DataFrame, linkage: DataFrame) -> DataFrame:
     """Per linked candidate: money from donations of $1,000+ and all individual money.
 
     The score folds the same sum into the funding pass; this standalone form
@@ -266,7 +244,7 @@ def large_donor_totals(individual: DataFrame, linkage: DataFrame,
     """
     links = linkage.select(F.col("committee_id").alias("_link_cmte"), "candidate_id")
     d = individual.filter(F.col("is_individual_donor") & ~F.col("is_refund"))
-    j = d.join(maybe_broadcast(links, small_linkage), d["committee_id"] == links["_link_cmte"])
+    j = d.join(links, d["committee_id"] == links["_link_cmte"])
     return j.groupBy("candidate_id").agg(
         _sum_when(F.col("amount") >= LARGE_DONATION).alias("large_donor_total"),
         F.sum("amount").cast(MONEY_SUM).alias("individual_total"))

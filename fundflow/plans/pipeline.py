@@ -1,76 +1,61 @@
 """The model graph as lazy DataFrames, and its materialisation as tables.
 
 ``Models`` wires raw tables -> staging -> tags -> flow -> marts.  Every
-attribute is a lazy DataFrame built once per ``Models``; nothing runs until an
-action.  ``materialize`` writes the table-layer models (tags, flow, marts) as
-Parquet so later reports read them instead of recomputing the lineage.
+attribute is a DataFrame built once per ``Models``.  Without a ``warehouse`` all
+are lazy.  With one, the raw tables and the table-layer models (tags, flow, marts)
+are written there as Parquet by the first access that needs them, and read from
+there by everything else.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import BROADCAST_MAX_ROWS, row_count_at_most
 from ..operators.keyword_match import collect_taxonomy, sort_keywords
+from ..session import ensure_checkpoint_dir
 from ..sources import lens, seeds
+from ..sources.layouts import LINEAGE_COLUMNS, columns_of, raw_schema
 from . import flows, marts, staging, tagging
 
-
-# Raw tables that are dimensions: bounded by the number of committees,
-# candidates and links registered, not by the number of transactions.
-DIMENSIONS = ["committees", "candidates", "candidate_committee_linkage",
-              "candidate_financial_summary", "opensecrets_committees"]
+# What the flow and the donor-industry table read of a tagged donation.
+TAGGED_COLUMNS = ["transaction_id", "committee_id", "donor_name", "donor_employer",
+                  "donor_occupation", "amount", "transaction_date", "election_type", "m"]
 
 
 class Models:
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
                  taxonomy: DataFrame | None = None, categories: DataFrame | None = None,
-                 keyword_rows: list[tuple] | None = None):
+                 keyword_rows: list[tuple] | None = None, dedupe_links: bool = False,
+                 whole_words: bool = False, casefold_stop_list: bool = False,
+                 latest_committee: bool = False, lenient_dates: bool = False):
         """``keyword_rows``: the taxonomy's rows when the caller already holds
-        them (seeds are constants), which saves collecting the table."""
+        them (seeds are constants), which saves collecting the table.
+        ``categories`` maps crosswalk codes to industries; without it (the
+        default, as it has no public seed) the crosswalk layer matches nothing:
+        read one with ``seeds.read_seed_csv``.
+
+        Options, all off as in the source: ``dedupe_links`` credits a repeated
+        committee-candidate link once; ``whole_words`` ignores keywords inside
+        longer words of employers; ``casefold_stop_list`` compares the employer stop list in
+        any case; ``latest_committee`` keeps one committee row per id;
+        ``lenient_dates`` turns impossible dates into NULL.
+        """
         self.spark = spark
-        self.raw = raw
+        self.sources = raw
         if taxonomy is None:
             keyword_rows = keyword_rows or seeds.taxonomy_rows()
             taxonomy = seeds.industry_taxonomy(spark)
         self.taxonomy = taxonomy
-        self._small: dict[str, bool] = {}
-        if categories is None:
-            categories = seeds.empty_categories(spark)
-            self._small["categories"] = True
-        self.categories = categories
+        self.categories = seeds.empty_categories(spark) if categories is None else categories
         self._keyword_rows = keyword_rows
-
-    # size bounds ------------------------------------------------------------
-    def small(self, raw_table: str) -> bool:
-        """Is this raw dimension table (or the per-candidate score) within the
-        broadcast bound?  Counted once per ``Models``.
-
-        Derived tables inherit the bound of the raw table they have at most
-        one row per row of (tags: committees, profiles: candidates, ...).
-        """
-        if raw_table not in self._small:
-            if raw_table == "score":
-                # one row per funded candidate (the funding mart has the same
-                # rows); read from the warehouse the count is Parquet metadata
-                self._small["score"] = row_count_at_most(self.score, BROADCAST_MAX_ROWS)
-            elif raw_table in DIMENSIONS:
-                self._check_dimensions()
-            else:
-                table = self.categories if raw_table == "categories" else self.raw[raw_table]
-                self._small[raw_table] = row_count_at_most(table, BROADCAST_MAX_ROWS)
-        return self._small[raw_table]
-
-    def _check_dimensions(self) -> None:
-        """Bound all raw dimension tables in one job (each reads at most N+1 rows)."""
-        n = BROADCAST_MAX_ROWS
-        parts = [self.raw[t].limit(n + 1).agg(F.count(F.lit(1)).alias("rows"))
-                 .select(F.lit(t).alias("table_name"), "rows") for t in DIMENSIONS]
-        for row in reduce(DataFrame.unionByName, parts).collect():
-            self._small[row["table_name"]] = row["rows"] <= n
+        self.options = {"dedupe_links": dedupe_links, "whole_words": whole_words,
+                        "casefold_stop_list": casefold_stop_list,
+                        "latest_committee": latest_committee, "lenient_dates": lenient_dates}
+        self._written: set[str] = set()
 
     @cached_property
     def keywords(self):
@@ -79,12 +64,41 @@ class Models:
         return collect_taxonomy(self.taxonomy)
 
     @classmethod
-    def from_lens(cls, spark: SparkSession, sf_dir: str) -> "Models":
-        models = cls(spark, lens.lens_tables(spark, sf_dir), seeds.lens_taxonomy(spark),
-                     seeds.lens_categories(spark),
-                     keyword_rows=seeds.taxonomy_rows() + seeds.LENS_KEYWORDS)
-        models._small["categories"] = len(seeds.LENS_CATEGORIES) <= BROADCAST_MAX_ROWS
-        return models
+    def from_lens(cls, spark: SparkSession, sf_dir: str, **options) -> "Models":
+        return cls(spark, lens.lens_tables(spark, sf_dir), seeds.lens_taxonomy(spark),
+                   seeds.lens_categories(spark),
+                   keyword_rows=seeds.taxonomy_rows() + seeds.LENS_KEYWORDS, **options)
+
+    # table layers ----------------------------------------------------------
+    # A layer counts as written only once all its tables are: a failed build is
+    # repeated by the next access, over the same paths.
+    warehouse: str | None = None
+
+    def _layer(self, name: str, build) -> bool:
+        """Whether the layer can be read from the warehouse, building it first if need be."""
+        if self.warehouse is None:
+            return False
+        if name not in self._written:
+            mark = f"{self.warehouse}/{name}-complete"
+            if not _is_there(self.spark, mark):
+                build()
+                self.spark.range(1).write.mode("overwrite").parquet(mark)
+            self._written.add(name)
+        return True
+
+    @cached_property
+    def raw(self) -> dict[str, DataFrame]:
+        """The raw tables; with a warehouse, as ``load_raw`` lays them out."""
+        if not self._layer("raw", lambda: write_raw(self.sources, self.warehouse)):
+            return self.sources
+        read = self.spark.read
+        return {name: read.schema(raw_schema(columns_of(name))).parquet(f"{self.warehouse}/raw/{name}")
+                for name in self.sources}
+
+    def _table(self, name: str) -> DataFrame | None:
+        if not self._layer("models", lambda: materialize(self, self.warehouse)):
+            return None
+        return self.spark.read.parquet(f"{self.warehouse}/{name}")
 
     # staging (views) -------------------------------------------------------
     @cached_property
@@ -93,15 +107,18 @@ class Models:
 
     @cached_property
     def committees(self) -> DataFrame:
-        return staging.stg_committees(self.raw["committees"])
+        return staging.stg_committees(self.raw["committees"],
+                                      latest_per_id=self.options["latest_committee"])
 
     @cached_property
     def individual(self) -> DataFrame:
-        return staging.stg_individual_contributions(self.raw["individual_contributions"])
+        return staging.stg_individual_contributions(self.raw["individual_contributions"],
+                                                    lenient=self.options["lenient_dates"])
 
     @cached_property
     def pac(self) -> DataFrame:
-        return staging.stg_pac_contributions(self.raw["pac_contributions"])
+        return staging.stg_pac_contributions(self.raw["pac_contributions"],
+                                             lenient=self.options["lenient_dates"])
 
     @cached_property
     def linkage(self) -> DataFrame:
@@ -112,19 +129,6 @@ class Models:
         return staging.stg_candidate_financial_summary(self.raw["candidate_financial_summary"])
 
     # intermediate (tables) -------------------------------------------------
-    # When ``warehouse`` is set, the first access to any table-layer model
-    # writes all of them there once (see ``materialize``) and every later
-    # access reads the written Parquet.
-    warehouse: str | None = None
-
-    def _table(self, name: str) -> DataFrame | None:
-        if self.warehouse is None:
-            return None
-        if not getattr(self, "_materialized", False):
-            self._materialized = True
-            materialize(self, self.warehouse)
-        return self.spark.read.parquet(f"{self.warehouse}/{name}")
-
     @cached_property
     def committee_tags(self) -> DataFrame:
         t = self._table("committee_tags")
@@ -132,21 +136,22 @@ class Models:
             return t
         return tagging.committee_industry_tags(
             self.committees, self.taxonomy, self.raw["opensecrets_committees"], self.categories,
-            small_committees=self.small("committees"),
-            small_crosswalk=self.small("opensecrets_committees"), keywords=self.keywords,
-            small_categories=self.small("categories"))
+            keywords=self.keywords)
 
     @cached_property
     def tagged_donations(self) -> DataFrame:
         t = self._table("tagged_donations")
         if t is not None:
             return t
-        return tagging.tag_donations(self.individual, self.taxonomy, self.keywords)
+        return tagging.tag_donations(
+            self.individual, self.taxonomy, self.keywords, self.options["casefold_stop_list"],
+            self.options["whole_words"]).select(*TAGGED_COLUMNS)
 
     @cached_property
     def donor_industry(self) -> DataFrame:
-        return tagging.individual_donor_industry(self.individual, self.taxonomy, self.keywords,
-                                                 self.tagged_donations)
+        return tagging.individual_donor_industry(
+            self.individual, self.taxonomy, self.keywords, self.tagged_donations,
+            self.options["casefold_stop_list"])
 
     @cached_property
     def flow(self) -> DataFrame:
@@ -155,9 +160,8 @@ class Models:
             return t
         return flows.contributions_to_candidates(
             self.pac, self.individual, self.linkage, self.committee_tags, self.taxonomy,
-            small_tags=self.small("committees"),
-            small_linkage=self.small("candidate_committee_linkage"), keywords=self.keywords,
-            tagged=self.tagged_donations)
+            keywords=self.keywords, tagged=self.tagged_donations,
+            dedupe_links=self.options["dedupe_links"])
 
     # marts (tables) --------------------------------------------------------
     @cached_property
@@ -165,10 +169,7 @@ class Models:
         t = self._table("funding_extras")
         if t is not None:
             return t
-        return marts.funding_with_extras(
-            self.flow, self.candidates, self.financials,
-            small_candidates=self.small("candidates"),
-            small_financials=self.small("candidate_financial_summary"))
+        return marts.funding_with_extras(self.flow, self.candidates, self.financials)
 
     @cached_property
     def funding(self) -> DataFrame:
@@ -182,40 +183,60 @@ class Models:
         return marts.candidate_capture_score(self.funding_extras)
 
 
+def _is_there(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.schema("id long").parquet(path).count() > 0
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return False
+        raise
+
+
+def write_raw(raw: dict[str, DataFrame], warehouse: str) -> None:
+    """Raw tables below ``{warehouse}/raw``, partitioned by cycle and source file, replaced whole."""
+    for name, df in raw.items():
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*LINEAGE_COLUMNS).parquet(f"{warehouse}/raw/{name}"))
+
+
 def materialize(models: Models, warehouse: str) -> None:
-    """Write the table-layer models under ``warehouse`` (Parquet, overwrite).
+    """Write the table-layer models under ``warehouse`` (Parquet, replaced whole).
 
     Each table is computed from the lazy graph once and written; the next
     table reads its inputs back from the written ones, so no lineage is
     recomputed and an executor lost later cannot force a recompute.
     """
     spark = models.spark
-    lazy = Models(spark, models.raw, models.taxonomy, models.categories, models._keyword_rows)
-    lazy._small = models._small
+    lazy = Models(spark, models.raw, models.taxonomy, models.categories, models._keyword_rows,
+                  **models.options)
 
     def write(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{warehouse}/{name}")
-        return spark.read.parquet(f"{warehouse}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{warehouse}/{name}")
 
-    tags = write("committee_tags", lazy.committee_tags)
-    lazy.__dict__["committee_tags"] = tags
-    lazy.__dict__["tagged_donations"] = write("tagged_donations", lazy.tagged_donations)
-    flow = write("flow", lazy.flow)
-    lazy.__dict__["flow"] = flow
-    funding = write("funding_extras", lazy.funding_extras)
-    write("score", marts.candidate_capture_score(funding))
+    for name in ("committee_tags", "tagged_donations", "flow", "funding_extras", "score"):
+        lazy.__dict__[name] = write(name, getattr(lazy, name))
+
+
+def source_version(spark: SparkSession, paths: list[str]) -> str:
+    """Digest of the files below ``paths`` (name, size, time): other data is another version."""
+    files = reduce(DataFrame.unionByName, [
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+        .select("path", "length", "modificationTime") for p in paths])
+    h = F.xxhash64("path", "length", "modificationTime")
+    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.sum(h.bitwiseAND(F.lit(0x7FFFFFFF)))).first()
+    return hashlib.sha1(repr(tuple(row)).encode()).hexdigest()[:12]
 
 
 def warehouse_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Shared folder for one application's tables over one input directory.
+    """Shared folder for the tables over one version of one input directory.
 
-    Under ``fundflow.warehouse.dir`` when set, else under the reliable
-    checkpoint folder (``spark.checkpoint.dir``).
+    Under ``fundflow.warehouse.dir`` when set (later applications then find the
+    tables of an unchanged input complete and read them), else under the reliable
+    checkpoint folder (``spark.checkpoint.dir``), which each application has its own of.
     """
-    import hashlib
-
-    from ..session import ensure_checkpoint_dir
     root = (spark.conf.get("fundflow.warehouse.dir", None)
             or ensure_checkpoint_dir(spark)).rstrip("/")
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    return f"{root}/fundflow-warehouse/{spark.sparkContext.applicationId}/{tag}"
+    version = source_version(spark, [f"{sf_dir}/{t}.parquet" for t in lens.SOURCE_TABLES])
+    return f"{root}/fundflow-warehouse/{tag}/{version}"

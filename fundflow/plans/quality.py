@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import MONEY
+
 # (raw table, column) pairs checked for NULLs; the same minus the amount are
 # checked for uniqueness.
 NOT_NULL_CHECKS = [
@@ -23,6 +25,13 @@ NOT_NULL_CHECKS = [
     ("committees", "cmte_id"),
     ("candidate_committee_linkage", "linkage_id"),
 ]
+# (raw table, column) pairs whose NULL leaves a flag NULL, so that the row takes no part in
+# the flow: a missing type of a non-negative amount, a missing entity type.
+UNKNOWN_FLAG_CHECKS = [
+    ("individual_contributions", "transaction_tp"),
+    ("individual_contributions", "entity_tp"),
+    ("pac_contributions", "transaction_tp"),
+]
 UNIQUE_CHECKS = [
     ("individual_contributions", "sub_id"),
     ("pac_contributions", "sub_id"),
@@ -39,6 +48,13 @@ def duplicate_keys(df: DataFrame, column: str, per_cycle: bool = True) -> DataFr
             .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
 
 
+def unknown_flag(column: str) -> Column:
+    """Rows with an amount that ``column``'s NULL keeps out of the flow."""
+    amount = F.col("transaction_amt").cast(MONEY)
+    typed = (amount >= 0) if column == "transaction_tp" else amount.isNotNull()
+    return F.col(column).isNull() & typed
+
+
 def _table_report(df: DataFrame, table: str, key: str, other_not_null: list[str],
                   per_cycle: bool) -> DataFrame:
     """All checks of one table from a single grouped pass over it.
@@ -48,18 +64,22 @@ def _table_report(df: DataFrame, table: str, key: str, other_not_null: list[str]
     one row are the repeated keys.  Other not-null counts ride along as sums.
     """
     keys = [key, "cycle_year"] if per_cycle else [key]
+    flags = [c for t, c in UNKNOWN_FLAG_CHECKS if t == table]
     groups = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in other_not_null])
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in other_not_null],
+        *[F.count_if(unknown_flag(c)).alias(f"_flag_{c}") for c in flags])
     totals = groups.agg(
         F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("_null_key"),
         F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias("_dup_keys"),
-        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in other_not_null])
+        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in other_not_null],
+        *[F.coalesce(F.sum(f"_flag_{c}"), F.lit(0)).alias(f"_flag_{c}") for c in flags])
     checks = [("not_null", key, "_null_key")] + [("not_null", c, f"_null_{c}")
                                                   for c in other_not_null]
     checks = [c for c in checks if (table, c[1]) in NOT_NULL_CHECKS]
     if (table, key) in UNIQUE_CHECKS:
         checks.append(("unique", key, "_dup_keys"))
+    checks += [("flag_known", c, f"_flag_{c}") for c in flags]
     # one totals row -> one output row per check, without re-reading the table
     rows = F.array(*[F.struct(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
                               F.lit(column).alias("column_name"),

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY_SUM, exact_avg
-from ..operators.joins import maybe_broadcast
 from .tagging import UNCLASSIFIED_INDUSTRY
 
 MAJOR_PARTIES = ["Democrat", "Republican"]
@@ -48,12 +47,14 @@ def party_totals(score: DataFrame, parties: list[str] = MAJOR_PARTIES) -> DataFr
         F.sum("total_raised").cast(MONEY_SUM).alias("total_raised"),
         _dec1_avg("corruption_score").alias("avg_score"),
         exact_avg("pct_from_pacs").alias("avg_pct_pacs"),
-        exact_avg("pct_dark_money").alias("avg_pct_dark_money")))
+        exact_avg("pct_dark_money").alias("avg_pct_dark_money"))
+        .orderBy(F.col("total_raised").desc_nulls_last(), "party_name"))
 
 
 def tier_by_office(score: DataFrame) -> DataFrame:
     """R-04."""
-    return score.groupBy("risk_tier", "office").agg(F.count(F.lit(1)).alias("candidates"))
+    return (score.groupBy("risk_tier", "office").agg(F.count(F.lit(1)).alias("candidates"))
+            .orderBy(F.col("office").asc_nulls_last(), F.col("candidates").desc(), "risk_tier"))
 
 
 LEADERBOARD_COLUMNS = [
@@ -88,14 +89,20 @@ def score_histogram(score: DataFrame, office: str = "%", party: str = "%",
             .withColumn("bin_start", F.col("bin") * width))
 
 
-def _flow_tags(flow: DataFrame, tags: DataFrame, small_tags: bool | None = None) -> DataFrame:
+def _flow_tags(flow: DataFrame, tags: DataFrame) -> DataFrame:
+    """Money and rows per candidate and committee with the committee's tags.
+
+    The flow is summed (map-side first) before any join, so the joins run per
+    committee-candidate pair, not per transaction; ``_rows`` keeps row-weighted averages exact.
+    """
     t = tags.select(F.col("committee_id").alias("_t_id"), "industry_group",
                     F.col("committee_name").alias("_t_name"),
                     F.col("connected_organization_name").alias("_t_org"),
                     F.col("organization_type").alias("_t_orgtype"),
                     F.col("is_dark_money_suspect").alias("_t_dark"))
-    f = flow.select("candidate_id", "source_committee_id", "amount")
-    return f.join(maybe_broadcast(t, small_tags), f["source_committee_id"] == t["_t_id"])
+    f = flow.groupBy("candidate_id", "source_committee_id").agg(
+        F.sum("amount").cast(MONEY_SUM).alias("amount"), F.count(F.lit(1)).alias("_rows"))
+    return f.join(t, f["source_committee_id"] == t["_t_id"])
 
 
 def _score_slim(score: DataFrame) -> DataFrame:
@@ -103,22 +110,24 @@ def _score_slim(score: DataFrame) -> DataFrame:
 
 
 def industry_totals(flow: DataFrame, tags: DataFrame, score: DataFrame,
-                    exclude_group: str = UNCLASSIFIED_INDUSTRY,
-                    small_tags: bool | None = None,
-                    small_score: bool | None = None) -> DataFrame:
+                    exclude_group: str = UNCLASSIFIED_INDUSTRY) -> DataFrame:
     """R-07: money per industry group over flow x committee tags x score.
 
     The exclusion compares the *group* with the unclassified *industry* label,
     so (as in the source report) it removes nothing; pass "Unknown" to drop
     unclassified money.
     """
-    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") != exclude_group)
+    ft = _flow_tags(flow, tags).filter(F.col("industry_group") != exclude_group)
     s = _score_slim(score)
-    j = ft.join(maybe_broadcast(s, small_score), ft["candidate_id"] == s["_s_id"])
+    j = ft.join(s, ft["candidate_id"] == s["_s_id"])
+    score_tenths = F.col("corruption_score").cast("decimal(10,1)")    # the average is per flow row
     return j.groupBy("industry_group").agg(
         F.count_distinct("candidate_id").alias("candidates_funded"),
         F.sum("amount").cast(MONEY_SUM).alias("total_contributed"),
-        _dec1_avg("corruption_score").alias("avg_candidate_score"))
+        (F.sum(score_tenths * F.col("_rows")).cast("double")
+         / F.nullif(F.sum(F.when(score_tenths.isNotNull(), F.col("_rows"))), F.lit(0)))
+        .alias("avg_candidate_score")).orderBy(
+        F.col("total_contributed").desc_nulls_last(), "industry_group")
 
 
 def _cand_slim(candidates: DataFrame) -> DataFrame:
@@ -132,27 +141,24 @@ def _cand_slim(candidates: DataFrame) -> DataFrame:
 
 def industry_by_party(flow: DataFrame, tags: DataFrame, candidates: DataFrame,
                       exclude_group: str = UNCLASSIFIED_INDUSTRY,
-                      parties: list[str] = MAJOR_PARTIES, small_tags: bool | None = None,
-                      small_candidates: bool | None = None) -> DataFrame:
+                      parties: list[str] = MAJOR_PARTIES) -> DataFrame:
     """R-08."""
-    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") != exclude_group)
+    ft = _flow_tags(flow, tags).filter(F.col("industry_group") != exclude_group)
     c = _cand_slim(candidates).filter(F.col("_c_party").isin(parties))
-    j = ft.join(maybe_broadcast(c, small_candidates), ft["candidate_id"] == c["_c_id"])
+    j = ft.join(c, ft["candidate_id"] == c["_c_id"])
     return j.groupBy("industry_group", F.col("_c_party").alias("party_name")).agg(
-        F.sum("amount").cast(MONEY_SUM).alias("total"))
+        F.sum("amount").cast(MONEY_SUM).alias("total")).orderBy(
+        F.col("total").desc_nulls_last(), "industry_group", "party_name")
 
 
 def top_recipients(flow: DataFrame, tags: DataFrame, candidates: DataFrame, score: DataFrame,
-                   industry_group: str = "Pharma & Healthcare", n: int = 25,
-                   small_tags: bool | None = None,
-                   small_candidates: bool | None = None,
-                   small_score: bool | None = None) -> DataFrame:
+                   industry_group: str = "Pharma & Healthcare", n: int = 25) -> DataFrame:
     """R-09: biggest recipients of one industry group's money."""
-    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") == industry_group)
+    ft = _flow_tags(flow, tags).filter(F.col("industry_group") == industry_group)
     c = _cand_slim(candidates)
     s = _score_slim(score)
-    j = (ft.join(maybe_broadcast(c, small_candidates), ft["candidate_id"] == c["_c_id"])
-         .join(maybe_broadcast(s, small_score), F.col("candidate_id") == s["_s_id"]))
+    j = (ft.join(c, ft["candidate_id"] == c["_c_id"])
+         .join(s, F.col("candidate_id") == s["_s_id"]))
     keys = [F.col("_c_name").alias("candidate_name"), F.col("_c_party").alias("party_name"),
             F.col("_c_office").alias("office"), F.col("_c_state").alias("office_state"),
             F.col("_c_year").alias("election_year"), "corruption_score", "risk_tier"]
@@ -174,8 +180,7 @@ def dark_overview(tags: DataFrame, funding: DataFrame, score: DataFrame) -> Data
             .join(pct.select(key, "*"), "_k").drop("_k"))
 
 
-def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame,
-                          small_score: bool | None = None) -> DataFrame:
+def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame) -> DataFrame:
     """R-10 as written: every funding row is repeated once per suspect committee.
 
     Computed without forming the product: the sum is scaled by the number of
@@ -187,7 +192,7 @@ def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame,
     f = funding.select("candidate_id", "raised_from_dark_money")
     s = score.select(F.col("candidate_id").alias("_s_id"), "pct_dark_money")
     pct_dec = F.col("pct_dark_money").cast("decimal(20,2)")
-    fs = f.join(maybe_broadcast(s, small_score), f["candidate_id"] == s["_s_id"]).agg(
+    fs = f.join(s, f["candidate_id"] == s["_s_id"]).agg(
         F.sum("raised_from_dark_money").cast(MONEY_SUM).alias("_sum"),
         F.sum(pct_dec).alias("_pct_sum"), F.count(pct_dec).alias("_pct_n"),
         F.count(F.lit(1)).alias("_n"))
@@ -204,10 +209,9 @@ def dark_overview_literal(tags: DataFrame, funding: DataFrame, score: DataFrame,
         .alias("avg_pct_dark_money"))
 
 
-def dark_committees(tags: DataFrame, flow: DataFrame, n: int = 50,
-                    small_tags: bool | None = None) -> DataFrame:
+def dark_committees(tags: DataFrame, flow: DataFrame, n: int = 50) -> DataFrame:
     """R-11: suspect committees by money sent."""
-    ft = _flow_tags(flow, tags, small_tags).filter(F.col("_t_dark"))
+    ft = _flow_tags(flow, tags).filter(F.col("_t_dark"))
     g = ft.groupBy(F.col("_t_name").alias("committee_name"),
                    F.col("_t_org").alias("connected_organization_name"),
                    F.col("_t_orgtype").alias("organization_type")).agg(
@@ -223,13 +227,11 @@ DARK_CANDIDATE_COLUMNS = ["candidate_name", "party_name", "office", "office_stat
                           "corruption_score", "risk_tier"]
 
 
-def dark_candidates(funding: DataFrame, score: DataFrame, n: int = 50,
-                    small_funding: bool | None = None) -> DataFrame:
-    """R-12.  ``small_funding``: the funding mart (one row per score row) is
-    within the broadcast bound."""
+def dark_candidates(funding: DataFrame, score: DataFrame, n: int = 50) -> DataFrame:
+    """R-12."""
     f = funding.select(F.col("candidate_id").alias("_f_id"), "raised_from_dark_money") \
         .filter(F.col("raised_from_dark_money") > 0)
-    j = score.join(maybe_broadcast(f, small_funding), score["candidate_id"] == f["_f_id"])
+    j = score.join(f, score["candidate_id"] == f["_f_id"])
     return (j.orderBy(F.col("raised_from_dark_money").desc(), F.col("candidate_id").asc())
             .limit(n).select(*DARK_CANDIDATE_COLUMNS))
 
@@ -290,14 +292,13 @@ def component_breakdown(score: DataFrame, name: str) -> DataFrame:
 
 
 def industry_breakdown(flow: DataFrame, tags: DataFrame, candidates: DataFrame, name: str,
-                       exclude_group: str = UNCLASSIFIED_INDUSTRY,
-                       small_tags: bool | None = None,
-                       small_candidates: bool | None = None) -> DataFrame:
+                       exclude_group: str = UNCLASSIFIED_INDUSTRY) -> DataFrame:
     """R-15: one name search's money by industry group."""
-    ft = _flow_tags(flow, tags, small_tags).filter(F.col("industry_group") != exclude_group)
+    ft = _flow_tags(flow, tags).filter(F.col("industry_group") != exclude_group)
     c = _cand_slim(candidates).filter(F.col("_c_name").ilike(f"%{name}%"))
-    j = ft.join(maybe_broadcast(c, small_candidates), ft["candidate_id"] == c["_c_id"])
-    return j.groupBy("industry_group").agg(F.sum("amount").cast(MONEY_SUM).alias("total"))
+    j = ft.join(c, ft["candidate_id"] == c["_c_id"])
+    return j.groupBy("industry_group").agg(F.sum("amount").cast(MONEY_SUM).alias("total")).orderBy(
+        F.col("total").desc_nulls_last(), "industry_group")
 
 
 def top_by_office(score: DataFrame, office: str = "Senate", n: int = 20) -> DataFrame:

@@ -77,7 +77,7 @@ def stg_committees(raw: DataFrame, latest_per_id: bool = False) -> DataFrame:
     )
 
 
-def stg_individual_contributions(raw: DataFrame) -> DataFrame:
+def stg_individual_contributions(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Typed individual donations plus the size bucket, 21 columns."""
     amount = F.col("transaction_amt").cast(MONEY)
     cleaned = raw.filter(F.col("transaction_amt").isNotNull()).select(
@@ -92,7 +92,7 @@ def stg_individual_contributions(raw: DataFrame) -> DataFrame:
         normalize_name("occupation").alias("donor_occupation"),
         normalize_employer("employer").alias("donor_employer"),
         amount.alias("amount"),
-        D.filing_date("transaction_dt").alias("transaction_date"),
+        D.filing_date("transaction_dt", lenient).alias("transaction_date"),
         F.col("transaction_tp").alias("transaction_type"),
         D.is_refund("transaction_tp", amount).alias("is_refund"),
         F.col("entity_tp").alias("entity_type"),
@@ -105,7 +105,7 @@ def stg_individual_contributions(raw: DataFrame) -> DataFrame:
     return cleaned.withColumn("donation_size_bucket", D.size_bucket("is_refund", "amount"))
 
 
-def stg_pac_contributions(raw: DataFrame) -> DataFrame:
+def stg_pac_contributions(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Typed committee-to-candidate transactions, 17 columns."""
     amount = F.col("transaction_amt").cast(MONEY)
     return raw.filter(F.col("transaction_amt").isNotNull()).select(
@@ -114,7 +114,7 @@ def stg_pac_contributions(raw: DataFrame) -> DataFrame:
         F.trim("cand_id").alias("candidate_id"),
         amount.alias("amount"),
         ((amount < 0) | F.col("transaction_tp").startswith(D.REFUND_TYPE_PREFIX)).alias("is_refund"),
-        D.filing_date("transaction_dt").alias("transaction_date"),
+        D.filing_date("transaction_dt", lenient).alias("transaction_date"),
         F.col("transaction_tp").alias("transaction_type"),
         F.col("transaction_pgi").alias("election_type"),
         F.col("entity_tp").alias("entity_type"),

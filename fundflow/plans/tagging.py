@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import best_per_key
-from ..operators.joins import maybe_broadcast
 from ..operators.keyword_match import (add_first_match, collect_taxonomy, first_match_index,
                                          match_at)
 
@@ -23,17 +22,16 @@ EMPLOYER_STOP_LIST = ["", "N/A", "NA", "NONE", "NOT EMPLOYED", "RETIRED", "SELF"
 
 
 def crosswalk_matches(committees: DataFrame, crosswalk_raw: DataFrame,
-                      categories: DataFrame, small_crosswalk: bool | None = None,
-                      small_categories: bool | None = None) -> DataFrame:
+                      categories: DataFrame) -> DataFrame:
     """Layer 1: committee -> crosswalk -> category; best category per committee."""
     ids = committees.select("committee_id")
     xw = crosswalk_raw.select(F.upper(F.trim("fec_id")).alias("_fec"),
                               F.upper(F.trim("prim_code")).alias("_code"))
     cats = categories.select(F.upper(F.trim("opensecrets_catcode")).alias("_cat"),
                              "opensecrets_catcode", "industry", "industry_group", "priority")
-    joined = (ids.join(maybe_broadcast(xw, small_crosswalk),
+    joined = (ids.join(xw,
                        F.upper(F.trim(ids["committee_id"])) == xw["_fec"])
-              .join(maybe_broadcast(cats, small_categories), F.col("_code") == F.col("_cat")))
+              .join(cats, F.col("_code") == F.col("_cat")))
     best = best_per_key(
         joined.select("committee_id", "industry", "industry_group", "priority",
                       "opensecrets_catcode"),
@@ -70,18 +68,10 @@ def keyword_matches(committees: DataFrame, taxonomy: DataFrame,
 
 def committee_industry_tags(committees: DataFrame, taxonomy: DataFrame,
                             crosswalk_raw: DataFrame, categories: DataFrame,
-                            small_committees: bool | None = None,
-                            small_crosswalk: bool | None = None,
-                            keywords: list[tuple] | None = None,
-                            small_categories: bool | None = None) -> DataFrame:
+                            keywords: list[tuple] | None = None) -> DataFrame:
     """One row per committee row with its industry tag and dark-money flag, 11 columns.
-
-    ``small_committees``: the committee table is within the broadcast bound,
-    so the per-committee best-match table (at most one row per committee
-    row) is too.
     """
-    xw = crosswalk_matches(committees, crosswalk_raw, categories, small_crosswalk,
-                           small_categories)
+    xw = crosswalk_matches(committees, crosswalk_raw, categories)
     kw = keyword_matches(committees, taxonomy, keywords)
     # crosswalk wins: one full outer join of the two per-committee tables
     # (each at most one row per committee) keeps the crosswalk row when there
@@ -97,7 +87,7 @@ def committee_industry_tags(committees: DataFrame, taxonomy: DataFrame,
         F.when(has_x, F.col("_x_grp")).otherwise(F.col("_k_grp")).alias("_grp"),
         F.when(has_x, F.col("_x_src")).otherwise(F.col("_k_src")).alias("_src"))
     c = committees
-    tagged = c.join(maybe_broadcast(best, small_committees), c["committee_id"] == best["_bm_id"],
+    tagged = c.join(best, c["committee_id"] == best["_bm_id"],
                     "left")
     return tagged.select(
         "committee_id", "committee_name", "connected_organization_name", "organization_type",
@@ -140,14 +130,15 @@ def tag_donations(individual: DataFrame, taxonomy: DataFrame,
 
 def individual_donor_industry(individual: DataFrame, taxonomy: DataFrame,
                               keywords: list[tuple] | None = None,
-                              tagged: DataFrame | None = None) -> DataFrame:
+                              tagged: DataFrame | None = None,
+                              casefold_stop_list: bool = False) -> DataFrame:
     """Employer-based industry per individual, non-refund donation, 9 columns.
 
     ``tagged``: the output of ``tag_donations`` when already computed.
     """
     if tagged is None:
-        tagged = tag_donations(individual, taxonomy, keywords)
-    m = tagged.filter(employer_eligible())
+        tagged = tag_donations(individual, taxonomy, keywords, casefold_stop_list)
+    m = tagged.filter(employer_eligible(casefold=casefold_stop_list))
     return m.select(
         "transaction_id", "committee_id", "amount", "transaction_date", "donor_employer",
         F.coalesce(F.col("m.industry"), F.lit(UNCLASSIFIED_INDUSTRY)).alias("industry"),

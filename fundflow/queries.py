@@ -18,8 +18,11 @@ from .functions.text import (candidate_display_name, candidate_first_name,
                              candidate_last_name, normalize_employer, normalize_name)
 from .oracle import sql as O
 from .plans import marts, quality, reports, tagging
+from .operators.keyword_match import first_match_join
 from .plans.pipeline import Models, warehouse_folder
-from .plans.quality import NOT_NULL_CHECKS, UNIQUE_CHECKS
+from .plans.quality import NOT_NULL_CHECKS, UNIQUE_CHECKS, UNKNOWN_FLAG_CHECKS
+from .sources import delimited, lens
+from .sources.layouts import FILE_TYPES
 
 PROFILE_NAME = "household"          # name search used by the candidate pages
 TOP_INDUSTRY = "Pharma & Healthcare"
@@ -38,10 +41,11 @@ def _m(spark: SparkSession, sf_dir: str) -> Models:
     written once (under ``spark.checkpoint.dir``) and every report reads them;
     staging models stay lazy views over the raw tables.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    folder = warehouse_folder(spark, sf_dir)   # names the version of the input files
+    key = (spark.sparkContext.applicationId, folder)
     if key not in _MODELS:
         models = Models.from_lens(spark, sf_dir)
-        models.warehouse = warehouse_folder(spark, sf_dir)
+        models.warehouse = folder
         _MODELS[key] = models
     return _MODELS[key]
 
@@ -84,8 +88,7 @@ def _refund_flags(spark, sf):
 def _crosswalk_layer(spark, sf):
     m = _m(spark, sf)
     return tagging.crosswalk_matches(m.committees, m.raw["opensecrets_committees"],
-                                     m.categories, m.small("opensecrets_committees"),
-                                     m.small("categories")).drop("match_source")
+                                     m.categories).drop("match_source")
 
 
 def _keyword_layer(spark, sf):
@@ -93,6 +96,28 @@ def _keyword_layer(spark, sf):
     return tagging.keyword_matches(m.committees, m.taxonomy, m.keywords).drop("match_source")
 
 
+def _keyword_match_join(spark, sf):
+    """The donor-industry table by the n-gram join plan, which has no bound on the taxonomy."""
+    m = _m(spark, sf)
+    donations = m.individual.filter(F.col("is_individual_donor") & ~F.col("is_refund"))
+    tagged = first_match_join(donations, ["donor_employer"], m.taxonomy, "m")
+    return tagging.individual_donor_industry(m.individual, m.taxonomy, m.keywords, tagged)
+
+
+def _rejected_rows(spark, sf):
+    """Rows and rejected lines per file, from raw rows written out as delimited lines."""
+    columns = FILE_TYPES["pas2"][1]
+    lines = spark.sql(lens.delimited_lines_sql("spark", columns),
+                      raw=_m(spark, sf).raw["pac_contributions"])
+    return delimited.line_counts(lines, columns)
+
+
+def _file_manifest(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    files = spark.sql(lens.listing_sql(), part=part)
+    return delimited.manifest_status(files, spark.sql(lens.manifest_sql(), part=part))
+
+
 def _by_path(spark, sf):
     return _m(spark, sf).flow.groupBy("contribution_path", "match_source").agg(
         F.count(F.lit(1)).alias("transactions"),
@@ -115,8 +140,7 @@ def _funding_by_industry(spark, sf):
 
 def _large_donor_totals(spark, sf):
     m = _m(spark, sf)
-    return marts.large_donor_totals(m.individual, m.linkage,
-                                    m.small("candidate_committee_linkage"))
+    return marts.large_donor_totals(m.individual, m.linkage)
 
 
 def _score_components(spark, sf):
@@ -176,6 +200,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
     reg("committee_tags_keyword", _keyword_layer,
         "SELECT committee_id, industry, industry_group FROM kw_best")
     reg("donor_industry", lambda s, d: m(s, d).donor_industry, "SELECT * FROM donor_ind")
+    reg("keyword_match_join", _keyword_match_join, "SELECT * FROM donor_ind")
     reg("dark_money_suspects", lambda s, d: tagging.dark_money_suspects(m(s, d).committee_tags),
         """SELECT committee_id, committee_name, connected_organization_name, organization_type,
                   committee_type FROM tags WHERE is_dark_money_suspect""")
@@ -281,16 +306,14 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                      AS bin_start
             FROM score WHERE office LIKE '%' AND party_name LIKE '%' GROUP BY ALL""")
     reg("industry_totals", lambda s, d: reports.industry_totals(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).score,
-            small_tags=m(s, d).small("committees"), small_score=m(s, d).small("score")), f"""
+            m(s, d).flow, m(s, d).committee_tags, m(s, d).score), f"""
         SELECT t.industry_group, count(DISTINCT f.candidate_id) AS candidates_funded,
                sum(f.amount) AS total_contributed, {avg1('s.corruption_score')} AS avg_candidate_score
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
         JOIN score s ON f.candidate_id = s.candidate_id
         WHERE t.industry_group <> 'Unknown / Unclassified' GROUP BY t.industry_group""")
     reg("industry_by_party", lambda s, d: reports.industry_by_party(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates,
-            small_tags=m(s, d).small("committees"), small_candidates=m(s, d).small("candidates")), """
+            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates), """
         SELECT t.industry_group, c.party_name, sum(f.amount) AS total
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
         JOIN s_cand c ON f.candidate_id = c.cand_id
@@ -299,8 +322,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         GROUP BY t.industry_group, c.party_name""")
     reg("top_recipients", lambda s, d: reports.top_recipients(
             m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, m(s, d).score,
-            TOP_INDUSTRY, small_tags=m(s, d).small("committees"),
-            small_candidates=m(s, d).small("candidates"), small_score=m(s, d).small("score")), f"""
+            TOP_INDUSTRY), f"""
         SELECT c.candidate_name, c.party_name, c.office, c.office_state, c.election_year,
                sum(f.amount) AS received, s.corruption_score, s.risk_tier
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
@@ -320,14 +342,14 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                (SELECT sum(raised_from_dark_money) FROM funding) AS total_dark_money,
                (SELECT {avg2('pct_dark_money')} FROM score) AS avg_pct_dark_money""")
     reg("dark_overview_literal", lambda s, d: reports.dark_overview_literal(
-            m(s, d).committee_tags, m(s, d).funding, m(s, d).score, m(s, d).small("score")), f"""
+            m(s, d).committee_tags, m(s, d).funding, m(s, d).score), f"""
         SELECT count(DISTINCT ct.committee_id) AS dark_money_pacs,
                sum(f.raised_from_dark_money) AS total_dark_money,
                {avg2('s.pct_dark_money')} AS avg_pct_dark_money
         FROM tags ct JOIN funding f ON 1 = 1 JOIN score s USING (candidate_id)
         WHERE ct.is_dark_money_suspect""")
     reg("dark_committees", lambda s, d: reports.dark_committees(
-            m(s, d).committee_tags, m(s, d).flow, small_tags=m(s, d).small("committees")), """
+            m(s, d).committee_tags, m(s, d).flow), """
         SELECT ct.committee_name, ct.connected_organization_name, ct.organization_type,
                count(DISTINCT c.candidate_id) AS candidates_funded, sum(c.amount) AS total_spent
         FROM tags ct JOIN flow c ON ct.committee_id = c.source_committee_id
@@ -336,7 +358,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                  connected_organization_name NULLS LAST, organization_type NULLS LAST
         LIMIT 50""")
     reg("dark_candidates", lambda s, d: reports.dark_candidates(
-            m(s, d).funding, m(s, d).score, small_funding=m(s, d).small("score")), f"""
+            m(s, d).funding, m(s, d).score), f"""
         SELECT {', '.join('s.' + c if c != 'raised_from_dark_money' else 'f.' + c
                           for c in reports.DARK_CANDIDATE_COLUMNS)}
         FROM funding f JOIN score s USING (candidate_id)
@@ -351,8 +373,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         UNION ALL SELECT 'Individuals', pct_from_individuals FROM {one_candidate()} o2
         UNION ALL SELECT 'Dark Money', pct_dark_money FROM {one_candidate()} o3""")
     reg("industry_breakdown", lambda s, d: reports.industry_breakdown(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, PROFILE_NAME,
-            small_tags=m(s, d).small("committees"), small_candidates=m(s, d).small("candidates")), f"""
+            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, PROFILE_NAME), f"""
         SELECT ct.industry_group, sum(c.amount) AS total
         FROM flow c JOIN tags ct ON c.source_committee_id = ct.committee_id
         JOIN s_cand cand ON c.candidate_id = cand.cand_id
@@ -383,7 +404,26 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                 SELECT {c}, cycle_year FROM {raw_alias[t]} WHERE {c} IS NOT NULL
                 GROUP BY {c}, cycle_year HAVING count(*) > 1) d"""
           for t, c in UNIQUE_CHECKS]
-    reg("dq_checks", lambda s, d: quality.quality_report(m(s, d).raw), " UNION ALL ".join(nn + uq))
+    typed = {"transaction_tp": "CAST(transaction_amt AS DECIMAL(12,2)) >= 0",
+             "entity_tp": "transaction_amt IS NOT NULL"}
+    uf = [f"""SELECT 'flag_known', '{t}', '{c}', count(*), count(*) = 0
+              FROM {raw_alias[t]} WHERE {c} IS NULL AND {typed[c]}"""
+          for t, c in UNKNOWN_FLAG_CHECKS]
+    reg("dq_checks", lambda s, d: quality.quality_report(m(s, d).raw),
+        " UNION ALL ".join(nn + uq + uf))
+    reg("rejected_rows", _rejected_rows, f"""
+        SELECT cycle_year, source_file, count(*) FILTER (WHERE NOT ({lens.BAD_LINE})) AS rows,
+               count(*) FILTER (WHERE {lens.BAD_LINE}) AS rejected
+        FROM r_pac GROUP BY cycle_year, source_file""")
+    reg("file_manifest", _file_manifest, f"""
+        SELECT l.*, CASE
+            WHEN NOT EXISTS (SELECT 1 FROM ({lens.manifest_sql('part')}) r WHERE r.cycle_year = l.cycle_year
+                             AND r.file_type = l.file_type AND r.file_name = l.file_name) THEN 'new'
+            WHEN l.file_size > 0 AND EXISTS (
+                SELECT 1 FROM ({lens.manifest_sql('part')}) r WHERE r.cycle_year = l.cycle_year AND r.file_type = l.file_type
+                AND r.file_name = l.file_name AND r.file_size = l.file_size) THEN 'skipped'
+            ELSE 'changed' END AS status
+        FROM ({lens.listing_sql('part')}) l""")
     reg("dq_duplicates", _dq_duplicates, """
         SELECT sub_id, cycle_year, count(*) AS n_records FROM r_pac WHERE sub_id IS NOT NULL
         GROUP BY sub_id, cycle_year HAVING count(*) > 1""")

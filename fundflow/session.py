@@ -9,20 +9,18 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL options the pipeline relies on for correct results (ANSI casts, UTC
-# wall clock, CSV rows dropped whole when malformed) and for plans that hold
-# at scale (AQE re-planning, skew splitting, dynamic partition overwrite).
+# wall clock) and for plans that hold at scale (AQE re-planning, skew splitting).
 RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -64,6 +62,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared checkpoint folder, and read back.
+
+    Cuts lineage like a checkpoint, but in columns, so later reads are pruned; a lost
+    executor never costs more than what was not yet written.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only in local mode.
 

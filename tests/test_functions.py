@@ -70,15 +70,6 @@ def test_decode_defaults(spark):
     assert got == ["House", "Z", None]
 
 
-def test_exact_median_truncates_cents(spark):
-    from fundflow.plans.marts import exact_median_money
-    df = spark.createDataFrame([("a", "1.00"), ("a", "1.01"), ("b", "0.28"), ("b", "0.31"),
-                                ("c", "5.00")], "g string, a string")
-    got = dict(df.groupBy("g").agg(exact_median_money(F.col("a").cast("decimal(12,2)"))
-                                   .alias("m")).collect())
-    assert got == {"a": Decimal("1.00"), "b": Decimal("0.29"), "c": Decimal("5.00")}
-
-
 def test_median_of_integers_matches_percentile(spark):
     import random
     from fundflow.operators.median import median_of_integers

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from fundflow.plans import reports
 from fundflow.plans.pipeline import Models
 
 
@@ -28,12 +29,41 @@ def test_mart_invariants(spark):
     assert s.count() == s.select("candidate_id").distinct().count()
 
 
-def test_flow_plan_broadcasts_dimensions(spark):
+def test_results_do_not_depend_on_broadcasts(spark):
+    """Flow, funding and a report with every join sort-merged, the hot committee's skew split."""
+    names = ["money_flow", "funding_summary", "industry_totals", "top_recipients", "committee_tags"]
+
+    def results():
+        m = Models.from_lens(spark, SF_SMALL)
+        frames = [m.flow, m.funding, reports.industry_totals(m.flow, m.committee_tags, m.score),
+                  reports.top_recipients(m.flow, m.committee_tags, m.candidates, m.score), m.committee_tags]
+        return frames, [sorted(map(str, f.collect())) for f in frames]
+
+    frames, usual = results()
+    keep = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8k")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
+        frames, merged = results()
+        plan = _plan(frames[0])
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    for name, a, b in zip(names, usual, merged):
+        assert a == b, name
+
+
+def test_no_base_table_goes_to_one_task(spark):
     m = Models.from_lens(spark, SF_SMALL)
-    plan = _plan(m.flow)
-    assert "BroadcastHashJoin" in plan
-    # donations are never joined to tags or links through a shuffle of their own
-    assert "SortMergeJoin" not in plan.split("Union")[-1]
+    for df in (m.flow, m.committee_tags, m.donor_industry):
+        assert "SinglePartition" not in _plan(df)
 
 
 def test_funding_plan_has_no_object_aggregate(spark):
