@@ -49,7 +49,7 @@ FURNITURE = frozenset("""ad ads advert adverts advertisement advertisements adve
     recommended recommendations newsletter subscribe subscription signup login popup modal overlay widget
     widgets pagination pager paywall skip copyright""".split())
 ARTICLE_WORDS = frozenset("article post entry content story main body".split())
-CONTENT = frozenset("""articlebody postcontent entrycontent articlecontent storybody postbody
+CONTENT = frozenset("""content article post story entry main articlebody postcontent entrycontent articlecontent storybody postbody
     maincontent contentmain contentbody articletext""".split())
 
 _TOKEN = re.compile(
@@ -195,6 +195,9 @@ def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int,
 def main_text(page: str | None, window: int = WINDOW, peak: int = PEAK) -> str:
     lines = lines_of(page or "")
     surest = max((mark for _, odd, mark, _ in lines if not odd), default=0)
+    if surest == 1:                             # a mere label must hold most of the text
+        size = [sum(len(t) for t, odd, mark, _ in lines if not odd and mark == m) for m in (0, 1)]
+        surest = int(size[1] >= size[0])
     lengths = []
     for text, odd, mark, links in lines:
         if odd or mark < surest:

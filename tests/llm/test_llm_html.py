@@ -36,6 +36,8 @@ def test_page_without_a_named_article():
     ("<article><p>x</p>" + "<p></p>" * 50 + "<p>y</p></article>", "x\ny"),
     ("<div class='entry-header'><h1>Head</h1></div><p>" + "w " * 100 + "</p>", "Head\n" + ("w " * 100).strip()),
     ("<main><p>t</main><div>outside text that is long enough to be picked up by itself, were it not for main</div>", "t"),
+    ("<div id=content><h1>T</h1><p>short</div><div>out</div>", "T\nshort"),
+    ("<div class=content>x</div><div>" + "long text " * 20 + "</div>", "x\n" + ("long text " * 20).strip()),
     ("<p hidden>no</p><div style='display: none'>no</div><div aria-hidden=true>no</div><p>yes", "yes"),
 ])
 def test_cases(page, text):
