@@ -10,10 +10,9 @@ there by everything else.
 from __future__ import annotations
 
 import hashlib
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.keyword_match import collect_taxonomy, sort_keywords
 from ..session import ensure_checkpoint_dir
@@ -219,13 +218,16 @@ def materialize(models: Models, warehouse: str) -> None:
 
 
 def source_version(spark: SparkSession, paths: list[str]) -> str:
-    """Digest of the files below ``paths`` (name, size, time): other data is another version."""
-    files = reduce(DataFrame.unionByName, [
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
-        .select("path", "length", "modificationTime") for p in paths])
-    h = F.xxhash64("path", "length", "modificationTime")
-    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.sum(h.bitwiseAND(F.lit(0x7FFFFFFF)))).first()
-    return hashlib.sha1(repr(tuple(row)).encode()).hexdigest()[:12]
+    """Digest of what each path holds (bytes, files, time of change): other data is another version."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found = []
+    for p in paths:
+        path = hadoop.Path(p)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        held = fs.getContentSummary(path)
+        found.append((p.rpartition("/")[2], held.getLength(), held.getFileCount(),
+                      fs.getFileStatus(path).getModificationTime()))
+    return hashlib.sha1(repr(found).encode()).hexdigest()[:12]
 
 
 def warehouse_folder(spark: SparkSession, sf_dir: str) -> str:

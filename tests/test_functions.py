@@ -1,7 +1,6 @@
 """Scalar functions on hand-made edge rows."""
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import functions as F
 

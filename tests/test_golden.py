@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from conftest import SF_SMALL
 from fundflow.functions import decode, text
-from fundflow.plans import marts, quality, reports, staging, tagging
+from fundflow.plans import marts, quality, reports, tagging
 from fundflow.plans.pipeline import Models
 from fundflow.sources import seeds
 
