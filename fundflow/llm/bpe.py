@@ -37,7 +37,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
+CACHE_PAIRS = 500_000
 CACHE_LENGTH = 64
 NEVER = 1 << 30
 
@@ -206,7 +207,7 @@ class Encoder:
         if len(self.numbered) > CACHE_WORDS:
             self.numbered.clear()
             self.named.clear()
-        if len(self.pairs) > 4 * CACHE_WORDS:
+        if len(self.pairs) > CACHE_PAIRS:
             self.pairs.clear()
         split = [self.split(t) for t in texts]
         new = set().union(*split).difference(self.numbered)

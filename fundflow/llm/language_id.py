@@ -35,7 +35,7 @@ SCALE = 30.0                                   # brings the norm of a frequency
 STEPS = 40
 COST = 1.0
 UNKNOWN = "und"
-CHUNK = 1 << 21                                # bytes of text scored at a time
+CHUNK = 1 << 20                                # characters of text scored at a time
 
 # ISO 639-1 codes by language family.
 FAMILIES = {
@@ -144,7 +144,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> dict:
             "weights": (table[:, :DIM] * SCALE).astype(np.float32), "bias": table[:, DIM]}
 
 
-def _margins(model: dict, texts: list[bytes]) -> np.ndarray:
+def _margins(model: dict, texts: list[str]) -> np.ndarray:
     """(text, classifier) margins, a few MB of text at a time."""
     out = np.zeros((len(texts), len(model["weights"])))
     start = 0
@@ -153,9 +153,10 @@ def _margins(model: dict, texts: list[bytes]) -> np.ndarray:
         while stop < len(texts) and (stop == start or size + len(texts[stop]) <= CHUNK):
             size += len(texts[stop])
             stop += 1
-        ends = np.cumsum([len(t) for t in texts[start:stop]])
+        part = [t.encode() for t in texts[start:stop]]
+        ends = np.cumsum([len(t) for t in part])
         begins = np.concatenate([[0], ends[:-1]])
-        bucket, real = _grams(b"".join(texts[start:stop]))
+        bucket, real = _grams(b"".join(part))
         total = lambda x: (lambda s: s[ends - 2] - s[begins])(
             np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)]))
         n = np.maximum(total(real), 1)
@@ -165,7 +166,7 @@ def _margins(model: dict, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def classify(model: dict, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
+def classify(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Predicted language and score (0 to 1) of lower-cased texts with a space at either end."""
     names, margins = model["families"], _margins(model, texts)
     if not names:
@@ -201,7 +202,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        lang, score = classify(shared.value, [t.encode() for t in texts])
+        lang, score = classify(shared.value, texts.tolist())
         return pd.DataFrame({"lang_pred": lang, "score": score})
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
