@@ -10,6 +10,7 @@ there by everything else.
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -193,10 +194,19 @@ def _is_there(spark: SparkSession, path: str) -> bool:
 
 def write_raw(raw: dict[str, DataFrame], warehouse: str) -> None:
     """Raw tables below ``{warehouse}/raw``, partitioned by cycle and source file, replaced whole."""
-    for name, df in raw.items():
+    def write(item) -> None:
+        name, df = item
         (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*LINEAGE_COLUMNS).parquet(f"{warehouse}/raw/{name}"))
 
+    _at_once(write, raw.items())
+
+
+def _at_once(run, items) -> None:
+    """Independent jobs submitted together, so short ones fill each other's idle tasks; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(run, items))
+
 
 def materialize(models: Models, warehouse: str) -> None:
     """Write the table-layer models under ``warehouse`` (Parquet, replaced whole).
@@ -209,12 +219,14 @@ def materialize(models: Models, warehouse: str) -> None:
     lazy = Models(spark, models.raw, models.taxonomy, models.categories, models._keyword_rows,
                   **models.options)
 
-    def write(name: str, df: DataFrame) -> DataFrame:
+    def write(name: str) -> None:
+        df = getattr(lazy, name)
         df.write.mode("overwrite").parquet(f"{warehouse}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{warehouse}/{name}")
+        lazy.__dict__[name] = spark.read.schema(df.schema).parquet(f"{warehouse}/{name}")
 
-    for name in ("committee_tags", "tagged_donations", "flow", "funding_extras", "score"):
-        lazy.__dict__[name] = write(name, getattr(lazy, name))
+    _at_once(write, ("committee_tags", "tagged_donations"))
+    for name in ("flow", "funding_extras", "score"):
+        write(name)
 
 
 def source_version(spark: SparkSession, paths: list[str]) -> str:
