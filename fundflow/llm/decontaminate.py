@@ -5,10 +5,10 @@ number and names (a capitalised word inside a sentence, or a common given
 name) are each replaced by a typed placeholder, the other words are
 lower-cased, marks are dropped.  Windows of ``WINDOW`` template tokens are
 hash-joined with the benchmark's, so a question with other numbers, names or
-units is found.  A match keeps the slot values of both sides; along one
-alignment of a document and an item the values must map one to one (a benchmark
-value always becomes the same document value and the reverse), else the
-alignment is dropped as a chance likeness.
+units is found.  A match keeps the slot values of both sides.  A window whose words
+all equal the item's (but for case) is always kept; within any other window a
+benchmark value must always become the same document value (several may become
+one), else that window, and it alone, is dropped as a chance likeness.
 
 The join runs in two steps.  Each benchmark window names its longest plain word as
 its anchor; every token of the documents is hash-joined with the anchors, and only
@@ -28,8 +28,6 @@ result; extra columns are ignored, and kept by ``clean``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,9 +117,10 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_key, item_id, item_key, at, item_at, length, slots) per matched window.
+    """(doc_id, text_key, item_id, item_key, at, item_at, length, verbatim, slots) per matched window.
 
-    ``at`` and ``item_at`` count tokens; ``slots`` pairs the values at the placeholders.
+    ``at`` and ``item_at`` count tokens; ``verbatim`` tells whether all words are equal but for
+    case; ``slots`` pairs the values at the placeholders.
     """
     theirs = written(benchmark_windows(benchmark, window), "benchmark-windows")
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
@@ -137,6 +136,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         met = met.join(one, one.doc_id.eqNullSafe(F.col("met_id")) & (one.text_key == F.col("met_key")))
     at = F.col("place") - F.col("offset")
     inside = met.filter((at >= 0) & (at + F.col("length") <= F.size("w")))
+    words = F.transform(F.slice("near", F.col("lead") + 1, F.col("length")), _core)
+    verbatim = F.transform(words, F.lower) == F.transform("item_words", F.lower)
     # Only the window and the token before it go on.  The id is a barrier: below it all is one
     # generated loop over the tokens, and the comparison above sees met rows alone.
     around = inside.select(
@@ -144,35 +145,26 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         "item_template", "item_words", F.least(at, F.lit(1)).alias("lead"),
         F.slice("w", F.greatest(at, F.lit(1)), F.col("length") + F.least(at, F.lit(1))).alias("near"),
         F.monotonically_increasing_id().alias("barrier"))
-    same = around.filter((_template(F.col("near"), F.col("lead"), F.col("length"))
-                          == F.col("item_template")) & (F.col("barrier") >= 0))
-    pairs = F.arrays_zip(F.col("item_template").alias("kind"), F.transform(
-        F.slice("near", F.col("lead") + 1, F.col("length")), _core).alias("value"),
-        F.col("item_words").alias("item_value"))
+    same = around.filter((verbatim | (_template(F.col("near"), F.col("lead"), F.col("length"))
+                                      == F.col("item_template"))) & (F.col("barrier") >= 0))
+    pairs = F.arrays_zip(F.col("item_template").alias("kind"), words.alias("value"),
+                         F.col("item_words").alias("item_value"))
     return same.select("doc_id", "text_key", "item_id", "item_key", "at", "item_at", "length",
-                       F.filter(pairs, lambda p: ~_plain(p["kind"])).alias("slots"))
+                       verbatim.alias("verbatim"), F.filter(pairs, lambda p: ~_plain(p["kind"])).alias("slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, text_key, n_windows, first_token, reworded): one row per document and item."""
-    found = written(matches(docs, benchmark, window).dropDuplicates(
-        ["doc_id", "text_key", "item_id", "item_key", "at", "item_at", "length"]), "template-matches")
-    line = ["doc_id", "text_key", "item_id", "item_key", "shift"]
-    aligned = found.withColumn("shift", F.col("at") - F.col("item_at"))
-    slots = aligned.select(*line, F.inline("slots")).distinct()
-    to = slots.groupBy(*line, "kind", "item_value").agg(F.count(F.lit(1)).alias("n"))
-    back = slots.groupBy(*line, "kind", "value").agg(F.count(F.lit(1)).alias("n"))
-    odd = to.filter("n > 1").select(*line).unionByName(back.filter("n > 1").select(*line)).distinct()
-    changed = slots.filter("value != item_value").select(*line).distinct() \
-                   .withColumn("changed", F.lit(True))
-    on = lambda other: reduce(Column.__and__, (
-        F.col(f"x.{c}").eqNullSafe(F.col(f"{other}.{c}")) for c in line))
-    good = aligned.alias("x").join(odd.alias("o"), on("o"), "left_anti").alias("x") \
-                  .join(changed.alias("c"), on("c"), "left").select("x.*", "changed")
+    item_value = lambda s: F.struct(s["kind"], F.lower(s["item_value"]))
+    both_values = lambda s: F.struct(
+        s["kind"], F.lower(s["item_value"]), F.lower(s["value"]))
+    distinct = lambda f: F.size(F.array_distinct(F.transform("slots", f)))
+    good = matches(docs, benchmark, window).filter(
+        F.col("verbatim") | (distinct(item_value) == distinct(both_values)))
     return good.groupBy("doc_id", "item_id", "text_key").agg(
         F.count_distinct("at", "length").alias("n_windows"),
         F.min("at").cast("long").alias("first_token"),
-        F.max(F.coalesce("changed", F.lit(False))).alias("reworded")).select(
+        F.max(~F.col("verbatim")).alias("reworded")).select(
         "doc_id", "item_id", "n_windows", "first_token", "reworded", "text_key")
 
 

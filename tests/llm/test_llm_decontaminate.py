@@ -72,3 +72,14 @@ def test_extra_columns_with_clashing_names(spark):
     df = spark.createDataFrame([(1, "x " + Q, 2, 3, "h")], DOCS + ", bad_id int, at int, hash string")
     bench = spark.createDataFrame([(1, Q, 5)], ITEMS + ", n int")
     assert S.contaminated(df, bench).count() == 1 and S.clean(df, bench).count() == 0
+
+
+def test_verbatim_windows_of_an_inconsistent_alignment_and_equal_new_values(spark):
+    item = "a box holds 3 red balls and 5 blue balls so how many balls are in it"
+    docs = [(1, Q.replace("5 pears that", "9 pears that")), (2, item.replace("3", "4").replace("5", "4")),
+            (3, "Tom buys 4 kites and 4 ropes for 4 boys today"), (4, "Tom buys 4 kites and 6 ropes for 9 boys today")]
+    items = [(7, Q), (8, item), (9, "Tom buys 2 kites and 3 ropes for 2 boys today")]
+    got = _found(spark, docs, items)
+    # document 4 has two values for item 9's 2
+    assert set(got) == {(1, 7), (2, 8), (3, 9)}
+    assert got[2, 8].reworded and got[3, 9].reworded and got[1, 7].n_windows == 20
