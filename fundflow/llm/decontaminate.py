@@ -16,9 +16,10 @@ where one is met the window around it is canonicalised and compared whole.
 Equal templates have equal plain words, so no window is missed, and the texts
 are neither canonicalised nor shuffled as a whole.
 
-Windows with fewer than ``LITERALS`` plain words are no evidence and are not
-joined.  An item shorter than a window is matched as a whole if it has
-``LITERALS`` plain words; shorter items can't be told from chance.
+Windows with fewer than ``LITERALS`` plain words match verbatim only, as their
+template is no evidence; their anchor is the longest of all their tokens.  An item
+shorter than a window is matched as a whole, however short it is: every document
+that holds a one-word item's word is reported with it.
 
 Cases: null and empty texts match nothing; several items of one text are each
 reported; repeated rows are reported once; rows sharing a doc_id are told apart by
@@ -93,13 +94,14 @@ def _plain(token: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(anchor, item_id, item_key, item_at, length, offset, item_template, item_words) per window.
+    """(anchor, item_id, item_key, item_at, length, offset, literal, item_template, item_words) per window.
 
-    ``anchor`` hashes the window's longest plain word, ``offset`` is its place in the window.
+    ``anchor`` hashes the window's longest plain word (longest token if it has fewer than LITERALS
+    plain words, then ``literal`` is true), ``offset`` is its place in the window.
     """
     items = benchmark.select("item_id", text_key(F.col("text")).alias("item_key"),
                              _tokens(F.col("text")).alias("w")).distinct() \
-                     .filter(F.size("w") >= LITERALS)
+                     .filter(F.size("w") > 0)
     length = F.least(F.lit(window), F.size("w"))
     spread = items.select("item_id", "item_key", "w", length.alias("length"), F.explode(
         F.sequence(F.lit(0), F.size("w") - length)).alias("item_at"))
@@ -107,13 +109,15 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
         "item_id", "item_key", "item_at", "length",
         _template(F.col("w"), F.col("item_at"), F.col("length")).alias("item_template"),
         F.transform(F.slice("w", F.col("item_at") + 1, F.col("length")), _core).alias("item_words"))
-    plain = F.filter("item_template", _plain)
-    longest = F.element_at(F.array_sort(F.transform(plain, lambda t: F.struct(
-        (-F.char_length(t)).alias("n"), t.alias("t")))), 1)["t"]
-    return full.filter(F.size(plain) >= LITERALS).withColumn("word", longest).select(
+    literal = full.withColumn("literal", F.size(F.filter("item_template", _plain)) < LITERALS) \
+        .withColumn("words", F.when(F.col("literal"), F.transform("item_words", F.lower))
+                    .otherwise(F.col("item_template")))
+    longest = F.element_at(F.array_sort(F.transform(
+        F.filter("words", _plain), lambda t: F.struct((-F.char_length(t)).alias("n"), t.alias("t")))), 1)["t"]
+    return literal.withColumn("word", longest).select(
         F.xxhash64("word").alias("anchor"), "item_id", "item_key", "item_at", "length",
-        (F.array_position("item_template", F.col("word")).cast("int") - 1).alias("offset"),
-        "item_template", "item_words")
+        (F.array_position("words", F.col("word")).cast("int") - 1).alias("offset"),
+        "literal", "item_template", "item_words")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -142,11 +146,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     # generated loop over the tokens, and the comparison above sees met rows alone.
     around = inside.select(
         "doc_id", "text_key", "item_id", "item_key", at.alias("at"), "item_at", "length",
-        "item_template", "item_words", F.least(at, F.lit(1)).alias("lead"),
+        "literal", "item_template", "item_words", F.least(at, F.lit(1)).alias("lead"),
         F.slice("w", F.greatest(at, F.lit(1)), F.col("length") + F.least(at, F.lit(1))).alias("near"),
         F.monotonically_increasing_id().alias("barrier"))
-    same = around.filter((verbatim | (_template(F.col("near"), F.col("lead"), F.col("length"))
-                                      == F.col("item_template"))) & (F.col("barrier") >= 0))
+    same = around.filter((verbatim | ~F.col("literal") & (
+        _template(F.col("near"), F.col("lead"), F.col("length")) == F.col("item_template")))
+        & (F.col("barrier") >= 0))
     pairs = F.arrays_zip(F.col("item_template").alias("kind"), words.alias("value"),
                          F.col("item_words").alias("item_value"))
     return same.select("doc_id", "text_key", "item_id", "item_key", "at", "item_at", "length",

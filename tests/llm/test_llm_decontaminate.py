@@ -83,3 +83,18 @@ def test_verbatim_windows_of_an_inconsistent_alignment_and_equal_new_values(spar
     # document 4 has two values for item 9's 2
     assert set(got) == {(1, 7), (2, 8), (3, 9)}
     assert got[2, 8].reworded and got[3, 9].reworded and got[1, 7].n_windows == 20
+
+
+def test_verbatim_copies_with_few_plain_words(spark):
+    items = [(1, "1 2 3 4 5 6 7 8 9 10 11 12"), (2, "what is 7 times 8"), (3, "Anna, Bob and Carl met Dan, Emma and Frank"),
+             (4, "too short"), (5, "12 kg 5 cm 3 lbs 40 km 7 oz 9 g"), (6, "?!")]
+    docs = [(i, "so it says " + t.upper() + " and goes on") for i, t in items]
+    other = [(11, "2 3 4 5 6 7 8 9 10 11 13 14"), (12, "what is 7 times 9"), (13, "Anna, Bob and Carl met Dan, Emma and Max"),
+             (14, "too long or short"), (15, "11 kg 5 cm 3 lbs 40 km 7 oz 8 g")]
+    got = _found(spark, docs + other, items)
+    assert set(got) == {(i, i) for i in range(1, 6)} | {(11, 1)}
+    assert not any(r.reworded for r in got.values())
+    df, bench = spark.createDataFrame(docs + other + [(20, None), (21, "")], DOCS), spark.createDataFrame(items, ITEMS)
+    assert {r.doc_id for r in S.clean(df, bench).collect()} == {6, 12, 13, 14, 15, 20, 21}
+    none, nothing = df.filter("false"), bench.filter("false")
+    assert S.contaminated(none, bench).count() == 0 and S.contaminated(df, nothing).count() == 0
