@@ -57,9 +57,9 @@ GIVEN_NAMES = ("Adam Alice Amy Andrew Anna Anne Ben Bob Carl Carlos Carol Charli
                "Sara Sarah Sophia Steve Susan Thomas Tim Tom Tony Victor William")
 
 # A token keeps the blank (after a comma or semicolon at most) that ties it to the token before:
-# such a token stands inside a sentence.
+# such a token stands inside a sentence.  Java recurses once per repeat of a group unless it is possessive.
 TOKEN = ("(?:(?<=[\\p{L}\\p{M}\\p{N}])[,;]? )?"
-         "(?:[\\p{L}\\p{M}]+|\\p{N}+(?:[.,:/]\\p{N}+)*)")
+         "(?:[\\p{L}\\p{M}]+|\\p{N}++(?:[.,:/]\\p{N}++)*+)")
 
 
 def _tokens(text: Column) -> Column:

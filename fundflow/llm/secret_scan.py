@@ -49,7 +49,8 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    # possessive, as Java recurses once per repeat of a group otherwise
+    Rule("private_key", r"-----BEGIN (?:[A-Z]++ (?!KEY-----))*+PRIVATE KEY-----"),
 )
 
 

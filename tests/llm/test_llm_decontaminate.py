@@ -98,3 +98,9 @@ def test_verbatim_copies_with_few_plain_words(spark):
     assert {r.doc_id for r in S.clean(df, bench).collect()} == {6, 12, 13, 14, 15, 20, 21}
     none, nothing = df.filter("false"), bench.filter("false")
     assert S.contaminated(none, bench).count() == 0 and S.contaminated(df, nothing).count() == 0
+
+
+def test_long_number_lists(spark):
+    numbers = ",".join(["1"] * 100_000)
+    docs = [(1, numbers), (2, numbers + " " + Q), (3, "1" + "/2" * 100_000 + " " + Q)]
+    assert set(_found(spark, docs, [(7, Q)])) == {(2, 7), (3, 7)}

@@ -65,3 +65,15 @@ def test_redaction(spark):
     got = {r.doc_id: r for r in out.collect()}
     assert got[1].text == "é <secret:assign>\" end" and got[1].n_chars == len(got[1].text)
     assert (got[2].text, got[2].n_chars, got[3].text) == ("clean", 5, None)
+
+
+def test_private_keys_with_many_words(spark):
+    rule = next(i for i, r in enumerate(S.RULES) if r.kind == "private_key")
+    words = "WORD " * 100_000
+    texts = ["-----BEGIN " + words + "PRIVATE KEY-----", "-----BEGIN " + words, "-----BEGIN PRIVATE KEY-----",
+             "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN RSAPRIVATE KEY-----", "-----BEGIN  PRIVATE KEY-----",
+             "-----BEGIN PRIVATE KEY PRIVATE KEY-----", "-----BEGIN PRIVATE PRIVATE KEY-----", "-----BEGIN KEY-----"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.order == rule] for r in S.scan(df).collect()}
+    assert got == {i: [(0, len(t))] if i in (0, 2, 3, 6, 7) else [] for i, t in enumerate(texts)}
+    assert [bool(re.search(S.RULES[rule].pattern, t)) for t in texts] == [bool(got[i]) for i in range(len(texts))]
