@@ -8,6 +8,10 @@ names its article, outside of it.  The lengths are summed over sliding windows o
 back, and the stretches in between whose peak reaches ``PEAK`` characters are kept
 (any text at all inside a named article; the highest stretch if none reaches it).
 
+A class or id label is no more than a hint: one that tells a state (``has-sidebar``,
+``comments-open``) says nothing, and an element that holds nearly all of the page's
+text, or its named article and most of the text, is no furniture whatever its label.
+
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined by one newline.  ``<br>`` is white space, as are
 table cell borders; a table row is a block.
@@ -48,6 +52,10 @@ FURNITURE = frozenset("""ad ads advert adverts advertisement advertisements adve
     comments commentlist disqus reply replies respond discussion share sharing shares social related
     recommended recommendations newsletter subscribe subscription signup login popup modal overlay widget
     widgets pagination pager paywall skip copyright""".split())
+STATE_BEFORE = frozenset("has no with without category tag".split())
+STATE_AFTER = frozenset("open opened closed enabled disabled".split())
+OTHER_TEXT = frozenset("""comment comments commentlist disqus reply replies respond discussion cookie cookies
+    consent gdpr copyright""".split())            # furniture that may well be longer than the article
 ARTICLE_WORDS = frozenset("article post entry content story main body".split())
 CONTENT = frozenset("""content article post story entry main articlebody postcontent entrycontent articlecontent storybody postbody
     maincontent contentmain contentbody articletext""".split())
@@ -68,7 +76,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _is_furniture(name: str, attributes: dict[str, str], in_article: bool) -> bool:
-    """Whether an element holds no article text."""
+    """Whether an element holds no article text, by its name, role or style."""
     if name in SKIPPED or name == "header" and not in_article:
         return True
     if not attributes:
@@ -76,17 +84,22 @@ def _is_furniture(name: str, attributes: dict[str, str], in_article: bool) -> bo
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" \
             or _HIDING.search(attributes.get("style", "")):
         return True
+    return name not in ("html", "body", "main") and attributes.get("role", "").lower() in ROLES
+
+
+def _furniture_words(name: str, attributes: dict[str, str], in_article: bool) -> set[str]:
+    """Words of page furniture in an element's class and id labels, without those that tell a state."""
+    out = set()
     if name in ("html", "body", "main"):
-        return False
-    if attributes.get("role", "").lower() in ROLES:
-        return True
+        return out
     for label in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
-        words = {w.lower() for w in _WORD.findall(label)}
-        found = words & FURNITURE
+        words = [w.lower() for w in _WORD.findall(label)]
+        found = {w for i, w in enumerate(words) if w in FURNITURE
+                 and not STATE_BEFORE.intersection(words[:i]) and not STATE_AFTER.intersection(words[i + 1:])}
         # entry-header, post-header: the article's own heading
-        if found and not (found == {"header"} and (in_article or words & ARTICLE_WORDS)):
-            return True
-    return False
+        if not (found == {"header"} and (in_article or ARTICLE_WORDS.intersection(words))):
+            out |= found
+    return out
 
 
 def _names_article(name: str, attributes: dict[str, str]) -> int:
@@ -99,19 +112,45 @@ def _names_article(name: str, attributes: dict[str, str]) -> int:
     return int(any(re.sub(r"[^a-z]", "", x.lower()) in CONTENT for x in labels.split()))
 
 
+def _cleared(lines: list, labelled: list[tuple[int, set[str]]]) -> list[bool]:
+    """Whether each element with a furniture label is none, as the page's text is in it."""
+    own, named = [0] * len(labelled), [False] * len(labelled)
+    rest, rest_named = 0, False
+    for text, odd, mark, links, label in lines:
+        n = 0 if odd else max(0, len(text) - 2 * links)
+        if label < 0:
+            rest, rest_named = rest + n, rest_named or not odd and mark >= 2
+        else:
+            own[label], named[label] = own[label] + n, named[label] or not odd and mark >= 2
+    total, whole = rest + sum(own), own[:]
+    for e in range(len(labelled) - 1, -1, -1):     # outer elements have the smaller numbers
+        if labelled[e][0] >= 0:
+            whole[labelled[e][0]] += whole[e]
+    out = []
+    for e, (outer, words) in enumerate(labelled):
+        clear = (outer < 0 or out[outer]) and 2 * whole[e] >= total and (
+            rest == 0 or not own[e] or not words & OTHER_TEXT and (
+                own[e] >= 4 * rest or named[e] and not rest_named and own[e] > rest))
+        out.append(clear)
+        if clear:
+            rest, rest_named = rest + own[e], rest_named or named[e]
+    return out
+
+
 def lines_of(page: str) -> list[tuple[str, bool, int, int]]:
     """(text, furniture, surest enclosing article mark, characters in links) per block, in page order."""
-    out, pieces, links = [], [], 0
-    # open elements: (name, furniture, article mark, whether its text is passed over within a block)
-    stack: list[tuple[str, bool, int, bool]] = []
-    furniture, mark, silent, link_depth = False, 0, False, 0
+    out, pieces, links, labelled = [], [], 0, []
+    # open elements: (name, furniture, article mark, whether its text is passed over within a block,
+    # number of the innermost element with a furniture label)
+    stack: list[tuple[str, bool, int, bool, int]] = []
+    furniture, mark, silent, label, link_depth = False, 0, False, -1, 0
 
     def end_block():
         nonlocal pieces, links
         if pieces:
             text = " ".join(references.unescape("".join(pieces)).split())
             if text:
-                out.append((text, furniture, mark, links))
+                out.append((text, furniture, mark, links, label))
             pieces, links = [], 0
 
     at, size = 0, len(page)
@@ -150,16 +189,20 @@ def lines_of(page: str) -> list[tuple[str, bool, int, int]]:
                         break
                     if stack[i][0] in BLOCKS:
                         break
-                furniture, mark, silent = stack[-1][1:] if stack else (False, 0, False)
+                furniture, mark, silent, label = stack[-1][1:] if stack else (False, 0, False, -1)
             if name in VOID or name == "a" or tag[3].endswith("/>") and name not in BLOCKS:
                 continue
             attributes = _attributes(tag[3]) if len(tag[3]) > 6 else {}
             if name in BLOCKS or name in SKIPPED or attributes:
                 odd = not furniture and _is_furniture(name, attributes, mark >= 2)
-                inline = odd and name not in BLOCKS
+                words = set() if furniture or odd else _furniture_words(name, attributes, mark >= 2)
+                inline = (odd or bool(words)) and name not in BLOCKS
+                if words and not inline:
+                    labelled.append((label, words))
+                    label = len(labelled) - 1
                 stack.append((name, furniture or odd and not inline,
-                              max(mark, _names_article(name, attributes)), silent or inline))
-                furniture, mark, silent = stack[-1][1:]
+                              max(mark, _names_article(name, attributes)), silent or inline, label))
+                furniture, mark, silent, label = stack[-1][1:]
         else:
             if name == "a":
                 link_depth = max(0, link_depth - 1)
@@ -172,9 +215,10 @@ def lines_of(page: str) -> list[tuple[str, bool, int, int]]:
                     break
                 if not known and stack[i][0] in BLOCKS:     # an inline end doesn't close a block
                     break
-            furniture, mark, silent = stack[-1][1:] if stack else (False, 0, False)
+            furniture, mark, silent, label = stack[-1][1:] if stack else (False, 0, False, -1)
     end_block()
-    return out
+    clear = _cleared(out, labelled)
+    return [(text, odd or label >= 0 and not clear[label], mark, n) for text, odd, mark, n, label in out]
 
 
 def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:

@@ -75,3 +75,25 @@ def test_edge_rows(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((r.text, r.n_chars) for r in out.collect()) == [("", 0), ("", 0), ("😀", 1)]
     assert S.extract(pages.filter("false")).count() == 0
+
+
+BODY = "<h1>Title</h1>" + "<p>A paragraph of the article that is long enough to be its text.</p>" * 4
+KEPT = "\n".join(["Title"] + ["A paragraph of the article that is long enough to be its text."] * 4)
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'>BODY<div class=sidebar>Side</div></div>",
+    "<div id='page' class='no-sidebar'>BODY</div>", "<div id=page class='sidebar-right'>BODY</div><p class=ad>x</p>",
+    "<article class='post comments-open category-social'>BODY</article>",
+    "<div class='banner wrap'><div class='social'>BODY</div></div>",
+    "<article class='post social'>BODY</article><p>Home",
+    "<div class=content>BODY</div><div class=comments>" + "<p>A reader says a lot about it, too.</p>" * 99 + "</div>",
+    "<article>BODY</article><div class='cookie-notice'>" + "We use cookies. " * 99 + "</div>",
+    "<div class=content>BODY</div><div class=menu>" + "<a>One more link</a> " * 99 + "</div>",
+])
+def test_labels_around_the_text_are_no_furniture(page):
+    assert S.main_text(page.replace("BODY", BODY)) == KEPT
+
+
+def test_nested_labels_are_read_in_one_pass():
+    assert S.main_text("<div class=banner>" * 20_000 + "<p>deep</p>" * 20_000) == "\n".join(["deep"] * 20_000)
