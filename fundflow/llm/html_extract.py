@@ -7,6 +7,9 @@ names its article, outside of it.  The lengths are summed over sliding windows o
 ``WINDOW`` lines: text begins where a sum surges from zero and ends where it dives
 back, and the stretches in between whose peak reaches ``PEAK`` characters are kept
 (any text at all inside a named article; the highest stretch if none reaches it).
+An article element or content label names the article only if it holds most of the
+text; ``<main>`` does however short.  Where nothing is named, text that is not all
+links stays too if it shares its container with a kept line.
 
 A class or id label is no more than a hint: one that tells a state (``has-sidebar``,
 ``comments-open``) says nothing, and an element that holds nearly all of the page's
@@ -33,11 +36,13 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 PEAK = 60
+LABEL, MAIN, ARTICLE = 1, 2, 4                 # bits of an article mark
 
 # HTML element names by role, and class or id words of page furniture.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main
     menu nav ol optgroup option p pre search section summary table tbody tfoot thead title tr ul""".split())
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
 SPACES = frozenset("br td th wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("""head nav aside footer form dialog button select textarea input label fieldset
@@ -103,25 +108,25 @@ def _furniture_words(name: str, attributes: dict[str, str], in_article: bool) ->
 
 
 def _names_article(name: str, attributes: dict[str, str]) -> int:
-    """How surely an element is the article: 3 article, 2 main, 1 by class or id, 0 not."""
+    """How an element is named the article: ARTICLE, MAIN, LABEL (by class or id) or 0."""
     if name == "article" or attributes.get("itemprop", "").lower() == "articlebody":
-        return 3
+        return ARTICLE
     if name == "main" or attributes.get("role", "").lower() == "main":
-        return 2
+        return MAIN
     labels = attributes.get("class", "") + " " + attributes.get("id", "")
-    return int(any(re.sub(r"[^a-z]", "", x.lower()) in CONTENT for x in labels.split()))
+    return LABEL if any(re.sub(r"[^a-z]", "", x.lower()) in CONTENT for x in labels.split()) else 0
 
 
 def _cleared(lines: list, labelled: list[tuple[int, set[str]]]) -> list[bool]:
     """Whether each element with a furniture label is none, as the page's text is in it."""
     own, named = [0] * len(labelled), [False] * len(labelled)
     rest, rest_named = 0, False
-    for text, odd, mark, links, label in lines:
+    for text, odd, mark, links, _, label in lines:
         n = 0 if odd else max(0, len(text) - 2 * links)
         if label < 0:
-            rest, rest_named = rest + n, rest_named or not odd and mark >= 2
+            rest, rest_named = rest + n, rest_named or not odd and mark >= MAIN
         else:
-            own[label], named[label] = own[label] + n, named[label] or not odd and mark >= 2
+            own[label], named[label] = own[label] + n, named[label] or not odd and mark >= MAIN
     total, whole = rest + sum(own), own[:]
     for e in range(len(labelled) - 1, -1, -1):     # outer elements have the smaller numbers
         if labelled[e][0] >= 0:
@@ -137,20 +142,23 @@ def _cleared(lines: list, labelled: list[tuple[int, set[str]]]) -> list[bool]:
     return out
 
 
-def lines_of(page: str) -> list[tuple[str, bool, int, int]]:
-    """(text, furniture, surest enclosing article mark, characters in links) per block, in page order."""
+def lines_of(page: str) -> list[tuple[str, bool, int, int, int]]:
+    """(text, furniture, enclosing article marks, characters in links, container) per block, in page order.
+
+    ``container`` numbers the element around the block: its own, or a text block's parent.
+    """
     out, pieces, links, labelled = [], [], 0, []
     # open elements: (name, furniture, article mark, whether its text is passed over within a block,
-    # number of the innermost element with a furniture label)
-    stack: list[tuple[str, bool, int, bool, int]] = []
-    furniture, mark, silent, label, link_depth = False, 0, False, -1, 0
+    # number of the container, and of the innermost element with a furniture label)
+    stack: list[tuple[str, bool, int, bool, int, int]] = []
+    furniture, mark, silent, container, label, link_depth, opened = False, 0, False, 0, -1, 0, 0
 
     def end_block():
         nonlocal pieces, links
         if pieces:
             text = " ".join(references.unescape("".join(pieces)).split())
             if text:
-                out.append((text, furniture, mark, links, label))
+                out.append((text, furniture, mark, links, container, label))
             pieces, links = [], 0
 
     at, size = 0, len(page)
@@ -189,20 +197,24 @@ def lines_of(page: str) -> list[tuple[str, bool, int, int]]:
                         break
                     if stack[i][0] in BLOCKS:
                         break
-                furniture, mark, silent, label = stack[-1][1:] if stack else (False, 0, False, -1)
+                furniture, mark, silent, container, label = \
+                    stack[-1][1:] if stack else (False, 0, False, 0, -1)
             if name in VOID or name == "a" or tag[3].endswith("/>") and name not in BLOCKS:
                 continue
             attributes = _attributes(tag[3]) if len(tag[3]) > 6 else {}
             if name in BLOCKS or name in SKIPPED or attributes:
-                odd = not furniture and _is_furniture(name, attributes, mark >= 2)
-                words = set() if furniture or odd else _furniture_words(name, attributes, mark >= 2)
+                odd = not furniture and _is_furniture(name, attributes, mark >= MAIN)
+                words = set() if furniture or odd else _furniture_words(name, attributes, mark >= MAIN)
                 inline = (odd or bool(words)) and name not in BLOCKS
                 if words and not inline:
                     labelled.append((label, words))
                     label = len(labelled) - 1
+                if name in BLOCKS and name not in TEXT_BLOCKS:
+                    opened += 1
+                    container = opened
                 stack.append((name, furniture or odd and not inline,
-                              max(mark, _names_article(name, attributes)), silent or inline, label))
-                furniture, mark, silent, label = stack[-1][1:]
+                              mark | _names_article(name, attributes), silent or inline, container, label))
+                furniture, mark, silent, container, label = stack[-1][1:]
         else:
             if name == "a":
                 link_depth = max(0, link_depth - 1)
@@ -215,10 +227,12 @@ def lines_of(page: str) -> list[tuple[str, bool, int, int]]:
                     break
                 if not known and stack[i][0] in BLOCKS:     # an inline end doesn't close a block
                     break
-            furniture, mark, silent, label = stack[-1][1:] if stack else (False, 0, False, -1)
+            furniture, mark, silent, container, label = \
+                    stack[-1][1:] if stack else (False, 0, False, 0, -1)
     end_block()
     clear = _cleared(out, labelled)
-    return [(text, odd or label >= 0 and not clear[label], mark, n) for text, odd, mark, n, label in out]
+    return [(text, odd or label >= 0 and not clear[label], mark, n, container)
+            for text, odd, mark, n, container, label in out]
 
 
 def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:
@@ -238,13 +252,10 @@ def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int,
 
 def main_text(page: str | None, window: int = WINDOW, peak: int = PEAK) -> str:
     lines = lines_of(page or "")
-    surest = max((mark for _, odd, mark, _ in lines if not odd), default=0)
-    if surest == 1:                             # a mere label must hold most of the text
-        size = [sum(len(t) for t, odd, mark, _ in lines if not odd and mark == m) for m in (0, 1)]
-        surest = int(size[1] >= size[0])
+    surest = _surest(lines)
     lengths = []
-    for text, odd, mark, links in lines:
-        if odd or mark < surest:
+    for text, odd, mark, links, _ in lines:
+        if odd or surest and not mark & surest:
             lengths.append(0)
         else:
             lengths.append(len(text) if surest else max(0, len(text) - 2 * links))
@@ -253,8 +264,27 @@ def main_text(page: str | None, window: int = WINDOW, peak: int = PEAK) -> str:
     kept = [s for s in found if s[2] >= least]
     if not kept and found:
         kept = [max(found, key=lambda s: s[2])]
-    return "\n".join(lines[i][0] for begin, end, _ in kept for i in range(begin, end)
-                     if not lines[i][1] and lines[i][2] >= surest)
+    chosen = {i for begin, end, _ in kept for i in range(begin, end)
+              if not lines[i][1] and (not surest or lines[i][2] & surest)}
+    if not surest:                              # short text beside what is kept, like a parted title
+        shared = {lines[i][4] for i in chosen if lengths[i]}
+        chosen |= {i for i, (text, odd, _, links, container) in enumerate(lines)
+                   if not odd and container in shared and links < len(text)}
+    return "\n".join(lines[i][0] for i in sorted(chosen))
+
+
+def _surest(lines: list) -> int:
+    """The article mark to go by: an article or a label must hold most of the text, <main> need not."""
+    def most(bit):
+        inside = sum(len(text) for text, odd, mark, _, _ in lines if not odd and mark & bit)
+        return inside and inside >= sum(max(0, len(text) - 2 * links) for text, odd, mark, links, _ in lines
+                                        if not odd and not mark & bit)
+
+    if most(ARTICLE):
+        return ARTICLE
+    if any(not odd and mark & MAIN for _, odd, mark, _, _ in lines):
+        return MAIN
+    return LABEL if most(LABEL) else 0
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -97,3 +97,17 @@ def test_labels_around_the_text_are_no_furniture(page):
 
 def test_nested_labels_are_read_in_one_pass():
     assert S.main_text("<div class=banner>" * 20_000 + "<p>deep</p>" * 20_000) == "\n".join(["deep"] * 20_000)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>A teaser card.</p></article><main>BODY</main>", KEPT),
+    ("<main>BODY</main><article><p>A teaser card.</p></article>", KEPT),
+    ("<div><article><p>A teaser card.</p></article></div><div>BODY</div>", "A teaser card.\n" + KEPT),
+    ("<div class=content>BODY<article>A teaser card.</article></div>", KEPT + "\nA teaser card."),
+    ("<main><article>BODY</article><p>Short</p></main>", KEPT),
+    ("<div><h1>Head</h1><div class=menu><p>a<p>b<p>c</div>BODY<div class=ad><p>a<p>b<p>c</div><p>The end.</div><div><p>Out",
+     "Head\n" + KEPT + "\nThe end."),
+    ("<div>BODY<div class=ad><p>a<p>b<p>c</div><p>See <a>this page, too</a>.<p><a>More</a></div>", KEPT + "\nSee this page, too."),
+])
+def test_small_marks_and_parted_lines(page, text):
+    assert S.main_text(page.replace("BODY", BODY)) == text
