@@ -17,15 +17,12 @@ from fundflow.llm import bpe, decontaminate, language_id, secret_scan, simhash_d
 from fundflow.llm.common import table, written
 from fundflow.llm.registry import tokenizer_path
 
-MIN_SCORE = 0.5
-
 
 def identify_language(spark, docs, sf_dir):
-    """Rejects documents without a language (no letters) or scored below MIN_SCORE; sets lang."""
+    """Rejects documents without a letter or in no learned language, by limits of the model; sets lang."""
     held_out = language_id.held_out(F.col("doc_id"))
     model = language_id.train(docs.filter(~held_out))
-    found = language_id.predict(docs, model)
-    kept = found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    kept = language_id.learned(docs, model)
     return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 

@@ -12,6 +12,12 @@ of doc_id), whose features go to the driver: at most SAMPLE x languages rows of
 DIM counts.  The fit is deterministic dual coordinate descent.  Prediction
 reads the text alone.
 
+A text is *unlearned* (a language or letter junk not in the sample) if both its
+score is below nearly all true-class scores of the sample and its share of
+trigrams that the sample lacks is beyond nearly all that a sample row has against
+the other rows, with an allowance for short texts.  The limits are fitted with the
+model; with one language the second test decides alone.
+
 Cases: a null text or one without a letter is ``und`` with score 0; rows with a
 null label or doc_id teach nothing (they are still predicted); without any label
 all texts are ``und``; with one language that one is predicted; repeated rows and
@@ -35,6 +41,7 @@ SCALE = 30.0                                   # brings the norm of a frequency
 STEPS = 40
 COST = 1.0
 UNKNOWN = "und"
+LOW, HIGH = 0.01, 0.999                        # quantiles of the sample's scores and unseen shares
 CHUNK = 1 << 20                                # characters of text scored at a time
 
 # ISO 639-1 codes by language family.
@@ -140,12 +147,27 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> dict:
             pairs.append((len(members) - 1, a, b, len(weights)))
             weights.append(_fit([rows[i] for i in near], np.where(langs[near] == a, 1.0, -1.0)))
     table = np.array(weights, dtype=np.float64).reshape(len(weights), DIM + 1)
-    return {"families": names, "members": members, "pairs": pairs,
-            "weights": (table[:, :DIM] * SCALE).astype(np.float32), "bias": table[:, DIM]}
+    model = {"families": names, "members": members, "pairs": pairs,
+             "weights": (table[:, :DIM] * SCALE).astype(np.float32), "bias": table[:, DIM]}
+    return model | _limits(model, rows, langs, table)
+
+
+def _limits(model: dict, rows: list, langs: np.ndarray, table: np.ndarray) -> dict:
+    """Which buckets the sample has, and the limits of a learned text's score and unseen share."""
+    holders = np.zeros(DIM, dtype=np.int64)
+    for at, _ in rows:
+        holders[at[:-1]] += 1
+    limits = {"unseen": (holders == 0).astype(np.float32), "least_score": 0.0, "most_unseen": 1.0}
+    if rows:
+        margins = np.array([[w[at] @ x for w in table] for at, x in rows]).reshape(len(rows), len(table))
+        limits["least_score"] = float(np.quantile(_true_scores(model, margins, langs), LOW))
+        limits["most_unseen"] = float(np.quantile(
+            [x[:-1][holders[at[:-1]] < 2].sum() / SCALE for at, x in rows], HIGH))
+    return limits
 
 
-def _margins(model: dict, texts: list[str]) -> np.ndarray:
-    """(text, classifier) margins, a few MB of text at a time."""
+def _margins(model: dict, texts: list[str], sizes: np.ndarray | None = None) -> np.ndarray:
+    """(text, classifier) margins, a few MB of text at a time; ``sizes`` takes the trigram counts."""
     out = np.zeros((len(texts), len(model["weights"])))
     start = 0
     while start < len(texts):
@@ -160,6 +182,8 @@ def _margins(model: dict, texts: list[str]) -> np.ndarray:
         total = lambda x: (lambda s: s[ends - 2] - s[begins])(
             np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)]))
         n = np.maximum(total(real), 1)
+        if sizes is not None:
+            sizes[start:stop] = n
         for c, w in enumerate(model["weights"]):
             out[start:stop, c] = total(w[bucket] * real) / n + model["bias"][c]
         start = stop
@@ -168,14 +192,51 @@ def _margins(model: dict, texts: list[str]) -> np.ndarray:
 
 def classify(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Predicted language and score (0 to 1) of lower-cased texts with a space at either end."""
-    names, margins = model["families"], _margins(model, texts)
+    return _decided(model, _margins(model, texts))
+
+
+def judge(model: dict, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``classify`` and whether each text is in a language of the sample."""
+    if not model["families"]:
+        return *classify(model, texts), np.zeros(len(texts), dtype=bool)
+    sizes = np.zeros(len(texts))
+    margins = _margins({"weights": [*model["weights"], model["unseen"]],
+                        "bias": [*model["bias"], 0.0]}, texts, sizes)
+    lang, score = _decided(model, margins[:, :-1])
+    limit = model["most_unseen"]
+    strange = margins[:, -1] > limit + 3 * np.sqrt(limit / np.maximum(sizes, 1)) + 3 / np.maximum(sizes, 1)
+    unsure = score < model["least_score"] if len(model["weights"]) else np.ones(len(texts), dtype=bool)
+    return lang, score, ~(strange & unsure)
+
+
+def _sure(margin):
+    return 1 / (1 + np.exp(-2 * np.clip(margin, -20, 20)))
+
+
+def _by_family(model: dict, margins: np.ndarray) -> np.ndarray:
+    names = model["families"]
+    return (np.ones((len(margins), 1)) if len(names) == 1
+            else np.stack([margins[:, 0], -margins[:, 0]], 1) if len(names) == 2
+            else margins[:, :len(names)])
+
+
+def _true_scores(model: dict, margins: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """Score of each row's own label."""
+    names, by_family = model["families"], _by_family(model, margins)
+    family = np.array([names.index(FAMILY_OF.get(x, x)) for x in langs])
+    score = np.ones(len(langs)) if len(names) == 1 else _sure(by_family[np.arange(len(langs)), family])
+    for _, a, b, c in model["pairs"]:
+        for side, name in ((1, a), (-1, b)):
+            own = langs == name
+            score[own] = np.minimum(score[own], _sure(side * margins[own, c]))
+    return score
+
+
+def _decided(model: dict, margins: np.ndarray) -> tuple[list[str], np.ndarray]:
+    names, n, sure = model["families"], len(margins), _sure
     if not names:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    sure = lambda m: 1 / (1 + np.exp(-2 * np.clip(m, -20, 20)))
-    n = len(texts)
-    by_family = (np.ones((n, 1)) if len(names) == 1
-                 else np.stack([margins[:, 0], -margins[:, 0]], 1) if len(names) == 2
-                 else margins[:, :len(names)])
+        return [UNKNOWN] * n, np.zeros(n)
+    by_family = _by_family(model, margins)
     family = by_family.argmax(1)
     score = np.ones(n) if len(names) == 1 else sure(by_family[np.arange(n), family])
     lang = np.empty(n, dtype=object)
@@ -213,6 +274,20 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
         F.when(real, F.col("_found.score")).otherwise(0.0).alias("score"))
 
 
+def learned(docs: DataFrame, model: dict) -> DataFrame:
+    """``predict`` of the texts that are in a language of the sample."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("struct<lang_pred:string,score:double,learned:boolean>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        lang, score, known = judge(shared.value, texts.tolist())
+        return pd.DataFrame({"lang_pred": lang, "score": score, "learned": known})
+
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    found = docs.filter(F.col("text").rlike("\\p{L}")).select(*kept, run(_prepared(F.col("text"))).alias("_found"))
+    return found.filter("_found.learned").select(*kept, "_found.lang_pred", "_found.score")
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of the doc_ids that training must not see."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

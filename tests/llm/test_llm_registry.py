@@ -3,10 +3,11 @@ import re
 import pytest
 from llm_brute import base_spans, components, simhash
 from oracle_compare import compare, duck
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_ORACLE, SF_SMALL
-from fundflow.llm import bpe, decontaminate, registry
+from fundflow.llm import bpe, decontaminate, language_id, registry
 from fundflow.llm.common import table
 
 CONTRACT = {
@@ -67,3 +68,22 @@ def test_stages_keep_the_columns_and_empty_tables(spark):
         docs = stage(spark, docs, SF_SMALL)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == 0
+
+
+@pytest.mark.parametrize("families", [2, 3])
+def test_language_stage_rejects_foreign_and_junk_texts_and_keeps_clean_ones(spark, families):
+    docs = table(spark, SF_ORACLE, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    if families == 3:                         # a third family: the Spanish texts in another script
+        docs = docs.withColumn("text", F.when(F.col("lang") == "es", F.translate(
+            F.lower("text"), "abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ")).otherwise(F.col("text"))) \
+            .withColumn("lang", F.when(F.col("lang") == "es", "ru").otherwise(F.col("lang")))
+    planted = ["Tämä on suomenkielinen teksti joka ei kuulu tähän joukkoon lainkaan. ",
+               "Αυτό το κείμενο είναι γραμμένο στα ελληνικά και δεν ανήκει εδώ. ",
+               "xqzvw kjhgf qwrtp zxcvb mnbvq wqxzk jvkqx pzqgw vbkxq "]
+    model = language_id.train(docs)
+    more = spark.createDataFrame([(-1 - i, t * 3, "en", "s", len(t)) for i, t in enumerate(planted)]
+                                 + [(-9, "12 34", "en", "s", 5)], docs.schema)
+    kept = {r.doc_id: r.lang_pred for r in language_id.learned(docs.unionByName(more), model).collect()}
+    clean = {r.doc_id: r.lang for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")}
+    assert set(kept) == set(clean)
+    assert sum(kept[i] != clean[i] for i in clean) < 10
