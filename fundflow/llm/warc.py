@@ -15,8 +15,9 @@ URL with very many captures spans several ranges, as the order goes on within it
 
 Cases: null html is an empty payload; equal rows are captures of their own (the
 first of equal page ids is the response); a null page_id sorts last and is never
-referred to unless all are null; a null url is an empty target; line ends and
-control characters in a url are percent-encoded; an empty table gives an empty
+referred to unless all are null; a null url is an empty target; blanks, line ends
+and control characters in a url are percent-encoded, each as its own, and such a url
+is also kept in a header of its own that reading undoes exactly; an empty table gives an empty
 archive and index; extra columns are ignored.
 """
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
-from urllib.parse import urlsplit
+from urllib.parse import unquote, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +37,7 @@ from .common import shared_path, written
 END = "\r\n\r\n"
 LEAST_REVISIT = 100
 LAST = (1 << 63) - 1                           # order of a missing page id
+UNSAFE = "[\\x00-\\x20\\x7f]"                    # characters a header's URL can't hold
 DATE_0 = 1_600_000_000                         # capture time of page 0; a second per page id
 FIELDS = ("page_id long, url string, urlkey string, timestamp string, record_type string, "
           "payload_bytes long, payload_digest string, refers_to long, file string, offset long, "
@@ -77,13 +79,23 @@ def _record_id(page_id: Column) -> Column:
         F.lit(">"))
 
 
+def _escaped(url: Column) -> Column:
+    """``url`` with every unsafe character percent-encoded."""
+    for code in [*range(0x21), 0x7F]:
+        url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return url
+
+
 def write_archives(captures: DataFrame, path: str) -> None:
     """A gzipped WARC file per partition of ``captures`` below ``path``, one record a row.
 
     The partitions are those of the last shuffle, sized by
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    target = F.regexp_replace(F.coalesce("url", F.lit("")), "[\\x00-\\x20\\x7f]", "%20")
+    url = F.coalesce("url", F.lit(""))
+    unsafe = url.rlike(UNSAFE)
+    target = F.when(unsafe, _escaped(url)).otherwise(url)
+    exact = F.when(unsafe, _escaped(F.replace(url, F.lit("%"), F.lit("%25"))))
     date = F.date_format(F.timestamp_seconds(
         F.coalesce("page_id", F.lit(0)) % 1_000_000_000 + DATE_0), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     header = [
@@ -91,6 +103,7 @@ def write_archives(captures: DataFrame, path: str) -> None:
         ("WARC-Record-ID", _record_id(F.col("page_id"))),
         ("WARC-Date", date),
         ("WARC-Target-URI", target),
+        ("X-Escaped-URL", exact),
         ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         ("WARC-Refers-To", F.when(F.col("revisit"), _record_id(F.col("refers_to")))),
         ("WARC-Profile", F.when(F.col("revisit"), F.lit(
@@ -112,7 +125,8 @@ def write_archives(captures: DataFrame, path: str) -> None:
 def url_key(url: str) -> str:
     """Sort key of a URL: host labels reversed, then path and query, lower-cased (SURT form)."""
     try:
-        parts = urlsplit(url.strip().lower())
+        # urlsplit would drop line ends and tabs
+        parts = urlsplit(re.sub(UNSAFE, lambda c: f"%{ord(c[0]):02x}", url.strip().lower()))
         host, port = parts.hostname or "", parts.port
     except ValueError:
         return url.lower()
@@ -151,6 +165,8 @@ def _captures(file: str, run: int, content: bytes) -> list[dict]:
         page = fields.get("X-Page-Id")
         refers = fields.get("X-Refers-To-Page")
         url = fields.get("WARC-Target-URI", "")
+        if "X-Escaped-URL" in fields:
+            url = unquote(fields["X-Escaped-URL"])
         out.append({
             "page_id": int(page) if page is not None else None, "url": url, "urlkey": url_key(url),
             "timestamp": re.sub(r"\D", "", fields["WARC-Date"]), "record_type": fields["WARC-Type"],

@@ -70,3 +70,14 @@ def test_runs_are_sorted_and_merge_is_global(spark):
 
 def test_empty_table(spark):
     assert S.archive(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_urls_with_control_characters_are_read_back_exactly(spark, scratch):
+    urls = ["http://a.org/" + x for x in ("a\tb", "a\nb", "a\r\nb", "a\x7fb", "ab", "a%09b", "a%20b", "a%2520 b", "é\x00ü%", "")]
+    pages = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], PAGES)
+    path = scratch + "/warc"
+    S.write_archives(S.with_revisits(pages), path)
+    rows = {r.page_id: r for r in S.read_archives(spark, path).collect()}
+    assert [rows[i].url for i in range(len(urls))] == urls
+    assert [rows[i].urlkey for i in range(len(urls))] == [S.url_key(u) for u in urls]
+    assert len({rows[i].urlkey for i in range(5)}) == 5
