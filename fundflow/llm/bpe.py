@@ -80,7 +80,7 @@ class Encoder:
         self.left: dict[int, list] = {}
         self.pairs: dict[int, bool] = {}
         self.numbered: dict[str, str] = {}     # word -> its ids, joined by a space
-        self.named: dict[str, str] = {}        # word -> its token strings, joined by a space
+        self.known: dict[str, str] | None = None   # id as text -> token string
         whole = set(self.ids.values())
         parts = {}
         for at, (a, b) in enumerate(vocabulary["merges"]):
@@ -179,7 +179,6 @@ class Encoder:
                 token, length = states[at]
             out.reverse()
             self.numbered[word] = " ".join([self.numbers[i] for i in out])
-            self.named[word] = " ".join([self.names[i] for i in out])
             before = path
 
     def split(self, text: str) -> list[str]:
@@ -206,7 +205,6 @@ class Encoder:
         """Per text: token count, ids joined by a space, decoded text (empty unless asked for)."""
         if len(self.numbered) > CACHE_WORDS:
             self.numbered.clear()
-            self.named.clear()
         if len(self.pairs) > CACHE_PAIRS:
             self.pairs.clear()
         split = [self.split(t) for t in texts]
@@ -214,18 +212,26 @@ class Encoder:
         specials = new.intersection(self.special)
         self.learn(new - specials)
         for w in specials:
-            self.numbered[w], self.named[w] = str(self.special[w]), w
+            self.numbered[w] = str(self.special[w])
         out = []
-        number, name = self.numbered.__getitem__, self.named.__getitem__
+        number = self.numbered.__getitem__
         for words in split:
             ids = " ".join(map(number, words))
             out.append((ids.count(" ") + 1 if ids else 0, ids,
-                        " ".join(map(name, words)) if decoded else ""))
+                        self.decode(ids.split()) if decoded else ""))
         for w in new:
             if len(w) > CACHE_LENGTH:
-                del self.numbered[w], self.named[w]
+                del self.numbered[w]
         return out
 
+    def decode(self, ids) -> str:
+        """Token strings of the ids (as decimal text) joined by a space; unknown ids are skipped."""
+        if self.known is None:
+            self.known = {str(i): s for i, s in self.names.items()} \
+                | {str(i): s for s, i in self.special.items()}
+        known = self.known
+        return " ".join([known[i] for i in ids if i in known])
+
 
 def _batches(texts: list[str], most: int = 1 << 20):
     """Lists of texts with about ``most`` characters together (a longer text alone)."""
@@ -306,8 +312,6 @@ def decode(tokens: DataFrame, path: str, column: str = "token_ids") -> DataFrame
     @F.pandas_udf("string")
     def names(ids: pd.Series) -> pd.Series:
         encoder = _encoder(shared)
-        known = encoder.names | {i: s for s, i in encoder.special.items()}
-        return pd.Series(["" if x is None else " ".join([known[i] for i in x if i in known])
-                          for x in ids], dtype=object)
+        return pd.Series(["" if x is None else encoder.decode(map(str, x)) for x in ids], dtype=object)
 
     return tokens.withColumn("decoded", names(F.col(column)))

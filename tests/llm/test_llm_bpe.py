@@ -73,3 +73,12 @@ def test_edge_rows_and_round_trip(spark, library):
         want = library.encode(r.text or "", add_special_tokens=False).ids
         assert r.token_ids == want and r.decoded == library.decode(want, skip_special_tokens=False)
     assert bpe.digests(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_wrong_ids_show_up_in_the_decoded_text():
+    encoder = bpe.Encoder(bpe.load_vocabulary(PATH))
+    (_, right, name), = encoder.encode(["hello"])
+    other = next(str(i) for i in encoder.names if str(i) != right)
+    encoder.numbered["hello"] = other
+    (_, ids, decoded), = encoder.encode(["hello"])
+    assert ids == other and decoded == encoder.names[int(other)] != name
