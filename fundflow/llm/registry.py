@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (bpe, chat_format, decontaminate, fingerprints, html_extract, language_id, secret_scan,
+from . import (bpe, byte_bpe, chat_format, decontaminate, fingerprints, html_extract, language_id, secret_scan,
                sharding, simhash_dedup, warc)
 from . import sql as S
 from .common import table
@@ -79,10 +79,18 @@ def op10_html_extraction(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op12_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+    rows = byte_bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"),
+                           public_tokenizers.PATTERN, keep=["doc_id"], decoded=True)
+    return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_language_id, op2_sharding, op3_document_fingerprints, op4_warc, op5_chat_format,
-        op6_secret_scan, op7_decontamination, op8_bpe, op9_simhash_dedup, op10_html_extraction)}
+        op6_secret_scan, op7_decontamination, op8_bpe, op9_simhash_dedup, op10_html_extraction, op12_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

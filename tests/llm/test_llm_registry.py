@@ -21,6 +21,7 @@ CONTRACT = {
     "op8_": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op9_": "doc_id fingerprint component_id",
     "op10_": "page_id url text n_chars",
+    "op12_": "doc_id n_tokens ids_sha256 decoded_sha256",
 }
 
 
