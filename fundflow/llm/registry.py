@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (bpe, byte_bpe, chat_format, decontaminate, fingerprints, html_extract, language_id, secret_scan,
-               sharding, simhash_dedup, warc)
+from . import (bpe, byte_bpe, chat_format, collocations, decontaminate, fingerprints, html_extract, language_id,
+               prefix_trie, secret_scan, sharding, simhash_dedup, warc)
 from . import sql as S
 from .common import table
 
@@ -79,6 +79,11 @@ def op10_html_extraction(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns, group=20, heads=4)).drop("key")
+
+
 def op12_byte_bpe(spark, sf_dir):
     import public_tokenizers
     rows = byte_bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"),
@@ -87,11 +92,17 @@ def op12_byte_bpe(spark, sf_dir):
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), threshold=10, most=2000, contained=50)
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_language_id, op2_sharding, op3_document_fingerprints, op4_warc, op5_chat_format,
-        op6_secret_scan, op7_decontamination, op8_bpe, op9_simhash_dedup, op10_html_extraction, op12_byte_bpe)}
+        op6_secret_scan, op7_decontamination, op8_bpe, op9_simhash_dedup, op10_html_extraction, op11_prefix_trie,
+        op12_byte_bpe, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": S.WARC, "op5_chat_format": S.CHAT_FORMAT, "op6_secret_scan": S.SECRET_SCAN}
+    return {"op4_warc": S.WARC, "op5_chat_format": S.CHAT_FORMAT, "op6_secret_scan": S.SECRET_SCAN,
+            "op11_prefix_trie": S.PREFIX_TRIE, "op13_collocations": S.COLLOCATIONS}

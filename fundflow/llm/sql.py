@@ -79,3 +79,98 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN per USING (row_id)
 """
+
+# CRC-32 of a number's decimal digits, bit by bit (polynomial 0xEDB88320).
+_CRC32 = """xor(4294967295, list_reduce(
+  list_concat([4294967295::BIGINT], list_transform(string_split(CAST({c} AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT,
+                                 0::BIGINT, 0::BIGINT],
+    lambda x, b: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id AS c, length(r) || ':' || r || length(t) || ':' || t AS said,
+         len(list_filter(string_split_regex(t, '[ \t-\r]+'), lambda w: w <> '')) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            substring(sha256(length(r) || ':' || r || t), 1, 32)) AS pos
+  FROM (SELECT *, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, c - c % 20 AS base, {_CRC32.format(c="c")} % 4 AS h FROM (SELECT DISTINCT c FROM turns)
+), kept AS (
+  SELECT convs.c, pos, said, words FROM convs JOIN turns USING (c) WHERE convs.c = base OR pos > h
+  UNION ALL
+  SELECT convs.c, pos, said, words FROM convs JOIN turns ON turns.c = base WHERE convs.c <> base AND pos <= h
+), steps AS (
+  SELECT c, 0 AS depth, '' AS node, NULL AS parent, 0 AS words FROM convs
+  UNION ALL
+  SELECT c, row_number() OVER w, string_agg(said, '') OVER w,
+         coalesce(string_agg(said, '') OVER (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+         words
+  FROM kept WINDOW w AS (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), nodes AS (
+  SELECT node, depth, parent, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS again
+  FROM steps GROUP BY node, depth, parent
+), ends AS (
+  SELECT node, depth, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256
+  FROM (SELECT *, max(depth) OVER (PARTITION BY c) AS whole FROM steps) WHERE depth = whole GROUP BY node, depth
+), children AS (
+  SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), below AS (
+  SELECT DISTINCT a.node, a.depth, b.node AS lower_node, b.depth AS lower_depth
+  FROM steps a JOIN steps b ON a.c = b.c AND b.depth >= a.depth
+), sums AS (
+  SELECT below.node, below.depth, sum(again) AS saved, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+  FROM below JOIN nodes l ON l.node = lower_node AND l.depth = lower_depth
+  LEFT JOIN children k ON k.node = lower_node AND k.depth = lower_depth
+  GROUP BY below.node, below.depth
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(k.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node AND s.depth = n.depth
+LEFT JOIN nodes p ON p.node = n.parent AND p.depth = n.depth - 1
+LEFT JOIN children k ON k.node = n.node AND k.depth = n.depth
+LEFT JOIN ends e ON e.node = n.node AND e.depth = n.depth
+"""
+
+COLLOCATIONS = """
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\n-\r]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM piece
+), phrase AS (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+    UNION ALL
+    SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+    UNION ALL
+    SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w)
+  GROUP BY lang, size, phrase
+), total AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrase WHERE size = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM phrase WHERE f >= 10
+), cand AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM often WHERE size > 1
+), cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, 1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) c
+  JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+  JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, f FROM cand WHERE size = 3
+    UNION ALL SELECT lang, w[2] || ' ' || w[3], f FROM cand WHERE size = 3) GROUP BY lang, phrase
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score, k AS cut
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

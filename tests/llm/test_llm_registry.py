@@ -21,7 +21,9 @@ CONTRACT = {
     "op8_": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op9_": "doc_id fingerprint component_id",
     "op10_": "page_id url text n_chars",
+    "op11_": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op12_": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13_": "lang rank phrase a l r n score",
 }
 
 
