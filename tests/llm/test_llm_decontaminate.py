@@ -41,8 +41,8 @@ def test_new_numbers_names_and_units(spark):
     docs = [(1, "Well. " + other + " thanks"), (2, Q.replace("5 pears that", "9 pears that")), (3, Q),
             (4, "nothing of the kind " * 20), (5, Q.upper())]
     got = _found(spark, docs, [(7, Q)])
-    # document 2 has two values for the item's 5, so its alignment is inconsistent
-    assert set(got) == {(1, 7), (3, 7), (5, 7)} and got[1, 7].reworded and not got[3, 7].reworded
+    # document 2 has two values for the item's 5; the windows that hold only one of them still match
+    assert set(got) == {(1, 7), (2, 7), (3, 7), (5, 7)} and got[1, 7].reworded and not got[3, 7].reworded
 
 
 @pytest.mark.parametrize("small", [True, False])
@@ -59,10 +59,10 @@ def test_edge_cases(spark):
             (5, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"), (4, long)]
     items = [(1, None), (2, ""), (3, short), (None, Q), (4, "too short"), (5, "1 2 3 4 5 6 7 8 9 10 11 12")]
     got = _found(spark, docs, items)
-    assert set(got) == {(3, 3), (4, None), (None, None)}
+    assert set(got) == {(3, 3), (4, None), (None, None), (5, 5)}      # a list of numbers matches verbatim
     df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
     kept = [tuple(r) for r in S.clean(df, bench).collect()]
-    assert sorted(kept, key=str) == sorted([docs[0], docs[1], docs[4], docs[6]], key=str)
+    assert sorted(kept, key=str) == sorted([docs[0], docs[1], docs[4]], key=str)
     none, nothing = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
     assert S.contaminated(none, bench).count() == 0 and S.contaminated(df, nothing).count() == 0
     assert S.clean(df, nothing).count() == len(docs)
