@@ -11,6 +11,9 @@ is what the correctness check measures.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from ..functions import decode as D
 from ..functions.text import CORPORATE_SUFFIXES
 from ..plans import marts as M
@@ -81,6 +84,54 @@ def _mmddyyyy(col: str) -> str:
     return f"(CASE WHEN length({col}) = 8 THEN strptime({col}, '%m%d%Y')::date END)"
 
 
+_PROFILE = ("candidate_name", "party_name", "office", "office_state", "election_year",
+            "incumbent_challenger_status")
+
+
+def _by_cycle(chain: str) -> str:
+    """The chain with each transaction's cycle kept through the flow, and the per-cycle marts after it."""
+    for before, after in (
+            ("other_id AS earmarked_to_committee_id\n    FROM r_indiv",
+             "other_id AS earmarked_to_committee_id, cycle_year\n    FROM r_indiv"),
+            ("memo_text AS memo\n    FROM r_pac", "memo_text AS memo, cycle_year\n    FROM r_pac"),
+            ("AS is_super_pac\n    FROM s_pac p LEFT JOIN", "AS is_super_pac, p.cycle_year\n    FROM s_pac p LEFT JOIN"),
+            ("false, false\n    FROM s_indiv i", "false, false, i.cycle_year\n    FROM s_indiv i")):
+        assert chain.count(before) == 1, before
+        chain = chain.replace(before, after)
+    part = {name: re.search(rf"\n{name} AS \((.*?)\n\)(?:,|$)", chain, re.S)[1]
+            for name in ("s_cand", "fund_agg", "funding", "parts", "scored", "score")}
+    swap = lambda text, *pairs: reduce(lambda t, p: t.replace(*p), pairs, text)
+    profiles = swap(part["s_cand"], ("    FROM r_cand", ", cycle_year\n    FROM r_cand"),
+                    ("PARTITION BY trim(cand_id)", "PARTITION BY trim(cand_id), cycle_year"))
+    # the latest profile not after the cycle, found by a plain inequality join
+    latest = f"""
+    SELECT k.candidate_id, k.cycle_year, {', '.join('p.' + c for c in _PROFILE)}, p.cand_id
+    FROM (SELECT DISTINCT candidate_id, cycle_year FROM flow) k
+    JOIN profile_cycle p ON p.cand_id = k.candidate_id AND p.cycle_year <= k.cycle_year
+    QUALIFY row_number() OVER (PARTITION BY k.candidate_id, k.cycle_year ORDER BY p.cycle_year DESC) = 1"""
+    agg = swap(part["fund_agg"], ("SELECT f.candidate_id,", "SELECT f.cycle_year, f.candidate_id,"),
+               ("LEFT JOIN s_cand c ON c.cand_id = f.candidate_id",
+                "LEFT JOIN latest_profile c ON c.candidate_id = f.candidate_id AND c.cycle_year = f.cycle_year"))
+    funding = swap(part["funding"], ("SELECT a.candidate_id,", "SELECT a.cycle_year, a.candidate_id,"),
+                   ("FROM fund_agg a", "FROM fund_agg_cycle a"),
+                   ("s.fec_election_yr = a.election_year", "s.fec_election_yr = a.cycle_year"))
+    large = """
+    SELECT l.candidate_id, i.cycle_year, sum(i.amount) FILTER (WHERE i.amount >= 1000) AS large_donor_total
+    FROM s_indiv i JOIN s_link l ON l.committee_id = i.committee_id
+    WHERE i.is_individual_donor AND NOT i.is_refund GROUP BY l.candidate_id, i.cycle_year"""
+    parts = swap(part["parts"], ("SELECT f.candidate_id,", "SELECT f.cycle_year, f.candidate_id,"),
+                 ("FROM funding f LEFT JOIN large_totals g ON g.candidate_id = f.candidate_id",
+                  "FROM funding_cycle f LEFT JOIN large_cycle g ON g.candidate_id = f.candidate_id "
+                  "AND g.cycle_year = f.cycle_year"))
+    score = swap(part["score"], ("PARTITION BY election_year, office", "PARTITION BY cycle_year, office"),
+                 ("OVER (ORDER BY corruption_score)", "OVER (PARTITION BY cycle_year ORDER BY corruption_score)"),
+                 ("FROM scored", "FROM scored_cycle"))
+    more = {"profile_cycle": profiles, "latest_profile": latest, "fund_agg_cycle": agg, "funding_cycle": funding,
+            "large_cycle": large, "parts_cycle": parts,
+            "scored_cycle": part["scored"].replace("FROM parts", "FROM parts_cycle"), "score_cycle": score}
+    return chain + "".join(f",\n{name} AS ({text}\n)" for name, text in more.items())
+
+
 def ctes() -> str:
     raw = {t: lens_sql(t, "duckdb") for t in LENS_TABLES}
     tax = _values(seeds.taxonomy_rows() + seeds.LENS_KEYWORDS,
@@ -400,6 +451,7 @@ score AS (
 )"""
 
 
-def with_models(select: str) -> str:
+def with_models(select: str, by_cycle: bool = False) -> str:
     """Full oracle statement: the model CTE chain followed by ``select``."""
-    return "WITH " + ctes().strip() + "\n" + select
+    chain = _by_cycle(ctes()) if by_cycle else ctes()
+    return "WITH " + chain.strip() + "\n" + select

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import MONEY_SUM
 from .tagging import (UNCLASSIFIED_GROUP, UNCLASSIFIED_INDUSTRY, UNCLASSIFIED_SOURCE,
                       tag_donations)
 
@@ -16,7 +17,7 @@ FLOW_COLUMNS = [
 _TEXT = "string"
 
 
-def pac_direct(pac: DataFrame, tags: DataFrame) -> DataFrame:
+def pac_direct(pac: DataFrame, tags: DataFrame, keep: tuple = ()) -> DataFrame:
     """Committee -> candidate path; tags are not defaulted (missing stays NULL)."""
     t = tags.select(F.col("committee_id").alias("_tag_id"), "industry", "industry_group",
                     "match_source", "is_dark_money_suspect", "is_super_pac")
@@ -33,6 +34,7 @@ def pac_direct(pac: DataFrame, tags: DataFrame) -> DataFrame:
         F.lit("pac_direct").alias("contribution_path"),
         "industry", "industry_group", "match_source", "is_dark_money_suspect",
         F.coalesce(F.col("is_super_pac"), F.lit(False)).alias("is_super_pac"),
+        *keep,
     )
 
 
@@ -40,7 +42,7 @@ def individual_via_committee(individual: DataFrame, linkage: DataFrame,
                              taxonomy: DataFrame,
                              keywords: list[tuple] | None = None,
                              tagged: DataFrame | None = None,
-                             dedupe_links: bool = False) -> DataFrame:
+                             dedupe_links: bool = False, keep: tuple = ()) -> DataFrame:
     """Donor -> committee -> candidate path, employer-tagged in place.
 
     Each linked candidate of the receiving committee is credited; repeated
@@ -71,6 +73,7 @@ def individual_via_committee(individual: DataFrame, linkage: DataFrame,
         .alias("match_source"),
         F.lit(False).alias("is_dark_money_suspect"),
         F.lit(False).alias("is_super_pac"),
+        *keep,
     )
 
 
@@ -78,9 +81,15 @@ def contributions_to_candidates(pac: DataFrame, individual: DataFrame, linkage:
                                 tags: DataFrame, taxonomy: DataFrame,
                                 keywords: list[tuple] | None = None,
                                 tagged: DataFrame | None = None,
-                                dedupe_links: bool = False) -> DataFrame:
-    """UNION ALL of both paths, 15 columns."""
+                                dedupe_links: bool = False, keep: tuple = ()) -> DataFrame:
+    """UNION ALL of both paths, 15 columns, and the columns ``keep`` that both paths have."""
     individuals = individual_via_committee(individual, linkage, taxonomy, keywords, tagged,
-                                           dedupe_links)
-    return (pac_direct(pac, tags).select(*FLOW_COLUMNS)
-            .unionByName(individuals.select(*FLOW_COLUMNS)))
+                                           dedupe_links, keep)
+    columns = [*FLOW_COLUMNS, *keep]
+    return pac_direct(pac, tags, keep).select(*columns).unionByName(individuals.select(*columns))
+
+
+def pair_sums(flow: DataFrame) -> DataFrame:
+    """(candidate_id, source_committee_id, amount, n_rows): the flow summed per pair."""
+    return flow.groupBy("candidate_id", "source_committee_id").agg(
+        F.sum("amount").cast(MONEY_SUM).alias("amount"), F.count(F.lit(1)).alias("n_rows"))

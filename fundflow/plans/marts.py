@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY, MONEY_SUM, pct, ratio, round_to
+from ..operators.asof import as_of_join
+from ..operators.joins import null_safe_on
 from ..operators.median import median_of_integers
 from ..operators.ranking import ntile_distributed, percent_rank_by_histogram
 
@@ -68,11 +70,11 @@ def _sum_when(cond: Column) -> Column:
     return F.sum(F.when(cond, F.col("amount")).otherwise(F.lit(0))).cast(MONEY_SUM)
 
 
-def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
-    """Per candidate: counts, the 14 conditional sums, distinct donors, median.
+def candidate_funding_aggregates(flow: DataFrame, keys: tuple = ("candidate_id",)) -> DataFrame:
+    """Per candidate (or per ``keys``): counts, the 14 conditional sums, distinct donors, median.
 
     Three aggregates, each a plain hash aggregate with a map-side partial
-    step, joined on the candidate id (NULL ids kept, null-safe):
+    step, joined on the keys (NULL ids kept, null-safe):
 
     * the sums over all flow rows grouped by candidate;
     * distinct donor names: (candidate, donor) groups first, then a count per
@@ -82,7 +84,7 @@ def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
     """
     path = F.col("contribution_path")
     indiv = path == "individual"
-    sums = flow.groupBy("candidate_id").agg(
+    sums = flow.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum("amount").cast(MONEY_SUM).alias("total_raised"),
         _sum_when(path == "pac_direct").alias("raised_from_pacs"),
@@ -96,14 +98,14 @@ def candidate_funding_aggregates(flow: DataFrame) -> DataFrame:
     )
     individual = flow.filter(indiv)
     donors = (individual.filter(F.col("donor_name").isNotNull())
-              .groupBy("candidate_id", "donor_name").agg(F.count(F.lit(1)).alias("_d"))
-              .groupBy("candidate_id").agg(F.count(F.lit(1)).alias("unique_donor_count")))
-    cents = individual.select("candidate_id", (F.col("amount") * 100).cast("long").alias("_cents"))
-    median = median_of_integers(cents, "candidate_id", "_cents", "_median_cents")
-    d = donors.select(F.col("candidate_id").alias("_d_id"), "unique_donor_count")
-    m = median.select(F.col("candidate_id").alias("_m_id"), "_median_cents")
-    out = (sums.join(d, sums["candidate_id"].eqNullSafe(d["_d_id"]), "left")
-           .join(m, sums["candidate_id"].eqNullSafe(m["_m_id"]), "left"))
+              .groupBy(*keys, "donor_name").agg(F.count(F.lit(1)).alias("_d"))
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("unique_donor_count")))
+    cents = individual.select(*keys, (F.col("amount") * 100).cast("long").alias("_cents"))
+    median = median_of_integers(cents, list(keys), "_cents", "_median_cents")
+    d = donors.select(*[F.col(k).alias(f"_d_{k}") for k in keys], "unique_donor_count")
+    m = median.select(*[F.col(k).alias(f"_m_{k}") for k in keys], "_median_cents")
+    out = (sums.join(d, null_safe_on(sums, d, [(k, f"_d_{k}") for k in keys]), "left")
+           .join(m, null_safe_on(sums, m, [(k, f"_m_{k}") for k in keys]), "left"))
     return out.select(
         *[c for c in sums.columns if not c.startswith("_")],
         F.coalesce(F.col("unique_donor_count"), F.lit(0)).cast("long").alias("unique_donor_count"),
@@ -120,15 +122,44 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: Data
     by id and profile fields, while only one row per candidate is shuffled.
     """
     agg = candidate_funding_aggregates(flow)
-    prof = candidates.select(
+    prof = _profile_fields(candidates)
+    a = _with_profile_defaults(agg.join(prof, agg["candidate_id"] == prof["_cand_id"], "left"),
+                               ["candidate_id"], agg.columns)
+    fs = _reported(financials)
+    w = a.join(fs, (a["candidate_id"] == fs["_fs_id"])
+               & (a["election_year"] == fs["_fs_yr"]), "left")
+    return _with_shares(w, ["candidate_id"])
+
+
+def funding_by_cycle(flow: DataFrame, profiles: DataFrame, financials: DataFrame) -> DataFrame:
+    """The funding summary per candidate and cycle: ``cycle_year``, its columns and ``large_donor_total``.
+
+    Money belongs to the cycle of its transaction, so a candidate's cycles add up to the one row of
+    the plain summary.  The profile is the latest that is not after the cycle; reported totals are
+    those of the cycle itself.
+    """
+    keys = ["cycle_year", "candidate_id"]
+    agg = candidate_funding_aggregates(flow, tuple(keys))
+    prof = _profile_fields(profiles, "cycle_year")
+    fields = [c for c in prof.columns if c != "cycle_year"]
+    a = _with_profile_defaults(as_of_join(agg, prof, [("candidate_id", "_cand_id")], ("cycle_year", "cycle_year"),
+                                          fields), keys, agg.columns)
+    fs = _reported(financials)
+    w = a.join(fs, (a["candidate_id"] == fs["_fs_id"]) & (a["cycle_year"] == fs["_fs_yr"]), "left")
+    return _with_shares(w, keys)
+
+
+def _profile_fields(candidates: DataFrame, *more: str) -> DataFrame:
+    return candidates.select(
         F.col("cand_id").alias("_cand_id"), F.col("candidate_name").alias("_name"),
         F.col("party_name").alias("_party"), F.col("office").alias("_office"),
         F.col("office_state").alias("_state"), F.col("election_year"),
-        F.col("incumbent_challenger_status").alias("_ici"))
-    a = agg.join(prof, agg["candidate_id"] == prof["_cand_id"],
-                 "left")
-    a = a.select(
-        "candidate_id",
+        F.col("incumbent_challenger_status").alias("_ici"), *more)
+
+
+def _with_profile_defaults(rows: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    return rows.select(
+        *keys,
         F.coalesce("_name", "candidate_id").alias("candidate_name"),
         F.coalesce("_party", F.lit("Unknown")).alias("party_name"),
         F.coalesce("_office", F.lit("Unknown")).alias("office"),
@@ -136,16 +167,22 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: Data
         "election_year",
         F.coalesce("_ici", F.lit("Unknown")).alias("incumbent_challenger_status"),
         F.col("_cand_id").isNotNull().alias("has_candidate_profile"),
-        *[c for c in agg.columns if c != "candidate_id"])
-    fs = financials.select(F.col("cand_id").alias("_fs_id"), F.col("fec_election_yr").alias("_fs_yr"),
-                           F.col("tot_rec").alias("total_receipts_reported"),
-                           F.col("ind_con").alias("ind_total_reported"),
-                           F.col("coverage_end_date").alias("financial_report_thru"))
-    w = a.join(fs, (a["candidate_id"] == fs["_fs_id"])
-               & (a["election_year"] == fs["_fs_yr"]), "left")
+        *[c for c in measures if c not in keys])
+
+
+def _reported(financials: DataFrame) -> DataFrame:
+    return financials.select(F.col("cand_id").alias("_fs_id"), F.col("fec_election_yr").alias("_fs_yr"),
+                             F.col("tot_rec").alias("total_receipts_reported"),
+                             F.col("ind_con").alias("ind_total_reported"),
+                             F.col("coverage_end_date").alias("financial_report_thru"))
+
+
+def _with_shares(w: DataFrame, keys: list[str]) -> DataFrame:
+    """Funding columns, the shares included, and ``large_donor_total``."""
     effective = F.coalesce(F.col("total_receipts_reported").cast(MONEY_SUM), F.col("total_raised"))
     w = w.withColumn("_effective_total", effective)
     return w.select(
+        *[c for c in keys if c != "candidate_id"],
         *[c for c in FUNDING_COLUMNS if c not in (
             "pct_coverage", "pct_classified", "pct_individual_from_large", "pct_from_pacs",
             "pct_from_individuals", "pct_dark_money", "pct_super_pac")
@@ -165,8 +202,8 @@ def funding_with_extras(flow: DataFrame, candidates: DataFrame, financials: Data
     )
 
 
-def score_components(funding: DataFrame) -> DataFrame:
-    """Penalties, bonuses and the clamped 0-100 score (no rankings yet)."""
+def score_components(funding: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Penalties, bonuses and the clamped 0-100 score (no rankings yet), and the columns ``keep``."""
     f = funding
     total = F.col("total_raised")
     large = F.coalesce(F.col("large_donor_total"), F.lit(0))
@@ -175,7 +212,7 @@ def score_components(funding: DataFrame) -> DataFrame:
     median = F.col("median_individual_donation")
     pct_large = pct(large, total)
     comp = f.select(
-        "candidate_id", "candidate_name", "party_name", "office", "office_state",
+        *keep, "candidate_id", "candidate_name", "party_name", "office", "office_state",
         "election_year", "incumbent_challenger_status", "total_raised", "pct_from_pacs",
         "pct_from_individuals", "pct_dark_money", "pct_super_pac", "unique_donor_count",
         F.coalesce(median, F.lit(0).cast(MONEY)).alias("median_individual_donation"),
@@ -218,14 +255,22 @@ def candidate_capture_score(funding_extras: DataFrame) -> DataFrame:
     Rankings order by (score, candidate_id); the id breaks ties so deciles
     are reproducible.  Both are computed without a single-partition window.
     """
-    comp = score_components(funding_extras)
-    part = ["election_year", "office"]
-    ranked = ntile_distributed(
-        comp, part, ["corruption_score"], "candidate_id", SCORE_DECILES,
-        "score_decile_within_office")
-    ranked = percent_rank_by_histogram(ranked, part, "corruption_score", "_pr_office")
-    ranked = percent_rank_by_histogram(ranked, [], "corruption_score", "_pr_all")
+    return _ranked(score_components(funding_extras), ["election_year", "office"], [], ["candidate_id"])
+
+
+def capture_score_by_cycle(funding_cycles: DataFrame) -> DataFrame:
+    """The score per candidate and cycle, ranked within (cycle, office) and within the cycle."""
+    comp = score_components(funding_cycles, ("cycle_year",))
+    return _ranked(comp, ["cycle_year", "office"], ["cycle_year"], ["cycle_year", "candidate_id"])
+
+
+def _ranked(comp: DataFrame, office: list[str], overall: list[str], keys: list[str]) -> DataFrame:
+    ranked = ntile_distributed(comp, office, ["corruption_score"], keys, SCORE_DECILES,
+                               "score_decile_within_office")
+    ranked = percent_rank_by_histogram(ranked, office, "corruption_score", "_pr_office")
+    ranked = percent_rank_by_histogram(ranked, overall, "corruption_score", "_pr_all")
     return ranked.select(
+        *[c for c in keys if c != "candidate_id"],
         *[c for c in SCORE_COLUMNS if c not in (
             "score_pct_within_office", "score_decile_within_office", "score_pct_overall",
             "risk_tier")],

@@ -23,7 +23,7 @@ from . import flows, marts, staging, tagging
 
 # What the flow and the donor-industry table read of a tagged donation.
 TAGGED_COLUMNS = ["transaction_id", "committee_id", "donor_name", "donor_employer",
-                  "donor_occupation", "amount", "transaction_date", "election_type", "m"]
+                  "donor_occupation", "amount", "transaction_date", "election_type", "m", "cycle_year"]
 
 
 class Models:
@@ -88,7 +88,7 @@ class Models:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        """The raw tables; with a warehouse, as ``load_raw`` lays them out."""
+        """The raw tables; with a warehouse, written there by (cycle, file)."""
         if not self._layer("raw", lambda: write_raw(self.sources, self.warehouse)):
             return self.sources
         read = self.spark.read
@@ -120,6 +120,10 @@ class Models:
         return staging.stg_pac_contributions(self.raw["pac_contributions"],
                                              lenient=self.options["lenient_dates"])
 
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return staging.candidate_profiles(self.raw["candidates"])
+
     @cached_property
     def linkage(self) -> DataFrame:
         return staging.stg_candidate_committee_linkage(self.raw["candidate_committee_linkage"])
@@ -143,8 +147,10 @@ class Models:
         t = self._table("tagged_donations")
         if t is not None:
             return t
+        individual = staging.stg_individual_contributions(
+            self.raw["individual_contributions"], self.options["lenient_dates"], keep=("cycle_year",))
         return tagging.tag_donations(
-            self.individual, self.taxonomy, self.keywords, self.options["casefold_stop_list"],
+            individual, self.taxonomy, self.keywords, self.options["casefold_stop_list"],
             self.options["whole_words"]).select(*TAGGED_COLUMNS)
 
     @cached_property
@@ -154,14 +160,29 @@ class Models:
             self.options["casefold_stop_list"])
 
     @cached_property
-    def flow(self) -> DataFrame:
-        t = self._table("flow")
+    def flow_by_cycle(self) -> DataFrame:
+        """The flow with the cycle of each transaction."""
+        t = self._table("flow_by_cycle")
         if t is not None:
             return t
+        pac = staging.stg_pac_contributions(self.raw["pac_contributions"], self.options["lenient_dates"],
+                                            keep=("cycle_year",))
         return flows.contributions_to_candidates(
-            self.pac, self.individual, self.linkage, self.committee_tags, self.taxonomy,
+            pac, self.individual, self.linkage, self.committee_tags, self.taxonomy,
             keywords=self.keywords, tagged=self.tagged_donations,
-            dedupe_links=self.options["dedupe_links"])
+            dedupe_links=self.options["dedupe_links"], keep=("cycle_year",))
+
+    @cached_property
+    def flow(self) -> DataFrame:
+        return self.flow_by_cycle.select(*flows.FLOW_COLUMNS)
+
+    @cached_property
+    def pair_sums(self) -> DataFrame:
+        """Money and rows per candidate and paying (or receiving) committee, read by five reports."""
+        t = self._table("pair_sums")
+        if t is not None:
+            return t
+        return flows.pair_sums(self.flow_by_cycle)
 
     # marts (tables) --------------------------------------------------------
     @cached_property
@@ -175,6 +196,18 @@ class Models:
     def funding(self) -> DataFrame:
         return self.funding_extras.select(*marts.FUNDING_COLUMNS)
 
+    @cached_property
+    def funding_by_cycle(self) -> DataFrame:
+        """One row per candidate and cycle, with ``large_donor_total``."""
+        t = self._table("funding_by_cycle")
+        if t is not None:
+            return t
+        return marts.funding_by_cycle(self.flow_by_cycle, self.profiles, self.financials)
+
+    @cached_property
+    def score_by_cycle(self) -> DataFrame:
+        return marts.capture_score_by_cycle(self.funding_by_cycle)
+
     @cached_property
     def score(self) -> DataFrame:
         t = self._table("score")
@@ -225,8 +258,9 @@ def materialize(models: Models, warehouse: str) -> None:
         lazy.__dict__[name] = spark.read.schema(df.schema).parquet(f"{warehouse}/{name}")
 
     _at_once(write, ("committee_tags", "tagged_donations"))
-    for name in ("flow", "funding_extras", "score"):
-        write(name)
+    write("flow_by_cycle")
+    _at_once(write, ("pair_sums", "funding_extras", "funding_by_cycle"))
+    write("score")
 
 
 def source_version(spark: SparkSession, paths: list[str]) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY_SUM, exact_avg
+from .flows import pair_sums
 from .tagging import UNCLASSIFIED_INDUSTRY
 
 MAJOR_PARTIES = ["Democrat", "Republican"]
@@ -92,16 +93,16 @@ def score_histogram(score: DataFrame, office: str = "%", party: str = "%",
 def _flow_tags(flow: DataFrame, tags: DataFrame) -> DataFrame:
     """Money and rows per candidate and committee with the committee's tags.
 
-    The flow is summed (map-side first) before any join, so the joins run per
-    committee-candidate pair, not per transaction; ``_rows`` keeps row-weighted averages exact.
+    ``flow`` may be the flow itself or its ``pair_sums`` table.  It is summed (map-side first)
+    before any join, so the joins run per committee-candidate pair, not per transaction;
+    ``n_rows`` keeps row-weighted averages exact.
     """
     t = tags.select(F.col("committee_id").alias("_t_id"), "industry_group",
                     F.col("committee_name").alias("_t_name"),
                     F.col("connected_organization_name").alias("_t_org"),
                     F.col("organization_type").alias("_t_orgtype"),
                     F.col("is_dark_money_suspect").alias("_t_dark"))
-    f = flow.groupBy("candidate_id", "source_committee_id").agg(
-        F.sum("amount").cast(MONEY_SUM).alias("amount"), F.count(F.lit(1)).alias("_rows"))
+    f = flow if "n_rows" in flow.columns else pair_sums(flow)
     return f.join(t, f["source_committee_id"] == t["_t_id"])
 
 
@@ -124,8 +125,8 @@ def industry_totals(flow: DataFrame, tags: DataFrame, score: DataFrame,
     return j.groupBy("industry_group").agg(
         F.count_distinct("candidate_id").alias("candidates_funded"),
         F.sum("amount").cast(MONEY_SUM).alias("total_contributed"),
-        (F.sum(score_tenths * F.col("_rows")).cast("double")
-         / F.nullif(F.sum(F.when(score_tenths.isNotNull(), F.col("_rows"))), F.lit(0)))
+        (F.sum(score_tenths * F.col("n_rows")).cast("double")
+         / F.nullif(F.sum(F.when(score_tenths.isNotNull(), F.col("n_rows"))), F.lit(0)))
         .alias("avg_candidate_score")).orderBy(
         F.col("total_contributed").desc_nulls_last(), "industry_group")
 

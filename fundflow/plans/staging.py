@@ -24,10 +24,23 @@ def stg_candidates(raw: DataFrame) -> DataFrame:
     collapse into one profile.
     """
     year = F.col("cand_election_yr").cast("int")
-    latest = best_per_key(raw, [F.trim("cand_id")],
-                          [year.desc_nulls_last(), F.col("cycle_year").desc_nulls_last(),
-                           F.col("source_file").desc_nulls_last()])
-    return latest.select(
+    return _profile(best_per_key(raw, [F.trim("cand_id")],
+                                 [year.desc_nulls_last(), F.col("cycle_year").desc_nulls_last(),
+                                  F.col("source_file").desc_nulls_last()]))
+
+
+def candidate_profiles(raw: DataFrame) -> DataFrame:
+    """Every cycle's profile of each candidate: the columns of ``stg_candidates`` plus ``cycle_year``.
+
+    Of several rows in one cycle the one with the highest election year counts, ties as there.
+    """
+    year = F.col("cand_election_yr").cast("int")
+    return _profile(best_per_key(raw, [F.trim("cand_id"), F.col("cycle_year")],
+                                 [year.desc_nulls_last(), F.col("source_file").desc_nulls_last()]), "cycle_year")
+
+
+def _profile(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select(
         F.trim("cand_id").alias("cand_id"),
         F.trim("cand_name").alias("candidate_name_raw"),
         candidate_last_name("cand_name").alias("last_name"),
@@ -45,6 +58,7 @@ def stg_candidates(raw: DataFrame) -> DataFrame:
         normalize_name("cand_city").alias("candidate_city"),
         F.col("cand_st").alias("candidate_state"),
         F.col("cand_zip").alias("candidate_zip"),
+        *more,
     )
 
 
@@ -77,8 +91,8 @@ def stg_committees(raw: DataFrame, latest_per_id: bool = False) -> DataFrame:
     )
 
 
-def stg_individual_contributions(raw: DataFrame, lenient: bool = False) -> DataFrame:
-    """Typed individual donations plus the size bucket, 21 columns."""
+def stg_individual_contributions(raw: DataFrame, lenient: bool = False, keep: tuple = ()) -> DataFrame:
+    """Typed individual donations plus the size bucket, 21 columns, and the raw columns ``keep``."""
     amount = F.col("transaction_amt").cast(MONEY)
     cleaned = raw.filter(F.col("transaction_amt").isNotNull()).select(
         F.col("sub_id").alias("transaction_id"),
@@ -101,12 +115,13 @@ def stg_individual_contributions(raw: DataFrame, lenient: bool = False) -> DataF
         F.col("tran_id").alias("fec_transaction_id"),
         F.col("memo_text").alias("memo"),
         F.col("other_id").alias("earmarked_to_committee_id"),
+        *keep,
     )
     return cleaned.withColumn("donation_size_bucket", D.size_bucket("is_refund", "amount"))
 
 
-def stg_pac_contributions(raw: DataFrame, lenient: bool = False) -> DataFrame:
-    """Typed committee-to-candidate transactions, 17 columns."""
+def stg_pac_contributions(raw: DataFrame, lenient: bool = False, keep: tuple = ()) -> DataFrame:
+    """Typed committee-to-candidate transactions, 17 columns, and the raw columns ``keep``."""
     amount = F.col("transaction_amt").cast(MONEY)
     return raw.filter(F.col("transaction_amt").isNotNull()).select(
         F.col("sub_id").alias("transaction_id"),
@@ -126,6 +141,7 @@ def stg_pac_contributions(raw: DataFrame, lenient: bool = False) -> DataFrame:
         F.col("other_id").alias("other_committee_id"),
         F.col("tran_id").alias("fec_transaction_id"),
         F.col("memo_text").alias("memo"),
+        *keep,
     )
 
 

@@ -17,12 +17,13 @@ from .functions.numeric import MONEY_SUM
 from .functions.text import (candidate_display_name, candidate_first_name,
                              candidate_last_name, normalize_employer, normalize_name)
 from .oracle import sql as O
-from .plans import marts, quality, reports, tagging
+from .plans import filing_loads, marts, quality, reports, tagging
 from .operators.keyword_match import first_match_join
+from .operators.ranking import percent_rank_distributed
 from .plans.pipeline import Models, warehouse_folder
 from .plans.quality import NOT_NULL_CHECKS, UNIQUE_CHECKS, UNKNOWN_FLAG_CHECKS
 from .sources import delimited, lens
-from .sources.layouts import FILE_TYPES
+from .sources.layouts import FILE_TYPES, columns_of
 
 PROFILE_NAME = "household"          # name search used by the candidate pages
 TOP_INDUSTRY = "Pharma & Healthcare"
@@ -112,6 +113,10 @@ def _rejected_rows(spark, sf):
     return delimited.line_counts(lines, columns)
 
 
+def _filing_loads(spark, sf):
+    return filing_loads.loaded_pac(spark, _m(spark, sf).raw[filing_loads.PAC], warehouse_folder(spark, sf))
+
+
 def _file_manifest(spark, sf):
     part = spark.read.parquet(f"{sf}/part.parquet")
     files = spark.sql(lens.listing_sql(), part=part)
@@ -143,6 +148,12 @@ def _large_donor_totals(spark, sf):
     return marts.large_donor_totals(m.individual, m.linkage)
 
 
+def _donation_percent_rank(spark, sf):
+    rows = _m(spark, sf).individual.select("transaction_id", "committee_id", "amount")
+    return percent_rank_distributed(percent_rank_distributed(rows, [], "amount", "pct_overall"),
+                                    ["committee_id"], "amount", "pct_in_committee")
+
+
 def _score_components(spark, sf):
     comp = marts.score_components(_m(spark, sf).funding_extras)
     return comp.drop("risk_tier")
@@ -256,6 +267,15 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         SELECT risk_tier, count(*) AS candidates, min(corruption_score) AS min_score,
                max(corruption_score) AS max_score FROM score GROUP BY risk_tier""")
 
+    # per-cycle grain
+    reg("funding_summary_by_cycle", lambda s, d: m(s, d).funding_by_cycle.drop("large_donor_total"),
+        "SELECT * FROM funding_cycle")
+    reg("capture_score_by_cycle", lambda s, d: m(s, d).score_by_cycle, "SELECT * FROM score_cycle")
+    reg("donation_percent_rank", _donation_percent_rank, """
+        SELECT transaction_id, committee_id, amount, percent_rank() OVER (ORDER BY amount) AS pct_overall,
+               percent_rank() OVER (PARTITION BY committee_id ORDER BY amount) AS pct_in_committee
+        FROM s_indiv""")
+
     # step 6: reports
     def avg1(c):
         return f"CAST(sum(CAST({c} AS DECIMAL(20,1))) AS DOUBLE) / nullif(count({c}), 0)"
@@ -306,14 +326,14 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                      AS bin_start
             FROM score WHERE office LIKE '%' AND party_name LIKE '%' GROUP BY ALL""")
     reg("industry_totals", lambda s, d: reports.industry_totals(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).score), f"""
+            m(s, d).pair_sums, m(s, d).committee_tags, m(s, d).score), f"""
         SELECT t.industry_group, count(DISTINCT f.candidate_id) AS candidates_funded,
                sum(f.amount) AS total_contributed, {avg1('s.corruption_score')} AS avg_candidate_score
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
         JOIN score s ON f.candidate_id = s.candidate_id
         WHERE t.industry_group <> 'Unknown / Unclassified' GROUP BY t.industry_group""")
     reg("industry_by_party", lambda s, d: reports.industry_by_party(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates), """
+            m(s, d).pair_sums, m(s, d).committee_tags, m(s, d).candidates), """
         SELECT t.industry_group, c.party_name, sum(f.amount) AS total
         FROM flow f JOIN tags t ON f.source_committee_id = t.committee_id
         JOIN s_cand c ON f.candidate_id = c.cand_id
@@ -321,7 +341,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
           AND c.party_name IN ('Democrat', 'Republican')
         GROUP BY t.industry_group, c.party_name""")
     reg("top_recipients", lambda s, d: reports.top_recipients(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, m(s, d).score,
+            m(s, d).pair_sums, m(s, d).committee_tags, m(s, d).candidates, m(s, d).score,
             TOP_INDUSTRY), f"""
         SELECT c.candidate_name, c.party_name, c.office, c.office_state, c.election_year,
                sum(f.amount) AS received, s.corruption_score, s.risk_tier
@@ -349,7 +369,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         FROM tags ct JOIN funding f ON 1 = 1 JOIN score s USING (candidate_id)
         WHERE ct.is_dark_money_suspect""")
     reg("dark_committees", lambda s, d: reports.dark_committees(
-            m(s, d).committee_tags, m(s, d).flow), """
+            m(s, d).committee_tags, m(s, d).pair_sums), """
         SELECT ct.committee_name, ct.connected_organization_name, ct.organization_type,
                count(DISTINCT c.candidate_id) AS candidates_funded, sum(c.amount) AS total_spent
         FROM tags ct JOIN flow c ON ct.committee_id = c.source_committee_id
@@ -373,7 +393,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         UNION ALL SELECT 'Individuals', pct_from_individuals FROM {one_candidate()} o2
         UNION ALL SELECT 'Dark Money', pct_dark_money FROM {one_candidate()} o3""")
     reg("industry_breakdown", lambda s, d: reports.industry_breakdown(
-            m(s, d).flow, m(s, d).committee_tags, m(s, d).candidates, PROFILE_NAME), f"""
+            m(s, d).pair_sums, m(s, d).committee_tags, m(s, d).candidates, PROFILE_NAME), f"""
         SELECT ct.industry_group, sum(c.amount) AS total
         FROM flow c JOIN tags ct ON c.source_committee_id = ct.committee_id
         JOIN s_cand cand ON c.candidate_id = cand.cand_id
@@ -415,6 +435,34 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
         SELECT cycle_year, source_file, count(*) FILTER (WHERE NOT ({lens.BAD_LINE})) AS rows,
                count(*) FILTER (WHERE {lens.BAD_LINE}) AS rejected
         FROM r_pac GROUP BY cycle_year, source_file""")
+    fields = ", ".join(f"nullif({lens.FILING_NAME if c == 'name' else c}, '') AS {c}"
+                       for c in columns_of(filing_loads.PAC))
+    reg("filing_round_trip", lambda s, d: filing_loads.round_trip(s, _filing_loads(s, d)), f"""
+        SELECT {fields}, cycle_year, {lens.FILING_FILE} AS source_file FROM r_pac
+        WHERE NOT ({lens.BAD_LINE}) AND NOT ({lens.BAD_BYTES})""")
+    reg("filing_quarantine", lambda s, d: filing_loads.set_aside(s, _filing_loads(s, d)), f"""
+        SELECT cycle_year, {lens.FILING_FILE} AS source_file,
+               CASE WHEN {lens.BAD_BYTES} THEN 'bytes' ELSE 'fields' END AS reason, count(*) AS n_lines
+        FROM r_pac WHERE ({lens.BAD_LINE}) OR ({lens.BAD_BYTES}) GROUP BY ALL""")
+    reg("filing_manifest", lambda s, d: filing_loads.load_record(s, _filing_loads(s, d)), f"""
+        SELECT cycle_year, {lens.FILING_FILE} AS source_file, {lens.FILING_FILE} = 'quoted' AS quoted,
+               count(*) FILTER (WHERE NOT ({lens.BAD_LINE}) AND NOT ({lens.BAD_BYTES})) AS rows,
+               count(*) FILTER (WHERE ({lens.BAD_LINE}) OR ({lens.BAD_BYTES})) AS rejected
+        FROM r_pac GROUP BY ALL""")
+    states = "SELECT *, count(*) FILTER (WHERE NOT late) OVER f AS early, count(*) OVER f AS whole " \
+             f"FROM ({lens.link_files_sql('r_link')}) WINDOW f AS (PARTITION BY cycle_year, source_file)"
+    per_file = f"SELECT DISTINCT cycle_year, source_file, early, whole FROM ({states})"
+    after = "CASE WHEN source_file IN ('f2', 'f4') THEN whole ELSE early END"
+    reg("incremental_load", lambda s, d: filing_loads.incremental_runs(
+            s, m(s, d).raw[filing_loads.LINK]), f"""
+        SELECT 1 AS run, cycle_year, source_file AS file_name, 'new' AS status, early AS rows, early AS table_rows
+        FROM ({per_file}) WHERE source_file <> 'f4' AND early > 0
+        UNION ALL
+        SELECT 2, cycle_year, source_file, CASE WHEN source_file = 'f4' OR early = 0 THEN 'new'
+               WHEN {after} = early THEN 'skipped' ELSE 'changed' END, {after}, {after}
+        FROM ({per_file}) WHERE {after} > 0
+        UNION ALL
+        SELECT 3, cycle_year, source_file, 'skipped', {after}, {after} FROM ({per_file}) WHERE {after} > 0""")
     reg("file_manifest", _file_manifest, f"""
         SELECT l.*, CASE
             WHEN NOT EXISTS (SELECT 1 FROM ({lens.manifest_sql('part')}) r WHERE r.cycle_year = l.cycle_year
@@ -445,4 +493,4 @@ def queries() -> dict[str, Builder]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: O.with_models(v[1]) for k, v in REGISTRY.items() if v[1] is not None}
+    return {k: O.with_models(v[1], by_cycle=k.endswith("_by_cycle")) for k, v in REGISTRY.items() if v[1] is not None}

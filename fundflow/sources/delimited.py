@@ -1,26 +1,20 @@
-"""Bulk filing files -> raw tables.
+"""Bulk filing files: their lines, layout and manifest status.
 
 Layout on disk: ``{root}/{cycle_year}/{file_type}/*.txt``, pipe-delimited, no
-header.  A line is split at every pipe, with no quote character (a stray ``"``
+header.  Read plainly, a line is split at every pipe, with no quote character (a stray ``"``
 stays in the text); an empty field is NULL, a blank line is no row, and a line with a
-wrong field count is rejected and counted.  Raw tables are Parquet partitioned by
-``(cycle_year, source_file)``; a load first drops the partitions of the files it
-reads, so loading a changed file again equals a fresh load.
+wrong field count is rejected and counted.  ``loader`` loads such files into raw tables.
 """
 
 from __future__ import annotations
 
 import re
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .layouts import (FILE_TYPES, LINEAGE_COLUMNS, OPTIONAL_TABLES, RAW_TABLES, check_cycles,
-                      columns_of, raw_schema)
+from .layouts import FILE_TYPES, LINEAGE_COLUMNS, check_cycles
 
 _CYCLE_FROM_PATH = r"/(\d{4})/[^/]+/[^/]+$"
-COUNTS = "table_name string, cycle_year int, source_file string, rows long, rejected long"
 
 
 def split_lines(lines: DataFrame, columns: list[str], sep: str = "|") -> DataFrame:
@@ -96,63 +90,6 @@ def discover_inputs(spark: SparkSession, root: str, cycles: list[int],
     return {ftype: files for ftype, files in out.items() if files}
 
 
-def _partition_name(value: str) -> str:
-    """A partition value as Spark spells it in a folder name."""
-    return re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
-
-
-def drop_partitions(spark: SparkSession, table: str, files: list[tuple[int, str]]) -> None:
-    """Delete the (cycle, file) partitions of a raw table, whichever file system holds it."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for year, name in files:
-        path = hadoop.Path(f"{table}/cycle_year={year}", f"source_file={_partition_name(name)}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def load_files(spark: SparkSession, files: list[tuple[int, str, str]], file_type: str,
-               warehouse: str) -> DataFrame:
-    """Load (cycle, name, path) files of one type; return rows and rejected lines per file."""
-    table, columns = FILE_TYPES[file_type]
-    target = f"{warehouse}/raw/{table}"
-    drop_partitions(spark, target, [(y, n) for y, n, _ in files])
-    lines = read_lines(spark, [p for _, _, p in files])
-    (accepted(lines, columns).write.mode("append").partitionBy(*LINEAGE_COLUMNS).parquet(target))
-    listed = spark.createDataFrame([(y, n) for y, n, _ in files], "cycle_year int, source_file string")
-    counts = listed.join(line_counts(lines, columns), LINEAGE_COLUMNS, "left")
-    return counts.select(F.lit(table).alias("table_name"), *LINEAGE_COLUMNS,
-                         F.coalesce("rows", F.lit(0)).alias("rows"),
-                         F.coalesce("rejected", F.lit(0)).alias("rejected"))
-
-
-def load_raw(spark: SparkSession, root: str, warehouse: str, cycles: list[int],
-             file_types: list[str] | None = None) -> DataFrame:
-    """Load every discovered file into ``{warehouse}/raw/{table}``.
-
-    Returns (table_name, cycle_year, source_file, rows, rejected) per file read, 0 for
-    an empty one.  The files' old partitions go first, so nothing stale stays.
-    """
-    counts = [load_files(spark, files, ftype, warehouse)
-              for ftype, files in discover_inputs(spark, root, cycles, file_types).items()]
-    return (reduce(DataFrame.unionByName, counts) if counts
-            else spark.createDataFrame([], COUNTS))
-
-
-def read_raw(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """A raw table from the warehouse; an optional table that was never loaded
-    is returned empty with its schema."""
-    path = f"{warehouse}/raw/{table}"
-    try:
-        return spark.read.schema(raw_schema(columns_of(table))).parquet(path)
-    except Exception as exc:
-        if table in OPTIONAL_TABLES and ("PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)):
-            return spark.createDataFrame([], raw_schema(OPTIONAL_TABLES[table]))
-        raise
-
-
-def read_raw_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    return {name: read_raw(spark, warehouse, name) for name in RAW_TABLES}
-
-
 def write_filing(df: DataFrame, path: str, columns: list[str]) -> None:
     """Write rows in the bulk layout (pipe-delimited text, no header, no quotes)."""
     (df.select(*columns).write.mode("overwrite")

@@ -291,6 +291,33 @@ def delimited_lines_sql(dialect: str, columns: list[str], raw: str = "{raw}") ->
       FROM {raw}"""
 
 
+# The two PAC files: in ``quoted`` the name is wrapped in quotes and holds a separator and quotes.
+FILING_FILE = "CASE WHEN sub_id LIKE '%_2' OR sub_id LIKE '%_5' THEN 'quoted' ELSE 'plain' END"
+FILING_NAME = f"name || CASE WHEN {FILING_FILE} = 'quoted' THEN '|say \"hi\"' ELSE '' END"
+BAD_BYTES = "image_num LIKE '%53'"
+
+
+def filing_lines_sql(columns: list[str], raw: str = "{raw}") -> str:
+    """The rows of the PAC table as lines (value, bad_bytes, lineage) of two files; Spark only."""
+    quoted = f"CASE WHEN {FILING_FILE} = 'quoted' THEN '\"' || replace({FILING_NAME}, '\"', '\"\"') || '\"' ELSE name END"
+    fields = [f"coalesce({quoted if c == 'name' else c}, '')" for c in columns]
+    return f"""
+      SELECT concat_ws('|', {', '.join(fields[:-1])}) || CASE
+               WHEN {SHORT_LINE} THEN '' ELSE '|' || {fields[-1]} END
+             || CASE WHEN {LONG_LINE} THEN '|extra' ELSE '' END AS value,
+             coalesce({BAD_BYTES}, false) AS bad_bytes, cycle_year, {FILING_FILE} AS source_file
+      FROM {raw}"""
+
+
+def link_files_sql(raw: str = "{raw}") -> str:
+    """The link rows dealt over the files f0 to f4 by supplier; a seventh of them come late."""
+    supplier = "cast(regexp_extract(linkage_id, '([0-9]+)', 1) as bigint)"
+    return f"""
+      SELECT cand_id, cand_election_yr, fec_election_yr, cmte_id, cmte_tp, cmte_dsgn, linkage_id, cycle_year,
+             'f' || cast({supplier} % 5 as string) AS source_file, {supplier} % 7 = 3 AS late
+      FROM {raw}"""
+
+
 def listing_sql(part: str = "{part}") -> str:
     """A file listing: names recur in every cycle and type, some sizes are 0 (unknown)."""
     return f"""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from fundflow.plans.pipeline import Models
-from fundflow.sources import delimited, seeds
+from fundflow.sources import delimited, loader, seeds
 from fundflow.sources.layouts import FILE_TYPES
 from fundflow.sources.lens import lens_tables
 
@@ -28,9 +28,9 @@ def test_filings_to_score(spark, scratch):
     years = sorted({y for t in FILE_TYPES.values()
                     for (y,) in raw[t[0]].select("cycle_year").distinct().collect()})
     wh = f"{scratch}/wh"
-    counts = delimited.load_raw(spark, root, wh, years)
+    counts = loader.load_raw(spark, root, wh, years)
     assert counts.count() > 0
-    loaded = delimited.read_raw_tables(spark, wh)
+    loaded = loader.read_raw_tables(spark, wh)
     # the crosswalk is not a bulk file type: never loaded it is empty (S-09) ...
     assert loaded["opensecrets_committees"].count() == 0
     # ... so it is supplied as its own input, as a user would

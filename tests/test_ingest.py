@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from fundflow.sources import delimited
+from fundflow.sources import delimited, loader
 from fundflow.sources.layouts import FILE_TYPES
 from fundflow.sources.lens import lens_tables
 
@@ -49,7 +49,7 @@ LINK = "candidate_committee_linkage"
 
 
 def _load(spark, root, wh, cycles=(2022, 2024)):
-    return sorted(map(tuple, delimited.load_raw(spark, root, wh, list(cycles), ["ccl"]).collect()))
+    return sorted(map(tuple, loader.load_raw(spark, root, wh, list(cycles), ["ccl"]).collect()))
 
 
 def test_load_reads_every_file_and_counts_rejected_lines(spark, scratch):
@@ -60,9 +60,9 @@ def test_load_reads_every_file_and_counts_rejected_lines(spark, scratch):
     expected = [(LINK, 2022, "a.txt", 2, 0), (LINK, 2022, "b.txt", 1, 1), (LINK, 2024, "x.txt", 1, 0)]
     assert _load(spark, root, wh) == expected
     assert _load(spark, root, wh) == expected          # loading twice equals loading once
-    rows = delimited.read_raw(spark, wh, LINK)
+    rows = loader.read_table(spark, wh, LINK)
     assert rows.count() == 4 and {r.source_file for r in rows.collect()} == {"a.txt", "b.txt", "x.txt"}
-    assert delimited.read_raw(spark, wh, "opensecrets_committees").count() == 0
+    assert loader.read_table(spark, wh, "opensecrets_committees").count() == 0
 
 
 def test_reload_equals_a_fresh_load(spark, scratch):
@@ -78,7 +78,7 @@ def test_reload_equals_a_fresh_load(spark, scratch):
                       (LINK, 2022, "c c=1.txt", 1, 0), (LINK, 2022, "kept.txt", 2, 0)]
     fresh = f"{scratch}/fresh"
     assert _load(spark, root, fresh, [2022]) == counts
-    both = [sorted(map(tuple, delimited.read_raw(spark, w, LINK).collect())) for w in (wh, fresh)]
+    both = [sorted(map(tuple, loader.read_table(spark, w, LINK).collect())) for w in (wh, fresh)]
     assert both[0] == both[1] and len(both[0]) == 3
 
 
