@@ -10,9 +10,11 @@ Two plans give the same answer:
 * **inline** (taxonomy of at most ``MAX_INLINE_KEYWORDS`` rows): the keywords
   become one look-ahead trie-shaped regular expression scanned over each
   text in the row's own task.  No shuffle, no join, and a hot employer costs nothing extra.
-* **n-gram join** (larger taxonomies): every distinct text is cut into its
-  substrings of the lengths that keywords have, and those are equi-joined to
-  the keywords; the best match per text is an aggregate and is joined back.
+* **gram join** (larger taxonomies): every keyword is filed under one of its grams of
+  ``GRAM`` letters, the one that fewest keywords hold (a shorter keyword under itself).
+  Every distinct text is cut into its grams, about as many rows as it has letters whatever
+  lengths the keywords have; they are equi-joined to the filed grams, and a keyword met is
+  compared whole at its place.  The best match per text is an aggregate and is joined back.
   Exact, and it never pairs every text with every keyword.
 """
 
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_INLINE_KEYWORDS = 512
+GRAM = 3
 
 MATCH_FIELDS = ["keyword", "industry", "industry_group", "priority"]
 
@@ -119,7 +122,7 @@ def first_match_index(texts: list[Column], keywords: list[tuple],
         best = {}
         pattern = None
     elif whole_words:
-        alternatives = "|".join("\\Q" + k + "\\E" for k in rank)
+        alternatives = "|".join(map(re.escape, rank))
         pattern = "(?=(?<![\\p{L}\\p{N}])(" + alternatives + ")(?![\\p{L}\\p{N}]))"
         best = dict(rank)
     else:
@@ -160,9 +163,34 @@ def first_match_inline(texts: list[Column], keywords: list[tuple],
     return match_at(first_match_index(texts, keywords, whole_words), keywords)
 
 
+def filed_keywords(keywords: DataFrame) -> DataFrame:
+    """(_gram, _offset, _kw): the gram that each lower-cased keyword ``_kw`` is filed under, and its place there.
+
+    It is the gram that fewest keywords hold, the first such gram and place at ties.
+    """
+    words = keywords.select("_kw").filter("_kw != ''")
+    size = F.least(F.lit(GRAM), F.length("_kw"))
+    grams = words.select("_kw", size.alias("_n"), F.explode(
+        F.sequence(F.lit(0), F.length("_kw") - size)).alias("_offset"))
+    grams = grams.withColumn("_gram", F.substring("_kw", F.col("_offset") + 1, F.col("_n")))
+    held = grams.groupBy("_gram").agg(F.count_distinct("_kw").alias("_held"))
+    return grams.join(held, "_gram").groupBy("_kw").agg(
+        F.min(F.struct("_held", "_gram", "_offset")).alias("_f")).select("_f._gram", "_f._offset", "_kw")
+
+
+def text_grams(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """(_text, _at, _gram): the grams of each ``_text`` at its letters, counted from 1, for each of ``sizes``."""
+    at = F.explode(F.sequence(F.lit(1), F.length("_text"))).alias("_at")
+    places = texts.filter("_text != ''").select("_text", at)
+    grams = F.explode(F.array(*[F.struct(F.substring("_text", F.col("_at"), F.lit(n)).alias("gram"),
+                                         F.lit(n).alias("size")) for n in sizes])).alias("_g")
+    return places.select("_text", "_at", grams).filter(F.length("_g.gram") == F.col("_g.size")) \
+                 .select("_text", "_at", F.col("_g.gram").alias("_gram"))
+
+
 def first_match_join(df: DataFrame, text_cols: list[str], taxonomy: DataFrame,
                      out_col: str = "match", whole_words: bool = False) -> DataFrame:
-    """Add ``out_col`` to ``df`` with the n-gram equi-join plan (any taxonomy size)."""
+    """Add ``out_col`` to ``df`` with the gram equi-join plan (any taxonomy size)."""
     def rank(m):                                # NULL priority last, as in the inline plan
         return F.struct(m["priority"].isNull().alias("none"), m["priority"].alias("priority"),
                         m["keyword"].alias("keyword"))
@@ -170,23 +198,20 @@ def first_match_join(df: DataFrame, text_cols: list[str], taxonomy: DataFrame,
     tax = taxonomy.filter(F.col("keyword").isNotNull()) \
                   .select(F.lower("keyword").alias("_kw"), F.struct(*MATCH_FIELDS).alias("_k"))
     best_kw = tax.groupBy("_kw").agg(F.min_by("_k", rank(F.col("_k"))).alias("_k"))
-    lengths = [r[0] for r in best_kw.select(F.length("_kw").alias("n")).filter("n > 0")
-               .distinct().collect()]          # at most as many as the longest keyword has letters
+    filed = filed_keywords(best_kw)
+    sizes = [r[0] for r in filed.select(F.length("_gram")).distinct().collect()]      # at most GRAM numbers
     texts = reduce(lambda a, b: a.unionByName(b),
                    [df.select(F.lower(F.col(c)).alias("_text")) for c in text_cols]) \
         .filter(F.col("_text").isNotNull()).distinct()
-    sizes = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
-    cut = texts.select("_text", F.explode(sizes).alias("_n")) \
-        .filter(F.length("_text") >= F.col("_n")) \
-        .select("_text", "_n", F.explode(F.sequence(
-            F.lit(1), F.length("_text") - F.col("_n") + 1)).alias("_at"))
-    grams = cut.withColumn("_gram", F.substring("_text", F.col("_at"), F.col("_n")))
+    start, size = F.col("_at") - F.col("_offset"), F.length("_kw")
+    grams = text_grams(texts, sizes or [GRAM]).join(filed, "_gram").filter(
+        (start >= 1) & (F.substring("_text", start, size) == F.col("_kw")))
     if whole_words:
-        before = F.when(F.col("_at") > 1, F.substring("_text", F.col("_at") - 1, F.lit(1)))
-        after = F.substring("_text", F.col("_at") + F.col("_n"), F.lit(1))
+        before = F.when(start > 1, F.substring("_text", start - 1, F.lit(1)))
+        after = F.substring("_text", start + size, F.lit(1))
         glued = "[\\p{L}\\p{N}]"
         grams = grams.filter(~F.coalesce(before, F.lit("")).rlike(glued) & ~after.rlike(glued))
-    hits = grams.join(best_kw, grams["_gram"] == best_kw["_kw"]).select("_text", "_k")
+    hits = grams.select("_text", "_kw").distinct().join(best_kw, "_kw").select("_text", "_k")
     # the empty keyword's row, if there is one, is a candidate for every text
     empty = best_kw.filter(F.col("_kw") == "").select(F.lit(1).alias("_one"), F.col("_k"))
     every = texts.select("_text", F.lit(1).alias("_one")).join(F.broadcast(empty), "_one")

@@ -40,7 +40,7 @@ class Models:
 
         Options, all off as in the source: ``dedupe_links`` credits a repeated
         committee-candidate link once; ``whole_words`` ignores keywords inside
-        longer words of employers; ``casefold_stop_list`` compares the employer stop list in
+        longer words of employers and committees; ``casefold_stop_list`` compares the employer stop list in
         any case; ``latest_committee`` keeps one committee row per id;
         ``lenient_dates`` turns impossible dates into NULL.
         """
@@ -74,7 +74,7 @@ class Models:
     # repeated by the next access, over the same paths.
     warehouse: str | None = None
 
-    def _layer(self, name: str, build) -> bool:
+    def layer(self, name: str, build) -> bool:
         """Whether the layer can be read from the warehouse, building it first if need be."""
         if self.warehouse is None:
             return False
@@ -89,14 +89,14 @@ class Models:
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
         """The raw tables; with a warehouse, written there by (cycle, file)."""
-        if not self._layer("raw", lambda: write_raw(self.sources, self.warehouse)):
+        if not self.layer("raw", lambda: write_raw(self.sources, self.warehouse)):
             return self.sources
         read = self.spark.read
         return {name: read.schema(raw_schema(columns_of(name))).parquet(f"{self.warehouse}/raw/{name}")
                 for name in self.sources}
 
     def _table(self, name: str) -> DataFrame | None:
-        if not self._layer("models", lambda: materialize(self, self.warehouse)):
+        if not self.layer("models", lambda: materialize(self, self.warehouse)):
             return None
         return self.spark.read.parquet(f"{self.warehouse}/{name}")
 
@@ -140,7 +140,7 @@ class Models:
             return t
         return tagging.committee_industry_tags(
             self.committees, self.taxonomy, self.raw["opensecrets_committees"], self.categories,
-            keywords=self.keywords)
+            keywords=self.keywords, whole_words=self.options["whole_words"])
 
     @cached_property
     def tagged_donations(self) -> DataFrame:
@@ -235,6 +235,11 @@ def write_raw(raw: dict[str, DataFrame], warehouse: str) -> None:
     _at_once(write, raw.items())
 
 
+def write_tables(tables: dict[str, DataFrame], warehouse: str) -> None:
+    """Independent tables below ``warehouse``, replaced whole."""
+    _at_once(lambda item: item[1].write.mode("overwrite").parquet(f"{warehouse}/{item[0]}"), tables.items())
+
+
 def _at_once(run, items) -> None:
     """Independent jobs submitted together, so short ones fill each other's idle tasks; the first error is raised."""
     with ThreadPoolExecutor(max_workers=8) as pool:

@@ -42,14 +42,17 @@ def crosswalk_matches(committees: DataFrame, crosswalk_raw: DataFrame,
 
 
 def keyword_matches(committees: DataFrame, taxonomy: DataFrame,
-                    keywords: list[tuple] | None = None) -> DataFrame:
-    """Layer 2: best keyword over committee name or connected organisation."""
+                    keywords: list[tuple] | None = None, whole_words: bool = False) -> DataFrame:
+    """Layer 2: best keyword over committee name or connected organisation.
+
+    ``whole_words`` ignores hits inside longer words.
+    """
     texts = [F.col("committee_name"), F.coalesce(F.col("connected_organization_name"), F.lit(""))]
     if keywords is None:
         keywords = collect_taxonomy(taxonomy)
     if keywords is not None:
         # best keyword = smallest match index: an int hash aggregate per committee
-        idx = (committees.select("committee_id", first_match_index(texts, keywords).alias("_i"))
+        idx = (committees.select("committee_id", first_match_index(texts, keywords, whole_words).alias("_i"))
                .filter(F.col("_i").isNotNull())
                .groupBy("committee_id").agg(F.min("_i").alias("_i")))
         m = match_at(F.col("_i"), keywords)
@@ -58,7 +61,7 @@ def keyword_matches(committees: DataFrame, taxonomy: DataFrame,
                           F.lit("committee_keyword").alias("match_source"))
     matched = add_first_match(committees.select("committee_id", "committee_name",
                                                 "connected_organization_name"),
-                              texts, taxonomy, "m").filter(F.col("m").isNotNull())
+                              texts, taxonomy, "m", whole_words=whole_words).filter(F.col("m").isNotNull())
     best = best_per_key(matched.select("committee_id", "m"), ["committee_id"],
                         [F.col("m.priority").asc_nulls_last(), F.col("m.keyword").asc_nulls_last()])
     return best.select("committee_id", F.col("m.industry").alias("industry"),
@@ -68,11 +71,11 @@ def keyword_matches(committees: DataFrame, taxonomy: DataFrame,
 
 def committee_industry_tags(committees: DataFrame, taxonomy: DataFrame,
                             crosswalk_raw: DataFrame, categories: DataFrame,
-                            keywords: list[tuple] | None = None) -> DataFrame:
+                            keywords: list[tuple] | None = None, whole_words: bool = False) -> DataFrame:
     """One row per committee row with its industry tag and dark-money flag, 11 columns.
     """
     xw = crosswalk_matches(committees, crosswalk_raw, categories)
-    kw = keyword_matches(committees, taxonomy, keywords)
+    kw = keyword_matches(committees, taxonomy, keywords, whole_words)
     # crosswalk wins: one full outer join of the two per-committee tables
     # (each at most one row per committee) keeps the crosswalk row when there
     # is one and the keyword row otherwise

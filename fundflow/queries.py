@@ -17,7 +17,7 @@ from .functions.numeric import MONEY_SUM
 from .functions.text import (candidate_display_name, candidate_first_name,
                              candidate_last_name, normalize_employer, normalize_name)
 from .oracle import sql as O
-from .plans import filing_loads, marts, quality, reports, tagging
+from .plans import catalog, filing_loads, marts, quality, report_sql, reports, tagging
 from .operators.keyword_match import first_match_join
 from .operators.ranking import percent_rank_distributed
 from .plans.pipeline import Models, warehouse_folder
@@ -154,6 +154,25 @@ def _donation_percent_rank(spark, sf):
                                     ["committee_id"], "amount", "pct_in_committee")
 
 
+def _published(spark, sf) -> str:
+    """The input's own schema names, published; their common suffix."""
+    m = _m(spark, sf)
+    suffix = "_" + m.warehouse.rstrip("/").rpartition("/")[2]
+    if not spark.catalog.databaseExists("marts" + suffix):
+        catalog.publish(m, {layer: layer + suffix for layer in ("raw", *catalog.LAYERS)})
+    return suffix
+
+
+def _sql_report(report, **parameters):
+    def run(spark, sf):
+        suffix = _published(spark, sf)
+        text = report_sql.REPORTS[report]
+        for layer in catalog.LAYERS:
+            text = text.replace(f"{layer}.", f"{layer}{suffix}.")
+        return catalog.run_report(spark, text, **parameters)
+    return run
+
+
 def _score_components(spark, sf):
     comp = marts.score_components(_m(spark, sf).funding_extras)
     return comp.drop("risk_tier")
@@ -411,6 +430,12 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
                corruption_score, risk_tier FROM score WHERE office = 'Senate'
         ORDER BY corruption_score DESC, candidate_id LIMIT 20""")
 
+    # the reports as SQL text over published names
+    for name, parameters in (("industry_totals", {}), ("top_recipients", {"industry": TOP_INDUSTRY}),
+                             ("dark_committees", {}), ("leaderboard", {"office": "House", "party": "%", "year": "%"}),
+                             ("profile", {"name": f"%{PROFILE_NAME}%"}), ("top_senate", {})):
+        reg(f"sql_{name}", _sql_report(name, **parameters), report_sql.for_oracle(name, **parameters))
+
     # step 7: data quality and load accounting
     raw_alias = {"individual_contributions": "r_indiv", "pac_contributions": "r_pac",
                  "candidates": "r_cand", "committees": "r_cmte",

@@ -189,8 +189,8 @@ def lens_categories(spark: SparkSession) -> DataFrame:
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A seed file with a header row, read with a declared schema."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """A seed file with a header row, read with a declared schema; a row that does not fit it fails the read."""
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 def empty_categories(spark: SparkSession) -> DataFrame:
