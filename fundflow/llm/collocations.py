@@ -8,98 +8,215 @@ full circle from the stop at which it became active, so lengths interleave and e
 is complete.  After a stop only phrases still in their circle, words, and complete phrases at
 or above the threshold are kept.
 
-Which stop activates a phrase is looked up by hash: bucket -> first stop after which a
-word (or pair) of the bucket had reached the threshold.  The table has at most ``BUCKETS``
-rows of two numbers, so it is broadcast at any size of the corpus.  A shared bucket only makes a
-phrase active early; it is then counted for a circle from there, so counts never change.
+The first shard is the largest (the others share an eighth).  Nearly every word then
+reaches the threshold in it, most pairs start with a small shard and complete with the large
+one, and the many rare pairs are shuffled once instead of being carried along.
 
-A phrase is held as one string, its words joined by blanks, then a tab and the language (words
-hold neither), which keeps the shuffled rows narrow.  Counts are combined map-side; no key
-gathers rows.
+Which stop activates a phrase is looked up by hash: one byte for each of 2^``BUCKET_BITS``
+buckets holds the first stop after which a word (or pair) of the bucket had reached the
+threshold.  Its size is fixed, so it is broadcast at any size of the corpus.  A shared bucket only
+makes a phrase active early; it is then counted for a circle from there, so counts never change.
+
+A task reads its texts in runs of ``CHUNK`` words with numbered words, so that counting within a
+run is array work; Spark adds the runs up, first in the task.  A phrase is held as one string,
+its words joined by blanks, then a tab and the language (words hold neither), which keeps the
+shuffled rows narrow.  No key gathers rows.
 
 Cases: a null text is empty, a null lang is ``und``; texts without a word add nothing; repeated rows
-count again; rows sharing a doc_id stay apart; empty tables give an empty result; extra columns are
-ignored; ties end with the phrase, in byte order.
+count again; rows sharing a doc_id stay apart; a long text is read in slices, phrases across
+them included; empty tables give an empty result; extra columns are ignored; ties end with the
+phrase, in byte order.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, written
+from .common import LOWER, UPPER, written
 
 LONGEST = 3
 SHARDS = 2
-BUCKETS = 1 << 20
+BUCKET_BITS = 24
+PART_BITS = 16
+CHUNK = 200_000                               # words; their numbers take 21 bits
+SLICE = 1_000_000                             # characters of a text read at once
 SALTS = 32
-BREAKS = "[.,;:!?\n-\r]"                      # \x0A-\x0D are the line ends
 EXACT = "decimal(38,0)"
+BREAKS = ".,;:!?\n\x0b\x0c\r"
+COUNTS = "key string, size int, start int, count long"
 
+_FOLD = str.maketrans(UPPER + BREAKS, LOWER + "\n" * len(BREAKS))
+_TOKENS = re.compile("[^ \t\n]+|\n")           # words, and a mark at the end of each piece
+_GAP = re.compile(f"[ \t{BREAKS}]")
 
-def pieces(docs: DataFrame) -> DataFrame:
-    """(lang, words): the words of each piece of each text, lower-cased."""
-    text = lower_ascii(F.coalesce("text", F.lit("")))
-    piece = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"),
-                        F.explode(F.split(text, BREAKS)).alias("piece"))
-    piece = piece.select("lang", F.btrim("piece", F.lit(" \t")).alias("piece")).filter("piece != ''")
-    return piece.select("lang", F.split("piece", "[ \t]+").alias("words"))
 
+def _token_lists(text: str):
+    """Words and piece ends of a text, slice by slice; slices are cut at a gap."""
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if at + SLICE < end and (gap := _GAP.search(text, at + SLICE)):
+            end = gap.start()
+        yield _TOKENS.findall(text[at:end].translate(_FOLD))
+        at = end
+    yield ["\n"]
 
-def _bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
 
+def _word_hashes(words: list[str], lang: str) -> np.ndarray:
+    tail = "\t" + lang
+    return np.fromiter((xxhash.xxh64_intdigest(w + tail) for w in words), np.uint64, len(words))
 
-def _found(rows: DataFrame, started: DataFrame, key: str, name: str) -> DataFrame:
-    """``rows`` plus ``name``: the stop from which the bucket of ``key`` is active, null before."""
-    side = F.broadcast(started.select(F.col("bucket").alias("_b"), F.col("start").alias(name)))
-    return rows.join(side, _bucket(F.col(key)) == F.col("_b"), "left").drop("_b")
 
+def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed = first * np.uint64(0x9E3779B97F4A7C15) + second
+    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
-def _both(a: str, b: str) -> Column:
-    return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.greatest(a, b))
 
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The later of two starts, 0 (never) unless both have one."""
+    return np.where((a > 0) & (b > 0), np.maximum(a, b), 0).astype(np.int64)
+
+
+def _run_counts(tokens: list[str], most: int, lang: str, stop: int, shards: int, starts: dict[int, np.ndarray]):
+    """Record batches (key, size, start, count) of the active phrases that begin in the first ``most`` tokens."""
+    numbers: dict[str, int] = {"\n": 0}
+    codes = np.fromiter((numbers.setdefault(t, len(numbers)) for t in tokens), np.int64, len(tokens))
+    words = pa.array(list(numbers), pa.string())
+    tail = "\t" + lang
+
+    def rows(size, start, parts, counts):
+        spelled = [words.take(pa.array(p)) for p in parts]
+        phrase = pc.binary_join_element_wise(*spelled, " ") if size > 1 else spelled[0]
+        return pa.RecordBatch.from_arrays(
+            [pc.binary_join_element_wise(phrase, tail, ""), pa.array(np.full(len(counts), size, np.int32)),
+             pa.array(start.astype(np.int32)), pa.array(counts.astype(np.int64))],
+            names=["key", "size", "start", "count"])
+
+    def counted(size, begin, start):
+        """Rows of the phrases of ``size`` words that begin at the places ``begin``, active since ``start``."""
+        live = start[begin] + shards > stop
+        begin = begin[live]
+        packed = codes[begin]
+        for k in range(1, size):
+            packed = packed << 21 | codes[begin + k]
+        packed, where, counts = np.unique(packed, return_index=True, return_counts=True)
+        parts = [packed >> 21 * k & 0x1FFFFF for k in range(size - 1, -1, -1)]
+        return rows(size, start[begin[where]], parts, counts)
 
-def scanned(docs: DataFrame, stop: int, shards: int, started: dict[int, DataFrame]) -> DataFrame:
-    """(key, size, start, count): what one stop counts of the phrases active in its shard."""
-    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)) == stop % shards
-    found = pieces(docs.filter(shard))
-    words = F.col("words")
-    runs = F.arrays_zip(*[F.slice(words, i + 1, F.greatest(F.size(words) - i, F.lit(0))).alias(f"w{i + 1}")
-                          for i in range(LONGEST)])
-    rows = found.select(F.concat(F.lit("\t"), "lang").alias("lang"), F.inline(runs))
-    key = lambda *w: F.concat(*[x for c in w for x in (F.lit(" "), F.col(c))][1:], F.col("lang"))
-    active = []
     if stop < shards:
-        active.append((key("w1"), 1, F.lit(0)))
-    if 1 in started and stop < 2 * shards:
-        rows = rows.withColumns({"k1": key("w1"), "k2": key("w2")})
-        rows = _found(_found(rows, started[1], "k1", "s1"), started[1], "k2", "s2")
-        active.append((key("w1", "w2"), 2, _both("s1", "s2")))
-    if 2 in started:
-        rows = rows.withColumns({"k12": key("w1", "w2"), "k23": key("w2", "w3")})
-        rows = _found(_found(rows, started[2], "k12", "s12"), started[2], "k23", "s23")
-        active.append((key("w1", "w2", "w3"), 3, _both("s12", "s23")))
-    if not active:
+        tally = np.bincount(codes[:most], minlength=1)
+        tally[0] = 0
+        seen = np.flatnonzero(tally)
+        if len(seen):
+            yield rows(1, np.zeros(len(seen)), [seen], tally[seen])
+    if not starts or len(codes) < 2:
+        return
+    hashes = _word_hashes(list(numbers), lang)
+    if 1 in starts and stop < 2 * shards:
+        word_start = starts[1][_bucket(hashes)].copy()
+        word_start[0] = 0
+        since = _both(word_start[codes[:-1]], word_start[codes[1:]])
+        begin = np.flatnonzero(since[:most])
+        if len(begin):
+            yield counted(2, begin, since)
+    if 2 in starts and len(codes) > 2:
+        whole = (codes[:-1] > 0) & (codes[1:] > 0)
+        pair_start = np.where(whole, starts[2][_bucket(_pair_hashes(hashes[codes[:-1]], hashes[codes[1:]]))], 0)
+        since = _both(pair_start[:-1], pair_start[1:])
+        begin = np.flatnonzero(since[:most])
+        if len(begin):
+            yield counted(3, begin, since)
+
+
+def _scanner(stop: int, shards: int, shared):
+    """Task function of one stop: Arrow batches (lang, text) -> partial counts."""
+    def run(batches):
+        starts = shared.value
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            held, buffer = None, []
+            for i in sorted(range(len(langs)), key=langs.__getitem__):
+                if langs[i] != held:
+                    if buffer:
+                        yield from _run_counts(buffer, len(buffer), held, stop, shards, starts)
+                    held, buffer = langs[i], []
+                for tokens in _token_lists(batch.column(1)[i].as_py()):
+                    buffer += tokens
+                    while len(buffer) >= CHUNK + LONGEST - 1:
+                        yield from _run_counts(buffer[:CHUNK + LONGEST - 1], CHUNK, held, stop, shards, starts)
+                        buffer = buffer[CHUNK:]
+            if buffer:
+                yield from _run_counts(buffer, len(buffer), held, stop, shards, starts)
+    return run
+
+
+def scanned(docs: DataFrame, stop: int, shards: int, starts: dict[int, np.ndarray]) -> DataFrame:
+    """(key, size, start, count): what one stop counts of the phrases active in its shard."""
+    slots = 8 * (shards - 1) or 1
+    shard = F.greatest(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)) - (slots - shards), F.lit(0))
+    texts = docs.filter(shard == stop % shards).select(
+        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(starts)
+    return texts.mapInArrow(_scanner(stop, shards, shared), COUNTS) \
+                .groupBy("key", "size", "start").agg(F.sum("count").alias("count"))
+
+
+def _buckets(batches):
+    """Arrow batches (key) -> (bucket) of words or pairs."""
+    for batch in batches:
+        out = []
+        for key in batch.column(0).to_pylist():
+            phrase, _, lang = key.partition("\t")
+            h = _word_hashes(phrase.split(" "), lang)
+            out.append(h if len(h) == 1 else _pair_hashes(h[:1], h[1:]))
+        found = _bucket(np.concatenate(out)) if out else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["bucket"])
+
+
+def _dense(part: pd.DataFrame) -> pd.DataFrame:
+    flags = np.zeros(1 << PART_BITS, np.uint8)
+    flags[part["bucket"].to_numpy() & (1 << PART_BITS) - 1] = 1
+    return pd.DataFrame({"part": [int(part["bucket"].iloc[0]) >> PART_BITS], "flags": [flags.tobytes()]})
+
+
+def _started(keys: DataFrame, before: np.ndarray | None, start: int) -> np.ndarray | None:
+    """``before`` with ``start`` in the buckets of ``keys`` that had none; None if there is no bucket yet.
+
+    At most 2^(BUCKET_BITS - PART_BITS) rows of 2^PART_BITS bytes come to the driver.
+    """
+    found = keys.mapInArrow(_buckets, "bucket long").distinct() \
+                .groupBy(F.shiftright("bucket", PART_BITS).alias("p")).applyInPandas(_dense, "part long, flags binary")
+    rows = found.collect()
+    if before is None and not rows:
         return None
-    counted = F.explode(F.array(*[
-        F.when(start + shards > stop, F.struct(k.alias("key"), F.lit(size).alias("size"),
-                                               start.cast("int").alias("start")))
-        for k, size, start in active])).alias("p")
-    return rows.select(counted).filter("p.key is not null").select("p.*") \
-               .groupBy("key", "size", "start").agg(F.count(F.lit(1)).alias("count"))
+    out = np.zeros(max(1 << BUCKET_BITS, 1 << PART_BITS), np.uint8) if before is None else before.copy()
+    for r in rows:
+        piece = out[r.part << PART_BITS:(r.part + 1) << PART_BITS]
+        piece[(np.frombuffer(r.flags, np.uint8) == 1) & (piece == 0)] = start
+    return out
 
 
 def phrase_counts(docs: DataFrame, threshold: int = 10, shards: int = SHARDS) -> DataFrame:
     """(key, size, count): all words, and all phrases of up to three words counted ``threshold`` times or more."""
-    started: dict[int, DataFrame] = {}
+    starts: dict[int, np.ndarray] = {}
     still_open, complete = None, []
     for stop in range(LONGEST * shards):
-        counts = scanned(docs, stop, shards, started)
-        if counts is None:
-            break
+        if stop >= shards and 1 not in starts or stop >= 2 * shards and 2 not in starts:
+            break                              # no phrase is active any more
+        counts = scanned(docs, stop, shards, starts)
         if still_open is not None:
             counts = counts.unionByName(still_open).groupBy("key", "size", "start").agg(F.sum("count").alias("count"))
         last = F.col("start") + shards - 1
@@ -107,16 +224,12 @@ def phrase_counts(docs: DataFrame, threshold: int = 10, shards: int = SHARDS) ->
                          f"phrases-{stop}")
         complete.append(counts.filter(last == stop))
         still_open = counts.filter(last > stop)
-        reached = counts.filter(F.col("count") >= threshold)
         for size in range(1, LONGEST):
-            new = reached.filter(F.col("size") == size) \
-                         .select(_bucket(F.col("key")).alias("bucket"), F.lit(stop + 1).alias("start"))
-            if size in started:
-                new = new.unionByName(started[size])
             if stop < size * shards:           # later stops count no phrase of this size
-                table = written(new.groupBy("bucket").agg(F.min("start").alias("start")), f"started-{size}")
-                if not table.isEmpty():
-                    started[size] = table
+                reached = counts.filter((F.col("count") >= threshold) & (F.col("size") == size)).select("key")
+                found = _started(reached, starts.get(size), stop + 1)
+                if found is not None:
+                    starts[size] = found
     return reduce(DataFrame.unionByName, complete).drop("start")
 
 

@@ -66,11 +66,18 @@ def test_any_number_of_shards_gives_the_brute_force_rows(spark, shards):
 
 
 def test_shared_buckets_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(S, "BUCKETS", 3)
+    monkeypatch.setattr(S, "BUCKET_BITS", 2)
     docs = _docs(9)
     assert _run(spark, docs) == _brute(docs)
 
 
+def test_runs_and_slices_cut_no_phrase(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 5)
+    monkeypatch.setattr(S, "SLICE", 7)
+    docs = _docs(6)
+    assert _run(spark, docs) == _brute(docs)
+
+
 def test_phrases_that_reach_the_threshold_late(spark):
     """Words that become frequent only in the last shard are counted back through the first."""
     docs = [(i, "late one two", "en") for i in range(11)] + [(100 + i, "two late. one", "en") for i in range(9)]
