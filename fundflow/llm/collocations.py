@@ -31,10 +31,10 @@ phrase, in byte order.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -48,31 +48,33 @@ SHARDS = 2
 BUCKET_BITS = 24
 PART_BITS = 16
 CHUNK = 200_000                               # words; their numbers take 21 bits
-SLICE = 1_000_000                             # characters of a text read at once
+SLICE = 1_000_000                             # bytes of a text read at once
 SALTS = 32
 EXACT = "decimal(38,0)"
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 COUNTS = "key string, size int, start int, count long"
 
-_FOLD = str.maketrans(UPPER + BREAKS, LOWER + "\n" * len(BREAKS))
-_TOKENS = re.compile("[^ \t\n]+|\n")           # words, and a mark at the end of each piece
-_GAP = re.compile(f"[ \t{BREAKS}]")
+MARK = b"\xff"                                  # end of a piece; no UTF-8 text holds this byte
 
+_FOLD = bytes.maketrans((UPPER + BREAKS).encode(), LOWER.encode() + MARK * len(BREAKS))
+_GAP = re.compile(f"[ \t{BREAKS}]".encode())
 
-def _token_lists(text: str):
+
+def _token_lists(text: bytes):
     """Words and piece ends of a text, slice by slice; slices are cut at a gap."""
     at = 0
     while at < len(text):
         end = len(text)
         if at + SLICE < end and (gap := _GAP.search(text, at + SLICE)):
             end = gap.start()
-        yield _TOKENS.findall(text[at:end].translate(_FOLD))
+        # blanks and tabs are the only white space left to split at
+        yield text[at:end].translate(_FOLD).replace(MARK, b" " + MARK + b" ").split()
         at = end
-    yield ["\n"]
+    yield [MARK]
 
 
-def _word_hashes(words: list[str], lang: str) -> np.ndarray:
-    tail = "\t" + lang
+def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
+    tail = b"\t" + lang.encode()
     return np.fromiter((xxhash.xxh64_intdigest(w + tail) for w in words), np.uint64, len(words))
 
 
@@ -90,11 +92,12 @@ def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((a > 0) & (b > 0), np.maximum(a, b), 0).astype(np.int64)
 
 
-def _run_counts(tokens: list[str], most: int, lang: str, stop: int, shards: int, starts: dict[int, np.ndarray]):
+def _run_counts(tokens: list[bytes], most: int, lang: str, stop: int, shards: int, starts: dict[int, np.ndarray]):
     """Record batches (key, size, start, count) of the active phrases that begin in the first ``most`` tokens."""
-    numbers: dict[str, int] = {"\n": 0}
-    codes = np.fromiter((numbers.setdefault(t, len(numbers)) for t in tokens), np.int64, len(tokens))
-    words = pa.array(list(numbers), pa.string())
+    numbers: dict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    codes = np.fromiter(map(numbers.__getitem__, [MARK, *tokens]), np.int64, len(tokens) + 1)[1:]
+    words = pa.array([b"", *list(numbers)[1:]], pa.binary()).cast(pa.string())
     tail = "\t" + lang
 
     def rows(size, start, parts, counts):
@@ -146,14 +149,14 @@ def _scanner(stop: int, shards: int, shared):
     def run(batches):
         starts = shared.value
         for batch in batches:
-            langs = batch.column(0).to_pylist()
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())
             held, buffer = None, []
             for i in sorted(range(len(langs)), key=langs.__getitem__):
                 if langs[i] != held:
                     if buffer:
                         yield from _run_counts(buffer, len(buffer), held, stop, shards, starts)
                     held, buffer = langs[i], []
-                for tokens in _token_lists(batch.column(1)[i].as_py()):
+                for tokens in _token_lists(texts[i].as_py()):
                     buffer += tokens
                     while len(buffer) >= CHUNK + LONGEST - 1:
                         yield from _run_counts(buffer[:CHUNK + LONGEST - 1], CHUNK, held, stop, shards, starts)
@@ -180,16 +183,17 @@ def _buckets(batches):
         out = []
         for key in batch.column(0).to_pylist():
             phrase, _, lang = key.partition("\t")
-            h = _word_hashes(phrase.split(" "), lang)
+            h = _word_hashes(phrase.encode().split(b" "), lang)
             out.append(h if len(h) == 1 else _pair_hashes(h[:1], h[1:]))
         found = _bucket(np.concatenate(out)) if out else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["bucket"])
 
 
-def _dense(part: pd.DataFrame) -> pd.DataFrame:
-    flags = np.zeros(1 << PART_BITS, np.uint8)
-    flags[part["bucket"].to_numpy() & (1 << PART_BITS) - 1] = 1
-    return pd.DataFrame({"part": [int(part["bucket"].iloc[0]) >> PART_BITS], "flags": [flags.tobytes()]})
+def _dense(part: pa.Table) -> pa.Table:
+    buckets, flags = part["bucket"].to_numpy(), np.zeros(1 << PART_BITS, np.uint8)
+    flags[buckets & (1 << PART_BITS) - 1] = 1
+    return pa.table({"part": pa.array([int(buckets[0]) >> PART_BITS], pa.int64()),
+                     "flags": pa.array([flags.tobytes()], pa.binary())})
 
 
 def _started(keys: DataFrame, before: np.ndarray | None, start: int) -> np.ndarray | None:
@@ -198,7 +202,7 @@ def _started(keys: DataFrame, before: np.ndarray | None, start: int) -> np.ndarr
     At most 2^(BUCKET_BITS - PART_BITS) rows of 2^PART_BITS bytes come to the driver.
     """
     found = keys.mapInArrow(_buckets, "bucket long").distinct() \
-                .groupBy(F.shiftright("bucket", PART_BITS).alias("p")).applyInPandas(_dense, "part long, flags binary")
+                .groupBy(F.shiftright("bucket", PART_BITS).alias("p")).applyInArrow(_dense, "part long, flags binary")
     rows = found.collect()
     if before is None and not rows:
         return None
