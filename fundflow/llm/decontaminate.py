@@ -10,16 +10,20 @@ all equal the item's (but for case) is always kept; within any other window a
 benchmark value must always become the same document value (several may become
 one), else that window, and it alone, is dropped as a chance likeness.
 
-The join runs in two steps.  Each benchmark window names its longest plain word as
-its anchor; every token of the documents is hash-joined with the anchors, and only
-where one is met the window around it is canonicalised and compared whole.
-Equal templates have equal plain words, so no window is missed, and the texts
+The join runs in three steps.  Each benchmark window names its longest plain word as its anchor.
+The tokens of the documents meet the *distinct* (anchor, place, length) rows, a few per word however
+many windows share it; around such a token, and only there, the text is canonicalised.
+The template's hash, and that of the words, is then equi-joined with the windows', and what meets is
+compared whole.  Equal templates have equal plain words, so no window is missed, and the texts
 are neither canonicalised nor shuffled as a whole.
 
-Windows with fewer than ``LITERALS`` plain words match verbatim only, as their
-template is no evidence; their anchor is the longest of all their tokens.  An item
-shorter than a window is matched as a whole, however short it is: every document
-that holds a one-word item's word is reported with it.
+A window with fewer than ``LITERALS`` plain words matches verbatim, as its template alone is no
+evidence; its anchor is the longest of all its tokens.  If it is a whole item of at least
+``FEWEST`` plain words, its template matches too where the document has it as a sentence of its own
+(no word before or after it is tied to it by a blank or a comma), slots consistent: a short question with
+other numbers.  An item shorter than a window is matched as a whole, however short it is: every
+document that holds a one-word item's word is reported with it, but ``clean`` lets an item of fewer than
+``LITERALS`` tokens remove a document only where it is such a sentence.
 
 Cases: null and empty texts match nothing; several items of one text are each
 reported; repeated rows are reported once; rows sharing a doc_id are told apart by
@@ -36,7 +40,8 @@ from .common import text_key, written
 
 WINDOW = 10
 LITERALS = 5
-MOST_BROADCAST = 1_000_000                    # benchmark windows; beyond it the token join is shuffled
+FEWEST = 2
+MOST_SHAPES = 500_000                         # (anchor, place, length) rows of 24 bytes; beyond it the token join is shuffled
 
 NUMBER, UNIT, NAME = "\uE001", "\uE002", "\uE003"   # private-use characters as placeholders
 
@@ -93,11 +98,20 @@ def _plain(token: Column) -> Column:
     return ~token.between(NUMBER, NAME)
 
 
+def _word_key(words: Column) -> Column:
+    return F.xxhash64(F.lit("words"), F.transform(words, F.lower))
+
+
+def _template_key(template: Column) -> Column:
+    return F.xxhash64(F.lit("template"), template)
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(anchor, item_id, item_key, item_at, length, offset, literal, item_template, item_words) per window.
+    """(anchor, offset, length, literal, whole, item_id, item_key, item_at, item_template, item_words, keys) per window.
 
     ``anchor`` hashes the window's longest plain word (longest token if it has fewer than LITERALS
-    plain words, then ``literal`` is true), ``offset`` is its place in the window.
+    plain words, then ``literal`` is true), ``offset`` is its place in the window.  ``whole``: the window
+    is its whole item, which has FEWEST plain words.  ``keys``: the hashes it can be met by.
     """
     items = benchmark.select("item_id", text_key(F.col("text")).alias("item_key"),
                              _tokens(F.col("text")).alias("w")).distinct() \
@@ -106,60 +120,89 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     spread = items.select("item_id", "item_key", "w", length.alias("length"), F.explode(
         F.sequence(F.lit(0), F.size("w") - length)).alias("item_at"))
     full = spread.select(
-        "item_id", "item_key", "item_at", "length",
+        "item_id", "item_key", "item_at", "length", (F.size("w") == F.col("length")).alias("all"),
         _template(F.col("w"), F.col("item_at"), F.col("length")).alias("item_template"),
         F.transform(F.slice("w", F.col("item_at") + 1, F.col("length")), _core).alias("item_words"))
-    literal = full.withColumn("literal", F.size(F.filter("item_template", _plain)) < LITERALS) \
-        .withColumn("words", F.when(F.col("literal"), F.transform("item_words", F.lower))
-                    .otherwise(F.col("item_template")))
+    plain = F.size(F.filter("item_template", _plain))
+    literal = full.withColumn("literal", plain < LITERALS).withColumn("whole", F.col("all") & (plain >= FEWEST))
+    # a literal window of a whole item keeps a plain word as its anchor, as its numbers may change
+    literal = literal.withColumn("words", F.when(F.col("literal") & ~F.col("whole"), F.transform("item_words", F.lower))
+                                 .otherwise(F.col("item_template")))
     longest = F.element_at(F.array_sort(F.transform(
         F.filter("words", _plain), lambda t: F.struct((-F.char_length(t)).alias("n"), t.alias("t")))), 1)["t"]
+    by_words = F.array(_word_key(F.col("item_words")))
     return literal.withColumn("word", longest).select(
-        F.xxhash64("word").alias("anchor"), "item_id", "item_key", "item_at", "length",
-        (F.array_position("words", F.col("word")).cast("int") - 1).alias("offset"),
-        "literal", "item_template", "item_words")
+        F.xxhash64("word").alias("anchor"),
+        (F.array_position("words", F.col("word")).cast("int") - 1).alias("offset"), "length", "literal", "whole",
+        "item_id", "item_key", "item_at", "item_template", "item_words",
+        F.when(F.col("literal") & ~F.col("whole"), by_words).otherwise(
+            F.concat(by_words, F.array(_template_key(F.col("item_template"))))).alias("keys"))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_key, item_id, item_key, at, item_at, length, verbatim, slots) per matched window.
+def _around_anchors(docs: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, at, length, lead, near, start, end) per place where a window may stand.
 
-    ``at`` and ``item_at`` count tokens; ``verbatim`` tells whether all words are equal but for
-    case; ``slots`` pairs the values at the placeholders.
+    ``near`` holds its tokens, after the ``lead`` (0 or 1) tokens before it; ``start`` and ``end`` tell whether
+    it begins and ends a sentence.
     """
-    theirs = written(benchmark_windows(benchmark, window), "benchmark-windows")
+    shapes = written(theirs.select("anchor", "offset", "length").distinct(), "benchmark-shapes")
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
                         _tokens(F.col("text")).alias("w"))
     tokens = texts.select("doc_id", "text_key", "w", F.posexplode("w").alias("place", "token")) \
         .withColumn("anchor", F.xxhash64(F.lower(_core(F.col("token")))))
-    if theirs.count() <= MOST_BROADCAST:
-        met = tokens.join(F.broadcast(theirs), "anchor")
+    if shapes.count() <= MOST_SHAPES:
+        met = tokens.join(F.broadcast(shapes), "anchor")
     else:                                      # narrow token rows are shuffled, then the texts met
-        met = tokens.select("doc_id", "text_key", "place", "anchor").join(theirs, "anchor") \
+        met = tokens.select("doc_id", "text_key", "place", "anchor").join(shapes, "anchor") \
             .withColumnRenamed("doc_id", "met_id").withColumnRenamed("text_key", "met_key")
         one = texts.dropDuplicates(["doc_id", "text_key"])
         met = met.join(one, one.doc_id.eqNullSafe(F.col("met_id")) & (one.text_key == F.col("met_key")))
     at = F.col("place") - F.col("offset")
     inside = met.filter((at >= 0) & (at + F.col("length") <= F.size("w")))
-    words = F.transform(F.slice("near", F.col("lead") + 1, F.col("length")), _core)
-    verbatim = F.transform(words, F.lower) == F.transform("item_words", F.lower)
+    untied = lambda i: F.element_at("w", i) == _core(F.element_at("w", i))
+    after = at + F.col("length") + 1
     # Only the window and the token before it go on.  The id is a barrier: below it all is one
-    # generated loop over the tokens, and the comparison above sees met rows alone.
-    around = inside.select(
-        "doc_id", "text_key", "item_id", "item_key", at.alias("at"), "item_at", "length",
-        "literal", "item_template", "item_words", F.least(at, F.lit(1)).alias("lead"),
+    # generated loop over the tokens, and what is canonicalised above it are met rows alone.
+    return inside.select(
+        "doc_id", "text_key", at.alias("at"), "length", F.least(at, F.lit(1)).alias("lead"),
         F.slice("w", F.greatest(at, F.lit(1)), F.col("length") + F.least(at, F.lit(1))).alias("near"),
-        F.monotonically_increasing_id().alias("barrier"))
-    same = around.filter((verbatim | ~F.col("literal") & (
-        _template(F.col("near"), F.col("lead"), F.col("length")) == F.col("item_template")))
-        & (F.col("barrier") >= 0))
-    pairs = F.arrays_zip(F.col("item_template").alias("kind"), words.alias("value"),
+        untied(at + 1).alias("start"),
+        F.when(after > F.size("w"), True).otherwise(untied(F.least(after, F.size("w")))).alias("end"),
+        F.monotonically_increasing_id().alias("barrier")).filter(F.col("barrier") >= 0).drop("barrier")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, text_key, item_id, item_key, at, item_at, length, verbatim, sentence, slots) per matched window.
+
+    ``at`` and ``item_at`` count tokens; ``verbatim`` tells whether all words are equal but for
+    case, ``sentence`` whether the document has it as a sentence of its own; ``slots`` pairs the
+    values at the placeholders.
+    """
+    theirs = written(benchmark_windows(benchmark, window), "benchmark-windows")
+    here = F.transform(F.slice("near", F.col("lead") + 1, F.col("length")), _core)
+    keyed = _around_anchors(docs, theirs).select(
+        "*", here.alias("words"), _template(F.col("near"), F.col("lead"), F.col("length")).alias("template"))
+    keyed = keyed.select("*", F.explode(F.array(_word_key(F.col("words")), _template_key(F.col("template")))).alias("key"))
+    listed = theirs.select("*", F.explode("keys").alias("key")).drop("keys", "anchor", "offset")
+    # first by the bare hashes, so that only what meets a window meets the whole windows
+    known = listed.select("key").distinct()
+    met = keyed.join(known, "key", "left_semi").join(listed.withColumnRenamed("length", "item_length"), "key")
+    verbatim = F.transform("words", F.lower) == F.transform("item_words", F.lower)
+    reworded = (F.col("template") == F.col("item_template")) & (
+        ~F.col("literal") | F.col("whole") & F.col("sentence"))
+    pairs = F.arrays_zip(F.col("item_template").alias("kind"), F.col("words").alias("value"),
                          F.col("item_words").alias("item_value"))
-    return same.select("doc_id", "text_key", "item_id", "item_key", "at", "item_at", "length",
-                       verbatim.alias("verbatim"), F.filter(pairs, lambda p: ~_plain(p["kind"])).alias("slots"))
+    return met.withColumn("sentence", F.col("start") & F.col("end")).filter(
+        (F.col("length") == F.col("item_length")) & (verbatim | reworded)).select(
+        "doc_id", "text_key", "item_id", "item_key", "at", "item_at", "length",
+        verbatim.alias("verbatim"), "sentence", F.filter(pairs, lambda p: ~_plain(p["kind"])).alias("slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id, text_key, n_windows, first_token, reworded): one row per document and item."""
+    """(doc_id, item_id, text_key, n_windows, first_token, reworded, firm): one row per document and item.
+
+    ``firm``: a matched window has LITERALS tokens, or is a sentence of the document.
+    """
     item_value = lambda s: F.struct(s["kind"], F.lower(s["item_value"]))
     both_values = lambda s: F.struct(
         s["kind"], F.lower(s["item_value"]), F.lower(s["value"]))
@@ -169,13 +212,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     return good.groupBy("doc_id", "item_id", "text_key").agg(
         F.count_distinct("at", "length").alias("n_windows"),
         F.min("at").cast("long").alias("first_token"),
-        F.max(~F.col("verbatim")).alias("reworded")).select(
-        "doc_id", "item_id", "n_windows", "first_token", "reworded", "text_key")
+        F.max(~F.col("verbatim")).alias("reworded"),
+        F.max((F.col("length") >= LITERALS) | F.col("sentence")).alias("firm")).select(
+        "doc_id", "item_id", "n_windows", "first_token", "reworded", "firm", "text_key")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the contaminated documents."""
-    found = contaminated(docs, benchmark, window).select(
+    """``docs`` without the contaminated documents (those with a firm match)."""
+    found = contaminated(docs, benchmark, window).filter("firm").select(
         F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
     return docs.join(found, docs.doc_id.eqNullSafe(found.bad_id)
                      & (text_key(docs.text) == found.bad_key), "left_anti")

@@ -7,6 +7,8 @@ names its article, outside of it.  The lengths are summed over sliding windows o
 ``WINDOW`` lines: text begins where a sum surges from zero and ends where it dives
 back, and the stretches in between whose peak reaches ``PEAK`` characters are kept
 (any text at all inside a named article; the highest stretch if none reaches it).
+All text between surge and dive stays but page furniture: a heading between two parts
+of a named article does, whoever holds it, if fewer than ``WINDOW`` lines part them.
 An article element or content label names the article only if it holds most of the
 text; ``<main>`` does however short.  Where nothing is named, text that is not all
 links stays too if it shares its container with a kept line.
@@ -264,8 +266,7 @@ def main_text(page: str | None, window: int = WINDOW, peak: int = PEAK) -> str:
     kept = [s for s in found if s[2] >= least]
     if not kept and found:
         kept = [max(found, key=lambda s: s[2])]
-    chosen = {i for begin, end, _ in kept for i in range(begin, end)
-              if not lines[i][1] and (not surest or lines[i][2] & surest)}
+    chosen = {i for begin, end, _ in kept for i in range(begin, end) if not lines[i][1]}
     if not surest:                              # short text beside what is kept, like a parted title
         shared = {lines[i][4] for i in chosen if lengths[i]}
         chosen |= {i for i, (text, odd, _, links, container) in enumerate(lines)

@@ -38,6 +38,8 @@ END = "\r\n\r\n"
 LEAST_REVISIT = 100
 LAST = (1 << 63) - 1                           # order of a missing page id
 UNSAFE = "[\\x00-\\x20\\x7f]"                    # characters a header's URL can't hold
+ARCHIVE_BYTES = 128 << 20                      # payload bytes that an archive is to hold
+RANGE_ROWS = 200_000                          # captures that one task merges
 DATE_0 = 1_600_000_000                         # capture time of page 0; a second per page id
 FIELDS = ("page_id long, url string, urlkey string, timestamp string, record_type string, "
           "payload_bytes long, payload_digest string, refers_to long, file string, offset long, "
@@ -86,11 +88,17 @@ def _escaped(url: Column) -> Column:
     return url
 
 
-def write_archives(captures: DataFrame, path: str) -> None:
-    """A gzipped WARC file per partition of ``captures`` below ``path``, one record a row.
+def records_per_archive(pages: DataFrame) -> int:
+    """How many records hold ``ARCHIVE_BYTES`` of payload on average."""
+    mean = pages.agg(F.avg(F.octet_length(F.coalesce("html", F.lit(""))))).first()[0] or 0
+    return max(1, int(ARCHIVE_BYTES // max(1, mean)))
 
-    The partitions are those of the last shuffle, sized by
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+
+def write_archives(captures: DataFrame, path: str, most: int = 0) -> None:
+    """Gzipped WARC files of ``captures`` below ``path``, one record a row.
+
+    The partitions are those of the last shuffle, each cut into files of ``most`` records
+    (0: no limit), so that files need not grow with the input.
     """
     url = F.coalesce("url", F.lit(""))
     unsafe = url.rlike(UNSAFE)
@@ -119,7 +127,7 @@ def write_archives(captures: DataFrame, path: str) -> None:
     record = F.concat(lines, F.lit(END),
                       F.when(F.col("revisit"), F.lit("")).otherwise(F.col("html")))
     captures.select(record.alias("value")).write.option("lineSep", END) \
-            .option("compression", "gzip").text(path)
+            .option("maxRecordsPerFile", most).option("compression", "gzip").text(path)
 
 
 def url_key(url: str) -> str:
@@ -260,10 +268,13 @@ def _merged(batches):
 
 
 def capture_index(captures: DataFrame) -> DataFrame:
-    """All captures in global order of (urlkey, timestamp, page_id): partitions and rows within them."""
+    """All captures in global order of (urlkey, timestamp, page_id): partitions and rows within them.
+
+    There are as many ranges as keep each near ``RANGE_ROWS`` captures, whatever their number.
+    """
     runs = written(captures, "capture-runs")
     spark = runs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // RANGE_ROWS))
     return runs.repartitionByRange(parts, "urlkey", "timestamp", F.col("page_id").asc_nulls_last(),
                                    "run", "offset") \
                .sortWithinPartitions("run", "place").mapInPandas(_merged, FIELDS)
@@ -273,5 +284,5 @@ def archive(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Writes the archives of ``pages`` and gives the merged index read back from them."""
     spark = pages.sparkSession
     path = path or shared_path(spark, "warc")
-    write_archives(with_revisits(pages), path)
+    write_archives(with_revisits(pages), path, records_per_archive(pages))
     return capture_index(read_archives(spark, path))

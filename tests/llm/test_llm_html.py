@@ -111,3 +111,31 @@ def test_nested_labels_are_read_in_one_pass():
 ])
 def test_small_marks_and_parted_lines(page, text):
     assert S.main_text(page.replace("BODY", BODY)) == text
+
+
+def _blocks(page):
+    body = page[page.index("<article>"):page.index("</article>")]
+    blocks = (" ".join(html.unescape(re.sub("<[^>]+>", "", b.replace("<br>", " "))).split())
+              for b in re.split("</?p>|</?h1>", body))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_pages_without_marks_are_read_by_the_distribution(spark):
+    pages = [(r.page_id, r.html) for r in table(spark, SF_ORACLE, "pages").collect()]
+    furniture = ("<div class='cookie-banner'>We use cookies on all of these pages, please accept them now.</div>"
+                 "<ul class='menu'>" + "<li><a href=x>Link to some page</a></li>" * 8 + "</ul>")
+    wrong = 0
+    for page_id, page in pages:
+        plain = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        if page_id % 2:
+            plain = plain.replace("<body>", "<body>" + furniture)
+        wrong += S.main_text(plain) != _blocks(page)
+    assert wrong == 0
+
+
+def test_window_and_peak_decide():
+    part = "<div class=content><p>" + "first part of the text " * 9 + "</p></div>"
+    page = part + "<h2>Between</h2>" + part.replace("first", "second")
+    assert "Between" in S.main_text(page) and "Between" not in S.main_text(page, window=1)
+    page = "<p>" + "long text here " * 20 + "</p>" + "<nav>n</nav>" * 5 + "<div><p>Some forty letters of other text</p></div>"
+    assert "forty" not in S.main_text(page) and "forty" in S.main_text(page, peak=10)

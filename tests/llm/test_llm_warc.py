@@ -81,3 +81,19 @@ def test_urls_with_control_characters_are_read_back_exactly(spark, scratch):
     assert [rows[i].url for i in range(len(urls))] == urls
     assert [rows[i].urlkey for i in range(len(urls))] == [S.url_key(u) for u in urls]
     assert len({rows[i].urlkey for i in range(5)}) == 5
+
+
+def test_archives_and_ranges_are_cut_by_size(spark, monkeypatch, scratch):
+    monkeypatch.setattr(S, "ARCHIVE_BYTES", 3000)
+    monkeypatch.setattr(S, "RANGE_ROWS", 10)
+    pages = spark.createDataFrame([(i, f"http://h{i % 3}.org/{i}", f"page {i:03} " * 30) for i in range(200)], PAGES)
+    assert S.records_per_archive(pages) == 11 and S.records_per_archive(pages.filter("false")) == 3000
+    index = S.archive(pages, scratch + "/warc")
+    assert index.rdd.getNumPartitions() >= 20
+    rows = index.collect()
+    keys = [(r.urlkey, r.timestamp, r.page_id) for r in rows]
+    assert keys == sorted(keys) and len(keys) == 200
+    files = {}
+    for r in rows:
+        files[r.file] = files.get(r.file, 0) + 1
+    assert max(files.values()) <= 11
