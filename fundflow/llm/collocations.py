@@ -31,6 +31,7 @@ phrase, in byte order.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from functools import reduce
 
@@ -144,10 +145,14 @@ def _run_counts(tokens: list[bytes], most: int, lang: str, stop: int, shards: in
             yield counted(3, begin, since)
 
 
+def _packed(starts: dict[int, np.ndarray]) -> dict[int, bytes]:
+    return {size: zlib.compress(flags.tobytes(), 1) for size, flags in starts.items()}
+
+
 def _scanner(stop: int, shards: int, shared):
     """Task function of one stop: Arrow batches (lang, text) -> partial counts."""
     def run(batches):
-        starts = shared.value
+        starts = {size: np.frombuffer(zlib.decompress(flags), np.uint8) for size, flags in shared.value.items()}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())
             held, buffer = None, []
@@ -166,13 +171,15 @@ def _scanner(stop: int, shards: int, shared):
     return run
 
 
-def scanned(docs: DataFrame, stop: int, shards: int, starts: dict[int, np.ndarray]) -> DataFrame:
-    """(key, size, start, count): what one stop counts of the phrases active in its shard."""
+def scanned(docs: DataFrame, stop: int, shards: int, shared) -> DataFrame:
+    """(key, size, start, count): what one stop counts of the phrases active in its shard.
+
+    ``shared`` is a broadcast of the packed starts by size.
+    """
     slots = 8 * (shards - 1) or 1
     shard = F.greatest(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)) - (slots - shards), F.lit(0))
     texts = docs.filter(shard == stop % shards).select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(starts)
     return texts.mapInArrow(_scanner(stop, shards, shared), COUNTS) \
                 .groupBy("key", "size", "start").agg(F.sum("count").alias("count"))
 
@@ -220,12 +227,15 @@ def phrase_counts(docs: DataFrame, threshold: int = 10, shards: int = SHARDS) ->
     for stop in range(LONGEST * shards):
         if stop >= shards and 1 not in starts or stop >= 2 * shards and 2 not in starts:
             break                              # no phrase is active any more
-        counts = scanned(docs, stop, shards, starts)
+        needed = {size: flags for size, flags in starts.items() if stop < (size + 1) * shards}
+        shared = docs.sparkSession.sparkContext.broadcast(_packed(needed))
+        counts = scanned(docs, stop, shards, shared)
         if still_open is not None:
             counts = counts.unionByName(still_open).groupBy("key", "size", "start").agg(F.sum("count").alias("count"))
         last = F.col("start") + shards - 1
         counts = written(counts.filter((last > stop) | (F.col("size") == 1) | (F.col("count") >= threshold)),
                          f"phrases-{stop}")
+        shared.destroy()                       # the stop's counts are written
         complete.append(counts.filter(last == stop))
         still_open = counts.filter(last > stop)
         for size in range(1, LONGEST):
