@@ -178,7 +178,7 @@ def manifest(spark: SparkSession, warehouse: str, table: str, history: bool = Fa
         key = ["cycle_year", "file_type", "file_name"]
         newest = rows.groupBy(*key).agg(F.max("number").alias("number"))
         rows = rows.join(newest, [*key, "number"])
-    return rows.select(*T._parse_datatype_string(MANIFEST).names)
+    return rows.select(*T.StructType.fromDDL(MANIFEST).names)
 
 
 def file_status(files: DataFrame, recorded: DataFrame) -> DataFrame:
@@ -302,7 +302,7 @@ def read_quarantine(spark: SparkSession, warehouse: str, table: str) -> DataFram
     rows = spark.read.schema(QUARANTINE).option("basePath", base).parquet(*[f"{base}/load={x}" for x in loads])
     names = live.select("load", "cycle_year", F.col("file_name").alias("source_file"))
     return rows.join(names, ["load", *LINEAGE_COLUMNS], "left_semi") \
-               .select(*T._parse_datatype_string(QUARANTINE).names)
+               .select(*T.StructType.fromDDL(QUARANTINE).names)
 
 
 def write_filing_files(lines: DataFrame, root: str, file_type: str) -> None:
