@@ -17,8 +17,8 @@ buckets holds the first stop after which a word (or pair) of the bucket had reac
 threshold.  Its size is fixed, so it is broadcast at any size of the corpus.  A shared bucket only
 makes a phrase active early; it is then counted for a circle from there, so counts never change.
 
-A task reads its texts in runs of ``CHUNK`` words with numbered words, so that counting within a
-run is array work; Spark adds the runs up, first in the task.  A phrase is held as one string,
+A task reads each language's texts in runs of about ``CHUNK`` bytes, numbers a run's words by an Arrow
+dictionary and counts by array work; Spark adds the runs up, first in the task.  A phrase is held as one string,
 its words joined by blanks, then a tab and the language (words hold neither), which keeps the
 shuffled rows narrow.  No key gathers rows.
 
@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
 from functools import reduce
 
 import numpy as np
@@ -48,7 +47,8 @@ LONGEST = 3
 SHARDS = 2
 BUCKET_BITS = 24
 PART_BITS = 16
-CHUNK = 200_000                               # words; their numbers take 21 bits
+CHUNK = 3_000_000                             # bytes a task holds before it counts; word numbers take 21 bits
+ROWS = 100_000                                # rows of a batch
 SLICE = 1_000_000                             # bytes of a text read at once
 SALTS = 32
 EXACT = "decimal(38,0)"
@@ -57,21 +57,33 @@ COUNTS = "key string, size int, start int, count long"
 
 MARK = b"\xff"                                  # end of a piece; no UTF-8 text holds this byte
 
-_FOLD = bytes.maketrans((UPPER + BREAKS).encode(), LOWER.encode() + MARK * len(BREAKS))
+_FOLD = bytes.maketrans((UPPER + "\t" + BREAKS).encode(), LOWER.encode() + b" " + MARK * len(BREAKS))
 _GAP = re.compile(f"[ \t{BREAKS}]".encode())
 
 
-def _token_lists(text: bytes):
-    """Words and piece ends of a text, slice by slice; slices are cut at a gap."""
+def _slices(text: bytes):
+    """A text in slices cut at a gap: words are parted by blanks, a mark ends each piece."""
     at = 0
     while at < len(text):
         end = len(text)
         if at + SLICE < end and (gap := _GAP.search(text, at + SLICE)):
             end = gap.start()
-        # blanks and tabs are the only white space left to split at
-        yield text[at:end].translate(_FOLD).replace(MARK, b" " + MARK + b" ").split()
+        yield text[at:end].translate(_FOLD).replace(MARK, b" " + MARK + b" ")
         at = end
-    yield [MARK]
+    yield MARK
+
+
+def _numbered(parts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Different words of a run, the first one empty, and the run as places in them; 0 ends a piece."""
+    coded = pc.split_pattern(pa.array([b" ".join(parts)], pa.large_binary()), b" ").flatten().dictionary_encode()
+    words = coded.dictionary
+    number = np.arange(1, len(words) + 1, dtype=np.int32)
+    for word, code in ((MARK, 0), (b"", -1)):  # blanks in a row have an empty word between them
+        place = pc.index(words, pa.scalar(word, words.type)).as_py()
+        if place >= 0:
+            number[place] = code
+    codes = number[coded.indices.to_numpy()]
+    return pa.concat_arrays([pa.array([b""], words.type), words]), codes[codes >= 0]
 
 
 def _word_hashes(words: list[bytes], lang: str) -> np.ndarray:
@@ -93,56 +105,54 @@ def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where((a > 0) & (b > 0), np.maximum(a, b), 0).astype(np.int64)
 
 
-def _run_counts(tokens: list[bytes], most: int, lang: str, stop: int, shards: int, starts: dict[int, np.ndarray]):
-    """Record batches (key, size, start, count) of the active phrases that begin in the first ``most`` tokens."""
-    numbers: dict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    codes = np.fromiter(map(numbers.__getitem__, [MARK, *tokens]), np.int64, len(tokens) + 1)[1:]
-    words = pa.array([b"", *list(numbers)[1:]], pa.binary()).cast(pa.string())
-    tail = "\t" + lang
+def _run_counts(words: pa.Array, codes: np.ndarray, most: int, lang: str, stop: int, shards: int,
+                starts: dict[int, np.ndarray]):
+    """Record batches (key, size, start, count) of the active phrases that begin in the first ``most`` codes."""
+    words = pc.if_else(pc.equal(words, pa.scalar(MARK, words.type)), pa.scalar(b"", words.type), words)
+    spelled = words.cast(pa.large_string())
+    text = lambda value: pa.scalar(value, spelled.type)
+    ending = pc.binary_join_element_wise(spelled, text("\t" + lang), text(""))
 
     def rows(size, start, parts, counts):
-        spelled = [words.take(pa.array(p)) for p in parts]
-        phrase = pc.binary_join_element_wise(*spelled, " ") if size > 1 else spelled[0]
-        return pa.RecordBatch.from_arrays(
-            [pc.binary_join_element_wise(phrase, tail, ""), pa.array(np.full(len(counts), size, np.int32)),
-             pa.array(start.astype(np.int32)), pa.array(counts.astype(np.int64))],
-            names=["key", "size", "start", "count"])
-
-    def counted(size, begin, start):
-        """Rows of the phrases of ``size`` words that begin at the places ``begin``, active since ``start``."""
-        live = start[begin] + shards > stop
-        begin = begin[live]
-        packed = codes[begin]
+        for at in range(0, len(counts), ROWS):
+            cut = slice(at, at + ROWS)
+            taken = [(spelled if k < size - 1 else ending).take(pa.array(p[cut])) for k, p in enumerate(parts)]
+            key = pc.binary_join_element_wise(*taken, text(" ")) if size > 1 else taken[0]
+            yield pa.RecordBatch.from_arrays(
+                [key.cast(pa.string()), pa.array(np.full(len(key), size, np.int32)),
+                 pa.array(start[cut].astype(np.int32)), pa.array(counts[cut].astype(np.int64))],
+                names=["key", "size", "start", "count"])
+
+    def counted(size, active):
+        """Rows of the phrases of ``size`` words; ``active`` gives the start of each by its words' numbers."""
+        last = len(codes) - size + 1
+        start = active(*[codes[k:last + k] for k in range(size)])[:most]
+        begin = np.flatnonzero((start > 0) & (start + shards > stop))
+        packed = codes[begin].astype(np.int64)
         for k in range(1, size):
             packed = packed << 21 | codes[begin + k]
-        packed, where, counts = np.unique(packed, return_index=True, return_counts=True)
+        packed, counts = np.unique(packed, return_counts=True)
         parts = [packed >> 21 * k & 0x1FFFFF for k in range(size - 1, -1, -1)]
-        return rows(size, start[begin[where]], parts, counts)
+        yield from rows(size, active(*parts), parts, counts)
 
     if stop < shards:
         tally = np.bincount(codes[:most], minlength=1)
         tally[0] = 0
         seen = np.flatnonzero(tally)
-        if len(seen):
-            yield rows(1, np.zeros(len(seen)), [seen], tally[seen])
-    if not starts or len(codes) < 2:
+        yield from rows(1, np.zeros(len(seen)), [seen], tally[seen])
+    if not starts:
         return
-    hashes = _word_hashes(list(numbers), lang)
-    if 1 in starts and stop < 2 * shards:
+    hashes = _word_hashes(words.to_pylist(), lang)
+    if 1 in starts and stop < 2 * shards and len(codes) > 1:
         word_start = starts[1][_bucket(hashes)].copy()
         word_start[0] = 0
-        since = _both(word_start[codes[:-1]], word_start[codes[1:]])
-        begin = np.flatnonzero(since[:most])
-        if len(begin):
-            yield counted(2, begin, since)
+        yield from counted(2, lambda a, b: _both(word_start[a], word_start[b]))
     if 2 in starts and len(codes) > 2:
-        whole = (codes[:-1] > 0) & (codes[1:] > 0)
-        pair_start = np.where(whole, starts[2][_bucket(_pair_hashes(hashes[codes[:-1]], hashes[codes[1:]]))], 0)
-        since = _both(pair_start[:-1], pair_start[1:])
-        begin = np.flatnonzero(since[:most])
-        if len(begin):
-            yield counted(3, begin, since)
+        def pair_start(a, b):
+            found = starts[2][_bucket(_pair_hashes(hashes[a], hashes[b]))]
+            return np.where((a > 0) & (b > 0), found, 0)
+
+        yield from counted(3, lambda a, b, c: _both(pair_start(a, b), pair_start(b, c)))
 
 
 def _packed(starts: dict[int, np.ndarray]) -> dict[int, bytes]:
@@ -151,23 +161,33 @@ def _packed(starts: dict[int, np.ndarray]) -> dict[int, bytes]:
 
 def _scanner(stop: int, shards: int, shared):
     """Task function of one stop: Arrow batches (lang, text) -> partial counts."""
+    def counts(runs, starts, reading=None):
+        """Counts of all runs; of the text being read the last words are left for the next run."""
+        left = {}
+        for lang, parts in runs.items():
+            words, codes = _numbered(parts)
+            most = len(codes)
+            if lang == reading:
+                most = max(0, most - LONGEST + 1)
+                left[lang] = [words[int(c)].as_py() if c else MARK for c in codes[most:]]
+            yield from _run_counts(words, codes, most, lang, stop, shards, starts)
+        runs.clear()
+        runs.update(left)
+
     def run(batches):
         starts = {size: np.frombuffer(zlib.decompress(flags), np.uint8) for size, flags in shared.value.items()}
+        runs: dict[str, list[bytes]] = {}
+        held = 0
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())
-            held, buffer = None, []
-            for i in sorted(range(len(langs)), key=langs.__getitem__):
-                if langs[i] != held:
-                    if buffer:
-                        yield from _run_counts(buffer, len(buffer), held, stop, shards, starts)
-                    held, buffer = langs[i], []
-                for tokens in _token_lists(texts[i].as_py()):
-                    buffer += tokens
-                    while len(buffer) >= CHUNK + LONGEST - 1:
-                        yield from _run_counts(buffer[:CHUNK + LONGEST - 1], CHUNK, held, stop, shards, starts)
-                        buffer = buffer[CHUNK:]
-            if buffer:
-                yield from _run_counts(buffer, len(buffer), held, stop, shards, starts)
+            for lang, text in zip(langs, texts):
+                for part in _slices(text.as_py()):
+                    runs.setdefault(lang, []).append(part)
+                    held += len(part)
+                    if held >= CHUNK:
+                        yield from counts(runs, starts, lang)
+                        held = 0
+        yield from counts(runs, starts)
     return run
 
 
