@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 MOST_STRINGS = 64                             # strings a fixed part may take before it is cut short
+BLOCK = 256                                   # array elements whose running totals are taken together
 
 
 @dataclass(frozen=True)
@@ -147,27 +148,54 @@ def candidates(index: DataFrame, rules=RULES) -> DataFrame:
     return clauses.groupBy("doc_id").agg(bit("r").alias("rules"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once however often a lambda inside asks for it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(values: Column) -> Column:
+    """A non-empty array in arrays of ``BLOCK`` elements."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")),
+                       lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _running(values: Column, fold) -> Column:
+    """Running totals of a non-empty array of counts under ``fold``, a block at a time.
+
+    An element costs a pass over its block, not a copy of all that came before it.
+    """
+    def total(part):
+        return F.aggregate(part, F.lit(0), fold)
+
+    def within(blocks, totals):
+        return F.flatten(F.transform(blocks, lambda part, b: _let(
+            total(F.slice(totals, F.lit(1), b)),
+            lambda before: F.transform(part, lambda _, k: fold(before, total(F.slice(part, F.lit(1), k + 1)))))))
+
+    return _let(_blocks(values), lambda blocks: _let(
+        F.transform(blocks, total), lambda totals: within(blocks, totals)))
+
+
 def _spans(text: Column, order: int, rule: Rule) -> Column:
     """Array of (start, order, end, kind) of the rule's matches that are long enough."""
     kind = "array<struct<start:int,order:int,end:int,kind:string>>"
     pattern = F.lit(rule.pattern)
-    parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"),
-                         F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"),
-                         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("value"))
+    zipped = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"),
+                          F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"),
+                          F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("value"))
+    sizes = F.transform(zipped, lambda p: F.struct(
+        F.char_length(p["gap"]).alias("gap"), F.coalesce(F.char_length(p["match"]), F.lit(0)).alias("match"),
+        F.coalesce(F.char_length(p["value"]) >= rule.least, F.lit(False)).alias("long")))
 
-    def step(done, part):
-        start = done["at"] + F.char_length(part["gap"])
-        end = start + F.char_length(part["match"])
-        span = F.array(F.struct(start.alias("start"), F.lit(order).alias("order"),
-                                end.alias("end"), F.lit(rule.kind).alias("kind"))).cast(kind)
-        return F.when(part["match"].isNull(), done).otherwise(F.struct(
-            end.alias("at"), F.when(F.char_length(part["value"]) >= rule.least,
-                                    F.concat(done["spans"], span))
-            .otherwise(done["spans"]).alias("spans")))
+    def placed(parts):
+        ends = _running(F.transform(parts, lambda p: p["gap"] + p["match"]), lambda x, y: x + y)
+        every = F.zip_with(parts, ends, lambda p, end: F.struct(
+            (end - p["match"]).alias("start"), F.lit(order).alias("order"), end.alias("end"),
+            F.lit(rule.kind).alias("kind"), p["long"].alias("long")))
+        return F.transform(F.filter(every, lambda s: s["long"]), lambda s: F.struct(
+            s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end"), s["kind"].alias("kind")))
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
-    found = F.aggregate(parts, first, step, lambda done: done["spans"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(kind))
+    return F.when(text.rlike(rule.pattern), _let(sizes, placed).cast(kind)).otherwise(F.array().cast(kind))
 
 
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
@@ -199,21 +227,34 @@ def base_spans(spans: Column, rules=RULES) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(kinds))
 
 
+def _without(text: Column, spans: Column) -> Column:
+    """``text`` with its (one or more) spans replaced; spans that overlap become one, named by the first.
+
+    Pieces are cut from the stretch of text that a block of spans covers, so that a piece
+    costs a pass over its stretch, not over the text.
+    """
+    def pieces(block):
+        first = F.get(block, F.lit(0))["at"]
+        stretch = F.substring(text, first + 1, F.get(block, F.size(block) - 1)["start"] - first)
+        return _let(F.struct(first.alias("first"), stretch.alias("text")), lambda own: F.transform(
+            block, lambda s: F.concat(F.substring(own["text"], s["at"] - own["first"] + 1, s["start"] - s["at"]),
+                                      F.lit("<secret:"), s["kind"], F.lit(">"))))
+
+    def clean(reach):
+        each = F.transform(spans, lambda s, i: F.struct(
+            F.when(i > 0, F.get(reach, i - 1)).otherwise(F.lit(0)).alias("at"), s["start"].alias("start"),
+            s["kind"].alias("kind")))
+        heads = F.filter(each, lambda s: s["start"] >= s["at"])
+        cut = _let(heads, lambda h: F.flatten(F.transform(_blocks(h), pieces)))
+        return F.concat(F.array_join(cut, ""), F.substring(text, F.get(reach, F.size(reach) - 1) + 1,
+                                                           F.char_length(text)))
+
+    return _let(_running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y)), clean)
+
+
 def redact(docs: DataFrame, rules=RULES) -> DataFrame:
     """``docs`` with every span of the text replaced by ``<secret:kind>`` (n_chars follows)."""
-    def step(done, span):
-        start, end = span["start"], span["end"]
-        mark = F.concat(F.substring(F.col("text"), done["at"] + 1, start - done["at"]),
-                        F.lit("<secret:"), span["kind"], F.lit(">"))
-        return F.struct(
-            F.greatest(done["at"], end).alias("at"),
-            F.when(start >= done["at"], F.concat(done["out"], F.array(mark)))
-            .otherwise(done["out"]).alias("out"))
-
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    clean = F.aggregate(F.col("spans"), first, step, lambda done: F.concat(
-        F.array_join(done["out"], ""),
-        F.substring(F.col("text"), done["at"] + 1, F.char_length(F.col("text")))))
+    clean = _without(F.col("text"), F.col("spans"))
     found = scan(docs, rules)
     out = found.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

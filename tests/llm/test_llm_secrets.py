@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from llm_brute import base_spans
 from pyspark.sql import functions as F
 
@@ -11,6 +12,20 @@ DOCS = "doc_id long, text string"
 HEX = "0123456789abcdef" * 2
 
 
+def _spans(text):
+    return sorted((m.start(), at, m.end(), r.kind) for at, r in enumerate(S.RULES)
+                  for m in re.finditer(r.pattern, text) if len(m[r.group]) >= r.least)
+
+
+def _redacted(text):
+    out, at = [], 0
+    for start, _, end, kind in _spans(text):
+        if start >= at:
+            out += [text[at:start], f"<secret:{kind}>"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
 def _scan(df):
     return df.select("doc_id", "text", "spans", S.spans_text(S.base_spans(F.col("spans"))).alias("base"),
                      S.spans_text(F.col("spans")).alias("all")).collect()
@@ -77,3 +92,13 @@ def test_private_keys_with_many_words(spark):
     got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.order == rule] for r in S.scan(df).collect()}
     assert got == {i: [(0, len(t))] if i in (0, 2, 3, 6, 7) else [] for i, t in enumerate(texts)}
     assert [bool(re.search(S.RULES[rule].pattern, t)) for t in texts] == [bool(got[i]) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("count", [255, 256, 257, 100_000])
+def test_very_many_spans_in_one_text(spark, count):
+    text = "é " + "".join(f"{i:x}".rjust(24, "a") + (" ß" if i % 3 else " token=short password=" + "q" * 7 + ".")
+                          for i in range(count)) + "tail"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").repartition(1)
+    got = [(s.kind, s.start, s.end) for s in S.scan(docs).first().spans]
+    assert got == [(k, a, b) for a, _, b, k in _spans(text)]
+    assert S.redact(docs).first().text == _redacted(text)
