@@ -30,6 +30,8 @@ from .common import PAIR, hex16, lower_ascii, majority_bits, words_of, written
 RADIUS = 3
 BLOCKS = 5
 ROWS_PER_BUCKET = 20000                       # rows whose neighbours one task looks up at a time
+BYTES_PER_BUCKET = 32 << 20                   # and bytes of their texts
+BYTES_PER_TASK = 128 << 20
 LEAST_BUCKETS = 400
 MOST_BUCKETS = 200000
 
@@ -77,15 +79,18 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """(bucket, rn, lent, doc_id, text, next_text): each row beside the next by descending doc_id.
 
-    Rows are dealt into buckets of neighbouring ids; the bounds are percentiles
-    (at most MOST_BUCKETS numbers, whatever the input).  Each bucket is lent the
+    Rows are dealt into buckets of neighbouring ids, even in rows and in bytes of text; the
+    bounds are percentiles (at most MOST_BUCKETS numbers, whatever the input).  Each bucket is lent the
     first row of the bucket that follows (``lent`` is true), the last one the
     first of all, so one shuffle of the texts is enough.  ``rn`` orders a bucket.
     """
-    n = docs.agg(F.count("doc_id")).first()[0]
-    wanted = min(MOST_BUCKETS, max(LEAST_BUCKETS, n // ROWS_PER_BUCKET))
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / wanted for i in range(1, wanted)],
-                                          max(10000, 2 * wanted))).first()[0]
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    n, held = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    wanted = min(MOST_BUCKETS, max(LEAST_BUCKETS, n // ROWS_PER_BUCKET, held // BYTES_PER_BUCKET))
+    # a row counts once, and once more for each mean text that its text is long: at most twice the rows in all
+    weight = F.floor(size / max(1, held // max(1, n))).cast("int") + 1
+    bounds = docs.select(F.explode(F.array_repeat("doc_id", weight)).alias("doc_id")).agg(F.percentile_approx(
+        "doc_id", [i / wanted for i in range(1, wanted)], max(10000, 2 * wanted))).first()[0]
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("key")) \
                .withColumn("bucket", _bucket(F.col("key"), sorted(set(bounds or []))))
@@ -99,6 +104,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     every = rows.select("bucket", F.lit(False).alias("lent"), "key", "doc_id", "text").unionByName(
         lent.select(F.col("to").alias("bucket"), F.lit(True).alias("lent"),
                     F.col("id.key").alias("key"), F.col("id.doc_id").alias("doc_id"), "text"))
+    tasks = held // BYTES_PER_TASK
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        every = every.repartition(tasks, "bucket")
     order = Window.partitionBy("bucket").orderBy("lent", F.desc("key"), "text")
     return every.select("bucket", F.row_number().over(order).alias("rn"), "lent", "doc_id", "text",
                         F.lead("text").over(order).alias("next_text"))

@@ -73,3 +73,18 @@ def test_repeated_null_and_single_rows(spark):
     one = S.compare(spark.createDataFrame([(1, "abc def")], schema)).first()
     assert one.near_next == 1.0 and one.n_chars == 7
     assert S.compare(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_buckets_are_even_in_bytes(spark, monkeypatch):
+    """Ids whose texts are long share no bucket with many others, also where tasks are sized by bytes."""
+    monkeypatch.setattr(S, "LEAST_BUCKETS", 2)
+    monkeypatch.setattr(S, "BYTES_PER_BUCKET", 20_000)
+    monkeypatch.setattr(S, "BYTES_PER_TASK", 20_000)
+    texts = [(i, f"short {i}" if i < 300 else "long text " * 1000) for i in range(320)]
+    rows = S.with_next(spark.createDataFrame(texts, "doc_id long, text string")).filter("not lent").collect()
+    held = {}
+    for r in rows:
+        held[r.bucket] = held.get(r.bucket, 0) + len(r.text)
+    assert len(rows) == len(texts) and max(held.values()) <= 40_000
+    following = {i: dict(texts)[(i - 1) % len(texts)] for i, _ in texts}
+    assert {r.doc_id: r.next_text for r in rows} == following
