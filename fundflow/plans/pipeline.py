@@ -2,9 +2,10 @@
 
 ``Models`` wires raw tables -> staging -> tags -> flow -> marts.  Every
 attribute is a DataFrame built once per ``Models``.  Without a ``warehouse`` all
-are lazy.  With one, the raw tables and the table-layer models (tags, flow, marts)
-are written there as Parquet by the first access that needs them, and read from
-there by everything else.
+are lazy.  With one, each raw table and each table-layer model (tags, flow, marts)
+is written there as Parquet by the first access that needs it, and read from
+there by everything else.  The table-layer models read each raw table once or in a few columns, so
+they are built from ``sources`` and write no raw table.
 """
 
 from __future__ import annotations
@@ -70,105 +71,108 @@ class Models:
                    keyword_rows=seeds.taxonomy_rows() + seeds.LENS_KEYWORDS, **options)
 
     # table layers ----------------------------------------------------------
-    # A layer counts as written only once all its tables are: a failed build is
-    # repeated by the next access, over the same paths.
+    # A table counts as written only once it is whole: a failed build is
+    # repeated by the next access, over the same path.
     warehouse: str | None = None
+    rebuild = False                # whether tables of an earlier build are replaced
 
     def layer(self, name: str, build) -> bool:
-        """Whether the layer can be read from the warehouse, building it first if need be."""
+        """Whether the table can be read from the warehouse, building it first if need be."""
         if self.warehouse is None:
             return False
         if name not in self._written:
             mark = f"{self.warehouse}/{name}-complete"
-            if not _is_there(self.spark, mark):
+            if self.rebuild or not _is_there(self.spark, mark):
                 build()
                 self.spark.range(1).write.mode("overwrite").parquet(mark)
             self._written.add(name)
         return True
 
+    def raw_table(self, name: str) -> DataFrame:
+        """One raw table; with a warehouse, written there by (cycle, file)."""
+        if not self.layer(f"raw-{name}", lambda: write_raw({name: self.sources[name]}, self.warehouse)):
+            return self.sources[name]
+        return self.spark.read.schema(raw_schema(columns_of(name))).parquet(f"{self.warehouse}/raw/{name}")
+
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        """The raw tables; with a warehouse, written there by (cycle, file)."""
-        if not self.layer("raw", lambda: write_raw(self.sources, self.warehouse)):
-            return self.sources
-        read = self.spark.read
-        return {name: read.schema(raw_schema(columns_of(name))).parquet(f"{self.warehouse}/raw/{name}")
-                for name in self.sources}
-
-    def _table(self, name: str) -> DataFrame | None:
-        if not self.layer("models", lambda: materialize(self, self.warehouse)):
-            return None
+        """All raw tables, written together."""
+        return dict(zip(self.sources, _at_once(self.raw_table, self.sources)))
+
+    def _table(self, name: str, plan) -> DataFrame:
+        """What ``plan()`` returns; with a warehouse, written there once and read back."""
+        if not self.layer(name, lambda: plan().write.mode("overwrite").parquet(f"{self.warehouse}/{name}")):
+            return plan()
         return self.spark.read.parquet(f"{self.warehouse}/{name}")
 
     # staging (views) -------------------------------------------------------
     @cached_property
     def candidates(self) -> DataFrame:
-        return staging.stg_candidates(self.raw["candidates"])
+        return staging.stg_candidates(self.raw_table("candidates"))
 
     @cached_property
     def committees(self) -> DataFrame:
-        return staging.stg_committees(self.raw["committees"],
+        return staging.stg_committees(self.raw_table("committees"),
                                       latest_per_id=self.options["latest_committee"])
 
     @cached_property
     def individual(self) -> DataFrame:
-        return staging.stg_individual_contributions(self.raw["individual_contributions"],
+        return staging.stg_individual_contributions(self.raw_table("individual_contributions"),
                                                     lenient=self.options["lenient_dates"])
 
     @cached_property
     def pac(self) -> DataFrame:
-        return staging.stg_pac_contributions(self.raw["pac_contributions"],
+        return staging.stg_pac_contributions(self.raw_table("pac_contributions"),
                                              lenient=self.options["lenient_dates"])
 
     @cached_property
     def profiles(self) -> DataFrame:
-        return staging.candidate_profiles(self.raw["candidates"])
+        return staging.candidate_profiles(self.raw_table("candidates"))
 
     @cached_property
     def linkage(self) -> DataFrame:
-        return staging.stg_candidate_committee_linkage(self.raw["candidate_committee_linkage"])
+        return staging.stg_candidate_committee_linkage(self.raw_table("candidate_committee_linkage"))
 
     @cached_property
     def financials(self) -> DataFrame:
-        return staging.stg_candidate_financial_summary(self.raw["candidate_financial_summary"])
+        return staging.stg_candidate_financial_summary(self.raw_table("candidate_financial_summary"))
 
     # intermediate (tables) -------------------------------------------------
+    def _individual(self, keep: tuple = ()) -> DataFrame:
+        return staging.stg_individual_contributions(self.sources["individual_contributions"],
+                                                    self.options["lenient_dates"], keep)
+
     @cached_property
     def committee_tags(self) -> DataFrame:
-        t = self._table("committee_tags")
-        if t is not None:
-            return t
-        return tagging.committee_industry_tags(
-            self.committees, self.taxonomy, self.raw["opensecrets_committees"], self.categories,
-            keywords=self.keywords, whole_words=self.options["whole_words"])
+        return self._table("committee_tags", lambda: tagging.committee_industry_tags(
+            staging.stg_committees(self.sources["committees"], self.options["latest_committee"]), self.taxonomy,
+            self.sources["opensecrets_committees"], self.categories,
+            keywords=self.keywords, whole_words=self.options["whole_words"]))
 
     @cached_property
     def tagged_donations(self) -> DataFrame:
-        t = self._table("tagged_donations")
-        if t is not None:
-            return t
-        individual = staging.stg_individual_contributions(
-            self.raw["individual_contributions"], self.options["lenient_dates"], keep=("cycle_year",))
-        return tagging.tag_donations(
-            individual, self.taxonomy, self.keywords, self.options["casefold_stop_list"],
-            self.options["whole_words"]).select(*TAGGED_COLUMNS)
+        return self._table("tagged_donations", lambda: tagging.tag_donations(
+            self._individual(("cycle_year",)), self.taxonomy, self.keywords, self.options["casefold_stop_list"],
+            self.options["whole_words"]).select(*TAGGED_COLUMNS))
 
     @cached_property
     def donor_industry(self) -> DataFrame:
         return tagging.individual_donor_industry(
-            self.individual, self.taxonomy, self.keywords, self.tagged_donations,
+            self._individual(), self.taxonomy, self.keywords, self.tagged_donations,
             self.options["casefold_stop_list"])
 
     @cached_property
     def flow_by_cycle(self) -> DataFrame:
         """The flow with the cycle of each transaction."""
-        t = self._table("flow_by_cycle")
-        if t is not None:
-            return t
-        pac = staging.stg_pac_contributions(self.raw["pac_contributions"], self.options["lenient_dates"],
+        return self._table("flow_by_cycle", self._flow_by_cycle)
+
+    def _flow_by_cycle(self) -> DataFrame:
+        _at_once(lambda name: getattr(self, name), ("committee_tags", "tagged_donations"))
+        pac = staging.stg_pac_contributions(self.sources["pac_contributions"], self.options["lenient_dates"],
                                             keep=("cycle_year",))
+        linkage = staging.stg_candidate_committee_linkage(self.sources["candidate_committee_linkage"])
         return flows.contributions_to_candidates(
-            pac, self.individual, self.linkage, self.committee_tags, self.taxonomy,
+            pac, self._individual(), linkage, self.committee_tags, self.taxonomy,
             keywords=self.keywords, tagged=self.tagged_donations,
             dedupe_links=self.options["dedupe_links"], keep=("cycle_year",))
 
@@ -179,18 +183,16 @@ class Models:
     @cached_property
     def pair_sums(self) -> DataFrame:
         """Money and rows per candidate and paying (or receiving) committee, read by five reports."""
-        t = self._table("pair_sums")
-        if t is not None:
-            return t
-        return flows.pair_sums(self.flow_by_cycle)
+        return self._table("pair_sums", lambda: flows.pair_sums(self.flow_by_cycle))
 
     # marts (tables) --------------------------------------------------------
+    def _financials(self) -> DataFrame:
+        return staging.stg_candidate_financial_summary(self.sources["candidate_financial_summary"])
+
     @cached_property
     def funding_extras(self) -> DataFrame:
-        t = self._table("funding_extras")
-        if t is not None:
-            return t
-        return marts.funding_with_extras(self.flow, self.candidates, self.financials)
+        return self._table("funding_extras", lambda: marts.funding_with_extras(
+            self.flow, staging.stg_candidates(self.sources["candidates"]), self._financials()))
 
     @cached_property
     def funding(self) -> DataFrame:
@@ -199,10 +201,8 @@ class Models:
     @cached_property
     def funding_by_cycle(self) -> DataFrame:
         """One row per candidate and cycle, with ``large_donor_total``."""
-        t = self._table("funding_by_cycle")
-        if t is not None:
-            return t
-        return marts.funding_by_cycle(self.flow_by_cycle, self.profiles, self.financials)
+        return self._table("funding_by_cycle", lambda: marts.funding_by_cycle(
+            self.flow_by_cycle, staging.candidate_profiles(self.sources["candidates"]), self._financials()))
 
     @cached_property
     def score_by_cycle(self) -> DataFrame:
@@ -210,10 +210,7 @@ class Models:
 
     @cached_property
     def score(self) -> DataFrame:
-        t = self._table("score")
-        if t is not None:
-            return t
-        return marts.candidate_capture_score(self.funding_extras)
+        return self._table("score", lambda: marts.candidate_capture_score(self.funding_extras))
 
 
 def _is_there(spark: SparkSession, path: str) -> bool:
@@ -240,10 +237,10 @@ def write_tables(tables: dict[str, DataFrame], warehouse: str) -> None:
     _at_once(lambda item: item[1].write.mode("overwrite").parquet(f"{warehouse}/{item[0]}"), tables.items())
 
 
-def _at_once(run, items) -> None:
+def _at_once(run, items) -> list:
     """Independent jobs submitted together, so short ones fill each other's idle tasks; the first error is raised."""
     with ThreadPoolExecutor(max_workers=8) as pool:
-        list(pool.map(run, items))
+        return list(pool.map(run, items))
 
 
 def materialize(models: Models, warehouse: str) -> None:
@@ -253,19 +250,11 @@ def materialize(models: Models, warehouse: str) -> None:
     table reads its inputs back from the written ones, so no lineage is
     recomputed and an executor lost later cannot force a recompute.
     """
-    spark = models.spark
-    lazy = Models(spark, models.raw, models.taxonomy, models.categories, models._keyword_rows,
-                  **models.options)
-
-    def write(name: str) -> None:
-        df = getattr(lazy, name)
-        df.write.mode("overwrite").parquet(f"{warehouse}/{name}")
-        lazy.__dict__[name] = spark.read.schema(df.schema).parquet(f"{warehouse}/{name}")
-
-    _at_once(write, ("committee_tags", "tagged_donations"))
-    write("flow_by_cycle")
-    _at_once(write, ("pair_sums", "funding_extras", "funding_by_cycle"))
-    write("score")
+    built = Models(models.spark, models.sources, models.taxonomy, models.categories, models._keyword_rows,
+                   **models.options)
+    built.warehouse, built.rebuild = warehouse, True
+    for names in (("flow_by_cycle",), ("pair_sums", "funding_extras", "funding_by_cycle"), ("score",)):
+        _at_once(lambda name: getattr(built, name), names)
 
 
 def source_version(spark: SparkSession, paths: list[str]) -> str:
