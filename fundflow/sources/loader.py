@@ -95,18 +95,22 @@ def quoted_fields(value: Column, sep: str = "|") -> Column:
 def unquoted(field: Column) -> Column:
     """The text of a field: a wrapped one loses its quotes, doubled ones become single."""
     inner = F.substring(field, F.lit(2), F.char_length(field) - 2)
-    return F.when(field.rlike(f"^{_WRAPPED}$"), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+    return F.when(field.startswith('"') & field.rlike(f"^{_WRAPPED}$"), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
 
 
 def quote_evidence(lines: DataFrame, columns: list[str]) -> DataFrame:
     """(cycle_year, source_file, wrapped, stray, good_quoted, good_plain): sums over each file's lines."""
-    fields = quoted_fields(F.col("value"))
-    starts = F.filter(fields, lambda f: f.startswith('"'))
-    wrapped = F.size(F.filter(starts, lambda f: f.rlike(f"^{_WRAPPED}$")))
-    seen = lines.filter(F.contains("value", F.lit('"'))).select(
-        *LINEAGE_COLUMNS, wrapped.alias("wrapped"), (F.size(starts) > wrapped).alias("stray"),
-        (F.size(fields) == len(columns)).alias("good_quoted"),
-        (F.size(plain_fields(F.col("value"))) == len(columns)).alias("good_plain"))
+    # a select of its own for what is used more than once, so it is worked out once a line
+    split = lines.filter(F.contains("value", F.lit('"'))).select(
+        *LINEAGE_COLUMNS, quoted_fields(F.col("value")).alias("fields"),
+        F.size(plain_fields(F.col("value"))).alias("n_plain"))
+    starts = split.select(*LINEAGE_COLUMNS, F.filter("fields", lambda f: f.startswith('"')).alias("starts"),
+                          F.size("fields").alias("n_quoted"), "n_plain")
+    counted = starts.select(*LINEAGE_COLUMNS, "n_quoted", "n_plain", F.size("starts").alias("n_starts"), F.size(
+        F.filter("starts", lambda f: f.rlike(f"^{_WRAPPED}$"))).alias("wrapped"))
+    seen = counted.select(*LINEAGE_COLUMNS, "wrapped", (F.col("n_starts") > F.col("wrapped")).alias("stray"),
+                          (F.col("n_quoted") == len(columns)).alias("good_quoted"),
+                          (F.col("n_plain") == len(columns)).alias("good_plain"))
     return seen.groupBy(*LINEAGE_COLUMNS).agg(
         F.sum("wrapped").alias("wrapped"), F.count_if("stray").alias("stray"),
         F.count_if("good_quoted").alias("good_quoted"), F.count_if("good_plain").alias("good_plain"))
@@ -119,18 +123,25 @@ def quoted_files(lines: DataFrame, columns: list[str]) -> list[tuple[int, str]]:
 
 
 def parsed(lines: DataFrame, columns: list[str], quoted: list[tuple[int, str]] = ()) -> DataFrame:
-    """``lines`` plus ``fields`` (null if set aside) and ``reason`` (null if accepted)."""
+    """``lines`` plus ``fields`` (null if set aside) and ``reason`` (null if accepted).
+
+    The quoted files, one row per file, are broadcast: a join dealt by file would move every line,
+    and put a file's lines in one task.
+    """
     plain = plain_fields(F.col("value"))
     if quoted:
         known = lines.sparkSession.createDataFrame(list(quoted), "cycle_year int, source_file string") \
             .withColumn("quoted", F.lit(True))
-        lines = lines.join(known, LINEAGE_COLUMNS, "left")
-        fields = F.when(F.col("quoted"), F.transform(quoted_fields(F.col("value")), unquoted)).otherwise(plain)
+        lines = lines.join(F.broadcast(known), LINEAGE_COLUMNS, "left")
+        parts = F.when(F.col("quoted"), quoted_fields(F.col("value"))).otherwise(plain)
+        text = F.when(F.col("quoted"), F.transform("_parts", unquoted)).otherwise(F.col("_parts"))
     else:
-        fields = plain
-    good = F.size(fields) == len(columns)
+        parts, text = plain, F.col("_parts")
+    # a generator of one row: filters on the outcome stay above it, so a line is split once
+    lines = lines.select("*", F.explode(F.array(parts)).alias("_parts"))
+    good = F.size("_parts") == len(columns)
     reason = F.when(F.col("value").isNull(), "bytes").when(~good, "fields")
-    return lines.withColumn("fields", F.when(good, fields)).withColumn("reason", reason)
+    return lines.withColumn("fields", F.when(good, text)).withColumn("reason", reason).drop("_parts")
 
 
 # --- loads ----------------------------------------------------------------------
@@ -275,9 +286,10 @@ def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     base = f"{_root(warehouse, table)}/data"
     with_load = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
     rows = _read(spark, [f"{base}/load={x}" for x in loads], with_load, base)
-    # partition columns only: the join prunes folders, a file's superseded rows are not read
+    # partition columns only: the join prunes folders, a file's superseded rows are not read; one row
+    # per file is sent to the rows, which are not dealt by file
     names = live.select("load", "cycle_year", F.col("file_name").alias("source_file"))
-    return rows.join(names, ["load", *LINEAGE_COLUMNS], "left_semi").select(*schema.names)
+    return rows.join(F.broadcast(names), ["load", *LINEAGE_COLUMNS], "left_semi").select(*schema.names)
 
 
 def load_raw(spark: SparkSession, root: str, warehouse: str, cycles: list[int],
@@ -301,7 +313,7 @@ def read_quarantine(spark: SparkSession, warehouse: str, table: str) -> DataFram
     base = f"{_root(warehouse, table)}/quarantine"
     rows = spark.read.schema(QUARANTINE).option("basePath", base).parquet(*[f"{base}/load={x}" for x in loads])
     names = live.select("load", "cycle_year", F.col("file_name").alias("source_file"))
-    return rows.join(names, ["load", *LINEAGE_COLUMNS], "left_semi") \
+    return rows.join(F.broadcast(names), ["load", *LINEAGE_COLUMNS], "left_semi") \
                .select(*T.StructType.fromDDL(QUARANTINE).names)
 
 
