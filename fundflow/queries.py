@@ -17,7 +17,7 @@ from .functions.numeric import MONEY_SUM
 from .functions.text import (candidate_display_name, candidate_first_name,
                              candidate_last_name, normalize_employer, normalize_name)
 from .oracle import sql as O
-from .plans import catalog, filing_loads, marts, quality, report_sql, reports, tagging
+from .plans import catalog, filing_loads, marts, quality, report_sql, reports, staging, tagging
 from .operators.keyword_match import first_match_join
 from .operators.ranking import percent_rank_distributed
 from .plans.pipeline import Models, warehouse_folder
@@ -39,8 +39,8 @@ def _m(spark: SparkSession, sf_dir: str) -> Models:
     """Models over ``sf_dir`` with its table layer materialised once per application.
 
     Like the model build of the source pipeline, tags, flow and marts are
-    written once (under ``spark.checkpoint.dir``) and every report reads them;
-    staging models stay lazy views over the raw tables.
+    written once (under ``spark.checkpoint.dir``), each by the first query that reads it;
+    staging models stay lazy views over the raw tables, which are written likewise.
     """
     folder = warehouse_folder(spark, sf_dir)   # names the version of the input files
     key = (spark.sparkContext.applicationId, folder)
@@ -54,8 +54,8 @@ def _m(spark: SparkSession, sf_dir: str) -> Models:
 # --- Spark builders ---------------------------------------------------------
 
 def _normalize_text(spark, sf):
-    raw = _m(spark, sf).raw
-    ind, cm, cn = raw["individual_contributions"], raw["committees"], raw["candidates"]
+    raw = _m(spark, sf).raw_table
+    ind, cm, cn = raw("individual_contributions"), raw("committees"), raw("candidates")
     parts = [
         ind.select(F.lit("employer").alias("kind"), F.col("employer").alias("raw_text"),
                    normalize_employer("employer").alias("normalized")),
@@ -88,7 +88,7 @@ def _refund_flags(spark, sf):
 
 def _crosswalk_layer(spark, sf):
     m = _m(spark, sf)
-    return tagging.crosswalk_matches(m.committees, m.raw["opensecrets_committees"],
+    return tagging.crosswalk_matches(m.committees, m.raw_table("opensecrets_committees"),
                                      m.categories).drop("match_source")
 
 
@@ -109,12 +109,12 @@ def _rejected_rows(spark, sf):
     """Rows and rejected lines per file, from raw rows written out as delimited lines."""
     columns = FILE_TYPES["pas2"][1]
     lines = spark.sql(lens.delimited_lines_sql("spark", columns),
-                      raw=_m(spark, sf).raw["pac_contributions"])
+                      raw=_m(spark, sf).sources["pac_contributions"])
     return delimited.line_counts(lines, columns)
 
 
 def _filing_loads(spark, sf):
-    return filing_loads.loaded_pac(spark, _m(spark, sf).raw[filing_loads.PAC], warehouse_folder(spark, sf))
+    return filing_loads.loaded_pac(spark, _m(spark, sf).sources[filing_loads.PAC], warehouse_folder(spark, sf))
 
 
 def _file_manifest(spark, sf):
@@ -149,24 +149,27 @@ def _large_donor_totals(spark, sf):
 
 
 def _donation_percent_rank(spark, sf):
-    rows = _m(spark, sf).individual.select("transaction_id", "committee_id", "amount")
+    # three narrow passes over the source cost less than writing the raw table
+    rows = staging.stg_individual_contributions(_m(spark, sf).sources["individual_contributions"]) \
+        .select("transaction_id", "committee_id", "amount")
     return percent_rank_distributed(percent_rank_distributed(rows, [], "amount", "pct_overall"),
                                     ["committee_id"], "amount", "pct_in_committee")
 
 
-def _published(spark, sf) -> str:
-    """The input's own schema names, published; their common suffix."""
+def _published(spark, sf, names: set[str]) -> str:
+    """The input's own schema names, the ``names`` in them published; their common suffix."""
     m = _m(spark, sf)
     suffix = "_" + m.warehouse.rstrip("/").rpartition("/")[2]
-    if not spark.catalog.databaseExists("marts" + suffix):
-        catalog.publish(m, {layer: layer + suffix for layer in ("raw", *catalog.LAYERS)})
+    missing = {n for n in names if not spark.catalog.tableExists(n.replace(".", f"{suffix}.", 1))}
+    if missing:
+        catalog.publish(m, {layer: layer + suffix for layer in ("raw", *catalog.LAYERS)}, missing)
     return suffix
 
 
 def _sql_report(report, **parameters):
     def run(spark, sf):
-        suffix = _published(spark, sf)
         text = report_sql.REPORTS[report]
+        suffix = _published(spark, sf, catalog.named_in(text))
         for layer in catalog.LAYERS:
             text = text.replace(f"{layer}.", f"{layer}{suffix}.")
         return catalog.run_report(spark, text, **parameters)
@@ -186,7 +189,7 @@ def _risk_tiers(spark, sf):
 
 
 def _dq_duplicates(spark, sf):
-    return quality.duplicate_keys(_m(spark, sf).raw["pac_contributions"], "sub_id")
+    return quality.duplicate_keys(_m(spark, sf).sources["pac_contributions"], "sub_id")
 
 
 def _queries() -> dict[str, tuple[Builder, str | None]]:
@@ -479,7 +482,7 @@ def _queries() -> dict[str, tuple[Builder, str | None]]:
     per_file = f"SELECT DISTINCT cycle_year, source_file, early, whole FROM ({states})"
     after = "CASE WHEN source_file IN ('f2', 'f4') THEN whole ELSE early END"
     reg("incremental_load", lambda s, d: filing_loads.incremental_runs(
-            s, m(s, d).raw[filing_loads.LINK]), f"""
+            s, m(s, d).raw_table(filing_loads.LINK)), f"""
         SELECT 1 AS run, cycle_year, source_file AS file_name, 'new' AS status, early AS rows, early AS table_rows
         FROM ({per_file}) WHERE source_file <> 'f4' AND early > 0
         UNION ALL
