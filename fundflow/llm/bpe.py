@@ -31,6 +31,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from typing import Iterator
 
 import pandas as pd
 import regex
@@ -294,10 +295,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     shared = _shared(docs.sparkSession, path)
 
     @F.pandas_udf("string")
-    def ids(texts: pd.Series) -> pd.Series:
-        encoder = _encoder(shared)
-        return pd.Series([x[1] for part in _batches(texts.tolist())
-                          for x in encoder.encode(part, decoded=False)], dtype=object)
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in batches:
+                yield pd.Series([x[1] for part in _batches(texts.tolist())
+                                 for x in _encoder(shared).encode(part, decoded=False)], dtype=object)
+        finally:
+            # workers live on into other operators, which then have to fit beside these tables
+            _ENCODERS.clear()
 
     joined = ids(F.coalesce(F.col("text"), F.lit("")))
     return docs.withColumn("_token_text", joined).withColumn(
