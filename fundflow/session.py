@@ -29,6 +29,15 @@ def configure(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, value)
     return spark
 
+# Rows of long texts that go to a Python worker at once: workers keep what their largest batch took.
+TEXT_BATCH = 500
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Python workers get ``TEXT_BATCH`` rows at a time, so the workers of all stages fit in an executor together."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
+    return spark
+
 
 def _driver_memory() -> str:
     """Heap for a local session: 60% of physical memory, at most 16 GB."""
