@@ -284,7 +284,8 @@ def learned(docs: DataFrame, model: dict) -> DataFrame:
         return pd.DataFrame({"lang_pred": lang, "score": score, "learned": known})
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.filter(F.col("text").rlike("\\p{L}")).select(*kept, run(_prepared(F.col("text"))).alias("_found"))
+    judged = run.asNondeterministic()          # else the filter below judges every text a second time, in workers of its own
+    found = docs.filter(F.col("text").rlike("\\p{L}")).select(*kept, judged(_prepared(F.col("text"))).alias("_found"))
     return found.filter("_found.learned").select(*kept, "_found.lang_pred", "_found.score")
 
 

@@ -36,3 +36,10 @@ def test_pipeline_stages_send_texts_in_small_batches(spark):
         assert max(r.n for r in docs.select("doc_id").mapInPandas(sizes, "n long").collect()) <= 500
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_language_stage_judges_each_text_once(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('words of text ', id) AS text",
+                                      "if(id % 2 = 0, 'en', 'de') AS lang", "'web' AS source", "20L AS n_chars")
+    plan = corpus_pipeline.identify_language(spark, docs, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
